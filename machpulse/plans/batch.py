@@ -7,7 +7,7 @@ run added, dimensions are whole snapshots of their latest run.
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
@@ -92,10 +92,11 @@ def staging_rules(table: str, machines: DataFrame | None = None) -> Rules:
     )
 
 
-def _days_touched(df: DataFrame) -> Column | None:
-    """Predicate on ``id_date`` covering every day of ``df``; one row reaches the driver."""
-    first, last = df.agg(F.min(id_date_of("datetime_evt")), F.max(id_date_of("datetime_evt"))).first()
-    return None if first is None else F.col("id_date").between(first, last)
+def _extent(df: DataFrame) -> tuple[int, Column | None]:
+    """Row count and a predicate on ``id_date`` covering every day of ``df``; one row reaches the driver."""
+    day = id_date_of("datetime_evt")
+    n, first, last = df.agg(F.count(F.lit(1)), F.min(day), F.max(day)).first()
+    return n, None if first is None else F.col("id_date").between(first, last)
 
 
 def _write(df: DataFrame, path: str, by_day: bool) -> None:
@@ -108,16 +109,15 @@ def _write(df: DataFrame, path: str, by_day: bool) -> None:
 def _load_events(spark, warehouse, run_id, incoming, table, machines, on_violation) -> dict[str, int]:
     """Append what is new; the whole file goes in as one write or not at all."""
     enforce(incoming, staging_rules(table, machines), on_violation)
-    span = _days_touched(incoming)
-    counted, written = Observation(), Observation()
-    observed = incoming.observe(counted, F.count(F.lit(1)).alias("n"))
+    attempted, span = _extent(incoming)
     known = warehouse.staging_events(spark, table)
     if span is not None:
         known = known.filter(span)
-    fresh = insert_if_absent(known, observed, schemas.STAGING_KEYS[table])
-    fresh = fresh.withColumn("id_date", id_date_of("datetime_evt")).observe(written, F.count(F.lit(1)).alias("n"))
-    _write(fresh, warehouse.path(f"staging_{table}", run_id), by_day=True)
-    return {"attempted": counted.get["n"], "inserted": written.get["n"]}
+    fresh = insert_if_absent(known, incoming, schemas.STAGING_KEYS[table])
+    _write(
+        fresh.withColumn("id_date", id_date_of("datetime_evt")), warehouse.path(f"staging_{table}", run_id), by_day=True
+    )
+    return {"attempted": attempted, "inserted": _added(spark, warehouse, run_id, table).count()}
 
 
 def _added(spark, warehouse, run_id, table) -> DataFrame:
@@ -148,14 +148,12 @@ def run_batch(
         if table == "machines":
             enforce(incoming, staging_rules(table), on_violation)
             known = warehouse.machines(spark)
-            counted = Observation()
-            observed = incoming.observe(counted, F.count(F.lit(1)).alias("n"))
-            fresh = insert_if_absent(known, observed, schemas.STAGING_KEYS[table])
-            whole = fresh if known is None else upsert(known, observed, schemas.STAGING_KEYS[table], "nothing")
+            keys = schemas.STAGING_KEYS[table]
+            whole = insert_if_absent(None, incoming, keys) if known is None else upsert(known, incoming, keys, "nothing")
             _write(whole, warehouse.path("staging_machines", run_id), by_day=False)
             machines = spark.read.schema(schemas.STAGING["machines"]).parquet(warehouse.path("staging_machines", run_id))
             before = 0 if known is None else known.count()
-            counts[table] = {"attempted": counted.get["n"], "inserted": machines.count() - before}
+            counts[table] = {"attempted": incoming.count(), "inserted": machines.count() - before}
         else:
             counts[table] = _load_events(spark, warehouse, run_id, incoming, table, machines, on_violation)
             added[table] = _added(spark, warehouse, run_id, table)
@@ -173,19 +171,16 @@ def run_batch(
         _write(build(warehouse.dimension(spark, name)), warehouse.path(name, run_id), by_day=False)
         dims[name] = spark.read.schema(SNAPSHOTS[name]).parquet(warehouse.path(name, run_id))
     known = warehouse.events(spark)
-    span = _days_touched(events)
+    span = _extent(events)[1]
     if span is not None:
         known = known.filter(span)
-    written = Observation()
     fact = datamart.build_event_fact(events, dims["dim_machine"], types, dims["dim_code_evenement"], known)
-    _write(
-        fact.observe(written, F.count(F.lit(1)).alias("n")), warehouse.path("fait_evenement", run_id), by_day=True
-    )
-    counts["fait_evenement"] = {"inserted": written.get["n"]}
-
-    # Machine x day.
+    _write(fact, warehouse.path("fait_evenement", run_id), by_day=True)
     fact_schema = StructType([f for f in schemas.FACT_EVENT.fields if f.name != "id_date"]).add("id_date", IntegerType())
     this_run = spark.read.schema(fact_schema).parquet(warehouse.path("fait_evenement", run_id))
+    counts["fait_evenement"] = {"inserted": this_run.count()}
+
+    # Machine x day.
     all_events = warehouse.events(spark).unionByName(this_run)
     day = consolidation.consolidate(
         dims["dim_machine"],
@@ -193,12 +188,10 @@ def run_batch(
         consolidation.daily_events(all_events, dims["dim_machine"], types, run_date),
         run_date,
     )
-    written = Observation()
     id_date = consolidation.id_date_value(run_date)
     # The grid is complete for its day, so replacing the day's partition is the upsert.
-    day.drop("id_date").observe(written, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-        f"{warehouse.root}/fait_telemetrie_jour/id_date={id_date}"
-    )
-    counts["fait_telemetrie_jour"] = {"inserted": written.get["n"]}
+    folder = f"{warehouse.root}/fait_telemetrie_jour/id_date={id_date}"
+    day.drop("id_date").write.mode("overwrite").parquet(folder)
+    counts["fait_telemetrie_jour"] = {"inserted": spark.read.parquet(folder).count()}
     warehouse.publish(spark, run_id)
     return counts

@@ -1,6 +1,8 @@
 """Sensor messages: JSON text to typed rows with a reject reason, and back."""
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +14,17 @@ ISO_TIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d{1,6})?)?(Z|[+-]\d{2
 OFFSET = r"\d{2}:\d{2}.*(Z|[+-]\d{2}:\d{2})$"
 # Spellings the JVM reads as numbers and JSON producers do not mean: 1.0d, 2f, 0x1p3.
 JVM_ONLY_NUMBER = r"[0-9.][dDfF]\s*$|[xX]"
+# Bare constants come back from the JSON reader with quotes around them.
+QUOTED_CONSTANT = r'^"(NaN|-?Infinity|[+-]INF)"$'
 
 _TEXT_FIELDS = "array<struct<" + ",".join(f"{f}:string" for f in MESSAGE_FIELDS) + ">>"
 
 
 def _number(text: Column) -> Column:
-    return F.when(~text.rlike(JVM_ONLY_NUMBER), text.try_cast("double"))
+    # Nearly every text ends in a digit and holds no exponent marker of a hex float.
+    plain = F.right(text, F.lit(1)).between("0", "9") & ~F.contains(text, F.lit("p")) & ~F.contains(text, F.lit("P"))
+    constant = F.regexp_replace(text, QUOTED_CONSTANT, "$1")
+    return F.when(plain, text.try_cast("double")).when(~text.rlike(JVM_ONLY_NUMBER), constant.try_cast("double"))
 
 
 def _utc_time(text: Column) -> Column:
@@ -38,38 +45,37 @@ def parse_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     # Inside an array, trailing text or a second object is an error instead of being ignored.
     wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), _TEXT_FIELDS)
     one_object = F.is_valid_utf8(F.col(value_col)) & (F.size("__parsed") == 1)
-    # Bare NaN and Infinity come back with quotes around them.
-    fields = {f: F.regexp_replace(F.col("__object")[f], r'^"(NaN|-?Infinity|\+?INF|-INF)"$', "$1") for f in MEASURES}
-
     staged = (
         df.withColumn("__parsed", wrapped)
         .withColumn("__object", F.when(one_object, F.try_element_at("__parsed", F.lit(1))))
         .drop("__parsed")
     )
-    texts = [F.col("__object")[f] for f in MESSAGE_FIELDS]
-    present = F.lit(True)
-    for t in texts:
-        present = present & t.isNotNull()
-    id_number = _number(F.col("__object")["machine_id"])
+    texts = {f: F.col("__object")[f] for f in MESSAGE_FIELDS}
     low, high = MACHINE_ID_RANGE
     typed = staged.withColumns(
         {
-            "__present": present,
-            "machine_id": F.when((id_number == F.floor(id_number)) & id_number.between(low, high), id_number).cast("int"),
-            "datetime_mes": _utc_time(F.col("__object")["datetime_mes"]),
-            **{f: _number(fields[f]) for f in MEASURES},
+            "__id": _number(texts["machine_id"]),
+            "__time": _utc_time(texts["datetime_mes"]),
+            **{f"__{f}": _number(texts[f]) for f in MEASURES},
         }
     )
-    typed_ok = F.col("machine_id").isNotNull()
-    for f in MEASURES:
-        typed_ok = typed_ok & F.col(f).isNotNull()
+    whole = (F.col("__id") == F.floor("__id")) & F.col("__id").between(low, high)
+    missing = reduce(or_, [t.isNull() for t in texts.values()])
+    mistyped = reduce(or_, [F.col(f"__{f}").isNull() for f in MEASURES], ~F.coalesce(whole, F.lit(False)))
     reason = (
         F.when(F.col("__object").isNull(), "json_invalide")
-        .when(~F.col("__present"), "champ_manquant")
-        .when(~typed_ok, "type_invalide")
-        .when(F.col("datetime_mes").isNull(), "horodatage_invalide")
+        .when(missing, "champ_manquant")
+        .when(mistyped, "type_invalide")
+        .when(F.col("__time").isNull(), "horodatage_invalide")
+    )
+    row = F.struct(
+        F.when(whole, F.col("__id")).cast("int").alias("machine_id"),
+        F.col("__time").alias("datetime_mes"),
+        *[F.col(f"__{f}").alias(f) for f in MEASURES],
+        reason.alias("malformed_reason"),
     )
-    return typed.withColumn("malformed_reason", reason).drop("__object", "__present")
+    # Filters on the result stay above a generator; pushed below, they would parse every message again.
+    return typed.select(*df.columns, F.inline(F.array(row)))
 
 
 def to_messages(df: DataFrame) -> DataFrame:
