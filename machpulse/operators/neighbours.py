@@ -17,11 +17,11 @@ def _shifted(df: DataFrame, keys: list[str], order: str, wanted: dict[str, str],
     staged = df.withColumns(
         {
             "__has": step(order).over(in_day).isNotNull(),
-            "__edge": step(order).over(in_day).isNull() | back(order).over(in_day).isNull(),
+            "__edge": back(order).over(in_day).isNull(),
             **{f"__in_{new}": step(src).over(in_day) for new, src in wanted.items()},
         }
     )
-    group = F.when(~F.col("__edge"), F.col(order))
+    group = F.when(F.col("__has") & ~F.col("__edge"), F.col(order))
     edges = Window.partitionBy(*keys, group).orderBy(order)
     return staged.withColumns(
         {

@@ -1,0 +1,37 @@
+"""Small frames for hand-computed cases."""
+
+import json
+from datetime import datetime
+
+from machpulse import schemas
+
+READING = {"volt": 170.0, "rotate": 400.0, "pressure": 100.0, "vibration": 40.0}
+
+
+def at(text):
+    return datetime.fromisoformat(text)
+
+
+def telemetry(spark, rows):
+    """Rows of (machine_id, time, pressure, vibration)."""
+    full = [
+        (m, at(t), READING["volt"], READING["rotate"], float(p), float(v), at(t)) for m, t, p, v in rows
+    ]
+    return spark.createDataFrame(full, schemas.TELEMETRY)
+
+
+def readings(spark, *changes):
+    """One plausible reading per dict, changed by it; machine ids count from 1."""
+    rows = []
+    for i, change in enumerate(changes, 1):
+        r = {**READING, **change}
+        rows.append((i, at("2026-01-15T06:00:00"), *[float(r[c]) for c in READING], at("2026-01-15T06:00:01")))
+    return spark.createDataFrame(rows, schemas.TELEMETRY)
+
+
+def message(machine_id=1, time="2026-01-15T06:00:00", **change):
+    return json.dumps({"machine_id": machine_id, "datetime_mes": time, **READING, **change})
+
+
+def rows_of(df, *columns):
+    return sorted(tuple(r) for r in df.select(*(columns or df.columns)).collect())

@@ -1,0 +1,86 @@
+import pytest
+from pyspark.sql import functions as F
+
+from machpulse.functions.time_columns import timestamp
+from machpulse.operators import quality
+from tests.helpers import at, readings, rows_of, telemetry
+
+
+def motifs(spark, *changes, **options):
+    flagged = quality.flag_out_of_range(readings(spark, *changes), **options)
+    return [r["motif"] for r in flagged.orderBy("machine_id").collect()]
+
+
+def test_each_measure_has_its_reason(spark):
+    assert motifs(spark, {}, {"volt": 999.0}, {"pressure": -10.0}, {"rotate": 99.9}, {"vibration": 90.1}) == [
+        None,
+        "volt_hors_plage",
+        "pressure_hors_plage",
+        "rotate_hors_plage",
+        "vibration_hors_plage",
+    ]
+
+
+def test_bounds_and_observed_extremes_are_valid(spark):
+    lows = {"volt": 50.0, "rotate": 100.0, "pressure": 30.0, "vibration": 5.0}
+    highs = {"volt": 300.0, "rotate": 750.0, "pressure": 200.0, "vibration": 90.0}
+    minima = {"volt": 97.33, "rotate": 138.43, "pressure": 51.24, "vibration": 14.88}
+    maxima = {"volt": 255.12, "rotate": 695.02, "pressure": 185.95, "vibration": 76.79}
+    assert motifs(spark, lows, highs, minima, maxima) == [None] * 4
+
+
+def test_first_bad_measure_wins(spark):
+    assert motifs(spark, {"vibration": 0.0, "rotate": 0.0}, {"pressure": 0.0, "vibration": 0.0}) == [
+        "rotate_hors_plage",
+        "pressure_hors_plage",
+    ]
+
+
+def test_nan_policy(spark):
+    nan, inf = float("nan"), float("inf")
+    assert motifs(spark, {"volt": nan}, {"volt": inf}) == [None, "volt_hors_plage"]
+    assert motifs(spark, {"volt": nan}, nan_policy="quarantine") == ["volt_hors_plage"]
+    with pytest.raises(ValueError):
+        motifs(spark, {}, nan_policy="drop")
+
+
+def test_split_has_no_overlap_and_loses_nothing(spark):
+    df = readings(spark, {}, {"volt": 999.0}, {"pressure": 1.0}, {})
+    valid, rejected = quality.split_valid(quality.flag_out_of_range(df))
+    assert valid.columns == df.columns
+    assert rows_of(valid, "machine_id") == [(1,), (4,)]
+    assert rows_of(rejected, "machine_id", "motif") == [(2, "volt_hors_plage"), (3, "pressure_hors_plage")]
+
+
+def test_profile(spark):
+    profile = {r["champ"]: r for r in quality.profile_ranges(readings(spark, {"volt": 40.0}, {"volt": 310.0}, {})).collect()}
+    assert (profile["volt"]["below"], profile["volt"]["above"]) == (1, 1)
+    assert (profile["volt"]["min"], profile["volt"]["max"]) == (40.0, 310.0)
+    assert (profile["volt"]["margin_low"], profile["volt"]["margin_high"]) == (-10.0, -10.0)
+    assert (profile["pressure"]["below"], profile["pressure"]["above"]) == (0, 0)
+
+
+def test_silent_sensors(spark):
+    known = spark.createDataFrame([(1,), (2,), (3,), (4,)], "machine_id int")
+    seen = telemetry(
+        spark,
+        [
+            (1, "2026-01-15T11:59:00", 100, 40),
+            (2, "2026-01-15T11:50:00", 100, 40),
+            (2, "2026-01-15T11:40:00", 100, 40),
+            (4, "2026-01-15T11:55:00", 100, 40),
+            (9, "2026-01-15T10:00:00", 100, 40),
+        ],
+    )
+    silent = quality.silent_sensors(known, seen, timestamp("2026-01-15 12:00:00"))
+    got = silent.orderBy("machine_id").collect()
+    assert [tuple(r) for r in got] == [(2, at("2026-01-15T11:50:00")), (3, None)]
+
+
+def test_nothing_silent_and_no_telemetry(spark):
+    known = spark.createDataFrame([(1,)], "machine_id int")
+    as_of = timestamp("2026-01-15 12:00:00")
+    fresh = telemetry(spark, [(1, "2026-01-15T11:59:59", 100, 40)])
+    assert quality.silent_sensors(known, fresh, as_of).count() == 0
+    assert rows_of(quality.silent_sensors(known, fresh.filter(F.lit(False)), as_of), "machine_id") == [(1,)]
+    assert quality.silent_sensors(known, fresh, as_of, "0 seconds").count() == 1
