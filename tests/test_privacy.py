@@ -1,0 +1,55 @@
+import hashlib
+import hmac
+
+import pytest
+
+from machpulse.functions.keyed_hash import key_table
+from machpulse.operators import privacy
+from tests.helpers import rows_of
+
+KEY = b"cle-secrete-test-a"
+
+
+def people(spark, *rows):
+    return spark.createDataFrame(list(rows), "matricule string, nom string, equipe string")
+
+
+@pytest.mark.parametrize("key", [KEY, b"", b"k" * 64, b"k" * 65, bytes(range(200))])
+def test_equals_the_standard_hmac(spark, key):
+    df = people(spark, ("OP-042", "Jean Dupont", "A"), ("é", "名前", "B"))
+    got = rows_of(privacy.pseudonymise_operators(df, key_table(spark, key)))
+    assert got == sorted(
+        ((e,) + tuple(hmac.new(key, v.encode(), hashlib.sha256).hexdigest() for v in (m, n)))
+        for m, n, e in [("OP-042", "Jean Dupont", "A"), ("é", "名前", "B")]
+    )
+
+
+def test_same_key_same_pseudonym_other_key_other_pseudonym(spark):
+    df = people(spark, ("OP-042", "x", "A"), ("OP-042", "y", "B"))
+    first = privacy.pseudonymise_operators(df, key_table(spark, KEY))
+    other = privacy.pseudonymise_operators(df, key_table(spark, b"cle-secrete-test-b"))
+    assert first.columns == ["equipe", "matricule_pseudonymise", "nom_pseudonymise"]
+    (one,) = first.select("matricule_pseudonymise").distinct().collect()
+    (two,) = other.select("matricule_pseudonymise").distinct().collect()
+    assert one != two and len(one[0]) == 64
+    assert first.join(first.drop("equipe"), "matricule_pseudonymise").count() == 4
+
+
+def test_empty_identifiers(spark):
+    key = key_table(spark, KEY)
+    for bad in ("", None):
+        with pytest.raises(Exception, match="matricule must not be empty"):
+            privacy.pseudonymise_operators(people(spark, (bad, "x", "A")), key).collect()
+    df = people(spark, ("", "x", "A"), ("a", None, "B"), ("a", "b", "C"))
+    made = privacy.pseudonymise_operators(df, key, on_empty="reject").orderBy("equipe").collect()
+    assert [r["rejet_motif"] for r in made] == ["matricule_vide", "nom_vide", None]
+    assert made[0]["matricule_pseudonymise"] is None and made[0]["nom_pseudonymise"] is not None
+
+
+def test_key_stays_out_of_the_plan(spark):
+    df = privacy.pseudonymise_operators(people(spark, ("a", "b", "C")), key_table(spark, KEY))
+    df.collect()
+    text = df._jdf.queryExecution().toString() + df._jdf.queryExecution().executedPlan().toString()
+    pad = bytes(b ^ 0x36 for b in KEY)
+    for secret in (KEY.decode(), KEY.hex(), pad.hex(), pad.decode("latin-1")):
+        assert secret not in text and secret.upper() not in text
