@@ -120,12 +120,14 @@ def watermarked_windows(stream: DataFrame, delay: str, window: str = WINDOW) ->
 
     Another contract than the stored partials: readings later than ``delay`` are dropped.
     """
+    # Watermarks only take timestamps with a zone; the column is back to its own type in the result.
+    timed = stream.withColumn("datetime_mes", F.col("datetime_mes").cast("timestamp"))
     return (
-        stream.withWatermark("datetime_mes", delay)
+        timed.withWatermark("datetime_mes", delay)
         .groupBy("machine_id", F.window("datetime_mes", window).alias("w"))
         .agg(
             F.sqrt(F.avg(F.col("vibration") * F.col("vibration"))).alias("rms_vibration"),
             F.avg("pressure").alias("pression_moyenne"),
         )
-        .select("machine_id", F.col("w.start").alias("fenetre"), "rms_vibration", "pression_moyenne")
+        .select("machine_id", F.col("w.start").cast("timestamp_ntz").alias("fenetre"), "rms_vibration", "pression_moyenne")
     )

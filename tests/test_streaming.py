@@ -1,0 +1,224 @@
+import math
+from datetime import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from machpulse import schemas
+from machpulse.operators import telemetry as t
+from machpulse.sources import storage, streams
+from machpulse.sources.messages import parse_messages
+from machpulse.sources.telemetry_store import TelemetryStore
+from machpulse.functions.time_columns import timestamp
+from machpulse.streaming import ingest
+from tests.helpers import at, message, rows_of
+
+STAMP = datetime(2026, 1, 15, 12)
+
+
+def clock():
+    return STAMP
+
+
+@pytest.fixture
+def store(tmp_path):
+    return TelemetryStore(str(tmp_path / "store"))
+
+
+def batch(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+def process(spark, store, batch_id, *values):
+    return ingest.process_batch(batch(spark, *values), batch_id, store, clock)
+
+
+def test_each_message_goes_to_one_place(spark, store):
+    counts = process(spark, store, 0, message(), message(machine_id=2, volt=999.0), "{bad", message(time="hier"))
+    assert counts == {"valides": 1, "quarantaine": 1, "malformes": 2}
+    assert rows_of(store.read(spark, "telemetrie"), "machine_id", "horodatage_ingestion", "mois") == [(1, STAMP, 202601)]
+    assert rows_of(store.read(spark, "quarantaine"), "machine_id", "motif", "horodatage_quarantaine") == [
+        (2, "volt_hors_plage", STAMP)
+    ]
+    assert rows_of(store.read(spark, "rejets"), "malformed_reason") == [("horodatage_invalide",), ("json_invalide",)]
+    (lake,) = store.read(spark, "lac").collect()
+    assert lake["ingest_date"] == STAMP.date() and lake["datetime_mes"] == at("2026-01-15T06:00:00")
+    assert rows_of(store.read(spark, "lots"), "valides", "quarantaine", "malformes", "batch_id") == [(1, 1, 2, 0)]
+
+
+def test_quarantined_batch_leaves_no_lake_file(spark, store):
+    process(spark, store, 0, message(volt=999.0))
+    assert not storage.exists(spark, store.folder("lac"))
+    assert not storage.exists(spark, store.folder("telemetrie"))
+    assert store.read(spark, "lac").count() == 0
+    assert store.read(spark, "quarantaine").count() == 1
+
+
+def test_empty_batch_writes_nothing(spark, store):
+    assert ingest.process_batch(batch(spark, "x").filter(F.lit(False)), 0, store, clock)["valides"] == 0
+    assert not storage.exists(spark, store.root)
+
+
+def test_replayed_batch_replaces_itself(spark, store):
+    values = [message(), message(pressure=120.0), message(volt=999.0), "x"]
+    process(spark, store, 0, *values)
+    tables = ("telemetrie", "lac", "quarantaine", "rejets", "etats", "lots")
+    before = {name: rows_of(store.read(spark, name)) for name in tables}
+    process(spark, store, 0, *values)
+    assert {name: rows_of(store.read(spark, name)) for name in tables} == before
+    process(spark, store, 1, *values)
+    assert store.read(spark, "telemetrie").count() == 4
+
+
+def test_raw_times_are_whole_seconds_and_late_months_are_kept(spark, store):
+    process(spark, store, 0, message(time="2026-01-15T06:00:00.75"))
+    process(spark, store, 1, message(time="2024-12-31T23:59:59"))
+    assert rows_of(store.read(spark, "telemetrie"), "datetime_mes", "mois") == [
+        (at("2024-12-31T23:59:59"), 202412),
+        (at("2026-01-15T06:00:00"), 202601),
+    ]
+    period = store.period(spark, timestamp("2024-12-01 00:00:00"), timestamp("2025-01-01 00:00:00"))
+    assert period.count() == 1
+    plan = period._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(mois#" in plan and "202412" in plan
+
+
+def deliver(path, name, *values):
+    path.mkdir(exist_ok=True)
+    (path / name).write_text("\n".join(values) + "\n")
+
+
+def drain(spark, incoming, store, tmp_path):
+    source = streams.text_stream(spark, str(incoming), max_files=1)
+    ingest.run_stream(source, store, str(tmp_path / "checkpoint"), available_now=True, clock=clock).awaitTermination()
+
+
+def test_stream_refines_windows_with_late_data(spark, store, tmp_path):
+    incoming = tmp_path / "incoming"
+    deliver(incoming, "a", message(time="2030-02-02T09:00:05", vibration=20.0), message(time="2030-02-05T09:00:05"))
+    drain(spark, incoming, store, tmp_path)
+    assert rows_of(t.merge_windows(store.read_state(spark)), "rms_vibration") == [(20.0,), (40.0,)]
+    # Days later a reading of the first minute arrives.
+    deliver(incoming, "b", message(time="2030-02-02T09:00:40", vibration=40.0))
+    drain(spark, incoming, store, tmp_path)
+    first, _ = t.merge_windows(store.read_state(spark)).orderBy("fenetre").collect()
+    assert math.isclose(first["rms_vibration"], math.sqrt(1000.0))
+    assert rows_of(store.read(spark, "lots"), "batch_id", "valides") == [(0, 2), (1, 1)]
+
+
+def test_failed_batch_is_retried_from_the_checkpoint(spark, store, tmp_path, monkeypatch):
+    incoming = tmp_path / "incoming"
+    deliver(incoming, "a", message(), message(volt=999.0))
+    failures = iter([True, False])
+
+    class Flaky(TelemetryStore):
+        def write_batch(self, table, batch_id, rows):
+            if table == "telemetrie" and next(failures):
+                raise OSError("storage is away")
+            super().write_batch(table, batch_id, rows)
+
+    flaky = Flaky(store.root)
+
+    def start():
+        source = streams.text_stream(spark, str(incoming))
+        return ingest.run_stream(source, flaky, str(tmp_path / "checkpoint"), available_now=True, clock=clock)
+
+    assert ingest.keep_running(start, restarts=2, wait_seconds=0) == 1
+    for name in ("telemetrie", "lac", "quarantaine"):
+        assert store.read(spark, name).count() == 1
+
+
+def test_restarts_are_limited(spark, store, tmp_path):
+    incoming = tmp_path / "incoming"
+    deliver(incoming, "a", message())
+
+    class Broken(TelemetryStore):
+        def write_batch(self, table, batch_id, rows):
+            raise OSError("storage is away")
+
+    def start():
+        source = streams.text_stream(spark, str(incoming))
+        return ingest.run_stream(source, Broken(store.root), str(tmp_path / "checkpoint"), available_now=True)
+
+    with pytest.raises(StreamingQueryException):
+        ingest.keep_running(start, restarts=1, wait_seconds=0)
+
+
+def test_compaction_keeps_the_windows(spark, store):
+    for n, minute in enumerate(["09:00", "09:01", "09:00", "09:02", "09:00"]):
+        process(spark, store, n, message(time=f"2030-02-02T{minute}:05", vibration=20.0 + n))
+
+    def windows():
+        merged = t.merge_windows(store.read_state(spark))
+        return [(m, w, round(rms, 9), p) for m, w, rms, p in rows_of(merged)]
+
+    whole = windows()
+    assert store.compact(spark, 1)
+    assert not store.compact(spark, 1)
+    assert store.compact(spark, 3)
+    assert windows() == whole
+    assert store.drop_folded_batches(spark) == 4
+    assert storage.numbered(spark, store.folder("etats"), "batch_id=") == [4]
+    assert windows() == whole
+    process(spark, store, 5, message(time="2030-02-02T09:05:05"))
+    assert t.merge_windows(store.read_state(spark)).count() == len(whole) + 1
+
+
+def test_unfinished_segment_is_ignored(spark, store):
+    for n in range(3):
+        process(spark, store, n, message(time=f"2030-02-02T09:0{n}:05"))
+    store.compact(spark, 1)
+    storage.remove(spark, f"{store.folder('etats_compacts')}/upto=1/_SUCCESS")
+    assert t.merge_windows(store.read_state(spark)).count() == 3
+    assert store.read_state(spark).agg(F.sum("n")).first()[0] == 3
+
+
+def test_watermark_variant_drops_late_rows(spark, tmp_path):
+    incoming = tmp_path / "incoming"
+    deliver(incoming, "a", message(time="2030-02-02T09:00:05", vibration=20.0))
+    deliver(incoming, "b", message(time="2030-02-02T10:00:05", vibration=30.0))
+    seen = {}
+
+    def keep(df, batch_id):
+        for r in df.collect():
+            seen[r["fenetre"]] = r["rms_vibration"]
+
+    def run():
+        rows = parse_messages(streams.text_stream(spark, str(incoming), 1)).drop("value", "malformed_reason")
+        windows = ingest.watermarked_windows(rows, "10 minutes")
+        query = windows.writeStream.outputMode("update").foreachBatch(keep)
+        query.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    assert seen == {at("2030-02-02T09:00:00"): 20.0, at("2030-02-02T10:00:00"): 30.0}
+    deliver(incoming, "c", message(time="2030-02-02T09:00:40", vibration=40.0), message(time="2030-02-02T09:55:40", vibration=50.0))
+    run()
+    assert seen[at("2030-02-02T09:00:00")] == 20.0
+    assert seen[at("2030-02-02T09:55:00")] == 50.0
+
+
+kinds = st.lists(
+    st.sampled_from([message(), message(volt=0.0), message(vibration=91.0), "{", message(time="x"), message(machine_id="x"), "5"]),
+    min_size=1,
+    max_size=20,
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(kinds)
+def test_statuses_partition_the_input(spark, values):
+    classified = ingest.classify(batch(spark, *values))
+    by_status = {r["statut"]: r["n"] for r in classified.groupBy("statut").agg(F.count("*").alias("n")).collect()}
+    assert sum(by_status.values()) == len(values)
+    bad_text = sum(v in ("{", "5", message(time="x"), message(machine_id="x")) for v in values)
+    assert by_status.get("malforme", 0) == bad_text
+    assert by_status.get("valide", 0) == values.count(message())
+
+
+def test_machines_outside_the_id_range_cannot_block_a_batch(spark, store):
+    assert process(spark, store, 0, message(machine_id=70000), message())["valides"] == 1
+    assert store.read(spark, "etats").select("n").first()[0] == 1
+    assert schemas.STATE.fieldNames() == t.partial_windows(store.read(spark, "telemetrie")).columns
