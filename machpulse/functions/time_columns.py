@@ -8,17 +8,17 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def floor_second(c: str | Column) -> Column:
-    """Drop the fraction of a second."""
-    c = _col(c)
-    return c - F.make_dt_interval(secs=F.extract(F.lit("SECOND"), c) % 1)
-
-
 def window_start(c: str | Column, width: str) -> Column:
     """Start of the tumbling window. Rows whose time is NULL belong to no window and drop out."""
     return F.window(_col(c), width).getField("start")
 
 
+def floor_second(c: str | Column) -> Column:
+    """Drop the fraction of a second. A one-second window is plain integer arithmetic, unlike
+    truncation, which goes through the session zone, or the SECOND field, which is a decimal."""
+    return window_start(c, "1 second")
+
+
 def id_date_of(c: str | Column) -> Column:
     """Calendar key YYYYMMDD as an integer."""
     c = _col(c)

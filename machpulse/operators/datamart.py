@@ -15,12 +15,13 @@ from machpulse.functions.fixed_values import (
     WEEKDAYS,
 )
 from machpulse.functions.time_columns import id_date_of, iso_weekday
-from machpulse.operators.writes import first_per_key, hash_key, insert_if_absent, number_new_keys, upsert
+from machpulse.operators.writes import absent, hash_key, number_new_keys, upsert
 
 
 def event_types(spark: SparkSession) -> DataFrame:
     """The three event types. Literal rows, so broadcasting them is always safe."""
-    return spark.createDataFrame(list(EVENT_TYPES), schemas.DIM_TYPE)
+    rows = ", ".join(f"({number}, '{code}', '{label}')" for number, code, label in EVENT_TYPES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(schemas.DIM_TYPE.fieldNames())})")
 
 
 def age_band(age: Column) -> Column:
@@ -120,9 +121,10 @@ def build_event_fact(
 ) -> DataFrame:
     """Fact rows to append. ``events`` is the output of :func:`fuse_events`.
 
-    Only the three-row type table is broadcast by hint. The other dimensions grow with the data and
-    are left to adaptive execution, which measures them at run time, broadcasts the small ones and
-    splits the partitions of a hot machine in the sort-merge join of the large ones.
+    Only the three-row type table is broadcast by hint. The other dimensions grow with the data: pass
+    them as stored tables, so that the planner broadcasts them by their measured size. Above the
+    broadcast threshold the join shuffles, and adaptive execution splits the partitions of a hot
+    machine or code.
     """
     machines = dim_machine.select(F.col("machine_id_nat").alias("machine_id"), "id_machine")
     codes = dim_code.select("id_type_evenement", "code_brut", "id_code")
@@ -138,7 +140,8 @@ def build_event_fact(
         )
     )
     if existing is not None:
-        rows = insert_if_absent(existing, rows, schemas.FACT_EVENT_KEY)
+        # One row per natural key already: the dimensions map natural keys one to one.
+        rows = absent(existing, rows, schemas.FACT_EVENT_KEY)
     return rows.withColumn("id_evenement", hash_key(schemas.FACT_EVENT_KEY)).select(*schemas.FACT_EVENT.fieldNames())
 
 
@@ -157,7 +160,3 @@ def star_rows(fact: DataFrame, dim_machine: DataFrame, types: DataFrame, dim_cod
         .select("machine_id_nat", "code_type", "code_brut", "datetime_evt", "id_date", "id_operateur", "source_fichier")
     )
 
-
-def first_machines(machines: DataFrame) -> DataFrame:
-    """First-write-wins staging view of the machine list, ordered by its own columns."""
-    return first_per_key(machines, ["machine_id"])

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from machpulse.functions.fixed_values import ALERT_HOLD, ALERT_RULES, ALERT_STEP, RED_FROM
-from machpulse.functions.time_columns import floor_second, interval, seconds_between
+from machpulse.functions.time_columns import interval, seconds_between
 from machpulse.operators.neighbours import next_row
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
@@ -25,9 +25,7 @@ def health(
     """
     day_ago, hour_ago = as_of - interval("1 day"), as_of - interval("1 hour")
     shape = "kind", "mesure", "arrivee"
-    parts = telemetry.select(
-        F.lit("valide"), floor_second("datetime_mes"), floor_second("horodatage_ingestion")
-    ).toDF(*shape)
+    parts = telemetry.select(F.lit("valide"), "datetime_mes", "horodatage_ingestion").toDF(*shape)
     none = F.lit(None).cast("timestamp_ntz")
     parts = parts.unionByName(quarantine.select(F.lit("quarantaine"), none, F.col("horodatage_quarantaine")).toDF(*shape))
     if dead_letter is not None:

@@ -19,14 +19,17 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str] | None = None
     return df.groupBy(*keys).agg(smallest).select(*[F.col(c) if c in keys else F.col(f"__first.{c}") for c in df.columns])
 
 
+def absent(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``new`` whose key is not yet in ``existing``."""
+    return new.join(existing.select(*keys), keys, "left_anti")
+
+
 def insert_if_absent(
     existing: DataFrame | None, new: DataFrame, keys: list[str], order: list[str] | None = None
 ) -> DataFrame:
     """Rows of ``new`` to append: first per key, keys not yet in ``existing``."""
     candidates = first_per_key(new, keys, order)
-    if existing is None:
-        return candidates
-    return candidates.join(existing.select(*keys), keys, "left_anti")
+    return candidates if existing is None else absent(existing, candidates, keys)
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str], mode: str = "update") -> DataFrame:

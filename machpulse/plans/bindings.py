@@ -7,32 +7,46 @@ from machpulse.functions.fixed_values import MESSAGE_FIELDS
 from machpulse.functions.time_columns import floor_second, timestamp
 from machpulse.operators import datamart
 from machpulse.operators.quality import flag_out_of_range, split_valid
+from machpulse.schemas import fields
+from machpulse.sources.storage import stored
 
 RUN_DATE = "2024-01-10"
 AS_OF = "2024-01-31 00:00:00"
 TOPIC_FILTER = "usine/capteurs/+/mesure"
 DEMO_KEY = b"cle-de-demonstration"
 
+INPUTS = {
+    "events": fields(
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    ),
+    "customer": fields("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"),
+    "orders": fields(
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+}
+
 _EVENT_TABLES = {"erreurs": ("error", "error", 5), "pannes": ("purchase", "comp", 4), "maintenances": ("signup", "comp", 4)}
 _CODE_COLUMNS = {"erreurs": "error_id", "pannes": "failure_comp", "maintenances": "comp"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(INPUTS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All readings, with ``event_id`` kept for tracing."""
-    measured_at = floor_second("ts")
-    return table(spark, sf_dir, "events").select(
+    timed = table(spark, sf_dir, "events").withColumn("datetime_mes", floor_second("ts"))
+    delay = F.expr("INTERVAL '1' SECOND") * (F.col("event_id") % 45)
+    return timed.select(
         "event_id",
         F.col("user_id").cast("int").alias("machine_id"),
-        measured_at.alias("datetime_mes"),
+        "datetime_mes",
         (F.lit(100.0) + F.col("value")).alias("volt"),
         (F.lit(418.5) + F.col("event_id") % 40 * 9).alias("rotate"),
         (F.lit(25.0) + F.col("value")).alias("pressure"),
         (F.lit(2.0) + F.col("value") / 2).alias("vibration"),
-        (measured_at + F.make_dt_interval(secs=(F.col("event_id") % 45).cast("decimal(18,6)"))).alias("horodatage_ingestion"),
+        (F.col("datetime_mes") + delay).alias("horodatage_ingestion"),
     )
 
 
@@ -95,14 +109,19 @@ def all_staging_events(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
 
 
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Dimensions and fact built from the whole staging tables."""
-    staged = all_staging_events(spark, sf_dir)
+    """Dimensions and fact built from the whole staging tables.
+
+    Fused events and dimensions are written tables, as in the daily run. The sources are scanned and
+    deduplicated once, and the planner sees the dimensions' real sizes: it broadcasts a small one
+    right away instead of shuffling the events first and finding out at run time.
+    """
     types = datamart.event_types(spark)
-    fused = datamart.fuse_events(**staged)
-    machines = datamart.build_dim_machine(staging_machines(spark, sf_dir))
-    codes = datamart.build_dim_code(fused, types)
+    fused = stored(datamart.fuse_events(**all_staging_events(spark, sf_dir)), "staging-events")
+    machines = stored(datamart.build_dim_machine(staging_machines(spark, sf_dir)), "dim-machine")
+    codes = stored(datamart.build_dim_code(fused, types), "dim-code")
     return {
         "types": types,
+        "events": fused,
         "machines": machines,
         "codes": codes,
         "fact": datamart.build_event_fact(fused, machines, types, codes),

@@ -315,8 +315,7 @@ def event_fact_increment(spark: SparkSession, sf: str) -> DataFrame:
     """Rows a rerun over the whole history would append to a fact that stops at the split day."""
     star = b.star(spark, sf)
     held = star["fact"].filter(F.col("id_date") < consolidation.id_date_value(SPLIT_DAY))
-    fused = datamart.fuse_events(**b.all_staging_events(spark, sf))
-    fresh = datamart.build_event_fact(fused, star["machines"], star["types"], star["codes"], held)
+    fresh = datamart.build_event_fact(star["events"], star["machines"], star["types"], star["codes"], held)
     return _star_rows(spark, sf, fresh, star)
 
 
@@ -526,8 +525,10 @@ def stream_batch_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def stream_raw_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw table as the stream wrote it."""
-    rows = runs.streamed(spark, sf).read(spark, "telemetrie")
+    """Raw table as the stream wrote it, its older batches folded into larger files."""
+    store = runs.streamed(spark, sf)
+    runs.fold(spark, store)
+    rows = store.read(spark, "telemetrie")
     return rounded(rows.select("machine_id", "datetime_mes", *MEASURES, "mois"), *MEASURES)
 
 

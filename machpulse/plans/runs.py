@@ -70,12 +70,12 @@ def _clock() -> datetime:
 
 
 def fold(spark: SparkSession, store: TelemetryStore) -> None:
-    """Fold all but the newest batch, in two segments, and drop what they cover."""
-    batches = storage.numbered(spark, store.folder("etats"), "batch_id=")
-    older = batches[:-1]
-    for last in sorted({len(older) // 2, len(older) - 1}) if older else []:
-        store.compact(spark, older[last])
-    store.drop_folded_batches(spark)
+    """Fold all but the newest batch of state and raw table, in two segments, and drop what they cover."""
+    for table in ("etats", "telemetrie"):
+        older = storage.numbered(spark, store.folder(table), "batch_id=")[:-1]
+        for last in sorted({len(older) // 2, len(older) - 1}) if older else []:
+            store.compact(spark, table, older[last])
+        store.drop_folded_batches(spark, table)
 
 
 def batch(spark: SparkSession, sf: str, times: int = 1) -> Warehouse:

@@ -9,6 +9,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # Plans are built from many small expressions; recording the call site of each costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -3,7 +3,7 @@
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _path(spark: SparkSession, path: str):
@@ -54,3 +54,11 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="machpulse-")
     return f"{root}/{name}-{uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to a fresh work folder and read back: lineage ends there, sizes are known."""
+    spark = df.sparkSession
+    folder = work_folder(spark, name)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

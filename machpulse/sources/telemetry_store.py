@@ -1,6 +1,7 @@
 """Parquet tables behind the stream: one folder per micro-batch, so a replayed batch replaces itself.
 
     <root>/<table>/batch_id=<n>/<time partition>/part-*.parquet
+    <root>/<table>_tasses/upto=<n>/<time partition>/part-*.parquet    batches folded into larger files
 
 The batch folder comes first: whatever partitions a replay touches, overwriting the folder removes
 everything the first attempt left. Inside, rows are partitioned by event month (by ingest date in the
@@ -11,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql.types import DateType, IntegerType, LongType, StructType
 
 from machpulse import schemas
 from machpulse.functions.fixed_values import MESSAGE_FIELDS
@@ -68,8 +69,12 @@ class TelemetryStore:
         return f"{self.root}/{table}"
 
     def write_batch(self, table: str, batch_id: int, rows: DataFrame) -> None:
-        """Replace the batch's folder. Rows are rebalanced on the partition column: small batches end
-        in one file per partition, large ones are split by size."""
+        """Replace the batch's folder."""
+        self._write(table, rows, f"{self.folder(table)}/batch_id={batch_id}")
+
+    def _write(self, table: str, rows: DataFrame, folder: str) -> None:
+        """Rows are rebalanced on the partition column: few rows end in one file per partition, many
+        are split by size."""
         partition = _TABLES[table][1]
         if partition:
             rows = rows.hint("rebalance", partition)
@@ -79,72 +84,72 @@ class TelemetryStore:
         writer = rows.write.mode("overwrite")
         if partition:
             writer = writer.partitionBy(partition)
-        writer.parquet(f"{self.folder(table)}/batch_id={batch_id}")
+        writer.parquet(folder)
 
     def _schema(self, table: str) -> StructType:
         schema, partition = _TABLES[table]
-        full = StructType(list(schema.fields)).add("batch_id", LongType())
-        if partition == "mois":
-            full.add("mois", IntegerType())
-        elif partition:
-            full.add(partition, "date")
+        full = StructType(list(schema.fields))
+        if partition:
+            full.add(partition, IntegerType() if partition == "mois" else DateType())
         return full
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
-        schema = self._schema(table)
+    def _folded(self, table: str) -> str:
+        return f"{self.folder(table)}_tasses"
+
+    def _segments(self, spark: SparkSession, table: str) -> list[int]:
+        return storage.numbered(spark, self._folded(table), "upto=")
+
+    def read_batches(self, spark: SparkSession, table: str) -> DataFrame:
+        """Rows still in batch folders, with their ``batch_id``."""
+        schema = self._schema(table).add("batch_id", LongType())
         if not storage.exists(spark, self.folder(table)):
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(self.folder(table))
 
-    def period(self, spark: SparkSession, start: Column, end: Column) -> DataFrame:
-        """Raw telemetry in [start, end), reading only its months."""
-        return fleet_period(self.read(spark, "telemetrie"), start, end)
-
-    # Aggregate state: per-batch partials, folded now and then into segments.
-
-    def _segments(self, spark: SparkSession) -> list[int]:
-        return storage.numbered(spark, self.folder("etats_compacts"), "upto=")
-
-    def read_state(self, spark: SparkSession) -> DataFrame:
-        """All partials: finished segments, and the batches above the last segment."""
-        batches = self.read(spark, "etats")
-        segments = self._segments(spark)
-        columns = [*schemas.STATE.fieldNames(), "mois"]
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        """All rows: finished segments, and the batches above the last segment."""
+        columns = self._schema(table).fieldNames()
+        batches = self.read_batches(spark, table)
+        segments = self._segments(spark, table)
         if not segments:
             return batches.select(*columns)
-        folder = self.folder("etats_compacts")
-        schema = StructType(list(schemas.STATE.fields)).add("mois", IntegerType()).add("upto", LongType())
+        folder = self._folded(table)
+        schema = self._schema(table).add("upto", LongType())
         folded = spark.read.schema(schema).option("basePath", folder).parquet(*[f"{folder}/upto={s}" for s in segments])
         newer = batches.filter(F.col("batch_id") > segments[-1])
         return folded.select(*columns).unionByName(newer.select(*columns))
 
-    def compact(self, spark: SparkSession, upto: int) -> bool:
-        """Fold the batches after the last segment, up to ``upto``, into a new segment.
+    def read_state(self, spark: SparkSession) -> DataFrame:
+        """All window partials."""
+        return self.read(spark, "etats")
+
+    def period(self, spark: SparkSession, start: Column, end: Column) -> DataFrame:
+        """Raw telemetry in [start, end), reading only its months."""
+        return fleet_period(self.read(spark, "telemetrie"), start, end)
+
+    def compact(self, spark: SparkSession, table: str, upto: int) -> bool:
+        """Fold the small files of the batches after the last segment, up to ``upto``, into a segment.
 
-        Costs only the new batches. ``upto`` must lie below the batch that could still be replayed.
-        Readers ignore the segment until it is complete and the folded batches afterwards.
+        Costs only the new batches; partials of the same window become one row. ``upto`` must lie
+        below the batch that could still be replayed. Readers ignore the segment until it is complete
+        and the folded batches afterwards.
         """
-        segments = self._segments(spark)
+        segments = self._segments(spark, table)
         after = segments[-1] if segments else -1
         if upto <= after:
             return False
-        fresh = self.read(spark, "etats").filter((F.col("batch_id") > after) & (F.col("batch_id") <= upto))
-        folded = compact_state(fresh).withColumn("mois", month_of("fenetre"))
-        (
-            folded.hint("rebalance", "mois")
-            .sortWithinPartitions("mois", "machine_id", "fenetre")
-            .write.mode("overwrite")
-            .partitionBy("mois")
-            .parquet(f"{self.folder('etats_compacts')}/upto={upto}")
-        )
+        fresh = self.read_batches(spark, table).filter(F.col("batch_id").between(after + 1, upto)).drop("batch_id")
+        if table == "etats":
+            fresh = compact_state(fresh).withColumn("mois", month_of("fenetre"))
+        self._write(table, fresh, f"{self._folded(table)}/upto={upto}")
         return True
 
-    def drop_folded_batches(self, spark: SparkSession) -> int:
+    def drop_folded_batches(self, spark: SparkSession, table: str) -> int:
         """Remove batch folders that a finished segment covers."""
-        segments = self._segments(spark)
+        segments = self._segments(spark, table)
         if not segments:
             return 0
-        folder = self.folder("etats")
+        folder = self.folder(table)
         folded = [b for b in storage.numbered(spark, folder, "batch_id=", complete=False) if b <= segments[-1]]
         for batch_id in folded:
             storage.remove(spark, f"{folder}/batch_id={batch_id}")

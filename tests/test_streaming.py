@@ -46,7 +46,7 @@ def test_each_message_goes_to_one_place(spark, store):
     assert rows_of(store.read(spark, "rejets"), "malformed_reason") == [("horodatage_invalide",), ("json_invalide",)]
     (lake,) = store.read(spark, "lac").collect()
     assert lake["ingest_date"] == STAMP.date() and lake["datetime_mes"] == at("2026-01-15T06:00:00")
-    assert rows_of(store.read(spark, "lots"), "valides", "quarantaine", "malformes", "batch_id") == [(1, 1, 2, 0)]
+    assert rows_of(store.read_batches(spark, "lots"), "valides", "quarantaine", "malformes", "batch_id") == [(1, 1, 2, 0)]
 
 
 def test_quarantined_batch_leaves_no_lake_file(spark, store):
@@ -106,7 +106,7 @@ def test_stream_refines_windows_with_late_data(spark, store, tmp_path):
     drain(spark, incoming, store, tmp_path)
     first, _ = t.merge_windows(store.read_state(spark)).orderBy("fenetre").collect()
     assert math.isclose(first["rms_vibration"], math.sqrt(1000.0))
-    assert rows_of(store.read(spark, "lots"), "batch_id", "valides") == [(0, 2), (1, 1)]
+    assert rows_of(store.read_batches(spark, "lots"), "batch_id", "valides") == [(0, 2), (1, 1)]
 
 
 def test_failed_batch_is_retried_from_the_checkpoint(spark, store, tmp_path, monkeypatch):
@@ -156,22 +156,32 @@ def test_compaction_keeps_the_windows(spark, store):
         return [(m, w, round(rms, 9), p) for m, w, rms, p in rows_of(merged)]
 
     whole = windows()
-    assert store.compact(spark, 1)
-    assert not store.compact(spark, 1)
-    assert store.compact(spark, 3)
+    assert store.compact(spark, "etats", 1)
+    assert not store.compact(spark, "etats", 1)
+    assert store.compact(spark, "etats", 3)
     assert windows() == whole
-    assert store.drop_folded_batches(spark) == 4
+    assert store.drop_folded_batches(spark, "etats") == 4
     assert storage.numbered(spark, store.folder("etats"), "batch_id=") == [4]
     assert windows() == whole
     process(spark, store, 5, message(time="2030-02-02T09:05:05"))
     assert t.merge_windows(store.read_state(spark)).count() == len(whole) + 1
 
 
+def test_raw_rows_survive_compaction(spark, store):
+    for n in range(4):
+        process(spark, store, n, message(machine_id=n), message(machine_id=n, time="2026-02-01T00:00:00"), message(volt=0.0))
+    before = {name: rows_of(store.read(spark, name)) for name in ("telemetrie", "quarantaine", "lac")}
+    for name in before:
+        assert store.compact(spark, name, 2)
+        assert store.drop_folded_batches(spark, name) == 3
+        assert rows_of(store.read(spark, name)) == before[name]
+
+
 def test_unfinished_segment_is_ignored(spark, store):
     for n in range(3):
         process(spark, store, n, message(time=f"2030-02-02T09:0{n}:05"))
-    store.compact(spark, 1)
-    storage.remove(spark, f"{store.folder('etats_compacts')}/upto=1/_SUCCESS")
+    store.compact(spark, "etats", 1)
+    storage.remove(spark, f"{store._folded('etats')}/upto=1/_SUCCESS")
     assert t.merge_windows(store.read_state(spark)).count() == 3
     assert store.read_state(spark).agg(F.sum("n")).first()[0] == 3
 
