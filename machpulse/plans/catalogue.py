@@ -157,6 +157,19 @@ def hourly_trend(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(telemetry.pressure_trend(windows), *TREND)
 
 
+@_query
+def trend_split_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Minute trend with every window group kept within one day."""
+    windows = telemetry.window_metrics(b.telemetry(spark, sf))
+    return rounded(telemetry.pressure_trend(windows, split_days=True), *TREND)
+
+
+@_query
+def trend_of_partials(spark: SparkSession, sf: str) -> DataFrame:
+    """The same trend from mergeable partials, one shuffle after they are built."""
+    return rounded(telemetry.trend_of_state(telemetry.partial_windows(b.telemetry(spark, sf))), *TREND)
+
+
 @_query
 def day_trend_with_carry(spark: SparkSession, sf: str) -> DataFrame:
     """One day's trend from stored partials, the previous window looked up in the past."""
@@ -494,7 +507,7 @@ def refused_identifiers(spark: SparkSession, sf: str) -> DataFrame:
 def stream_trend(spark: SparkSession, sf: str) -> DataFrame:
     """Messages streamed in several micro-batches; trend read over the stored partials."""
     store = runs.streamed(spark, sf)
-    return rounded(telemetry.pressure_trend(telemetry.merge_windows(store.read_state(spark))), *TREND)
+    return rounded(telemetry.trend_of_state(store.read_state(spark)), *TREND)
 
 
 @_query

@@ -263,6 +263,8 @@ def all_sql() -> dict[str, str]:
             round(sqrt(avg(vibration * vibration)), 6) AS rms_vibration, round(avg(pressure), 6) AS pression_moyenne
             FROM tele GROUP BY 1, 2""",
         "hourly_trend": f"WITH {_TELE}, {_windows('tele', 'hour')}, {_TREND} SELECT {_TREND_COLUMNS} FROM trend",
+        "trend_split_by_day": f"WITH {_ALL_TREND} SELECT {_TREND_COLUMNS} FROM trend",
+        "trend_of_partials": f"WITH {_ALL_TREND} SELECT {_TREND_COLUMNS} FROM trend",
         "day_trend_with_carry": f"WITH {_ALL_TREND} SELECT {_TREND_COLUMNS} FROM trend WHERE CAST(fenetre AS DATE) = DATE '{RUN_DATE}'",
         "machine_history": f"""WITH {_TELE} SELECT machine_id, datetime_mes, {_MEASURES} FROM tele
             WHERE machine_id = {HISTORY_MACHINE} ORDER BY datetime_mes""",

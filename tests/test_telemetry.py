@@ -46,23 +46,31 @@ def test_trend_reaches_over_gaps_and_days(spark):
             (2, "2030-01-05T00:00:30", 50, 40),
         ],
     )
-    trend = t.pressure_trend(t.window_metrics(raw))
+    trend = t.pressure_trend(t.window_metrics(raw), split_days=True)
     got = {(r["machine_id"], r["fenetre"].day): [] for r in trend.collect()}
     for r in trend.orderBy("fenetre").collect():
         got[(r["machine_id"], r["fenetre"].day)].append(r["tendance_pression"])
     assert got == {(1, 1): [0.0, 25.0], (1, 5): [-10.0, 5.0], (2, 5): [0.0]}
 
 
-def test_no_window_group_exceeds_one_day(spark):
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_days_keeps_groups_within_a_day(spark):
     raw = telemetry(spark, [(1, "2030-01-01T00:00:00", 1, 1)])
-    plan = t.pressure_trend(t.window_metrics(raw))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Window [") == 2
-    assert "windowspecdefinition(machine_id#" in plan
+    plan = plan_of(t.pressure_trend(t.window_metrics(raw), split_days=True))
+    groups = [line.rsplit("], [", 2)[1] for line in plan.splitlines() if "Window [" in line]
+    assert len(groups) == 2
     # Both windows partition by the machine and one more expression.
-    for line in plan.splitlines():
-        if "Window [" in line:
-            groups = line.rsplit("], [", 2)[1]
-            assert groups.startswith("machine_id#") and ", _w" in groups, line
+    assert all(g.startswith("machine_id#") and ", _w" in g for g in groups)
+
+
+def test_trend_of_state_shuffles_once(spark, tmp_path):
+    raw = telemetry(spark, [(1, "2030-01-01T00:00:00", 1, 1)])
+    t.partial_windows(raw).write.parquet(str(tmp_path / "state"))
+    plan = plan_of(t.trend_of_state(spark.read.parquet(str(tmp_path / "state"))))
+    assert plan.count("Exchange hashpartitioning(machine_id#") == 1 and plan.count("Exchange") == 1
 
 
 readings = st.lists(
@@ -107,12 +115,13 @@ def test_any_batch_split_merges_to_the_single_pass(spark, sample):
 @given(readings)
 def test_trend_equals_plain_lag(spark, sample):
     windows = t.window_metrics(telemetry(spark, as_rows(sample)))
-    got = {r[:2]: r[2] for r in rows_of(t.pressure_trend(windows), "machine_id", "fenetre", "tendance_pression")}
     previous, want = {}, {}
     for machine, window, pressure in rows_of(windows, "machine_id", "fenetre", "pression_moyenne"):
         want[machine, window] = pressure - previous.get(machine, pressure)
         previous[machine] = pressure
-    assert got == want
+    for split in (False, True):
+        trend = t.pressure_trend(windows, split)
+        assert {r[:2]: r[2] for r in rows_of(trend, "machine_id", "fenetre", "tendance_pression")} == want
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
