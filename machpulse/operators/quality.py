@@ -33,7 +33,7 @@ def split_valid(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return flagged.filter(F.col("motif").isNull()).drop("motif"), flagged.filter(F.col("motif").isNotNull())
 
 
-def profile_ranges(df: DataFrame, ranges=PLAUSIBLE_RANGES) -> DataFrame:
+def profile_bounds(df: DataFrame, ranges=PLAUSIBLE_RANGES) -> DataFrame:
     """One row per measure: observed extremes, readings outside, distance to the configured bounds."""
     wanted = []
     for name, (low, high) in ranges.items():

@@ -88,7 +88,7 @@ def valid_quarantine_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def range_profile(spark: SparkSession, sf: str) -> DataFrame:
-    profile = quality.profile_ranges(b.telemetry(spark, sf))
+    profile = quality.profile_bounds(b.telemetry(spark, sf))
     return rounded(profile, "min", "max", "margin_low", "margin_high")
 
 

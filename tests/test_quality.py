@@ -53,7 +53,7 @@ def test_split_has_no_overlap_and_loses_nothing(spark):
 
 
 def test_profile(spark):
-    profile = {r["champ"]: r for r in quality.profile_ranges(readings(spark, {"volt": 40.0}, {"volt": 310.0}, {})).collect()}
+    profile = {r["champ"]: r for r in quality.profile_bounds(readings(spark, {"volt": 40.0}, {"volt": 310.0}, {})).collect()}
     assert (profile["volt"]["below"], profile["volt"]["above"]) == (1, 1)
     assert (profile["volt"]["min"], profile["volt"]["max"]) == (40.0, 310.0)
     assert (profile["volt"]["margin_low"], profile["volt"]["margin_high"]) == (-10.0, -10.0)
