@@ -6,6 +6,7 @@ run added, dimensions are whole snapshots of their latest run.
 """
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from machpulse.operators import consolidation, datamart
 from machpulse.operators.constraints import Rules, enforce
 from machpulse.operators.telemetry import trend_of_day
 from machpulse.operators.writes import insert_if_absent, upsert
+from machpulse.plans.together import together
 from machpulse.sources import landing, storage
 
 SNAPSHOTS = {
@@ -107,8 +109,10 @@ def _write(df: DataFrame, path: str, by_day: bool) -> None:
 
 
 def _load_events(spark, warehouse, run_id, incoming, table, machines, on_violation) -> dict[str, int]:
-    """Append what is new; the whole file goes in as one write or not at all."""
-    enforce(incoming, staging_rules(table, machines), on_violation)
+    """Append what is new; the whole file goes in as one write or not at all.
+
+    The rules are checked on the written rows: a run that breaks one is never published.
+    """
     attempted, span = _extent(incoming)
     known = warehouse.staging_events(spark, table)
     if span is not None:
@@ -117,7 +121,9 @@ def _load_events(spark, warehouse, run_id, incoming, table, machines, on_violati
     _write(
         fresh.withColumn("id_date", id_date_of("datetime_evt")), warehouse.path(f"staging_{table}", run_id), by_day=True
     )
-    return {"attempted": attempted, "inserted": _added(spark, warehouse, run_id, table).count()}
+    added = _added(spark, warehouse, run_id, table)
+    enforce(added, staging_rules(table, machines), on_violation)
+    return {"attempted": attempted, "inserted": added.count()}
 
 
 def _added(spark, warehouse, run_id, table) -> DataFrame:
@@ -140,23 +146,27 @@ def run_batch(
     landing.require_landed(spark, raw_root, run_date)
     run_id = max(warehouse.published(spark), default=0) + 1
     counts: dict[str, dict[str, int]] = {}
-    added = {}
 
     # Staging, machines first: events refer to them.
-    for filename, (table, _) in STAGING_FILES.items():
-        incoming = landing.read_landed(spark, raw_root, run_date, filename)
-        if table == "machines":
-            enforce(incoming, staging_rules(table), on_violation)
-            known = warehouse.machines(spark)
-            keys = schemas.STAGING_KEYS[table]
-            whole = insert_if_absent(None, incoming, keys) if known is None else upsert(known, incoming, keys, "nothing")
-            _write(whole, warehouse.path("staging_machines", run_id), by_day=False)
-            machines = spark.read.schema(schemas.STAGING["machines"]).parquet(warehouse.path("staging_machines", run_id))
-            before = 0 if known is None else known.count()
-            counts[table] = {"attempted": incoming.count(), "inserted": machines.count() - before}
-        else:
-            counts[table] = _load_events(spark, warehouse, run_id, incoming, table, machines, on_violation)
-            added[table] = _added(spark, warehouse, run_id, table)
+    (machine_file, *event_files) = STAGING_FILES
+    incoming = landing.read_landed(spark, raw_root, run_date, machine_file)
+    known, keys = warehouse.machines(spark), schemas.STAGING_KEYS["machines"]
+    whole = insert_if_absent(None, incoming, keys) if known is None else upsert(known, incoming, keys, "nothing")
+    folder = warehouse.path("staging_machines", run_id)
+    _write(whole, folder, by_day=False)
+    machines = spark.read.schema(schemas.STAGING["machines"]).parquet(folder)
+    enforce(machines, staging_rules("machines"), on_violation)
+    before = 0 if known is None else known.count()
+    counts["machines"] = {"attempted": incoming.count(), "inserted": machines.count() - before}
+
+    def load(filename: str) -> dict[str, int]:
+        rows = landing.read_landed(spark, raw_root, run_date, filename)
+        return _load_events(spark, warehouse, run_id, rows, STAGING_FILES[filename][0], machines, on_violation)
+
+    tables = [STAGING_FILES[f][0] for f in event_files]
+    loaded = together(spark, *[partial(load, f) for f in event_files])
+    counts |= dict(zip(tables, loaded))
+    added = {table: _added(spark, warehouse, run_id, table) for table in tables}
 
     # Star schema from what this run added; earlier runs are already in it.
     types = datamart.event_types(spark)
@@ -166,10 +176,13 @@ def run_batch(
         "dim_date": lambda old: datamart.build_dim_date(*added.values(), existing=old),
         "dim_code_evenement": lambda old: datamart.build_dim_code(events, types, old),
     }
-    dims = {}
-    for name, build in builds.items():
-        _write(build(warehouse.dimension(spark, name)), warehouse.path(name, run_id), by_day=False)
-        dims[name] = spark.read.schema(SNAPSHOTS[name]).parquet(warehouse.path(name, run_id))
+
+    def build(name: str) -> DataFrame:
+        folder = warehouse.path(name, run_id)
+        _write(builds[name](warehouse.dimension(spark, name)), folder, by_day=False)
+        return spark.read.schema(SNAPSHOTS[name]).parquet(folder)
+
+    dims = dict(zip(builds, together(spark, *[partial(build, name) for name in builds])))
     known = warehouse.events(spark)
     span = _extent(events)[1]
     if span is not None:

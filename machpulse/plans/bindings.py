@@ -7,6 +7,7 @@ from machpulse.functions.fixed_values import MESSAGE_FIELDS
 from machpulse.functions.time_columns import floor_second, timestamp
 from machpulse.operators import datamart
 from machpulse.operators.quality import flag_out_of_range, split_valid
+from machpulse.plans.together import together
 from machpulse.schemas import fields
 from machpulse.sources.storage import stored
 
@@ -116,9 +117,15 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     right away instead of shuffling the events first and finding out at run time.
     """
     types = datamart.event_types(spark)
-    fused = stored(datamart.fuse_events(**all_staging_events(spark, sf_dir)), "staging-events")
-    machines = stored(datamart.build_dim_machine(staging_machines(spark, sf_dir)), "dim-machine")
-    codes = stored(datamart.build_dim_code(fused, types), "dim-code")
+
+    def event_side() -> tuple[DataFrame, DataFrame]:
+        fused = stored(datamart.fuse_events(**all_staging_events(spark, sf_dir)), "staging-events")
+        return fused, stored(datamart.build_dim_code(fused, types), "dim-code")
+
+    def machine_side() -> DataFrame:
+        return stored(datamart.build_dim_machine(staging_machines(spark, sf_dir)), "dim-machine")
+
+    (fused, codes), machines = together(spark, event_side, machine_side)
     return {
         "types": types,
         "events": fused,
