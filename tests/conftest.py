@@ -7,9 +7,9 @@ from machpulse.session import build_session
 def spark():
     session = build_session(
         "tests",
-        "local[4]",
+        "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.driver.memory": "4g",
             "spark.sql.streaming.stopTimeout": "60s",
         },
