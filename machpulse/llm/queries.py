@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from machpulse.llm import archive, fingerprints, mixing, quality, sql, urls
+from machpulse.llm import archive, fingerprints, html, mixing, quality, sql, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolved.withColumn("headers", archive.header_lines(F.col("headers")))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -79,6 +83,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mix": op2_mix,
         "op3_urls": op3_urls,
         "op4_revisits": op4_revisits,
+        "op5_main_text": op5_main_text,
         "op8_quality": op8_quality,
         "op10_fingerprints": op10_fingerprints,
     }
