@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 2000
-CLIP = 6.0
+CLIP = 2.0
+#: The borders of the labels themselves are never seen outside; their ratio has no bound but this one.
+BORDER = 40.0
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -157,6 +159,18 @@ def best_run(tokens: list[tuple[str, str]], weights: dict[str, float]) -> tuple[
     return where
 
 
+def whole_blocks(tokens: list[tuple[str, str]], first: int, last: int) -> tuple[int, int]:
+    """The run widened to the block tags around it, so that no block is cut."""
+    def inner(index: int) -> bool:
+        return bool(tokens[index][1]) or tokens[index][0][1:] not in BLOCK
+
+    while 0 < first < last and inner(first) and inner(first - 1):
+        first -= 1
+    while first < last < len(tokens) and inner(last):
+        last += 1
+    return first, last
+
+
 def blocks(tokens: list[tuple[str, str]]) -> list[str]:
     """The texts between the block tags, references decoded, white space as single blanks, empty ones left out."""
     found, current = [], []
@@ -175,7 +189,7 @@ def blocks(tokens: list[tuple[str, str]]) -> list[str]:
 
 def main_text(page: str, weights: dict[str, float]) -> str:
     tokens = read_tokens(page)
-    first, last = best_run(tokens, weights)
+    first, last = whole_blocks(tokens, *best_run(tokens, weights))
     return "\n\n".join(blocks(tokens[first:last]))
 
 
@@ -202,9 +216,9 @@ def _counts(batches):
 
 
 #: Used where no page is labelled.
-DEFAULT_WEIGHTS = {"word": 0.5, "link": -1.0, "<p": 1.0, ">p": 1.0, "<li": -1.0, "<a": -1.0, "<article": CLIP, ">article": CLIP}
+DEFAULT_WEIGHTS = {"word": 0.5, "link": -1.0, "<p": 1.0, ">p": 1.0, "<li": -1.0, "<a": -1.0, **{f"{sign}{name}": BORDER for sign in "<>" for name in sorted(ARTICLE)}}
 #: Tags that weights are learned for; the rest weigh nothing, so what is collected is bounded.
-LEARNED = frozenset("a article b blockquote body br dd div dl dt em figcaption figure h1 h2 h3 h4 h5 h6 hr html i img li main ol p pre section span strong table td th tr u ul".split())
+LEARNED = frozenset("a b blockquote body br dd div dl dt em figcaption figure h1 h2 h3 h4 h5 h6 hr html i img li ol p pre section span strong table td th tr u ul".split())
 
 
 def learn_weights(pages: DataFrame, id_col="page_id", html_col="html", sample: int = SAMPLE) -> dict[str, float]:
@@ -224,7 +238,8 @@ def learn_weights(pages: DataFrame, id_col="page_id", html_col="html", sample: i
     for r in rows:
         value = math.log((r["i"] + 1) / (ins + len(rows))) - math.log((r["o"] + 1) / (outs + len(rows)))
         weights[r["feature"]] = max(-CLIP, min(CLIP, value))
-    return {**DEFAULT_WEIGHTS, **weights, "word": max(weights.get("word", 0.5), 0.05)}
+    borders = {f"{sign}{name}": BORDER for sign in "<>" for name in ARTICLE}
+    return {**DEFAULT_WEIGHTS, **weights, **borders, "word": max(weights.get("word", 0.5), 0.05)}
 
 
 def extract(pages: DataFrame, id_col="page_id", url_col="url", html_col="html", weights: dict[str, float] | None = None) -> DataFrame:
