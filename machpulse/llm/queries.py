@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from machpulse.llm import archive, fingerprints, html, mixing, quality, sql, urls
+from machpulse.llm import archive, fingerprints, html, mixing, neardup, quality, sql, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,10 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(_table(spark, sf_dir, "pages"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -84,6 +88,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_urls": op3_urls,
         "op4_revisits": op4_revisits,
         "op5_main_text": op5_main_text,
+        "op6_near_duplicates": op6_near_duplicates,
         "op8_quality": op8_quality,
         "op10_fingerprints": op10_fingerprints,
     }
