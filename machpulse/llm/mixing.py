@@ -60,13 +60,15 @@ def mix(
     weights: tuple[int, ...] = (1, 2, 3),
     passes: int = 3,
     seed: int = 7,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per input row: ``id_col, size, source_size, target, copies, taken, source``.
 
     Sources, by code point with null last, weigh ``weights`` in turn and share the words of all documents.
     ``taken`` is ``copies * size``, with at most ``passes`` copies. Documents without words (null, empty) have
     size 0 and are not taken; a source without words has target 0. Repeated rows are separate documents.
-    Equal input gives equal output, whatever the partitions. Other columns are ignored; an empty table gives none.
+    Equal input gives equal output, whatever the partitions. Columns named in ``carry`` are
+    handed on, others are ignored; an empty table gives none.
     """
     key = F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col).cast("string")))
     sized = docs.select(
@@ -74,6 +76,7 @@ def mix(
         F.col(source_col).alias("_source"),
         key.alias("_key"),
         F.size(words(text_col)).cast("long").alias("_size"),
+        *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)],
     )
     order = F.xxhash64(F.lit(seed), "_key", "_id", "_size")
     sized = stored(sized.withColumn("_order", order).withColumn("_slice", F.shiftrightunsigned("_order", 64 - SLICE_BITS)), "mix-sizes")
@@ -132,4 +135,5 @@ def mix(
         (F.col("_copies") * F.col("_size")).alias("taken"),
         F.col("_copies").alias("copies"),
         F.col("_source").alias("source"),
+        *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)],
     )

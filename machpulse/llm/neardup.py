@@ -7,11 +7,12 @@ million), so each content is listed only under its rarest ``size - needed + 1``
 included; passages that many texts share therefore make no lists. Candidates go through the union-sketch estimate
 and are confirmed on the full shingle sets.
 
-No list is expanded into all pairs. First each content meets its list's hub, the member with the fewest values of its
-own, and components are formed. What is left are pairs of different components within a list. For these the
-shingles that a content shares with any other open content are counted exactly; a pair is looked at only if
-these counts and the sizes allow the similarity. So every link that could join two components is either confirmed
-or excluded, and no list or number of partners is capped.
+No list is expanded into all pairs. First each content meets the ``HUBS`` members of its lists whose values are the
+most common, and components are formed. What is left are pairs of different components within a list with hub H. The
+overlap of such a pair (A, B) is at most ``min(|A & H|, |B & H|)`` plus what both share outside H. So pairs are made
+by joining on single shingles outside the hub, counted, and looked at only if that bound allows the similarity; pairs
+that could reach it inside the hub alone are found by their counts. So every link that could join two components is
+either confirmed or excluded, and no list or number of partners is capped.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,7 @@ K = 32
 NEEDED = 13
 SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 WHOLE_SET = 1 << 62
+HUBS = 3
 
 
 def _hasher(width: int, keep: int):
@@ -80,17 +82,52 @@ def _needed(size, k: int) -> Column:
 
 
 def _lists(contents: DataFrame, k: int) -> DataFrame:
-    """``value, rep, n, alone``: each content under its rarest shared values; ``alone`` is the share of its own ones."""
+    """``value, rep, n, far``: each content under its rarest shared values; ``far`` is lower the more common they are."""
     postings = contents.select("rep", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
     common = postings.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     shared = postings.join(common, "value")
     mine = Window.partitionBy("rep", "n", "size")
-    own = F.col("size") - F.count(F.lit(1)).over(mine)
-    place = F.row_number().over(mine.orderBy("df", "value")) + own
-    kept = shared.withColumn("place", place).withColumn("alone", own / F.col("size")).filter(
+    place = F.row_number().over(mine.orderBy("df", "value")) + F.col("size") - F.count(F.lit(1)).over(mine)
+    kept = shared.withColumn("place", place).withColumn("far", -F.floor(F.sum("df").over(mine) / F.col("size"))).filter(
         F.col("place") <= F.col("size") - _needed(F.col("size"), k) + 1
     )
-    return kept.select("value", "rep", "n", "alone")
+    return kept.select("value", "rep", "n", "far")
+
+
+def _allowed(common, a: str, b: str, percent: int) -> Column:
+    """Whether sets of these sizes are similar if they have so much in common."""
+    return common * 100 >= percent * (F.col(a) + F.col(b) - common)
+
+
+def _open_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of different components under one hub that may be similar. ``rows``: ``hub, rep, n, component``."""
+    mine = sets.select(F.col("_id").alias("rep"), F.col("hashes").alias("_x"))
+    theirs = sets.select(F.col("_id").alias("hub"), F.col("hashes").alias("_h"))
+    against = rows.join(mine, "rep").join(theirs, "hub").select(
+        "hub", "rep", "n", "component", F.size(F.array_intersect("_x", "_h")).alias("inside"), F.array_except("_x", "_h").alias("rest")
+    )
+    against = stored(against, "neardup-against-hubs")
+
+    def side(frame: DataFrame, letter: str, *keys: str) -> DataFrame:
+        return frame.select("hub", *keys, *[F.col(c).alias(f"{letter}_{c}") for c in ("rep", "n", "component", "inside")])
+
+    apart = (
+        (F.col("x_component") != F.col("y_component")) & _sizes_allow("x_n", "y_n", percent)
+    )
+    least = F.least("x_inside", "y_inside")
+    single = against.select("hub", "rep", "n", "component", "inside", F.explode("rest").alias("s"))
+    outside = (
+        side(single, "x", "s").join(side(single, "y", "s"), ["hub", "s"]).filter(apart & (F.col("x_rep") < F.col("y_rep")))
+        .groupBy("hub", "x_rep", "y_rep").agg(
+            F.count(F.lit(1)).alias("both"), *[F.max(c).alias(c) for c in ("x_n", "y_n", "x_inside", "y_inside")]
+        ).filter(_allowed(F.col("both") + least, "x_n", "y_n", percent))
+    )
+    close = against.filter(F.col("inside") * 100 >= percent * F.col("n"))
+    hub_component = against.filter("rep = hub").select("hub", F.col("component").alias("_hc"))
+    away = close.join(hub_component, "hub").filter("component != _hc").drop("_hc")
+    inside = side(away, "x").join(side(close, "y"), "hub").filter(apart & _allowed(least, "x_n", "y_n", percent))
+    pairs = outside.select("x_rep", "y_rep").unionByName(inside.select("x_rep", "y_rep"))
+    return pairs.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
 
 
 def _sizes_allow(a: str, b: str, percent: int) -> Column:
@@ -111,7 +148,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("_id").alias("b"), F.col("n").alias("_m"), F.col("hashes").alias("_y"))
     both = F.size(F.array_intersect("_x", "_y"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "_n", "_m", both.alias("_both"))
-    return joined.filter(F.col("_both") * 100 >= percent * (F.col("_n") + F.col("_m") - F.col("_both"))).select("a", "b").distinct()
+    return joined.filter(_allowed(F.col("_both"), "_n", "_m", percent)).select("a", "b").distinct()
 
 
 def near_duplicates(
@@ -132,13 +169,15 @@ def near_duplicates(
         named.groupBy("n", "s1", "s2").agg(F.min("_id").alias("rep"), F.first("hashes").alias("sketch")), "neardup-contents"
     )
     lists = stored(_lists(contents, k), "neardup-lists")
-    hubs = lists.groupBy("value").agg(F.min(F.struct("alone", "rep", "n")).alias("h"), F.count(F.lit(1)).alias("members")).filter(
-        "members > 1"
+    by_far = Window.partitionBy("value").orderBy("far", "rep", "n")
+    tops = lists.withColumn("rank", F.row_number().over(by_far)).filter(F.col("rank") <= HUBS)
+    members = lists.groupBy("value").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    hubs = stored(
+        tops.join(members, "value").select("value", F.col("rep").alias("hub"), F.col("n").alias("hub_n"), "rank", "members"), "neardup-hubs"
     )
     lists = lists.join(hubs, "value")
     to_hub = (
-        lists.select("rep", "n", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n"))
-        .filter((F.col("rep") != F.col("hub")) & _sizes_allow("n", "hub_n", percent))
+        lists.filter((F.col("rep") != F.col("hub")) & _sizes_allow("n", "hub_n", percent))
         .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     )
     to_hub = stored(_estimated(to_hub, contents, k), "neardup-candidates")
@@ -154,7 +193,7 @@ def near_duplicates(
 
     # Pairs of different components within a list.
     marked = stored(
-        lists.select("value", "rep", "n", "members", F.col("h.rep").alias("hub"))
+        lists.filter("rank = 1").select("value", "rep", "n", "members", "hub")
         .join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
         .withColumn("component", F.coalesce("component", "rep")),
         "neardup-marked",
@@ -163,25 +202,15 @@ def near_duplicates(
         F.max(F.when(F.col("rep") == F.col("hub"), F.col("component"))).alias("hub_component"),
         F.min("component").alias("_low"), F.max("component").alias("_high"),
     ).filter("_low != _high")
-    open_rows = marked.filter("members > 2").join(mixed.select("value", "hub_component"), "value")
+    open_rows = marked.filter(F.col("members") > HUBS).join(mixed.select("value", "hub_component"), "value")
     open_ids = open_rows.select(F.col("rep").alias("_id")).distinct()
-    members = sets.join(open_ids, "_id").select("_id", F.explode("hashes").alias("s")).distinct()
-    twice = members.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("s")
-    shared = members.join(twice, "s").groupBy("_id").agg(F.count(F.lit(1)).alias("shared"))
-    known = stored(
-        open_rows.join(shared.withColumnRenamed("_id", "rep"), "rep").filter(F.col("shared") * 100 >= percent * F.col("n")), "neardup-open"
-    )
-    left = known.filter("component != hub_component").select(
-        "value", F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("shared").alias("xs"), F.col("component").alias("xc")
-    )
-    right = known.select(
-        "value", F.col("rep").alias("y"), F.col("n").alias("yn"), F.col("shared").alias("ys"), F.col("component").alias("yc")
+    single = sets.join(open_ids, "_id").select("_id", F.explode("hashes").alias("s")).distinct()
+    twice = single.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("s")
+    shared = single.join(twice, "s").groupBy("_id").agg(F.count(F.lit(1)).alias("shared"))
+    known = open_rows.join(shared.withColumnRenamed("_id", "rep"), "rep").filter(
+        (F.col("shared") * 100 >= percent * F.col("n")) | (F.col("rep") == F.col("hub"))
     )
-    most = F.least("xs", "ys")
-    rest = left.join(right, "value").filter(
-        (F.col("xc") != F.col("yc")) & _sizes_allow("xn", "yn", percent)
-        & (most * 100 >= percent * (F.col("xn") + F.col("yn") - most))
-    ).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    rest = _open_pairs(known.select("hub", "rep", "n", "component").distinct(), sets, percent)
     more = _confirmed(_estimated(rest, contents, k), sets, percent)
 
     ids = components(links.unionByName(more).unionByName(same_text.filter("a != b").distinct()))

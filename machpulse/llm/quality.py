@@ -89,22 +89,24 @@ def ratio_table(
 
 def judge(
     docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality", buckets=1 << 16,
-    trusted_limit=20_000, n=1, threshold=-0.25,
+    trusted_limit=20_000, n=1, threshold=-0.25, carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per input row: ``id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept``.
 
     ``base_failed``: under 50 words, or more than half of the words in repeated 3-word windows. ``kept`` is false
     for these and for scores below ``threshold``. Null and empty texts have no words and fail. Without trusted
-    rows every ratio is that of the smoothing, equal for equal counts. Repeated rows are judged each. Other
-    columns are ignored. An empty table gives none.
+    rows every ratio is that of the smoothing, equal for equal counts. Repeated rows are judged each. Columns named
+    in ``carry`` (short ones: they travel with every word) are handed on; others are ignored. An empty table gives none.
     """
     ratios = ratio_table(docs, labels, id_col, text_col, label_col, buckets, trusted_limit, n)
     text = F.col("_text")
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(HAS_WORD))
     frame = docs.select(
-        F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), whole(text_col).alias("_text")
+        F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), whole(text_col).alias("_text"),
+        *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)],
     ).withColumn("_words", words("_text")).withColumn("_lines", lines)
     frame = _repeats(frame)
+    held = [f"_c{i}" for i in range(len(carry))]
     base = frame.select(
         "_row", "_id",
         F.size("_words").cast("long").alias("n_words"),
@@ -112,9 +114,10 @@ def judge(
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.col("_repeat").alias("n_repeat_words"),
+        *held,
         "_words",
     )
-    facts = ["_row", "_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    facts = [*held, "_row", "_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     scored = (
         base.select(*facts, F.explode_outer(_grams(n)).alias("_word"))
         .withColumn("_bucket", _bucket("_word", buckets))
@@ -124,6 +127,6 @@ def judge(
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     score = F.round(F.coalesce(F.col("_sum"), F.lit(0.0)) / F.greatest("_grams", F.lit(1)), 9)
     return scored.select(
-        F.col("_id").alias(id_col), *facts[2:], failed.alias("base_failed"), score.alias("score"),
-        (~failed & (score >= threshold)).alias("kept"),
+        F.col("_id").alias(id_col), *facts[2 + len(held):], failed.alias("base_failed"), score.alias("score"),
+        (~failed & (score >= threshold)).alias("kept"), *[F.col(h).alias(c) for h, c in zip(held, carry)],
     )

@@ -5,13 +5,33 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from machpulse.llm import archive, fingerprints, html, mixing, neardup, quality, sql, urls
+from machpulse.llm import archive, bpe, fingerprints, html, lm, mixing, neardup, passages, quality, sql, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: File of a public tokenizer's ranks; found by the installed package, or given here.
+RANK_FILE = None
+
+
+def rank_file() -> str:
+    import public_tokenizers
+
+    return RANK_FILE or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def split_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(_table(spark, sf_dir, "documents"), rank_file(), split_pattern())
+
+
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -74,22 +94,33 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited(_table(spark, sf_dir, "documents"))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_byte_bpe": op1_byte_bpe,
         "op2_mix": op2_mix,
         "op3_urls": op3_urls,
         "op4_revisits": op4_revisits,
         "op5_main_text": op5_main_text,
         "op6_near_duplicates": op6_near_duplicates,
+        "op7_lm_scores": op7_lm_scores,
         "op8_quality": op8_quality,
+        "op9_passages": op9_passages,
         "op10_fingerprints": op10_fingerprints,
     }
 

@@ -1,0 +1,40 @@
+"""Rows that every operator has to bear, and plain versions of the shared rules."""
+
+import random
+import re
+
+CLASHES = ["size", "target", "kept", "_id", "_text", "_key", "_row", "n", "hashes", "value", "rep", "ids", "rule", "a", "b", "lines"]
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def prose(rng, count, vocabulary=400):
+    return " ".join(f"w{min(int(rng.expovariate(0.02)), vocabulary)}" + rng.choice(["", "", "", ".", "é"]) for _ in range(count))
+
+
+def documents(spark, rows, clash=True):
+    """Documents of (doc_id, text, source), with extra columns that operators might use for themselves."""
+    frame = spark.createDataFrame(
+        [(i, t, "en", s, None if t is None else len(t)) for i, t, s in rows],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    if clash:
+        frame = frame.selectExpr("*", *[f"'x' AS {name}" for name in CLASHES])
+    return frame
+
+
+def messy(seed=1, count=60):
+    """Documents with nulls, empty and long texts, white space, repeated rows and one hot source."""
+    rng = random.Random(seed)
+    rows = [(i, prose(rng, rng.randint(1, 150)) + ("\n" + prose(rng, 20)) * rng.randint(0, 3), f"s{rng.choice([0, 0, 0, 1, 2, 3])}") for i in range(count)]
+    rows += [(100, None, "s1"), (101, "", "s2"), (102, " \t\n ", None), (103, prose(rng, 300), None), (None, prose(rng, 60), "s1")]
+    rows += [(104, prose(rng, 30_000), "s2"), (105, "x" * 3000, "s3"), (106, "日本語 テキスト\n\nx", "s3")]
+    rows += [rows[0], rows[0], rows[5], (110, rows[1][1], "s1"), (111, rows[1][1], "s2")]
+    return rows
