@@ -100,24 +100,24 @@ def _allowed(common, a: str, b: str, percent: int) -> Column:
 
 
 def _open_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of different components under one hub that may be similar. ``rows``: ``hub, rep, n, component``."""
+    """Pairs ``a, b`` of different components under one hub that may be similar. ``rows``: ``hub, rep, n, component, shared``."""
     mine = sets.select(F.col("_id").alias("rep"), F.col("hashes").alias("_x"))
     theirs = sets.select(F.col("_id").alias("hub"), F.col("hashes").alias("_h"))
     against = rows.join(mine, "rep").join(theirs, "hub").select(
-        "hub", "rep", "n", "component", F.size(F.array_intersect("_x", "_h")).alias("inside"), F.array_except("_x", "_h").alias("rest")
-    )
+        "hub", "rep", "n", "component", "shared", F.size(F.array_intersect("_x", "_h")).alias("inside"), F.array_except("_x", "_h").alias("rest")
+    ).withColumn("over", F.size("rest"))
     against = stored(against, "neardup-against-hubs")
 
     def side(frame: DataFrame, letter: str, *keys: str) -> DataFrame:
-        return frame.select("hub", *keys, *[F.col(c).alias(f"{letter}_{c}") for c in ("rep", "n", "component", "inside")])
+        return frame.select("hub", *keys, *[F.col(c).alias(f"{letter}_{c}") for c in ("rep", "n", "component", "shared", "inside", "over")])
 
-    apart = (
-        (F.col("x_component") != F.col("y_component")) & _sizes_allow("x_n", "y_n", percent)
-    )
+    apart = (F.col("x_component") != F.col("y_component")) & _sizes_allow("x_n", "y_n", percent)
     least = F.least("x_inside", "y_inside")
-    single = against.select("hub", "rep", "n", "component", "inside", F.explode("rest").alias("s"))
+    most = F.least(least + F.least("x_over", "y_over"), F.least("x_shared", "y_shared"))
+    single = against.select(*against.drop("rest").columns, F.explode("rest").alias("s"))
     outside = (
-        side(single, "x", "s").join(side(single, "y", "s"), ["hub", "s"]).filter(apart & (F.col("x_rep") < F.col("y_rep")))
+        side(single, "x", "s").join(side(single, "y", "s"), ["hub", "s"])
+        .filter(apart & (F.col("x_rep") < F.col("y_rep")) & _allowed(most, "x_n", "y_n", percent))
         .groupBy("hub", "x_rep", "y_rep").agg(
             F.count(F.lit(1)).alias("both"), *[F.max(c).alias(c) for c in ("x_n", "y_n", "x_inside", "y_inside")]
         ).filter(_allowed(F.col("both") + least, "x_n", "y_n", percent))
@@ -210,7 +210,7 @@ def near_duplicates(
     known = open_rows.join(shared.withColumnRenamed("_id", "rep"), "rep").filter(
         (F.col("shared") * 100 >= percent * F.col("n")) | (F.col("rep") == F.col("hub"))
     )
-    rest = _open_pairs(known.select("hub", "rep", "n", "component").distinct(), sets, percent)
+    rest = _open_pairs(known.select("hub", "rep", "n", "component", "shared").distinct(), sets, percent)
     more = _confirmed(_estimated(rest, contents, k), sets, percent)
 
     ids = components(links.unionByName(more).unionByName(same_text.filter("a != b").distinct()))
