@@ -11,8 +11,8 @@ PLAUSIBLE_RANGES = {
 MESSAGE_FIELDS = ("machine_id", "datetime_mes", "volt", "rotate", "pressure", "vibration")
 MEASURES = tuple(PLAUSIBLE_RANGES)
 
-# Machine ids are unsigned 16-bit integers in telemetry.
-MACHINE_ID_RANGE = (0, 65535)
+# Machine ids are unsigned; the upper end is that of the column's type.
+MACHINE_ID_RANGE = (0, 2_147_483_647)
 
 SILENCE_THRESHOLD = "5 minutes"
 WINDOW = "1 minute"

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from machpulse.functions.fixed_values import ALERT_HOLD, ALERT_RULES, ALERT_STEP, RED_FROM
-from machpulse.functions.time_columns import interval, seconds_between
+from machpulse.functions.time_columns import interval, seconds_between, timestamp
 from machpulse.operators.neighbours import next_row
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
@@ -70,8 +70,9 @@ def _exceeds(value: Column, threshold: Column) -> Column:
 
 
 def fleet_maxima(trend: DataFrame, rules=ALERT_RULES) -> DataFrame:
-    """Highest value of each ruled column over all machines, per window."""
-    return trend.groupBy("fenetre").agg(*[F.max(c).alias(c) for c in rules])
+    """Highest value of each ruled column over all machines, per window. NaN is left out; NULL if there is no other."""
+    # NaN is above every number for max; a broken sensor must not hide the others.
+    return trend.groupBy("fenetre").agg(*[F.max(F.when(~F.isnan(c), F.col(c))).alias(c) for c in rules])
 
 
 def _by_rule(df: DataFrame, rules, keep: list[str]) -> DataFrame:
@@ -99,7 +100,32 @@ def latest_breaches(trend: DataFrame, rules=ALERT_RULES, per_machine: bool = Fal
     return flat.withColumn("breach", _exceeds(F.col("value"), F.col("threshold")))
 
 
-def alert_states(
+_EPOCH = "1970-01-01 00:00:00"
+
+
+def _seconds(text: str) -> int:
+    amount, unit = text.split()
+    return int(amount) * _UNIT_SECONDS[unit.rstrip("s")]
+
+
+def _second_of(c: str | Column) -> Column:
+    return seconds_between(timestamp(_EPOCH), c)
+
+
+def _time_of(seconds: str | Column) -> Column:
+    return timestamp(_EPOCH) + F.expr("INTERVAL '1' SECOND") * (F.col(seconds) if isinstance(seconds, str) else seconds)
+
+
+def _down(seconds: Column, step: int) -> Column:
+    """The last point of the grid that is not later."""
+    return F.floor(seconds / F.lit(step)) * F.lit(step)
+
+
+def _up(seconds: Column, step: int) -> Column:
+    return -_down(-seconds, step)
+
+
+def alert_runs(
     trend: DataFrame,
     rules=ALERT_RULES,
     hold: str = ALERT_HOLD,
@@ -107,48 +133,88 @@ def alert_states(
     until: Column | None = None,
     max_age: str | None = None,
 ) -> DataFrame:
-    """Replay of the alert rules on an event-time grid, one evaluation per ``step``.
+    """Replay of the alert rules as runs of evaluations with one value and state: ``rule, first_eval, last_eval, value, state``.
 
-    The grid runs from the first window to the last (or ``until``) and each evaluation sees the fleet
-    maximum of the latest window at that time. A breach is ``pending`` until it has lasted ``hold``,
-    then ``firing``. With ``max_age``, evaluations whose window is older are ``no_data``. A live
-    evaluator runs on the wall clock; the replay clock makes the result repeatable.
+    Evaluations stand on one grid, the multiples of ``step``, from the first window to the last (or ``until``); each
+    sees the fleet maximum of the latest window at that time. A breach is ``pending`` until it has lasted ``hold``,
+    then ``firing``. With ``max_age``, evaluations whose window is older are ``no_data``. A live evaluator runs on the
+    wall clock; the replay clock makes the result repeatable.
 
-    A breach has lasted ``hold`` exactly when every evaluation of the last ``hold`` breached, so each
-    evaluation looks back a fixed number of rows. Days are therefore evaluated apart: the last rows
-    of a day are copied into the days that look back on them.
+    A window makes at most a few rows, however long the silence after it: a stray reading of another decade is one
+    run. The start of a breach is looked up in the same day, then in one row per earlier day.
     """
-    series = _by_rule(fleet_maxima(trend, rules), rules, ["fenetre"])
-    following = next_row(series, ["rule"], "fenetre", {"next_window": "fenetre"})
-    one_step = interval(step)
-    last = F.col("fenetre") if until is None else F.greatest(F.col("fenetre"), until)
-    stop = F.coalesce(F.col("next_window") - one_step, last)
-    # A window closer than one step to its successor is never the latest at an evaluation.
-    grid = following.filter(stop >= F.col("fenetre")).withColumn(
-        "eval_at", F.explode(F.sequence("fenetre", stop, one_step))
+    wide, held = _seconds(step), _seconds(hold)
+    series = _by_rule(fleet_maxima(trend, rules), rules, ["fenetre"]).withColumn("seen", _second_of("fenetre"))
+    if until is not None:
+        series = series.withColumn("until", until)
+    # Of several windows before one evaluation, the latest counts.
+    latest = F.max(F.struct("seen", "value", "threshold"))
+    points = series.groupBy("rule", _up(F.col("seen"), wide).alias("first")).agg(
+        latest.alias("w"), *([F.max("until").alias("until")] if until is not None else [])
     )
-    breach = _exceeds(F.col("value"), F.col("threshold"))
-    if max_age is not None:
-        stale = F.col("eval_at") - F.col("fenetre") > interval(max_age)
-        grid = grid.withColumn("stale", stale).withColumn("breach", breach & ~F.col("stale"))
+    points = points.withColumn("first_eval", _time_of("first"))
+    points = next_row(points, ["rule"], "first_eval", {"__next": "first"})
+    last = F.col("w.seen") if until is None else F.greatest(F.col("w.seen"), _second_of("until"))
+    points = points.withColumn("last", F.coalesce(F.col("__next") - wide, _down(last, wide))).filter("first <= last")
+    breach = _exceeds(F.col("w.value"), F.col("w.threshold"))
+    if max_age is None:
+        parts = points.withColumn("stale", F.lit(False)).withColumn("breach", breach)
     else:
-        grid = grid.withColumn("stale", F.lit(False)).withColumn("breach", breach)
-
-    def seconds(text: str) -> int:
-        amount, unit = text.split()
-        return int(amount) * _UNIT_SECONDS[unit.rstrip("s")]
-
-    rows_back = -(-seconds(hold) // seconds(step))
-    own_day = F.to_date("eval_at")
-    reach = F.to_date(F.col("eval_at") + one_step * rows_back)
-    spread = grid.withColumn("__day", F.explode(F.sequence(own_day, reach)))
-    look_back = Window.partitionBy("rule", "__day").orderBy("eval_at").rowsBetween(-rows_back, 0)
-    held = F.every("breach").over(look_back) & (F.count(F.lit(1)).over(look_back) == rows_back + 1)
-    state = (
-        F.when(F.col("stale"), "no_data").when(~F.col("breach"), "normal").when(F.col("held"), "firing").otherwise("pending")
+        fresh_to = F.least(F.col("last"), _down(F.col("w.seen") + _seconds(max_age), wide))
+        halves = F.array(
+            F.struct(F.lit(False).alias("stale"), F.col("first").alias("f"), fresh_to.alias("l")),
+            F.struct(F.lit(True).alias("stale"), F.greatest(F.col("first"), fresh_to + wide).alias("f"), F.col("last").alias("l")),
+        )
+        split = points.withColumn("b", breach).select("rule", "w", "b", F.inline(halves)).filter("f <= l")
+        parts = split.select(
+            "rule", "w", "stale", (F.col("b") & ~F.col("stale")).alias("breach"), F.col("f").alias("first"), F.col("l").alias("last")
+        )
+    # A breach began one step after the last evaluation without one.
+    parts = parts.withColumn("day", F.to_date(_time_of("first"))).withColumn("calm", F.when(~F.col("breach"), F.col("last")))
+    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = parts.groupBy("rule", "day").agg(F.max("calm").alias("calm"), F.min("first").alias("first"))
+    days = days.select(
+        "rule", "day", F.max("calm").over(before.partitionBy("rule")).alias("carried"),
+        F.min("first").over(Window.partitionBy("rule")).alias("origin"),
     )
-    return (
-        spread.withColumn("held", held)
-        .filter(F.col("__day") == own_day)
-        .select("rule", "eval_at", "value", state.alias("state"))
+    in_day = Window.partitionBy("rule", "day").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    known = parts.withColumn("near", F.max("calm").over(in_day)).join(days, ["rule", "day"])
+    began = F.coalesce(F.coalesce("near", "carried") + wide, F.col("origin"))
+    fires = _up(began + held, wide)
+    states = F.array(
+        F.struct(F.lit("no_data").alias("state"), F.col("first").alias("f"), F.when(F.col("stale"), F.col("last")).alias("l")),
+        F.struct(F.lit("normal").alias("state"), F.col("first").alias("f"), F.when(~F.col("stale") & ~F.col("breach"), F.col("last")).alias("l")),
+        F.struct(F.lit("pending").alias("state"), F.col("first").alias("f"), F.when(F.col("breach"), F.least("last", fires - wide)).alias("l")),
+        F.struct(F.lit("firing").alias("state"), F.greatest("first", fires).alias("f"), F.when(F.col("breach"), F.col("last")).alias("l")),
     )
+    runs = known.select("rule", F.col("w.value").alias("value"), F.inline(states)).filter("f <= l")
+    return runs.select("rule", _time_of("f").alias("first_eval"), _time_of("l").alias("last_eval"), "value", "state")
+
+
+def alert_states(
+    trend: DataFrame,
+    rules=ALERT_RULES,
+    hold: str = ALERT_HOLD,
+    step: str = ALERT_STEP,
+    until: Column | None = None,
+    max_age: str | None = None,
+    since: Column | None = None,
+) -> DataFrame:
+    """The runs of ``alert_runs``, one row per evaluation: ``rule, eval_at, value, state``.
+
+    ``since`` leaves out earlier evaluations without changing later ones. Long runs are first cut by day, so that no
+    array holds more than a day's evaluations.
+    """
+    runs = alert_runs(trend, rules, hold, step, until, max_age)
+    if since is not None:
+        wide = _seconds(step)
+        floor = _time_of(_up(_second_of(since), wide))
+        runs = runs.filter(F.col("last_eval") >= since).withColumn("first_eval", F.greatest("first_eval", floor))
+    one_day, one_step = F.expr("INTERVAL '1' DAY"), interval(step)
+    days = F.sequence(F.to_date("first_eval"), F.to_date("last_eval"), one_day)
+    cut = runs.withColumn("day", F.explode(days)).withColumn("midnight", F.col("day").cast("timestamp_ntz"))
+    wide = _seconds(step)
+    begin = F.greatest(F.col("first_eval"), _time_of(_up(_second_of("midnight"), wide)))
+    end = F.least(F.col("last_eval"), F.col("midnight") + one_day - F.expr("INTERVAL '1' SECOND"))
+    cut = cut.withColumn("begin", begin).withColumn("end", end).filter("begin <= end")
+    return cut.select("rule", F.explode(F.sequence("begin", "end", one_step)).alias("eval_at"), "value", "state")

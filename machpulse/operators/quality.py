@@ -34,14 +34,19 @@ def split_valid(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def profile_bounds(df: DataFrame, ranges=PLAUSIBLE_RANGES) -> DataFrame:
-    """One row per measure: observed extremes, readings outside, distance to the configured bounds."""
+    """One row per measure: observed extremes, readings outside, distance to the configured bounds.
+
+    NaN passes the range check by default, so it is neither an extreme nor outside; ``nan`` counts it.
+    """
     wanted = []
     for name, (low, high) in ranges.items():
+        number = F.when(~F.isnan(name), F.col(name))
         wanted += [
-            F.min(name).alias(f"{name}_min"),
-            F.max(name).alias(f"{name}_max"),
-            F.count_if(F.col(name) < low).alias(f"{name}_below"),
-            F.count_if(F.col(name) > high).alias(f"{name}_above"),
+            F.min(number).alias(f"{name}_min"),
+            F.max(number).alias(f"{name}_max"),
+            F.count_if(number < low).alias(f"{name}_below"),
+            F.count_if(number > high).alias(f"{name}_above"),
+            F.count_if(F.isnan(name)).alias(f"{name}_nan"),
         ]
     rows = [
         F.struct(
@@ -50,6 +55,7 @@ def profile_bounds(df: DataFrame, ranges=PLAUSIBLE_RANGES) -> DataFrame:
             F.col(f"{name}_max").alias("max"),
             F.col(f"{name}_below").alias("below"),
             F.col(f"{name}_above").alias("above"),
+            F.col(f"{name}_nan").alias("nan"),
             (F.col(f"{name}_min") - low).alias("margin_low"),
             (F.lit(high) - F.col(f"{name}_max")).alias("margin_high"),
         )

@@ -44,8 +44,8 @@ class Warehouse:
 
     def _additions(self, spark: SparkSession, table: str, schema: StructType) -> DataFrame:
         """Rows of all published runs, with ``id_date`` as partition column."""
+        # A published run wrote every table: a folder that is missing is lost data, and reading it fails.
         paths = [self.path(table, r) for r in self.published(spark)]
-        paths = [p for p in paths if storage.exists(spark, p)]
         full = StructType([f for f in schema.fields if f.name != "id_date"]).add("run_id", LongType())
         full.add("id_date", IntegerType())
         if not paths:
@@ -69,11 +69,18 @@ class Warehouse:
         return self._additions(spark, "fait_evenement", schemas.FACT_EVENT)
 
     def days(self, spark: SparkSession) -> DataFrame:
-        """The machine x day table; its partitions are replaced one day at a time."""
-        folder = f"{self.root}/fait_telemetrie_jour"
-        if not storage.exists(spark, folder):
+        """The machine x day table: of each day the rows of the newest published run that wrote it."""
+        newest = {
+            day: f"{self.path('fait_telemetrie_jour', run)}/id_date={day}"
+            for run in self.published(spark)
+            for day in storage.numbered(spark, self.path("fait_telemetrie_jour", run), "id_date=")
+        }
+        if not newest:
             return spark.createDataFrame([], schemas.FACT_DAY)
-        return spark.read.schema(schemas.FACT_DAY).parquet(folder)
+        parted = StructType([f for f in schemas.FACT_DAY.fields if f.name != "id_date"])
+        parted = StructType(parted.fields).add("run_id", LongType()).add("id_date", IntegerType())
+        read = spark.read.schema(parted).option("basePath", f"{self.root}/fait_telemetrie_jour").parquet(*newest.values())
+        return read.select(*schemas.FACT_DAY.names)
 
 
 def staging_rules(table: str, machines: DataFrame | None = None) -> Rules:
@@ -202,8 +209,8 @@ def run_batch(
         run_date,
     )
     id_date = consolidation.id_date_value(run_date)
-    # The grid is complete for its day, so replacing the day's partition is the upsert.
-    folder = f"{warehouse.root}/fait_telemetrie_jour/id_date={id_date}"
+    # The grid is complete for its day, so the newest published run's rows are the upsert. Until then they are not seen.
+    folder = f"{warehouse.path('fait_telemetrie_jour', run_id)}/id_date={id_date}"
     day.drop("id_date").write.mode("overwrite").parquet(folder)
     counts["fait_telemetrie_jour"] = {"inserted": spark.read.parquet(folder).count()}
     warehouse.publish(spark, run_id)

@@ -107,7 +107,7 @@ def quarantine_rows(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def silent_sensors(spark: SparkSession, sf: str) -> DataFrame:
     known = b.staging_machines(spark, sf).select("machine_id")
-    return quality.silent_sensors(known, b.telemetry(spark, sf), b.as_of(), "12 hours").orderBy("machine_id")
+    return quality.silent_sensors(known, b.valid_telemetry(spark, sf), b.as_of(), "12 hours").orderBy("machine_id")
 
 
 @_query
@@ -118,7 +118,7 @@ def last_seen(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def never_seen(spark: SparkSession, sf: str) -> DataFrame:
     known = quality.known_machines(datamart.build_dim_machine(b.staging_machines(spark, sf)))
-    seen = quality.last_seen(b.telemetry(spark, sf)).select("machine_id")
+    seen = quality.last_seen(b.valid_telemetry(spark, sf)).select("machine_id")
     return known.exceptAll(seen)
 
 
@@ -381,7 +381,7 @@ def constraint_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _day(spark, sf, run_date, star):
-    trend = telemetry.pressure_trend(telemetry.window_metrics(b.telemetry(spark, sf)))
+    trend = _valid_trend(spark, sf)
     return consolidation.consolidate(
         star["machines"],
         consolidation.daily_telemetry(trend, run_date),
@@ -400,7 +400,7 @@ def _natural_day(day: DataFrame, machines: DataFrame) -> DataFrame:
 
 @_query
 def daily_telemetry(spark: SparkSession, sf: str) -> DataFrame:
-    trend = telemetry.pressure_trend(telemetry.window_metrics(b.telemetry(spark, sf)))
+    trend = _valid_trend(spark, sf)
     return rounded(consolidation.daily_telemetry(trend, b.RUN_DATE), *DAY_MEASURES)
 
 
@@ -471,6 +471,25 @@ def alert_states(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(monitoring.alert_states(_valid_trend(spark, sf)), "value")
 
 
+@_query
+def alert_states_5min(spark: SparkSession, sf: str) -> DataFrame:
+    """Both rules every five minutes: of the windows since the evaluation before, the latest counts."""
+    return rounded(monitoring.alert_states(_valid_trend(spark, sf), step="5 minutes", hold="10 minutes"), "value")
+
+
+@_query
+def trend_in_view_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The trend as its view lists it, by machine and window."""
+    return rounded(_valid_trend(spark, sf), *TREND).orderBy("machine_id", "fenetre")
+
+
+@_query
+def daily_run_interrupted(spark: SparkSession, sf: str) -> DataFrame:
+    """The day table after one good run and one that died before it was published."""
+    warehouse = runs.interrupted(spark, sf)
+    return _natural_day(warehouse.days(spark), warehouse.dimension(spark, "dim_machine"))
+
+
 # Privacy
 
 

@@ -141,22 +141,22 @@ _DAY = f"""day AS (
          coalesce(nb_maintenances, 0) AS nb_maintenances
   FROM machines m LEFT JOIN daily_tele t ON t.machine_id = m.machine_id
   LEFT JOIN daily_ev e ON e.machine_id_nat = m.machine_id)"""
-_DAY_ALL = f"{_ALL_TREND}, {_DAILY_TELEMETRY}, {_FACT}, {_daily_events('daily_ev', _ID_DATE)}, {_DAY}"
+_DAY_ALL = f"{_VALID_TREND}, {_DAILY_TELEMETRY}, {_FACT}, {_daily_events('daily_ev', _ID_DATE)}, {_DAY}"
 _DAY_COLUMNS = (
     "id_date, machine_id_nat, rms_vibration_moyen, rms_vibration_max, tendance_pression_moyenne, "
     "nb_erreurs, nb_pannes, nb_maintenances"
 )
 
 
-def _alert(rule: str, threshold: float) -> str:
-    """Gaps and islands on a minute grid that carries the latest window forward."""
+def _alert(rule: str, threshold: float, join: str = "LEFT JOIN fleet ON fenetre = eval_at", hold: int = 2) -> str:
+    """Gaps and islands on an even grid that carries the latest window forward."""
     return f"""SELECT '{rule}' AS rule, eval_at, round(v, 6) AS value,
   CASE WHEN NOT breach THEN 'normal'
-       WHEN eval_at - min(eval_at) OVER (PARTITION BY run, breach) >= INTERVAL 2 MINUTE THEN 'firing' ELSE 'pending' END AS state
+       WHEN eval_at - min(eval_at) OVER (PARTITION BY run, breach) >= INTERVAL {hold} MINUTE THEN 'firing' ELSE 'pending' END AS state
 FROM (SELECT *, v > {threshold} AS breach,
              sum(CASE WHEN v > {threshold} THEN 0 ELSE 1 END) OVER (ORDER BY eval_at) AS run
       FROM (SELECT eval_at, last_value({rule} IGNORE NULLS) OVER (ORDER BY eval_at ROWS UNBOUNDED PRECEDING) AS v
-            FROM grid LEFT JOIN fleet ON fenetre = eval_at))"""
+            FROM grid {join}))"""
 
 
 def _blob(data: bytes) -> str:
@@ -211,7 +211,7 @@ FROM trend t WHERE fenetre = (SELECT max(fenetre) FROM trend u WHERE u.machine_i
 def _profile(c: str) -> str:
     low, high = PLAUSIBLE_RANGES[c]
     return f"""SELECT '{c}' AS champ, round(min({c}), 6) AS min, round(max({c}), 6) AS max,
-  count(*) FILTER (WHERE {c} < {low}) AS below, count(*) FILTER (WHERE {c} > {high}) AS above,
+  count(*) FILTER (WHERE {c} < {low}) AS below, count(*) FILTER (WHERE {c} > {high}) AS above, count(*) FILTER (WHERE isnan({c})) AS nan,
   round(min({c}) - {low}::DOUBLE, 6) AS margin_low, round({high}::DOUBLE - max({c}), 6) AS margin_high FROM tele"""
 
 
@@ -248,11 +248,11 @@ def all_sql() -> dict[str, str]:
         "quarantine_rows": f"""WITH {_FLAGGED} SELECT machine_id, datetime_mes, {_MEASURES}, motif,
             horodatage_ingestion AS horodatage_quarantaine, CAST(strftime(datetime_mes, '%Y%m') AS INTEGER) AS mois
             FROM flagged WHERE motif IS NOT NULL""",
-        "silent_sensors": f"""WITH {_TELE}, {_STAGING}, seen AS ({_LAST.format("tele")})
+        "silent_sensors": f"""WITH {_VALID}, {_STAGING}, seen AS ({_LAST.format("valid")})
             SELECT m.machine_id, last_seen FROM machines m LEFT JOIN seen s ON s.machine_id = m.machine_id
             WHERE last_seen IS NULL OR TIMESTAMP '{AS_OF}' - last_seen > INTERVAL 12 HOUR ORDER BY 1""",
         "last_seen": f"WITH {_VALID} {_LAST.format('valid')}",
-        "never_seen": f"WITH {_TELE}, {_STAGING} SELECT machine_id FROM machines EXCEPT SELECT machine_id FROM tele",
+        "never_seen": f"WITH {_VALID}, {_STAGING} SELECT machine_id FROM machines EXCEPT SELECT machine_id FROM valid",
         "valid_window_trend": f"WITH {_VALID_TREND} SELECT {_TREND_COLUMNS} FROM trend",
         "minute_windows": f"""WITH {_TELE}, {_windows('tele', 'minute')}
             SELECT machine_id, fenetre, {_r('rms_vibration', 'pression_moyenne')} FROM windows""",
@@ -318,7 +318,7 @@ def all_sql() -> dict[str, str]:
               UNION ALL SELECT 'check:age', count(*) FILTER (WHERE age NOT BETWEEN 0 AND 40) FROM machines
               UNION ALL SELECT 'check:machine_id', count(*) FILTER (WHERE machine_id NOT BETWEEN 0 AND 65535) FROM machines
               UNION ALL SELECT 'length:model', count(*) FILTER (WHERE length(model) > 20) FROM machines)""",
-        "daily_telemetry": f"WITH {_ALL_TREND}, {_DAILY_TELEMETRY} SELECT machine_id, {_DAY_MEASURES} FROM daily_tele",
+        "daily_telemetry": f"WITH {_VALID_TREND}, {_DAILY_TELEMETRY} SELECT machine_id, {_DAY_MEASURES} FROM daily_tele",
         "daily_events": f"WITH {_FACT}, {_daily_events('daily_ev', _ID_DATE)} SELECT * FROM daily_ev",
         "daily_consolidation": f"WITH {_DAY_ALL} SELECT {_DAY_COLUMNS} FROM day",
         "daily_upsert": f"""WITH {_DAY_ALL}, {_daily_events('eve', '20240109')} SELECT {_DAY_COLUMNS} FROM day
@@ -332,6 +332,14 @@ def all_sql() -> dict[str, str]:
             SELECT fenetre, {", ".join(f"max({r}) AS {r}" for r in ALERT_RULES)} FROM trend GROUP BY 1),
             grid AS (SELECT unnest(generate_series(min(fenetre), max(fenetre), INTERVAL 1 MINUTE)) AS eval_at FROM fleet) """
         + " UNION ALL ".join(_alert(r, t) for r, t in ALERT_RULES.items()),
+        "alert_states_5min": f"""WITH {_VALID_TREND}, fleet AS (
+            SELECT fenetre, {", ".join(f"max({r}) AS {r}" for r in ALERT_RULES)} FROM trend GROUP BY 1),
+            grid AS (SELECT unnest(generate_series(
+              time_bucket(INTERVAL 5 MINUTE, min(fenetre) + INTERVAL 4 MINUTE + INTERVAL 59 SECOND),
+              time_bucket(INTERVAL 5 MINUTE, max(fenetre)), INTERVAL 5 MINUTE)) AS eval_at FROM fleet) """
+        + " UNION ALL ".join(_alert(r, t, "ASOF JOIN fleet ON fenetre <= eval_at", 10) for r, t in ALERT_RULES.items()),
+        "trend_in_view_order": f"WITH {_VALID_TREND} SELECT {_TREND_COLUMNS} FROM trend ORDER BY machine_id, fenetre",
+        "daily_run_interrupted": f"WITH {_DAY_ALL} SELECT {_DAY_COLUMNS} FROM day",
         "pseudonymised_operators": f"""WITH {_OPERATORS} SELECT {_hmac('matricule')} AS matricule_pseudonymise,
             {_hmac('nom')} AS nom_pseudonymise, equipe FROM operateurs""",
         "pseudonym_join": """SELECT c_mktsegment AS equipe, count(DISTINCT o_custkey) AS operateurs,

@@ -82,7 +82,22 @@ def batch(spark: SparkSession, sf: str, times: int = 1) -> Warehouse:
     """The daily run, ``times`` times over."""
     raw = _land(spark, sf)
     warehouse = Warehouse(storage.work_folder(spark, "warehouse"))
-    state = partial_windows(b.telemetry(spark, sf)).withColumn("mois", month_of("fenetre"))
+    state = storage.stored(partial_windows(b.valid_telemetry(spark, sf)).withColumn("mois", month_of("fenetre")), "state")
     for _ in range(times):
         run_batch(spark, b.RUN_DATE, raw, warehouse, state)
     return warehouse
+
+
+class Unpublished(Warehouse):
+    """A warehouse whose runs die just before they become visible."""
+
+    def publish(self, spark: SparkSession, run_id: int) -> None:
+        pass
+
+
+def interrupted(spark: SparkSession, sf: str) -> Warehouse:
+    """One published run, and a rerun of the same day without any telemetry that is never published."""
+    warehouse = batch(spark, sf)
+    empty = partial_windows(b.valid_telemetry(spark, sf).limit(0)).withColumn("mois", month_of("fenetre"))
+    run_batch(spark, b.RUN_DATE, _land(spark, sf), Unpublished(warehouse.root), empty)
+    return warehouse

@@ -34,16 +34,17 @@ def _utc_time(text: Column) -> Column:
     return F.when(text.rlike(ISO_TIME), F.when(text.rlike(OFFSET), shifted).otherwise(text.try_cast("timestamp_ntz")))
 
 
-def parse_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_messages(df: DataFrame, value_col: str = "value", machine_ids: tuple[int, int] = MACHINE_ID_RANGE) -> DataFrame:
     """Add the six typed fields and ``malformed_reason`` (NULL for a well-formed message).
 
     Reasons, in checking order: ``json_invalide``, ``champ_manquant``, ``type_invalide``,
     ``horodatage_invalide``. Unknown keys are ignored. A fractional or boolean machine id is a type
-    error, and so is an id outside 16 unsigned bits. NaN and infinities are numbers.
+    error, and so is an id outside ``machine_ids``, by default all that the column holds. NaN and infinities are
+    numbers. Text in single quotes is not JSON.
     """
     text = F.col(value_col).cast("string")
     # Inside an array, trailing text or a second object is an error instead of being ignored.
-    wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), _TEXT_FIELDS)
+    wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), _TEXT_FIELDS, {"allowSingleQuotes": "false"})
     one_object = F.is_valid_utf8(F.col(value_col)) & (F.size("__parsed") == 1)
     staged = (
         df.withColumn("__parsed", wrapped)
@@ -51,7 +52,7 @@ def parse_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
         .drop("__parsed")
     )
     texts = {f: F.col("__object")[f] for f in MESSAGE_FIELDS}
-    low, high = MACHINE_ID_RANGE
+    low, high = machine_ids
     typed = staged.withColumns(
         {
             "__id": _number(texts["machine_id"]),

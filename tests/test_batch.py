@@ -159,3 +159,32 @@ def test_unpublished_run_is_invisible(spark, places):
     storage.remove(spark, f"{warehouse.root}/_published/1")
     assert warehouse.events(spark).count() == 0 and warehouse.dimension(spark, "dim_machine") is None
     assert run_batch(spark, "2030-03-10", raw, warehouse, state(spark))["fait_evenement"] == {"inserted": 3}
+
+
+class Dying(Warehouse):
+    def publish(self, spark, run_id):
+        raise RuntimeError("killed before it was published")
+
+
+def test_day_table_waits_for_its_run(spark, places):
+    raw, warehouse = places
+    deliver(spark, raw, "2030-03-10", FIRST)
+    with pytest.raises(RuntimeError):
+        run_batch(spark, "2030-03-10", raw, Dying(warehouse.root), state(spark))
+    assert warehouse.days(spark).count() == 0
+    run_batch(spark, "2030-03-10", raw, warehouse, state(spark))
+    before = rows_of(warehouse.days(spark))
+    with pytest.raises(RuntimeError):
+        run_batch(spark, "2030-03-10", raw, Dying(warehouse.root), state(spark).limit(0))
+    assert rows_of(warehouse.days(spark)) == before and len(before) == 2
+    run_batch(spark, "2030-03-10", raw, warehouse, state(spark).limit(0))
+    assert {r["rms_vibration_max"] for r in warehouse.days(spark).collect()} == {None}
+
+
+def test_lost_folder_of_a_published_run_is_an_error(spark, places):
+    raw, warehouse = places
+    deliver(spark, raw, "2030-03-10", FIRST)
+    run_batch(spark, "2030-03-10", raw, warehouse, state(spark))
+    storage.remove(spark, warehouse.path("fait_evenement", 1))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        warehouse.events(spark).count()

@@ -75,10 +75,17 @@ def test_number_spellings(spark):
 
 
 def test_machine_ids(spark):
-    ids = [0, 65535, 65536, -1, 1.0, 1.9, "1.9", True]
-    assert reasons(spark, *[message(machine_id=i) for i in ids]) == [None, None] + ["type_invalide"] * 2 + [None] + [
+    ids = [0, 65535, 65536, 2**31 - 1, 2**31, -1, 1.0, 1.9, "1.9", True]
+    assert reasons(spark, *[message(machine_id=i) for i in ids]) == [None] * 4 + ["type_invalide"] * 2 + [None] + [
         "type_invalide"
     ] * 3
+    sent = spark.createDataFrame([(message(machine_id=i),) for i in (65535, 65536)], "value string")
+    limited = messages.parse_messages(sent, machine_ids=(0, 65535)).select("malformed_reason").collect()
+    assert [r[0] for r in limited] == [None, "type_invalide"]
+
+
+def test_single_quotes_are_no_json(spark):
+    assert reasons(spark, message().replace('"', "'")) == ["json_invalide"]
 
 
 def test_times(spark):

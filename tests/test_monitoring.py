@@ -118,6 +118,30 @@ def test_nan_never_fires(spark):
     assert {s for _, s in states(df)} == {"normal"}
 
 
+def test_nan_hides_no_other_machine(spark):
+    df = trend(spark, (1, "2026-01-15T10:00:00", float("nan"), 0), (2, "2026-01-15T10:00:00", 90, 0))
+    assert rows_of(monitoring.latest_breaches(df).filter("breach"), "rule", "value") == [("rms_vibration", 90.0)]
+    assert states(df) == [("10:00", "pending")]
+
+
+def test_every_step_evaluates_the_latest_window(spark):
+    start = datetime(2026, 1, 15, 10, 0)
+    df = trend(spark, *[(1, (start + timedelta(minutes=m)).isoformat(), 50 if m >= 4 else 10, 0) for m in range(21)])
+    assert states(df, step="5 minutes", hold="10 minutes") == [
+        ("10:00", "normal"), ("10:05", "pending"), ("10:10", "pending"), ("10:15", "firing"), ("10:20", "firing")
+    ]
+    late = trend(spark, *[(1, (start + timedelta(minutes=m)).isoformat(), 50, 0) for m in (3, 4, 11)])
+    assert [t for t, _ in states(late, step="5 minutes")] == ["10:05", "10:10"]
+
+
+def test_a_stray_date_is_one_run(spark):
+    df = trend(spark, (1, "0990-01-01T00:00:00", 50, 0), (1, "2026-01-15T10:00:00", 10, 0))
+    runs = monitoring.alert_runs(df).filter("rule = 'rms_vibration'").orderBy("first_eval").collect()
+    assert [r["state"] for r in runs] == ["pending", "firing", "normal"]
+    recent = monitoring.alert_states(df, since=timestamp("2026-01-15 09:58:30")).filter("rule = 'rms_vibration'")
+    assert [s for _, s in sorted((r["eval_at"], r["state"]) for r in recent.collect())] == ["firing", "normal"]
+
+
 series = st.dictionaries(st.integers(0, 60), st.sampled_from([10.0, 45.0, 46.0, 80.0]), min_size=1, max_size=25)
 
 

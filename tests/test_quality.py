@@ -84,3 +84,10 @@ def test_nothing_silent_and_no_telemetry(spark):
     assert quality.silent_sensors(known, fresh, as_of).count() == 0
     assert rows_of(quality.silent_sensors(known, fresh.filter(F.lit(False)), as_of), "machine_id") == [(1,)]
     assert quality.silent_sensors(known, fresh, as_of, "0 seconds").count() == 1
+
+
+def test_profile_sets_nan_apart(spark):
+    nan = float("nan")
+    rows = quality.profile_bounds(readings(spark, {"volt": nan}, {"volt": 299.0}, {"volt": 301.0}, {"rotate": nan})).collect()
+    found = {r["champ"]: (r["max"], r["above"], r["nan"]) for r in rows}
+    assert found["volt"] == (301.0, 1, 1) and found["rotate"] == (400.0, 0, 1) and found["pressure"][2] == 0
