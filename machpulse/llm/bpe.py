@@ -3,10 +3,11 @@
 Three steps run one after another in the task that reads the text; nothing is shuffled.
 
 1. ``mapInArrow`` cuts the texts of a block (``BLOCK_BYTES`` of text, or one longer text) into pieces by the split
-   pattern and numbers the block's distinct pieces.
-2. Spark's higher-order functions encode each distinct piece once: a fold over its bytes joins the pair of lowest
-   rank, leftmost first, until no pair has a rank. The pair ranks are a literal table of hash buckets, read by a
-   scalar subquery; its size is that of the vocabulary.
+   pattern and numbers the distinct pieces. The numbers hold for the whole task, so a block only sends on the pieces
+   that are new; after ``PIECES`` of them the numbering starts afresh, which bounds its memory.
+2. Spark's higher-order functions encode each of these distinct pieces once: a fold over its bytes joins the pair of
+   lowest rank, leftmost first, until no pair has a rank. The pair ranks are a literal table, read by a scalar
+   subquery; its size is that of the vocabulary.
 3. ``mapInArrow`` puts the pieces' ids back in the order of each text.
 
 The fold moves the rest of the piece at every join, so its cost is quadratic in the piece. Pieces above
@@ -19,17 +20,22 @@ import base64
 import heapq
 from collections import defaultdict
 from functools import lru_cache
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 BLOCK_BYTES = 8 << 20
+PIECES = 500_000
 FOLD_BYTES = 256
-BUCKETS = 131_071
-NO_RANK = 1 << 40
-#: A pair's key: above every id, so that a key is never taken for an id in its bucket.
+#: A pair's key in the table, and the sizes of the table's two levels (primes).
 STRIDE = 1 << 24
+GROUPS, SLOTS = 32_749, 262_139
+#: A part of a piece in one number: from the lowest bit its id, its place, and the rank of its pair with the next part.
+PLACE, RANK = 1 << 17, 1 << 36
+NO_RANK = PLACE - 1
+IDS = 1 << 16
 
 
 @lru_cache(maxsize=2)
@@ -49,44 +55,64 @@ def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
     }
 
 
-def _rank_table(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
-    """The pair ranks as one literal: bucket k holds, flat, the keys with remainder k, each before its rank."""
-    buckets: list[list[int]] = [[] for _ in range(BUCKETS)]
+def _displaced(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
+    """A table without collisions: keys of one remainder by GROUPS are moved on together until all find free slots."""
+    if max(ranks.values(), default=0) >= IDS:
+        raise ValueError(f"ids must be below {IDS}")
+    groups = defaultdict(list)
     for (left, right), rank in pair_ranks(ranks).items():
-        key = (left + 1) * STRIDE + right
-        buckets[key % BUCKETS] += [key, rank]
+        key = left * STRIDE + right
+        groups[key % GROUPS].append((key, rank))
+    moves, slots = [0] * GROUPS, [-(1 << 60)] * SLOTS
+    taken = set()
+    for group, items in sorted(groups.items(), key=lambda g: (-len(g[1]), g[0])):
+        for move in range(SLOTS):
+            places = {(key + move) % SLOTS for key, _ in items}
+            if len(places) == len(items) and taken.isdisjoint(places):
+                break
+        else:
+            raise ValueError("the pair ranks do not fit the table")
+        taken |= places
+        moves[group] = move
+        for key, rank in items:
+            slots[(key + move) % SLOTS] = key * PLACE + rank
+    return moves, slots
+
+
+def _rank_table(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
+    """The pair ranks as one literal: ``moves`` by group, and ``slots`` with key and rank in one number."""
     import pyarrow as pa
 
-    table = pa.table({"t": pa.array([buckets], pa.list_(pa.list_(pa.int64())))})
-    return spark.createDataFrame(table).scalar()
+    moves, slots = _displaced(ranks)
+    longs = pa.list_(pa.int64())
+    row = pa.array([{"moves": moves, "slots": slots}], pa.struct([("moves", longs), ("slots", longs)]))
+    return spark.createDataFrame(pa.table({"t": row})).scalar()
 
 
 def _rank(left: str, right: str) -> str:
-    key = f"(({left} + 1L) * {STRIDE}L + {right})"
-    bucket = f"get(_table, cast({key} % {BUCKETS}L as int))"
-    found = f"cast(array_position({bucket}, {key}) as int)"
-    return f"aggregate(array({found}), {NO_RANK}L, (z, f) -> if(f = 0, z, get({bucket}, f)))"
+    """The pair's rank, at most NO_RANK. Another key in the slot is off by at least a whole PLACE, less an id."""
+    key = f"({left} * {STRIDE}L + {right})"
+    move = f"get(_table.moves, cast({key} % {GROUPS}L as int))"
+    return f"least(abs(get(_table.slots, cast(({key} + {move}) % {SLOTS}L as int)) - {key} * {PLACE}L), {NO_RANK}L)"
 
 
-#: One join: ``s.p`` are the parts, ``s.r`` the ranks of neighbouring parts; x.m is the lowest rank, x.i its first place.
+def _id(part: str) -> str:
+    return f"({part} & {PLACE - 1}L)"
+
+
+#: The parts of a piece ``w`` of one-byte tokens. The lowest number is that of the lowest rank, leftmost.
+_PARTS = f"transform(w, (x, j) -> x + j * {PLACE}L + if(j + 1 < size(w), {_rank('x', 'get(w, j + 1)')}, {NO_RANK}L) * {RANK}L)"
+_NEW, _LEFT, _RIGHT = "shiftright(get(q, i - 1), 36)", _id("get(q, i - 2)"), _id("get(q, i + 1)")
+#: One join of part i with the next: the rank becomes the id, and the ranks with both neighbours are looked up.
 _JOIN = f"""
-get(transform(array(named_struct('m', array_min(s.r), 'i', cast(array_position(s.r, array_min(s.r)) as int))), x ->
-  if(x.m = {NO_RANK}L, s, named_struct(
-    'p', concat(slice(s.p, 1, x.i - 1), array(x.m), slice(s.p, x.i + 2, size(s.p))),
-    'r', concat(
-      slice(s.r, 1, greatest(x.i - 2, 0)),
-      if(x.i > 1, array({_rank('get(s.p, x.i - 2)', 'x.m')}), cast(array() as array<bigint>)),
-      if(x.i + 1 < size(s.p), array({_rank('x.m', 'get(s.p, x.i + 1)')}), cast(array() as array<bigint>)),
-      slice(s.r, x.i + 2, size(s.r)))))), 0)"""
-
-#: The fold of one piece ``w``, an array of one-byte tokens.
+if(array_min(q) >= {IDS * RANK}L, q, get(transform(array(cast(array_position(q, array_min(q)) as int)), i -> concat(
+  slice(q, 1, greatest(i - 2, 0)),
+  if(i > 1, array((get(q, i - 2) & {RANK - 1}L) + {_rank(_LEFT, _NEW)} * {RANK}L), cast(array() as array<bigint>)),
+  array((get(q, i - 1) & {RANK - PLACE}L) + {_NEW} + if(i + 1 < size(q), {_rank(_NEW, _RIGHT)}, {NO_RANK}L) * {RANK}L),
+  slice(q, i + 2, size(q)))), 0))"""
 _FOLD = f"""
 if(size(w) < 2 or size(w) > {FOLD_BYTES}, w,
-  aggregate(
-    sequence(2, size(w)),
-    named_struct('p', w, 'r', transform(slice(w, 2, size(w)), (right, i) -> {_rank('get(w, i)', 'right')})),
-    (s, _) -> {_JOIN},
-    s -> s.p))"""
+  aggregate(sequence(2, size(w)), {_PARTS}, (q, _) -> {_JOIN}, q -> transform(q, x -> {_id('x')})))"""
 
 
 def merge_long(parts: list[int], pairs: dict[tuple[int, int], int]) -> list[int]:
@@ -130,19 +156,20 @@ def _segment(pattern: str, ranks: dict[bytes, int]):
 
         find = regex.compile(pattern).findall
         single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        pairs = None
+        pairs, number = None, None
         for whole in batches:
             for start, end in blocks(whole):
                 batch = whole.slice(start, end - start)
-                number = defaultdict()
-                number.default_factory = number.__len__
-                places, counts = [], []
+                if number is None or len(number) > PIECES:
+                    number = defaultdict()
+                    number.default_factory = number.__len__
+                known, places, counts = len(number), [], []
                 for text in batch.column("_text").to_pylist():
                     pieces = find(text)
                     counts.append(len(pieces))
                     places.append(np.fromiter(map(number.__getitem__, pieces), np.int32, len(pieces)))
                 words, sizes = [], []
-                for piece in number:
+                for piece in islice(number, known, None):
                     raw = piece.encode()
                     tokens = single[np.frombuffer(raw, np.uint8)]
                     if len(raw) > FOLD_BYTES:
@@ -161,8 +188,8 @@ def _segment(pattern: str, ranks: dict[bytes, int]):
                 pieces = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int64)))
                 ids = batch.column("_id")
                 yield pa.RecordBatch.from_arrays(
-                    [one(ids), one(pa.array(counts, pa.int32())), one(pa.array(every)), one(pieces)],
-                    names=["ids", "counts", "places", "pieces"],
+                    [one(ids), one(pa.array(counts, pa.int32())), one(pa.array(every)), one(pieces), pa.array([known], pa.int32())],
+                    names=["ids", "counts", "places", "pieces", "known"],
                 )
 
     return run
@@ -172,14 +199,18 @@ def _assemble(batches):
     import numpy as np
     import pyarrow as pa
 
+    tokens, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
     for batch in batches:
         for row in range(batch.num_rows):
             ids = batch.column("ids").slice(row, 1).flatten()
             counts = batch.column("counts").slice(row, 1).flatten().to_numpy()
             places = batch.column("places").slice(row, 1).flatten().to_numpy()
             pieces = batch.column("pieces").slice(row, 1).flatten()
-            tokens = pieces.flatten().to_numpy().astype(np.int32)
-            starts = np.concatenate([[0], np.cumsum(pieces.value_lengths().to_numpy())]).astype(np.int64)
+            if not batch.column("known")[row].as_py():
+                tokens, sizes = tokens[:0], sizes[:0]
+            tokens = np.concatenate([tokens, pieces.flatten().to_numpy().astype(np.int32)])
+            sizes = np.concatenate([sizes, pieces.value_lengths().to_numpy().astype(np.int64)])
+            starts = np.concatenate([[0], np.cumsum(sizes)])
             ends = np.concatenate([[0], np.cumsum(counts)])
             documents, lengths = [], []
             for first, last in zip(ends, ends[1:]):
@@ -207,9 +238,12 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col="doc_id", text_
     blocks = StructType([
         StructField("ids", ArrayType(id_type)), StructField("counts", ArrayType(IntegerType())),
         StructField("places", ArrayType(IntegerType())), StructField("pieces", ArrayType(ArrayType(LongType()))),
+        StructField("known", IntegerType()),
     ])
     cut = lean.mapInArrow(_segment(pattern, ranks), blocks).withColumn("_table", _rank_table(spark, ranks))
-    folded = cut.select("ids", "counts", "places", F.expr(f"transform(pieces, w -> {_FOLD})").alias("pieces"))
+    folded = cut.select(
+        "ids", "counts", "places", F.expr(f"transform(pieces, w -> {_FOLD})").alias("pieces"), "known"
+    )
     out = StructType([StructField("_id", id_type), StructField("_ids", ArrayType(IntegerType()))])
     return folded.mapInArrow(_assemble, out).select(F.col("_id").alias(id_col), F.col("_ids").alias(ids_col))
 

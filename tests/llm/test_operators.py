@@ -37,6 +37,19 @@ def test_ids_equal_those_of_the_library(spark):
     assert bpe.encode(docs.limit(0), rank_file(), split_pattern()).count() == 0
 
 
+def test_blocks_share_and_renew_their_numbering(spark, monkeypatch):
+    docs = documents(spark, [(i, prose(random.Random(i), 80), "s") for i in range(60)], clash=False).coalesce(1)
+    want = {r.doc_id: r.ids for r in bpe.encode(docs, rank_file(), split_pattern()).collect()}
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", 1500)
+    monkeypatch.setattr(bpe, "PIECES", 150)
+    rows = docs.selectExpr("doc_id AS _id", "text AS _text").mapInArrow(
+        bpe._segment(split_pattern(), bpe.read_ranks(rank_file())),
+        "ids array<long>, counts array<int>, places array<int>, pieces array<array<bigint>>, known int",
+    ).select("known").collect()
+    assert len(rows) > 10 and len({r.known for r in rows}) > 2 and sum(r.known == 0 for r in rows) > 1
+    assert {r.doc_id: r.ids for r in bpe.encode(docs, rank_file(), split_pattern()).collect()} == want
+
+
 def test_long_pieces_merge_as_the_fold_does():
     ranks = bpe.read_ranks(rank_file())
     pairs = bpe.pair_ranks(ranks)
