@@ -60,13 +60,12 @@ def _minus_previous() -> Column:
     return (pressure - F.coalesce(F.col("__previous"), pressure)).alias("tendance_pression")
 
 
-def pressure_trend(windows: DataFrame, split_days: bool = False) -> DataFrame:
+def pressure_trend(windows: DataFrame, split_days: bool = True) -> DataFrame:
     """Add the change of mean pressure against the machine's previous window; 0 for its first one.
 
-    Windows are already aggregated, so the calendar bounds a machine's group: one row per minute, at
-    most 527,040 a year, however many readings it sent. A machine with a third of all readings has no
-    more windows than any other. ``split_days`` keeps every group within one day at the price of one
-    more shuffle, for much finer windows or very few machines.
+    No group holds more than a day of a machine: rows are ranked within their day, and only the first and last
+    row of each day meet in a second, small group. ``split_days=False`` orders a machine's whole history in one
+    group, with one shuffle less, for short histories of many machines.
     """
     if split_days:
         staged = previous_row(windows, ["machine_id"], "fenetre", {"__previous": "pression_moyenne"})
@@ -76,13 +75,13 @@ def pressure_trend(windows: DataFrame, split_days: bool = False) -> DataFrame:
     return staged.select(*windows.columns, _minus_previous())
 
 
-def trend_of_state(state: DataFrame) -> DataFrame:
-    """Trend over stored partials with a single shuffle.
+def trend_of_state(state: DataFrame, split_days: bool = True) -> DataFrame:
+    """Trend over stored partials.
 
-    Partials are small already, so they go straight to their machine's partition, which serves the
-    merge and the window alike.
+    Partials of a window are first added up where they are read, so a machine with many small or late batches
+    sends one row per window and task.
     """
-    return pressure_trend(merge_windows(state.repartition("machine_id")))
+    return pressure_trend(merge_windows(state), split_days)
 
 
 def closing_windows(windows: DataFrame) -> DataFrame:

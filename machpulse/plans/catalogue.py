@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from machpulse.functions.fixed_values import MEASURES
+from machpulse.functions.fixed_values import EVENT_SOURCES, MEASURES
 from machpulse.functions.keyed_hash import key_table
 from machpulse.functions.time_columns import month_of, timestamp, window_start
 from machpulse.operators import consolidation, datamart, history, monitoring, privacy, quality, telemetry, writes
@@ -199,7 +199,11 @@ def landed_staging(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(
         DataFrame.unionByName,
         [
-            df.select(F.lit(name).alias("source"), "datetime_evt", "machine_id", F.col(code).alias("code"))
+            df.select(
+                F.lit(name).alias("source"),
+                F.col("datetime_evt") if "datetime_evt" in df.columns else F.lit(None).cast("timestamp_ntz").alias("datetime_evt"),
+                "machine_id", F.col(code).alias("code"), (F.col("age") if "age" in df.columns else F.lit(None).cast("int")).alias("age"),
+            )
             for name, code, df in tables
         ],
     )
@@ -347,34 +351,38 @@ def event_history(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def orphan_events(spark: SparkSession, sf: str) -> DataFrame:
-    """Errors of machines that are missing from a partial machine list."""
+    """Errors, failures and maintenance of machines that are missing from a partial machine list."""
     customers = b.table(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
     parent = customers.select(F.col("c_custkey").cast("int").alias("machine_id"))
-    return orphans(b.staging_events(spark, sf, "erreurs"), "machine_id", parent, "machine_id")
+    found = [
+        orphans(b.staging_events(spark, sf, table), "machine_id", parent, "machine_id").select(
+            F.lit(table).alias("source"), "datetime_evt", "machine_id", F.col(code).alias("code")
+        )
+        for table, (_, code, _) in EVENT_SOURCES.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 @_query
 def constraint_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Rules of the staging machines and errors, the latter against a partial machine list."""
+    """Rules of the staging machines and the three event tables, the latter against a partial machine list."""
     customers = b.table(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
     parent = customers.select(F.col("c_custkey").cast("int").alias("machine_id"))
-    rules = staging_rules("erreurs", parent)
-    errors = check_constraints(
-        b.staging_events(spark, sf, "erreurs"),
-        type(rules)(
-            not_null=rules.not_null,
-            checks={"error_id": F.col("error_id") != "error5"},
-            lengths={"error_id": 5},
-            unique=(("datetime_evt", "machine_id", "error_id"),),
-            foreign=rules.foreign,
-        ),
-    )
-    machines = check_constraints(b.staging_machines(spark, sf), staging_rules("machines"))
-    return (
-        errors.withColumn("source", F.lit("erreurs"))
-        .unionByName(machines.withColumn("source", F.lit("machines")))
-        .select("source", "rule", F.col("violations").cast("long").alias("violations"))
-    )
+    reports = [check_constraints(b.staging_machines(spark, sf), staging_rules("machines")).withColumn("source", F.lit("machines"))]
+    for table, (_, code, _) in EVENT_SOURCES.items():
+        rules = staging_rules(table, parent)
+        report = check_constraints(
+            b.staging_events(spark, sf, table),
+            type(rules)(
+                not_null=rules.not_null,
+                checks={code: ~F.col(code).isin("error5", "comp4")},
+                lengths={code: 5},
+                unique=(("datetime_evt", "machine_id", code),),
+                foreign=rules.foreign,
+            ),
+        )
+        reports.append(report.withColumn("source", F.lit(table)))
+    return reduce(DataFrame.unionByName, reports).select("source", "rule", F.col("violations").cast("long").alias("violations"))
 
 
 # Daily consolidation

@@ -2,6 +2,7 @@
 
 from machpulse.functions.fixed_values import (
     ALERT_RULES,
+    EVENT_SOURCES,
     EVENT_TYPES,
     MACHINE_ID_RANGE,
     MEASURES,
@@ -224,7 +225,23 @@ def _counts(table: str) -> str:
 _FACT_COLUMNS = "machine_id_nat, code_type, code_brut, datetime_evt, id_date, source_fichier, sans_operateur"
 _TYPE_ROWS = ", ".join(f"('{code}', '{label}')" for _, code, label in EVENT_TYPES)
 _LAST = "SELECT machine_id, max(datetime_mes) AS last_seen FROM {} GROUP BY 1"
-_ORPHANS = "SELECT * FROM erreurs WHERE machine_id NOT IN (SELECT machine_id FROM machines WHERE c_acctbal >= 0)"
+
+
+def _orphans(table: str) -> str:
+    return f"SELECT * FROM {table} WHERE machine_id NOT IN (SELECT machine_id FROM machines WHERE c_acctbal >= 0)"
+
+
+def _event_rules(table: str, code: str) -> str:
+    counted = {
+        "not_null:datetime_evt": "count(*) FILTER (WHERE datetime_evt IS NULL)",
+        "not_null:machine_id": "count(*) FILTER (WHERE machine_id IS NULL)",
+        f"not_null:{code}": "count(*) FILTER (WHERE code IS NULL)",
+        f"check:{code}": "count(*) FILTER (WHERE code IN ('error5', 'comp4'))",
+        f"length:{code}": "count(*) FILTER (WHERE length(code) > 5)",
+        f"unique:datetime_evt,machine_id,{code}": f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {table}))",
+        "foreign:machine_id": f"any_value((SELECT count(*) FROM ({_orphans(table)})))",
+    }
+    return " UNION ALL ".join(f"SELECT '{table}' AS source, '{r}' AS rule, {n} AS violations FROM {table}" for r, n in counted.items())
 
 
 def all_sql() -> dict[str, str]:
@@ -270,8 +287,9 @@ def all_sql() -> dict[str, str]:
             WHERE machine_id = {HISTORY_MACHINE} ORDER BY datetime_mes""",
         "fleet_period": f"""WITH {_TELE} SELECT event_id, machine_id, datetime_mes, {_MEASURES} FROM tele
             WHERE datetime_mes >= TIMESTAMP '{PERIOD[0]}' AND datetime_mes < TIMESTAMP '{PERIOD[1]}'""",
-        "landed_staging": f"""WITH {_STAGING} SELECT 'erreurs' AS source, * FROM erreurs
-            UNION ALL SELECT 'pannes', * FROM pannes UNION ALL SELECT 'maintenances', * FROM maintenances""",
+        "landed_staging": f"""WITH {_STAGING} SELECT 'erreurs' AS source, *, NULL::INTEGER AS age FROM erreurs
+            UNION ALL SELECT 'pannes', *, NULL FROM pannes UNION ALL SELECT 'maintenances', *, NULL FROM maintenances
+            UNION ALL SELECT 'machines', NULL, machine_id, model, age FROM machines""",
         "staging_insert": f"""WITH {_STAGING} SELECT datetime_evt, machine_id, code AS error_id FROM (
             SELECT * FROM erreurs EXCEPT SELECT * FROM erreurs WHERE datetime_evt < TIMESTAMP '{SPLIT_DAY}')""",
         "staging_counts": f"WITH {_STAGING} " + " UNION ALL ".join(_counts(t) for t in ("erreurs", "pannes", "maintenances")),
@@ -300,17 +318,11 @@ def all_sql() -> dict[str, str]:
         "event_fact_increment": f"WITH {_FACT} SELECT {_FACT_COLUMNS} FROM fact WHERE datetime_evt >= TIMESTAMP '{SPLIT_DAY}'",
         "interventions": f"WITH {_FACT} SELECT {_FACT_COLUMNS} FROM fact WHERE code_type IN ('PANNE', 'MAINTENANCE')",
         "event_history": f"WITH {_FACT} SELECT {_FACT_COLUMNS} FROM fact WHERE machine_id_nat = {HISTORY_MACHINE} ORDER BY datetime_evt",
-        "orphan_events": f"WITH {_STAGING} SELECT datetime_evt, machine_id, code AS error_id FROM ({_ORPHANS})",
+        "orphan_events": f"WITH {_STAGING} " + " UNION ALL ".join(
+            f"SELECT '{t}' AS source, datetime_evt, machine_id, code FROM ({_orphans(t)})" for t in EVENT_SOURCES
+        ),
         "constraint_report": f"""WITH {_STAGING}
-            SELECT 'erreurs' AS source, rule, violations FROM (
-              SELECT 'not_null:datetime_evt' AS rule, count(*) FILTER (WHERE datetime_evt IS NULL) AS violations FROM erreurs
-              UNION ALL SELECT 'not_null:machine_id', count(*) FILTER (WHERE machine_id IS NULL) FROM erreurs
-              UNION ALL SELECT 'not_null:error_id', count(*) FILTER (WHERE code IS NULL) FROM erreurs
-              UNION ALL SELECT 'check:error_id', count(*) FILTER (WHERE code = 'error5') FROM erreurs
-              UNION ALL SELECT 'length:error_id', count(*) FILTER (WHERE length(code) > 5) FROM erreurs
-              UNION ALL SELECT 'unique:datetime_evt,machine_id,error_id',
-                (SELECT count(*) FROM erreurs) - (SELECT count(*) FROM (SELECT DISTINCT * FROM erreurs))
-              UNION ALL SELECT 'foreign:machine_id', (SELECT count(*) FROM ({_ORPHANS})))
+            {" UNION ALL ".join(_event_rules(t, code) for t, (_, code, _) in EVENT_SOURCES.items())}
             UNION ALL SELECT 'machines', rule, violations FROM (
               SELECT 'not_null:machine_id' AS rule, count(*) FILTER (WHERE machine_id IS NULL) AS violations FROM machines
               UNION ALL SELECT 'not_null:model', count(*) FILTER (WHERE model IS NULL) FROM machines

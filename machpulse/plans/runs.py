@@ -35,13 +35,13 @@ def _land(spark: SparkSession, sf: str) -> str:
 
 
 def landed(spark: SparkSession, sf: str) -> list[tuple[str, str, DataFrame]]:
-    """(table, code column, typed rows) of the landed event files."""
+    """(table, code column, typed rows) of the four landed files; a machine's code is its model."""
     root = _land(spark, sf)
     landing.require_landed(spark, root, b.RUN_DATE)
     found = []
     for filename, (table, _) in STAGING_FILES.items():
-        if table in EVENT_SOURCES:
-            found.append((table, EVENT_SOURCES[table][1], landing.read_landed(spark, root, b.RUN_DATE, filename)))
+        code = EVENT_SOURCES[table][1] if table in EVENT_SOURCES else "model"
+        found.append((table, code, landing.read_landed(spark, root, b.RUN_DATE, filename)))
     return found
 
 

@@ -8,8 +8,16 @@ from machpulse.functions.fixed_values import FLUSH_MESSAGES, FLUSH_SECONDS
 from machpulse.schemas import fields
 
 
-def kafka_options(servers: str, topic: str, max_offsets: int | None = None) -> dict[str, str]:
-    """Start at the earliest offset; fire at 500 messages or after 10 seconds, whichever is first."""
+#: A micro-batch is kept in executor memory while it is written; a backlog is worked off in batches of this size.
+MAX_OFFSETS = 1_000_000
+
+
+def kafka_options(servers: str, topic: str, max_offsets: int | None = MAX_OFFSETS) -> dict[str, str]:
+    """Start at the earliest offset; fire at 500 messages or after 10 seconds, whichever is first.
+
+    The source itself watches both limits, so the query must ask it without pause: see ``run_stream``. At most
+    ``max_offsets`` messages make one batch, the rest wait for the next; None takes a backlog in one.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -22,9 +30,10 @@ def kafka_options(servers: str, topic: str, max_offsets: int | None = None) -> d
     return options
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None) -> DataFrame:
-    """Binary ``value`` column. Needs the Kafka connector on the class path."""
-    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, max_offsets)).load().select("value")
+def kafka_stream(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = MAX_OFFSETS) -> DataFrame:
+    """``key, value, topic, partition, offset``. Needs the Kafka connector on the class path."""
+    stream = spark.readStream.format("kafka").options(**kafka_options(servers, topic, max_offsets)).load()
+    return stream.select("key", "value", "topic", "partition", "offset")
 
 
 def file_stream(

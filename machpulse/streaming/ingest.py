@@ -18,6 +18,8 @@ from machpulse.sources.telemetry_store import TelemetryStore, lake_rows, quarant
 
 log = logging.getLogger(__name__)
 
+PACED_BY_SOURCE = "0 seconds"
+
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
@@ -83,8 +85,13 @@ def run_stream(
     checkpoint: str,
     available_now: bool = False,
     clock: Callable[[], datetime] = utc_now,
+    every: str = f"{FLUSH_SECONDS} seconds",
 ) -> StreamingQuery:
-    """Start the query. Offsets are committed only after all writes of a batch succeeded."""
+    """Start the query. Offsets are committed only after all writes of a batch succeeded.
+
+    ``every`` paces sources that cannot wait by themselves. With Kafka it should be ``PACED_BY_SOURCE``: the source
+    then fires at 500 messages or after 10 seconds, instead of being asked only every 10 seconds.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, store, clock)
@@ -93,7 +100,7 @@ def run_stream(
     if available_now:
         writer = writer.trigger(availableNow=True)
     else:
-        writer = writer.trigger(processingTime=f"{FLUSH_SECONDS} seconds")
+        writer = writer.trigger(processingTime=every)
     return writer.start()
 
 

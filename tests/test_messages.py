@@ -145,4 +145,5 @@ def test_kafka_options():
     assert options["startingOffsets"] == "earliest"
     assert (options["minOffsetsPerTrigger"], options["maxTriggerDelay"]) == ("500", "10s")
     assert options["maxOffsetsPerTrigger"] == "50000"
-    assert "maxOffsetsPerTrigger" not in streams.kafka_options("broker:9092", "capteurs")
+    assert streams.kafka_options("broker:9092", "capteurs")["maxOffsetsPerTrigger"] == str(streams.MAX_OFFSETS)
+    assert "maxOffsetsPerTrigger" not in streams.kafka_options("broker:9092", "capteurs", None)

@@ -1,3 +1,4 @@
+import re
 import math
 from datetime import datetime, timedelta
 
@@ -66,11 +67,16 @@ def test_split_days_keeps_groups_within_a_day(spark):
     assert all(g.startswith("machine_id#") and ", _w" in g for g in groups)
 
 
-def test_trend_of_state_shuffles_once(spark, tmp_path):
-    raw = telemetry(spark, [(1, "2030-01-01T00:00:00", 1, 1)])
+def test_trend_of_state_adds_up_before_the_shuffle(spark, tmp_path):
+    raw = telemetry(spark, [(1, "2026-01-15T10:00:00", 100, 20), (1, "2026-01-16T10:01:00", 101, 20)])
     t.partial_windows(raw).write.parquet(str(tmp_path / "state"))
     plan = plan_of(t.trend_of_state(spark.read.parquet(str(tmp_path / "state"))))
-    assert plan.count("Exchange hashpartitioning(machine_id#") == 1 and plan.count("Exchange") == 1
+    scan_side = plan[plan.rindex("Exchange"):]
+    assert "partial_sum" in scan_side and "Exchange hashpartitioning(machine_id" in plan
+    # Every window group is a day of a machine, or the edges of its days.
+    assert plan.count("Window [") == 2 and "hashpartitioning(machine_id#" in plan
+    assert not re.search(r"hashpartitioning\(machine_id#\d+, \d+\)", plan)
+
 
 
 readings = st.lists(

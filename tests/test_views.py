@@ -2,15 +2,20 @@ import time
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from machpulse.operators.datamart import event_types
-from machpulse.operators.telemetry import merge_windows
+from machpulse.operators.telemetry import merge_windows, partial_windows
 from machpulse.plans import integrity, views
 from machpulse.plans.batch import Warehouse, run_batch
+from machpulse.sources import streams
+from machpulse.sources.messages import parse_messages
 from machpulse.sources.telemetry_store import TelemetryStore
 from machpulse.streaming import ingest
+from machpulse.streaming.alerting import alert_check, watch
+from machpulse.streaming.relay import relay
 from machpulse.streaming.silence import silence_check, watch_silence
-from tests.helpers import at, message, rows_of
+from tests.helpers import at, message, rows_of, telemetry
 from tests.test_batch import FIRST, deliver, state
 
 NOW = datetime(2026, 1, 15, 6, 10)
@@ -96,3 +101,50 @@ def test_silence_watch_writes_each_check(spark, store, tmp_path):
     query.stop()
     assert rows_of(spark.read.parquet(f"{out}/controle=0"), "machine_id") == [(2,)]
     assert merge_windows(store.read_state(spark)).count() == 4
+
+
+def test_operators_are_a_view(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path / "warehouse"))
+    views.register_warehouse(spark, warehouse)
+    assert spark.table("dim_operateur").columns == ["matricule_pseudonymise", "nom_pseudonymise", "equipe"]
+    people = spark.createDataFrame([("a", "b", "c")], "matricule_pseudonymise string, nom_pseudonymise string, equipe string")
+    views.register_warehouse(spark, warehouse, people)
+    assert rows_of(spark.table("dim_operateur")) == [("a", "b", "c")]
+
+
+def test_relay_keys_fitting_messages(spark, tmp_path):
+    rows = [
+        ("automeca/capteurs/7/mesure", message(machine_id=7)),
+        ("automeca/capteurs/7/x/mesure", message(machine_id=8)),
+        ("automeca/capteurs/9/mesure", "{broken"),
+        ("automeca/capteurs/3/mesure", message(machine_id=3)),
+    ]
+    spark.createDataFrame(rows, "topic string, value string").write.parquet(str(tmp_path / "raw"))
+    source = streams.file_stream(spark, str(tmp_path / "raw"), spark.read.parquet(str(tmp_path / "raw")).schema)
+    out = {"path": str(tmp_path / "keyed")}
+    relay(source, out, str(tmp_path / "checkpoint"), sink="parquet", available_now=True).awaitTermination()
+    keyed = spark.read.parquet(out["path"])
+    assert sorted(r["key"] for r in keyed.collect()) == ["3", "7"]
+    assert rows_of(parse_messages(keyed), "machine_id", "malformed_reason") == [(3, None), (7, None)]
+
+
+def test_alerts_as_they_stand(spark):
+    times = [f"2026-01-15T06:0{m}:00" for m in range(4)]
+    raw = telemetry(spark, [(1, t, 100, 20 if t < times[1] else 60) for t in times])
+    partials = partial_windows(raw).withColumn("mois", F.lit(202601))
+    found = {m: {r["rule"]: r["state"] for r in alert_check(partials, datetime(2026, 1, 15, 6, m, 30)).collect()} for m in (0, 1, 2, 3)}
+    assert [found[m]["rms_vibration"] for m in range(4)] == ["normal", "pending", "pending", "firing"]
+    assert alert_check(partials, datetime(2026, 1, 20)).count() == 0
+
+
+def test_watch_writes_a_folder_per_check(spark, tmp_path):
+    query = watch(spark, lambda now: spark.createDataFrame([(now,)], "at timestamp_ntz"), str(tmp_path / "out"),
+                  str(tmp_path / "checkpoint"), "1 second", lambda: NOW)
+    try:
+        for _ in range(60):
+            time.sleep(0.5)
+            if list((tmp_path / "out").glob("controle=*/_SUCCESS")):
+                break
+    finally:
+        query.stop()
+    assert rows_of(spark.read.parquet(str(tmp_path / "out")), "at")[0] == (NOW,)
