@@ -67,7 +67,7 @@ def ratio_table(
     docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality", buckets=1 << 16,
     trusted_limit=20_000, n=1,
 ) -> DataFrame:
-    """``bucket, ratio``: natural log of trusted over raw probability, both with one added to every count."""
+    """``bucket, ratio``: natural log of trusted over raw probability, both with one added to every count; 0 without trusted words."""
     trusted = (
         labels.filter(F.col(label_col) == 1).select(F.col(id_col).alias("_trusted")).filter("_trusted IS NOT NULL").distinct()
         .orderBy(F.xxhash64("_trusted"), "_trusted").limit(trusted_limit)
@@ -82,7 +82,9 @@ def ratio_table(
     )
     counts = stored(counts, "quality-counts")
     totals = counts.agg(F.sum("_raw").alias("_raws"), F.sum("_good").alias("_goods")).first()
-    raws, goods = (totals["_raws"] or 0) + buckets, (totals["_goods"] or 0) + buckets
+    if not totals["_goods"]:
+        return counts.select("bucket", F.lit(0.0).alias("ratio"))
+    raws, goods = totals["_raws"] + buckets, totals["_goods"] + buckets
     ratio = F.ln((F.col("_good") + 1) / F.lit(float(goods))) - F.ln((F.col("_raw") + 1) / F.lit(float(raws)))
     return counts.select("bucket", ratio.alias("ratio"))
 
@@ -95,7 +97,7 @@ def judge(
 
     ``base_failed``: under 50 words, or more than half of the words in repeated 3-word windows. ``kept`` is false
     for these and for scores below ``threshold``. Null and empty texts have no words and fail. Without trusted
-    rows every ratio is that of the smoothing, equal for equal counts. Repeated rows are judged each. Columns named
+    words there is nothing to compare with: every ratio is 0 and only the counts reject. Repeated rows are judged each. Columns named
     in ``carry`` (short ones: they travel with every word) are handed on; others are ignored. An empty table gives none.
     """
     ratios = ratio_table(docs, labels, id_col, text_col, label_col, buckets, trusted_limit, n)
