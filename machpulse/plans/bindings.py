@@ -1,6 +1,6 @@
 """The engine's inputs derived from the given tables: ``events``, ``customer``, ``orders``."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from machpulse.functions.fixed_values import MESSAGE_FIELDS
@@ -35,9 +35,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(INPUTS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All readings, with ``event_id`` kept for tracing."""
-    timed = table(spark, sf_dir, "events").withColumn("datetime_mes", floor_second("ts"))
+def telemetry(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    """All readings, with ``event_id`` kept for tracing; ``where`` filters the source, so that the scan can use it."""
+    source = table(spark, sf_dir, "events")
+    timed = (source if where is None else source.filter(where)).withColumn("datetime_mes", floor_second("ts"))
     delay = F.expr("INTERVAL '1' SECOND") * (F.col("event_id") % 45)
     return timed.select(
         "event_id",

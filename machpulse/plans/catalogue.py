@@ -179,13 +179,17 @@ def day_trend_with_carry(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def machine_history(spark: SparkSession, sf: str) -> DataFrame:
-    rows = history.machine_history(b.telemetry(spark, sf), HISTORY_MACHINE)
+    source = b.telemetry(spark, sf, F.col("user_id") == HISTORY_MACHINE)
+    rows = history.machine_history(source, HISTORY_MACHINE)
     return rounded(rows.select("machine_id", "datetime_mes", *MEASURES), *MEASURES).orderBy("datetime_mes")
 
 
 @_query
 def fleet_period(spark: SparkSession, sf: str) -> DataFrame:
-    rows = history.fleet_period(b.telemetry(spark, sf), timestamp(PERIOD[0]), timestamp(PERIOD[1]))
+    start, end = timestamp(PERIOD[0]), timestamp(PERIOD[1])
+    # Whole seconds at both ends, so the times before rounding down lie in the same period.
+    source = b.telemetry(spark, sf, (F.col("ts") >= start) & (F.col("ts") < end))
+    rows = history.fleet_period(source, start, end)
     return rounded(rows.select("event_id", "machine_id", "datetime_mes", *MEASURES), *MEASURES)
 
 

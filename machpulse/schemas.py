@@ -84,3 +84,4 @@ FACT_DAY = fields(
     "id_date INT, id_machine INT, rms_vibration_moyen DOUBLE, rms_vibration_max DOUBLE, "
     "tendance_pression_moyenne DOUBLE, nb_erreurs INT, nb_pannes INT, nb_maintenances INT"
 )
+LAST_SEEN = fields("machine_id INT, last_seen TIMESTAMP_NTZ")

@@ -18,6 +18,7 @@ from machpulse import schemas
 from machpulse.functions.fixed_values import MESSAGE_FIELDS
 from machpulse.functions.time_columns import floor_second, month_of
 from machpulse.operators.history import fleet_period
+from machpulse.operators.quality import last_seen
 from machpulse.operators.telemetry import compact_state, partial_windows
 from machpulse.sources import storage
 
@@ -28,6 +29,7 @@ _TABLES = {
     "lac": (schemas.LAKE, "ingest_date"),
     "etats": (schemas.STATE, "mois"),
     "lots": (schemas.BATCH_COUNTS, None),
+    "vus": (schemas.LAST_SEEN, None),
 }
 
 
@@ -57,6 +59,14 @@ def lake_rows(valid: DataFrame, ingested_at: Column) -> DataFrame:
     return valid.select(*MESSAGE_FIELDS, F.to_date(ingested_at).alias("ingest_date"))
 
 
+def seen_rows(valid: DataFrame) -> DataFrame:
+    return last_seen(valid.select("machine_id", floor_second("datetime_mes").alias("datetime_mes")))
+
+
+def _newest(seen: DataFrame) -> DataFrame:
+    return seen.groupBy("machine_id").agg(F.max("last_seen").alias("last_seen"))
+
+
 def state_rows(valid: DataFrame) -> DataFrame:
     return partial_windows(valid).withColumn("mois", month_of("fenetre"))
 
@@ -123,6 +133,14 @@ class TelemetryStore:
         """All window partials."""
         return self.read(spark, "etats")
 
+    def last_seen(self, spark: SparkSession) -> DataFrame:
+        """Time of the last valid message of each machine, from the small table that every batch adds to."""
+        return _newest(self.read(spark, "vus"))
+
+    def newest_batch(self, spark: SparkSession, table: str) -> int:
+        """The last batch with a folder, whose query may still replay it; -1 without any."""
+        return max(storage.numbered(spark, self.folder(table), "batch_id=", complete=False), default=-1)
+
     def period(self, spark: SparkSession, start: Column, end: Column) -> DataFrame:
         """Raw telemetry in [start, end), reading only its months."""
         return fleet_period(self.read(spark, "telemetrie"), start, end)
@@ -130,10 +148,12 @@ class TelemetryStore:
     def compact(self, spark: SparkSession, table: str, upto: int) -> bool:
         """Fold the small files of the batches after the last segment, up to ``upto``, into a segment.
 
-        Costs only the new batches; partials of the same window become one row. ``upto`` must lie
-        below the batch that could still be replayed. Readers ignore the segment until it is complete
-        and the folded batches afterwards.
+        Costs only the new batches; partials of the same window, and sightings of one machine, become one
+        row. Only the newest batch can be replayed, so ``upto`` must lie below it. Readers ignore the segment
+        until it is complete and the folded batches afterwards.
         """
+        if upto >= self.newest_batch(spark, table):
+            raise ValueError(f"batch {upto} of {table} may still be replayed")
         segments = self._segments(spark, table)
         after = segments[-1] if segments else -1
         if upto <= after:
@@ -141,16 +161,22 @@ class TelemetryStore:
         fresh = self.read_batches(spark, table).filter(F.col("batch_id").between(after + 1, upto)).drop("batch_id")
         if table == "etats":
             fresh = compact_state(fresh).withColumn("mois", month_of("fenetre"))
+        if table == "vus":
+            fresh = _newest(fresh)
         self._write(table, fresh, f"{self._folded(table)}/upto={upto}")
         return True
 
-    def drop_folded_batches(self, spark: SparkSession, table: str) -> int:
-        """Remove batch folders that a finished segment covers."""
+    def drop_folded_batches(self, spark: SparkSession, table: str, grace: int = 1) -> int:
+        """Remove batch folders that finished segments cover, except those of the last ``grace`` segments.
+
+        A reader that listed the table before the newest segment was finished still finds its files.
+        """
         segments = self._segments(spark, table)
-        if not segments:
+        if len(segments) <= grace:
             return 0
+        upto = segments[-1 - grace]
         folder = self.folder(table)
-        folded = [b for b in storage.numbered(spark, folder, "batch_id=", complete=False) if b <= segments[-1]]
+        folded = [b for b in storage.numbered(spark, folder, "batch_id=", complete=False) if b <= upto]
         for batch_id in folded:
             storage.remove(spark, f"{folder}/batch_id={batch_id}")
         return len(folded)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,11 +14,12 @@ from machpulse.functions.fixed_values import FLUSH_SECONDS, WINDOW
 from machpulse.functions.time_columns import timestamp
 from machpulse.operators.quality import flag_out_of_range
 from machpulse.sources.messages import parse_messages
-from machpulse.sources.telemetry_store import TelemetryStore, lake_rows, quarantine_rows, raw_rows, state_rows
+from machpulse.sources.telemetry_store import TelemetryStore, lake_rows, quarantine_rows, raw_rows, seen_rows, state_rows
 
 log = logging.getLogger(__name__)
 
 PACED_BY_SOURCE = "0 seconds"
+COMPACTED = ("telemetrie", "quarantaine", "rejets", "lac", "etats", "lots", "vus")
 
 
 def utc_now() -> datetime:
@@ -64,6 +65,7 @@ def process_batch(
             store.write_batch("lac", batch_id, lake_rows(valid, at))
             store.write_batch("telemetrie", batch_id, raw_rows(valid, at))
             store.write_batch("etats", batch_id, state_rows(valid))
+            store.write_batch("vus", batch_id, seen_rows(valid))
         totals = {name: counts.get(key, 0) for name, key in _COUNTED.items()}
         if counts:
             summary = messages.sparkSession.range(1, numPartitions=1).select(
@@ -79,6 +81,15 @@ def process_batch(
 _COUNTED = {"valides": "valide", "quarantaine": "quarantaine", "malformes": "malforme"}
 
 
+def fold_finished(spark: SparkSession, store: TelemetryStore) -> None:
+    """Fold all batches but the newest of every table, and drop those folded by the time before."""
+    for table in COMPACTED:
+        newest = store.newest_batch(spark, table)
+        if newest > 0:
+            store.compact(spark, table, newest - 1)
+            store.drop_folded_batches(spark, table)
+
+
 def run_stream(
     source: DataFrame,
     store: TelemetryStore,
@@ -86,15 +97,19 @@ def run_stream(
     available_now: bool = False,
     clock: Callable[[], datetime] = utc_now,
     every: str = f"{FLUSH_SECONDS} seconds",
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Start the query. Offsets are committed only after all writes of a batch succeeded.
 
     ``every`` paces sources that cannot wait by themselves. With Kafka it should be ``PACED_BY_SOURCE``: the source
-    then fires at 500 messages or after 10 seconds, instead of being asked only every 10 seconds.
+    then fires at 500 messages or after 10 seconds, instead of being asked only every 10 seconds. With
+    ``compact_every``, each so many batches the finished ones of every table are folded.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, store, clock)
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            fold_finished(batch.sparkSession, store)
 
     writer = source.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if available_now:

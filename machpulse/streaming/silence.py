@@ -4,37 +4,32 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from machpulse.functions.fixed_values import SILENCE_THRESHOLD
-from machpulse.functions.time_columns import interval, month_of, timestamp
+from machpulse.functions.time_columns import timestamp
 from machpulse.operators.quality import silent_sensors
 from machpulse.streaming.ingest import utc_now
 
 
 def silence_check(
-    known: DataFrame, telemetry: DataFrame, as_of: datetime, threshold: str = SILENCE_THRESHOLD
+    known: DataFrame, seen: DataFrame, as_of: datetime, threshold: str = SILENCE_THRESHOLD
 ) -> DataFrame:
     """Silent machines at ``as_of``, stamped with it.
 
-    Machines heard within the threshold are found in the newest months alone; only the times of the
-    others are looked up in the whole table.
+    ``seen`` is the last-seen table (``machine_id, last_seen``) that the ingest keeps, one row per machine and
+    unfolded batch, so a check never reads the readings. A raw table with ``datetime_mes`` serves too.
     """
     at = timestamp(as_of)
-    stamped = at.alias("controle_a")
-    if "mois" not in telemetry.columns:
-        return silent_sensors(known, telemetry, at, threshold).select("machine_id", "last_seen", stamped)
-    recent = telemetry.filter(F.col("mois") >= month_of(at - interval(threshold)))
-    candidates = silent_sensors(known, recent, at, threshold).select("machine_id")
-    others = telemetry.join(candidates, "machine_id", "left_semi")
-    return silent_sensors(candidates, others, at, threshold).select("machine_id", "last_seen", stamped)
+    if "last_seen" in seen.columns:
+        seen = seen.withColumnRenamed("last_seen", "datetime_mes")
+    return silent_sensors(known, seen, at, threshold).select("machine_id", "last_seen", at.alias("controle_a"))
 
 
 def watch_silence(
     spark: SparkSession,
     known: Callable[[], DataFrame],
-    telemetry: Callable[[], DataFrame],
+    seen: Callable[[], DataFrame],
     out: str,
     checkpoint: str,
     every: str = "1 minute",
@@ -44,7 +39,7 @@ def watch_silence(
     """Run the check once per ``every``. Each run reads the tables as they then are and replaces its folder."""
 
     def check(_: DataFrame, run: int) -> None:
-        found = silence_check(known(), telemetry(), clock(), threshold)
+        found = silence_check(known(), seen(), clock(), threshold)
         found.write.mode("overwrite").parquet(f"{out}/controle={run}")
 
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()

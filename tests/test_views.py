@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from machpulse.operators.datamart import event_types
 from machpulse.operators.telemetry import merge_windows, partial_windows
-from machpulse.plans import integrity, views
+from machpulse.plans import catalogue, integrity, views
 from machpulse.plans.batch import Warehouse, run_batch
 from machpulse.sources import streams
 from machpulse.sources.messages import parse_messages
@@ -77,15 +77,15 @@ def test_warehouse_views_and_integrity(spark, tmp_path):
     assert rows_of(broken) == [("fait_telemetrie_jour", "foreign:id_date", 2)]
 
 
-def test_silence_check_reads_old_months_only_for_the_silent(spark, store):
+def test_silence_check(spark, store):
     known = spark.createDataFrame([(1,), (2,), (3,), (4,)], "machine_id int")
-    found = silence_check(known, store.read(spark, "telemetrie"), NOW).orderBy("machine_id").collect()
+    found = silence_check(known, store.last_seen(spark), NOW).orderBy("machine_id").collect()
     assert [tuple(r) for r in found] == [
         (2, at("2026-01-15T06:01:00"), NOW),
         (3, at("2025-11-15T06:01:00"), NOW),
         (4, None, NOW),
     ]
-    plain = silence_check(known, store.read(spark, "telemetrie").drop("mois"), NOW)
+    plain = silence_check(known, store.read(spark, "telemetrie"), NOW)
     assert rows_of(plain, "machine_id") == [(2,), (3,), (4,)]
 
 
@@ -93,7 +93,7 @@ def test_silence_watch_writes_each_check(spark, store, tmp_path):
     known = spark.createDataFrame([(1,), (2,)], "machine_id int")
     out = str(tmp_path / "silences")
     query = watch_silence(
-        spark, lambda: known, lambda: store.read(spark, "telemetrie"), out, str(tmp_path / "cp"), "1 second", clock=lambda: NOW
+        spark, lambda: known, lambda: store.last_seen(spark), out, str(tmp_path / "cp"), "1 second", clock=lambda: NOW
     )
     deadline = time.time() + 60
     while time.time() < deadline and not (tmp_path / "silences" / "controle=0" / "_SUCCESS").exists():
@@ -148,3 +148,17 @@ def test_watch_writes_a_folder_per_check(spark, tmp_path):
     finally:
         query.stop()
     assert rows_of(spark.read.parquet(str(tmp_path / "out")), "at")[0] == (NOW,)
+
+
+def test_filters_of_machine_and_period_reach_the_scan(spark):
+    for query, wanted in ((catalogue.machine_history, "EqualTo(user_id"), (catalogue.fleet_period, "GreaterThanOrEqual(ts")):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert wanted in plan[plan.index("PushedFilters"):]
+
+
+def test_raw_table_is_sorted_by_machine_and_time(spark, tmp_path):
+    kept = TelemetryStore(str(tmp_path / "store"))
+    texts = [message(machine_id=m, time=f"2026-01-{d:02d}T06:00:00") for d in (9, 3, 21) for m in (5, 2, 9)]
+    ingest.process_batch(spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1), 0, kept, lambda: NOW)
+    rows = [(r["machine_id"], r["datetime_mes"]) for r in kept.read(spark, "telemetrie").coalesce(1).collect()]
+    assert len(rows) == 9 and rows == sorted(rows)
