@@ -109,16 +109,16 @@ def judge(
     ).withColumn("_words", words("_text")).withColumn("_lines", lines)
     frame = _repeats(frame)
     held = [f"_c{i}" for i in range(len(carry))]
-    base = frame.select(
-        "_row", "_id",
+    # The facts come out of a generator: a filter on them would otherwise be pushed into their making, where a
+    # function inside a function would work out the sorted windows again for every window.
+    made = F.struct(
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.translate(text, SPACE_CHARS, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.col("_repeat").alias("n_repeat_words"),
-        *held,
-        "_words",
     )
+    base = frame.select(*held, "_row", "_id", "_words", F.inline(F.array(made)))
     facts = [*held, "_row", "_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     scored = (
         base.select(*facts, F.explode_outer(_grams(n)).alias("_word"))

@@ -545,3 +545,14 @@ def test_edited_texts(spark):
     assert single.near_next == 1 and fingerprints.edited(docs.limit(0)).count() == 0
     with_null = fingerprints.edited(documents(spark, [(None, "x y", "s"), (5, "p q r", "s")])).collect()
     assert {(r.doc_id, r.next_id) for r in with_null} == {(None, 5), (5, None)}
+
+
+def test_filters_stay_above_the_facts(spark):
+    """Pushed into the sorted windows they would make a long text quadratic."""
+    rows = [(i, prose(random.Random(i), 20_000), "s") for i in range(4)]
+    labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
+    kept = quality.judge(documents(spark, rows), labels).filter("kept AND n_repeat_words >= 0")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not any("array_sort" in line or "arrays_zip" in line for line in filters)
+    assert kept.count() <= 4
