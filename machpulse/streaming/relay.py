@@ -6,8 +6,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from machpulse.sources.messages import parse_messages, to_messages, topic_matches
 
-#: Fixed value: the topics that carry measurements.
-SENSOR_TOPICS = "automeca/capteurs/+/mesure"
+#: Topics that carry measurements: one level for the machine.
+SENSOR_TOPICS = "usine/capteurs/+/mesure"
 
 
 def keyed(messages: DataFrame, pattern: str = SENSOR_TOPICS) -> DataFrame:

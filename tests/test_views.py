@@ -114,10 +114,10 @@ def test_operators_are_a_view(spark, tmp_path):
 
 def test_relay_keys_fitting_messages(spark, tmp_path):
     rows = [
-        ("automeca/capteurs/7/mesure", message(machine_id=7)),
-        ("automeca/capteurs/7/x/mesure", message(machine_id=8)),
-        ("automeca/capteurs/9/mesure", "{broken"),
-        ("automeca/capteurs/3/mesure", message(machine_id=3)),
+        ("usine/capteurs/7/mesure", message(machine_id=7)),
+        ("usine/capteurs/7/x/mesure", message(machine_id=8)),
+        ("usine/capteurs/9/mesure", "{broken"),
+        ("usine/capteurs/3/mesure", message(machine_id=3)),
     ]
     spark.createDataFrame(rows, "topic string, value string").write.parquet(str(tmp_path / "raw"))
     source = streams.file_stream(spark, str(tmp_path / "raw"), spark.read.parquet(str(tmp_path / "raw")).schema)
