@@ -3,7 +3,7 @@
 A paragraph (a ``\\n``-split line) is hashed into a wide vector: ``DIGESTS`` lanes that hold 32-bit digests of the
 whole paragraph, ``LANES`` lanes that count, over its two-word shingles, one bit each of the shingle's 64-bit hash,
 and one lane with the number of shingles. A document's fingerprint is the lane-wise sum over its paragraphs, modulo
-2^32 and 2^16. So the order of paragraphs does not matter, equal texts are equal, and paragraphs are inserted and
+2^32; no text that Spark can hold has 2^31 shingles, so its counts do not wrap. So the order of paragraphs does not matter, equal texts are equal, and paragraphs are inserted and
 deleted by adding and subtracting their vectors, without reading the rest. The digests decide equality. The bit
 counts, less half of the shingle count, are a random projection of the shingle counts: the cosine of two of them
 estimates how much two texts share.
@@ -19,7 +19,7 @@ DIGESTS = 4
 LANES = 64
 SUMS = LANES // 2
 DIGEST_POWER = 1 << 32
-LANE_POWER = 1 << 16
+LANE_POWER = 1 << 32
 #: One bit for lane j and one for lane j + 32, so that a long sums two lanes without carrying over.
 TWO_LANES = 0x0000000100000001
 
@@ -56,22 +56,22 @@ def paragraph_sums(frame: DataFrame, keys: list[str], text: str) -> DataFrame:
         F.array(
             *[low_half(F.col(f"_b{j}")) % LANE_POWER for j in range(SUMS)],
             *[high_half(F.col(f"_b{j}")) % LANE_POWER for j in range(SUMS)],
-        ).cast("array<int>").alias("lanes"),
+        ).alias("lanes"),
     )
 
 
 def as_text(shingles, digests, lanes) -> Column:
-    """The fingerprint in lowercase hex, eight digits for the shingle count and each digest, four for each lane."""
-    def fixed(values, width: int) -> Column:
-        return F.array_join(F.transform(values, lambda x: F.lpad(F.hex(x.cast("long")), width, "0")), "")
+    """The fingerprint in lowercase hex, eight digits for the shingle count, each digest and each lane."""
+    def fixed(values) -> Column:
+        return F.array_join(F.transform(values, lambda x: F.lpad(F.hex(x), 8, "0")), "")
 
-    return F.lower(F.concat(F.lpad(F.hex(shingles), 8, "0"), fixed(digests, 8), fixed(lanes, 4)))
+    return F.lower(F.concat(F.lpad(F.hex(shingles), 8, "0"), fixed(digests), fixed(lanes)))
 
 
 def likeness(n, lanes, other_n, other_lanes, same) -> Column:
     """Estimated cosine of two texts' shingle counts, from 0 to 1; exactly 1 for equal fingerprints."""
     def centred(values, count) -> Column:
-        return F.transform(values, lambda x: _signed(2 * x.cast("long") - count).cast("double"))
+        return F.transform(values, lambda x: _signed(2 * x - count).cast("double"))
 
     a, b = centred(lanes, n), centred(other_lanes, other_n)
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
@@ -81,9 +81,10 @@ def likeness(n, lanes, other_n, other_lanes, same) -> Column:
 
 
 def _signed(value) -> Column:
-    """The representative of a lane nearest to 0: twice a count modulo 2^16, less the shingles, wraps at 2^17."""
-    half = F.lit(LANE_POWER)
-    return F.pmod(value + half, F.lit(2 * LANE_POWER)) - half
+    """The representative of a lane nearest to 0. Twice a count, less the shingles, is known modulo 2^32, as the
+    shingles are; it is no larger than the number of shingles, so below 2^31."""
+    half = F.lit(LANE_POWER // 2)
+    return F.pmod(value + half, F.lit(LANE_POWER)) - half
 
 
 def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:

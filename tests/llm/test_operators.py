@@ -547,6 +547,16 @@ def test_edited_texts(spark):
     assert {(r.doc_id, r.next_id) for r in with_null} == {(None, 5), (5, None)}
 
 
+def test_lanes_of_long_repeated_texts_do_not_wrap(spark):
+    """550,000 word pairs of one line; its edited form keeps two thirds and borrows 500 other words."""
+    rng = random.Random(8)
+    line = " ".join(f"u{i}" for i in range(12))
+    rows = [(2, "\n".join([line] * 50_000), "s"), (1, " ".join(f"v{rng.randrange(10_000)}" for _ in range(500)), "s")]
+    got = by_id(fingerprints.edited(documents(spark, rows)).collect())
+    assert got[2].near_edited > 0.99 and got[2].near_next < 0.5
+    assert len(got[2].fingerprint) == 8 * (1 + fingerprints.DIGESTS + fingerprints.LANES)
+
+
 def test_filters_stay_above_the_facts(spark):
     """Pushed into the sorted windows they would make a long text quadratic."""
     rows = [(i, prose(random.Random(i), 20_000), "s") for i in range(4)]
