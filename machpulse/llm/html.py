@@ -1,8 +1,8 @@
 """Main text of web pages by the maximum-scoring run of tokens.
 
 A page is read once into tokens: tags and stretches of words. Scripts, styles, forms and subtrees that are marked as
-menus, page headers, footers, sidebars, notices, adverts or reader comments are left out. Every other token has a
-weight, the logarithm of how much likelier it is inside an article than outside; so words and paragraph tags mostly
+menus, page headers, footers, sidebars, notices, adverts or reader comments are left out. A marked subtree or a form
+stays if the page's article or most of its words would go with it (``_kept``). Every other token has a weight, the logarithm of how much likelier it is inside an article than outside; so words and paragraph tags mostly
 add, list and link tags subtract. One linear scan finds the run of tokens with the highest sum, and the blocks of
 that run are the text.
 
@@ -16,6 +16,7 @@ import html as references
 import math
 import re
 from collections import Counter
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ BLOCK = frozenset(
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot "
     "thead tr ul".split()
 )
-DROPPED = frozenset("head nav footer aside form button label fieldset dialog menu select option input".split())
+DROPPED = frozenset("head nav footer aside button dialog menu select option input".split())
 ARTICLE = frozenset("article main".split())
 CLOSES_ITSELF = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr", ("table",))}
 #: Words in class, id or role that mark a subtree as no part of the article.
@@ -55,6 +56,12 @@ MARKS = frozenset(
     "skip toolbar dialog alert disclaimer copyright tags".split()
 )
 HEADERS = frozenset("header masthead topbar".split())
+#: Words that turn the rest of their class, id or role into a state of the page ("no-banner", "ad-free").
+NEGATIONS, WITHOUT = frozenset("no non not without has have with".split()), "free"
+#: Left out by name alone, but a whole page may stand in them.
+FORMS = frozenset("form fieldset label".split())
+#: Foreign elements; in them "/>" ends the element, as in XML.
+FOREIGN = frozenset("svg math".split())
 
 
 def _words_of(attrs: str) -> tuple[set[str], bool]:
@@ -67,27 +74,69 @@ def _words_of(attrs: str) -> tuple[set[str], bool]:
         elif name == "style":
             hidden = hidden or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE) is not None
         elif name in ("class", "id", "role"):
-            marks.update(part.lower() for part in _MARK.findall(value))
+            for token in value.split():
+                parts = [part.lower() for part in _MARK.findall(token)]
+                if parts and parts[0] not in NEGATIONS and parts[-1] != WITHOUT:
+                    marks.update(parts)
     return marks, hidden
 
 
+@dataclass
+class _Doubtful:
+    """A marked subtree or form: the one around it, whether it begins in an article, and its words: all of them, those
+    that are in an article and in no doubtful subtree further in, and those of its longest article."""
+
+    parent: int
+    in_article: bool
+    words: int = 0
+    own: int = 0
+    longest: int = 0
+
+
+def _kept(subtrees: list[_Doubtful]) -> list[bool]:
+    """Which doubtful subtrees are read; the first one stands for the page, the others follow those around them.
+
+    One is read if an article in it is longer than what the articles around and outside it keep without it, so that
+    cards of related articles still go. It is also read if it has most of the page's words and stands in an article, or
+    no article outside it has words, so that long comments below an article still go."""
+    kept, safe = [True], [subtrees[0].own]  # safe: article words that stay whatever becomes of this subtree
+    for tree in subtrees[1:]:
+        outside = safe[tree.parent]
+        most = 2 * tree.words > subtrees[0].words and (tree.in_article or not outside)
+        kept.append(kept[tree.parent] and (tree.longest > outside or most))
+        safe.append(outside + tree.own)
+    return kept
+
+
 def read_tokens(page: str, everything: bool = False) -> list[tuple[str, str]]:
     """(feature, text) of a page in order. A tag's feature is ``<name`` or ``>name``, its text is empty; words have
     ``word`` or, in a link, ``link``; ``br`` is white space. What is left out makes no token but still ends blocks;
     with ``everything``, marked subtrees are read like the rest."""
     tokens: list[tuple[str, str]] = []
-    stack: list[tuple[str, bool]] = []  # name, whether it begins a subtree that is left out
-    out = articles = links = 0
+    owners: list[int] = []  # of each token: the doubtful subtree it stands in
+    subtrees = [_Doubtful(0, False)]
+    stack: list[tuple[str, bool, int, int]] = []  # name, whether it begins a subtree that is left out, owner and words before it
+    out = articles = links = owner = words = 0
     at, size = 0, len(page)
 
     def leave(index: int) -> None:
-        nonlocal out, articles, links
+        nonlocal out, articles, links, owner
         while len(stack) > index:
-            name, dropped = stack.pop()
+            name, dropped, around, before = stack.pop()
+            if name in ARTICLE and not out:
+                subtrees[owner].longest = max(subtrees[owner].longest, words - before)
+            if owner != around:
+                subtrees[owner].words = words - before
+                subtrees[around].longest = max(subtrees[around].longest, subtrees[owner].longest)
+            owner = around
             out -= dropped
             articles -= name in ARTICLE
             links -= name == "a"
 
+    def add(feature: str, text: str, tree: int) -> None:
+        tokens.append((feature, text))
+        owners.append(tree)
+
     def innermost(names, stops=()) -> int:
         for index in range(len(stack) - 1, -1, -1):
             if stack[index][0] in names:
@@ -103,9 +152,14 @@ def read_tokens(page: str, everything: bool = False) -> list[tuple[str, str]]:
         at = found.end()
         if text := found["text"]:
             if not out:
-                tokens.append(("link" if links else "word", text))
+                add("link" if links else "word", text, owner)
+                count = len(text.split())
+                words += count
+                subtrees[owner].own += count if articles else 0
             continue
         if raw := found["raw"]:
+            if raw.lower() in FOREIGN and page[at - 2] == "/":
+                continue
             ending = re.compile(rf"</{raw}\s*>", re.IGNORECASE).search(page, at)
             at = ending.end() if ending else size
             continue
@@ -117,7 +171,7 @@ def read_tokens(page: str, everything: bool = False) -> list[tuple[str, str]]:
             if index >= 0:
                 leave(index)
             if not out:
-                tokens.append((f">{name}", ""))
+                add(f">{name}", "", owner)
             continue
         if name in BLOCK and (index := innermost(("p",), ARTICLE | {"div", "section", "li", "td", "body"})) >= 0:
             leave(index)
@@ -126,18 +180,34 @@ def read_tokens(page: str, everything: bool = False) -> list[tuple[str, str]]:
             if (index := innermost(same.split(), stops)) >= 0:
                 leave(index)
         marks, hidden = _words_of(found["attrs"]) if "=" in found["attrs"] or "hidden" in found["attrs"] else ((), False)
-        dropped = name not in ("html", "body", *ARTICLE) and (
-            name in DROPPED or hidden or not MARKS.isdisjoint(marks) or not articles and (name == "header" or not HEADERS.isdisjoint(marks))
-        ) or name in ARTICLE and (hidden or "comment" in marks)
+        if name in ARTICLE:
+            dropped, doubtful = hidden or "comment" in marks, False
+        elif name in ("html", "body"):
+            dropped = doubtful = False
+        else:
+            dropped = hidden or name in DROPPED or name == "header" and not articles
+            doubtful = name in FORMS or not MARKS.isdisjoint(marks) or not articles and not HEADERS.isdisjoint(marks)
         dropped = dropped and not everything
-        if not out and not dropped or name in BLOCK and not out:
-            tokens.append((f"<{name}", ""))
-        if name not in VOID and not found["attrs"].endswith("/"):
-            stack.append((name, dropped))
+        doubtful = doubtful and not dropped and not out and not everything
+        opens = name not in VOID and not found["attrs"].endswith("/")
+        inner = owner
+        if doubtful:
+            inner = len(subtrees)
+            subtrees.append(_Doubtful(owner, articles > 0))
+        if not out and (not dropped or name in BLOCK):
+            add(f"<{name}", "", owner if name in BLOCK else inner)
+        if opens:
+            stack.append((name, dropped, owner, words))
+            owner = inner
             out += dropped
             articles += name in ARTICLE
             links += name == "a"
-    return tokens
+    leave(0)
+    subtrees[0].words = words
+    if len(subtrees) == 1:
+        return tokens
+    kept = _kept(subtrees)
+    return [token for token, tree in zip(tokens, owners) if kept[tree]]
 
 
 def _size(feature: str, text: str) -> int:

@@ -262,6 +262,43 @@ def test_main_text_of_a_page(spark):
     assert html.main_text("<article>" + "<p>ab cd" * 50_000, weights).count("\n\n") == 49_999
 
 
+WRAPPERS = [
+    '<div class="with-sidebar">', '<div class="site has-sidebar">', '<div class="comments-open">', '<div class="noBanner">', '<div id="ad-free">',
+    '<div class="widget"><div class="banner">', '<form id="page"><fieldset>', '<main><div class="content sidebar-right">', '<div class="header-layout">',
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_main_text_in_marked_subtrees_and_forms(wrapper):
+    weights = html.DEFAULT_WEIGHTS
+    want = html.main_text(PAGE, weights)
+    ending = "".join(f"</{x.split()[0]}>" for x in reversed(wrapper.replace(">", "").split("<")[1:]))
+    around = PAGE.replace("<article>", f"{wrapper}<article>").replace("</article>", f"</article>{ending}")
+    assert html.main_text(around, weights) == want
+    whole = PAGE.replace("<body>", f"<body>{wrapper}").replace("</body>", f"{ending}</body>")
+    assert html.main_text(whole, weights).endswith(want) and ("<main>" in wrapper or html.main_text(whole, weights) == want)
+    plain = f"<body><p>Hi</p>{wrapper}<p>{'All of the text. ' * 9}</p><div class='share'>Send</div>{ending}<footer>foot</footer></body>"
+    assert "All of the text." in html.main_text(plain, weights) and "Send" not in html.main_text(plain, weights)
+
+
+def test_cards_and_long_comments_still_go():
+    weights = html.DEFAULT_WEIGHTS
+    want = html.main_text(PAGE, weights)
+    cards = '<div class="related"><article><p>Another story.</p></article><article><p>And one more.</p></article></div>'
+    comments = '<div id="comments"><p>' + "I do not agree. " * 100 + "</p></div>"
+    assert html.main_text(PAGE.replace("<footer>", f"{cards}{comments}<footer>"), weights) == want
+    wide = PAGE.replace("<article>", '<div class="has-sidebar banner"><article>').replace("</article>", f"</article>{cards}</div>")
+    assert html.main_text(wide, weights) == want
+
+
+@pytest.mark.parametrize("icon", ['<svg class="i"/>', '<svg viewBox="0 0 1 1" />', "<math/>", "<SVG />"])
+def test_self_closed_icons_end_at_once(icon):
+    weights = html.DEFAULT_WEIGHTS
+    assert html.main_text(PAGE.replace("<h1>Title", f"{icon}<h1>Title"), weights) == html.main_text(PAGE, weights)
+    later = PAGE.replace("<h1>Title", f"{icon}<h1>Title").replace("Last.", "<svg><text>no</text></svg>Last.")
+    assert html.main_text(later, weights) == html.main_text(PAGE, weights)
+
+
 def test_best_run_is_the_best(spark):
     rng = random.Random(2)
     weights = {"word": 1.0, "<li": -2.0, "<p": 0.5}
