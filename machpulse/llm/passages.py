@@ -2,7 +2,9 @@
 
 A text's bytes run through a gear hash (each step doubles the hash and adds the byte's random number), and a chunk
 ends where the low ``BITS`` bits are zero. These bits depend on the last ``BITS`` bytes only, so an insertion moves
-the borders next to it and no others, and a passage is cut alike wherever it stands. Chunks are compared by a 64-bit
+the borders next to it and no others, and a passage is cut alike wherever it stands. A chunk above ``MAX_CHUNK`` bytes
+(in repeated words or lines there may be no such place at all) is also cut where the hash is lowest among its
+``NEAR`` neighbours on either side, which the bytes around that place decide, too. Chunks are compared by a 64-bit
 digest. A chunk repeats if its digest stands in a lower id, or earlier in its own text. A run of neighbouring
 repeated chunks with at least ``min_words`` words is removed; shorter runs are the coincidences of common phrases
 and stay, so texts without a shared passage stay byte for byte.
@@ -23,32 +25,76 @@ from machpulse.sources.storage import stored
 
 BITS = 5
 MIN_WORDS = 16
+MAX_CHUNK = 96
+NEAR = 16
 #: Texts are read in pieces of so many bytes; the gear hash is carried by overlapping them.
 PIECE_BYTES = 1 << 20
 
 
-def borders(data) -> "np.ndarray":
-    """Ends of the chunks of a byte array, the last one included; UTF-8 characters are not cut."""
+def _rolled(data) -> "np.ndarray":
+    """The gear hash after each byte; the bits beyond the mask's window are not carried."""
     import numpy as np
 
     from machpulse.llm.arrays import _ODD
 
     gear = (_ODD[:256] >> np.uint64(17)).astype(np.uint32)
+    values = gear[data]
+    rolled = values.copy()
+    for step in range(1, BITS):  # the bits beyond have been shifted out of the mask
+        rolled[step:] += values[:-step] << np.uint32(step)
+    return rolled
+
+
+def borders(data) -> "np.ndarray":
+    """Ends of the chunks of a byte array, the last one included; UTF-8 characters are not cut."""
+    import numpy as np
+
     found = []
     for begin in range(0, len(data), PIECE_BYTES):
         before = max(0, begin - BITS + 1)
-        piece = data[before: begin + PIECE_BYTES]
-        values = gear[piece]
-        rolled = values.copy()
-        for step in range(1, BITS):  # the bits beyond have been shifted out of the mask
-            rolled[step:] += values[:-step] << np.uint32(step)
+        rolled = _rolled(data[before: begin + PIECE_BYTES])
         ends = np.flatnonzero((rolled & np.uint32((1 << BITS) - 1)) == 0) + 1 + before
         found.append(ends[ends > begin])
     ends = np.concatenate(found) if found else np.zeros(0, np.int64)
     if len(ends):
         inside = ends[ends < len(data)]
         ends = inside[(data[inside] & 0xC0) != 0x80]
-    return np.append(ends, len(data)) if len(data) else ends
+    if not len(data):
+        return ends
+    ends = np.append(ends, len(data))
+    return np.union1d(ends, _lowest(data, ends)) if np.diff(ends, prepend=0).max() > MAX_CHUNK else ends
+
+
+def _lowest(data, ends) -> "np.ndarray":
+    """Ends of characters inside the chunks above ``MAX_CHUNK`` bytes where the hash is lowest among its neighbours.
+
+    All places that share the lowest value count, so repeated words are cut at every repetition."""
+    import numpy as np
+
+    starts = np.append(0, ends[:-1])
+    large = np.flatnonzero(ends - starts > MAX_CHUNK)
+    found = [np.zeros(0, np.int64)]
+    for begin in range(0, len(data), PIECE_BYTES):
+        past = min(begin + PIECE_BYTES, len(data))
+        chunks = large[np.searchsorted(ends[large], begin, "right"): np.searchsorted(starts[large], past, "left")]
+        if not len(chunks):
+            continue
+        before, after = max(0, begin - NEAR - BITS + 1), min(past + NEAR, len(data))
+        values = _rolled(data[before:after])
+        follow = data[before + 1: after + 1]
+        values[: len(follow)][(follow & 0xC0) == 0x80] = 0xFFFFFFFF
+        least = np.full(len(values) + 2 * NEAR, 0xFFFFFFFF, np.uint32)
+        least[NEAR: NEAR + len(values)] = values
+        width = 1
+        while width < 2 * NEAR + 1:  # the minimum of width neighbours, from that of fewer
+            step = min(width, 2 * NEAR + 1 - width)
+            least = np.minimum(least[:-step], least[step:])
+            width += step
+        places = np.flatnonzero((values == least) & (values != 0xFFFFFFFF)) + before
+        places = places[(places >= begin) & (places < past)]
+        chunk = np.searchsorted(ends, places, "right")
+        found.append(places[(ends - starts)[chunk] > MAX_CHUNK] + 1)
+    return np.concatenate(found)
 
 
 def chunk_digests(data):

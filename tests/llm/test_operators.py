@@ -535,6 +535,22 @@ def test_chunks_survive_insertions():
         passages.PIECE_BYTES = old
 
 
+def test_passages_without_borders_are_cut():
+    """Passages of few distinct words, each in two texts; some hold no byte window with five zero bits."""
+    import numpy as np
+
+    rng = random.Random(4)
+    fresh = lambda n: " ".join(f"{rng.randrange(10**9):x}" for _ in range(n))
+    for kind in range(400):
+        some = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzé", k=rng.randint(1, 7))) for _ in range(1 + kind % 3)]
+        passage = " ".join(some * 150)[: rng.randint(300, 700)]
+        first, second = (f"{fresh(30)} {passage} {fresh(30)}".encode() for _ in range(2))
+        left, spans, count = passages.cut(second, passages.chunk_digests(np.frombuffer(first, np.uint8))[1], 16)
+        if len(passage.split()) >= 40:
+            assert sum(b - a for a, b in spans) > 0.5 * len(passage.encode()), passage
+        assert np.diff([0, *passages.borders(np.frombuffer(first, np.uint8))]).max() < 300
+
+
 # 10. Fingerprints
 
 
