@@ -116,10 +116,12 @@ def filter_urls(
     """One row per input row: ``id, host, path, rule, verdict, listed``.
 
     ``rules`` are (``block`` or ``allow``, ``host/path``); the longest that fits decides. Without one, a url is blocked
-    if its host or a parent domain is in ``listed`` (column ``key``, keys of at most ``depth`` labels). A null or
+    if its host or a parent domain is in ``listed`` (column ``key``); hosts are looked up as deep as the longest key, ``depth`` labels at least. A null or
     relative url has no host and is allowed. Repeated rows and ties are judged alike; other columns are ignored.
     """
     parsed = pages.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
+    longest = listed.agg(F.max(F.size(F.split("key", r"\.")))).first()[0]
+    depth = max(depth, longest or 0)
     universe = parsed.select("host").distinct().select(F.explode(domains(F.col("host"), depth)).alias("key"))
     cascade = build_cascade(listed, universe)
     rule = F.lit(None).cast("string")

@@ -207,6 +207,13 @@ def plain_revisits(records):
     return sorted(out, key=str)
 
 
+def test_listed_keys_of_many_labels(spark):
+    long = ".".join("abcdefghijk")
+    pages = spark.createDataFrame([(1, f"http://{long}/"), (2, f"http://www.{long}/x"), (3, f"http://{long[2:]}/")], "page_id long, url string")
+    got = urls.filter_urls(pages, spark.createDataFrame([(long,), (None,)], "key string"), ())
+    assert {r.page_id: r.verdict for r in got.collect()} == {1: "block", 2: "block", 3: "allow"}
+
+
 def test_revisits_as_of(spark):
     rng = random.Random(5)
     records = []
