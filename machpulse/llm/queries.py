@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from machpulse.llm import archive, bpe, fingerprints, html, lm, mixing, neardup, passages, quality, sql, urls
+from machpulse.llm import (
+    archive, bpe, classifier, fingerprints, html, infill, lm, mixing, neardup, passages, quality, sql, urls, whitening,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +112,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(_table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -122,6 +136,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_passages": op9_passages,
         "op10_fingerprints": op10_fingerprints,
+        "op11_whitening": op11_whitening,
+        "op12_quality_classifier": op12_quality_classifier,
+        "op13_infill": op13_infill,
     }
 
 

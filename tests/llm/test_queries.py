@@ -22,7 +22,7 @@ def con():
 
 def test_all_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.all_queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.all_queries()) | {"pipeline"} <= set(entry.queries())
     assert set(queries.all_sql()) <= set(entry.oracle_sql())
 
