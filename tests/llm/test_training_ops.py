@@ -28,7 +28,7 @@ def plain_whitening(rows, components=16):
             good.append((i, [math.floor(64 * c) + 1_000_000 for c in v]))
     listed = sorted({tuple(x) for _, x in good})
     n, sums = len(listed), [sum(column) for column in zip(*listed)]
-    deviations = sorted((i, sum((n * x - s) ** 2 for x, s in zip(v, sums))) for i, v in good)
+    deviations = sorted(((i, sum((n * x - s) ** 2 for x, s in zip(v, sums))) for i, v in good), key=str)
     centred = np.array([[(n * x - s) / n for x, s in zip(v, sums)] for v in listed])
     values = np.linalg.eigvalsh(centred.T @ centred / n)[::-1]
     return n, deviations, values, good, sums
@@ -73,15 +73,15 @@ def test_whitening_of_flat_and_dependent_vectors(spark):
     _, deviations, values, _, _ = plain_whitening(rows)
     assert {r.component for r in found} == {1, 2} and max(r.identity_error for r in found) < 1e-6
     assert np.allclose(sorted({r.explained for r in found}, reverse=True), values[:2] / values.sum(), rtol=1e-6)
-    assert sorted((r.vec_id, r.deviation) for r in found if r.component == 1) == deviations
+    assert sorted(((r.vec_id, r.deviation) for r in found if r.component == 1), key=str) == deviations
 
 
 def test_large_entries_stay_exact(spark):
     rows = [(i, [1e9 * i, -1e8 * i * i, 1.0]) for i in range(9)] + [(10, [1e300, 0.0, 0.0])]
     found = whitening.whiten(vectors(spark, rows, "double")).collect()
     _, deviations, _, _, _ = plain_whitening(rows[:-1])
-    want = [(i, d if d < 2**63 else None) for i, d in deviations]
-    assert sorted((r.vec_id, r.deviation) for r in found if r.component == 1) == want
+    want = {i: d if d < 2**63 else None for i, d in deviations}
+    assert {r.vec_id: r.deviation for r in found if r.component == 1} == want
 
 
 def test_qr_of_ill_conditioned_rows():
@@ -99,8 +99,8 @@ def test_qr_of_ill_conditioned_rows():
         return held.T @ held
 
     composed, _ = whitening.shifted_cholesky_qr(gram, 12, 500)
-    assert np.allclose(np.linalg.svd(composed)[1], singular, rtol=1e-3)
-    assert not np.allclose(np.sqrt(np.abs(np.linalg.eigvalsh(rows.T @ rows)[::-1])), singular, rtol=1e-3)
+    assert np.allclose(np.linalg.svd(composed)[1], singular, rtol=1e-2, atol=0)
+    assert not np.allclose(np.sqrt(np.abs(np.linalg.eigvalsh(rows.T @ rows)[::-1])), singular, rtol=1e-2, atol=0)
 
 
 def test_summed_adds_what_tasks_make(spark):
