@@ -102,23 +102,22 @@ def _between(state: DataFrame, start: Column | None, end: Column) -> DataFrame:
     return kept
 
 
-def trend_of_day(state: DataFrame, run_date: str, lookback_days: int = 31) -> DataFrame:
+def trend_of_day(state: DataFrame, run_date: str, edges: DataFrame | None = None) -> DataFrame:
     """Trend rows of one day, equal to the full-history trend filtered to that day.
 
-    The day's first window of a machine compares with the machine's last earlier window. It is looked
-    up in the recent past; only if some machine of the day has none there is the older history read,
-    and then only for those machines.
+    The day's first window of a machine compares with the machine's last earlier window. ``edges`` is the stored index
+    of first and last windows per machine and day; with it no older window is read. Without it, the older windows of
+    the day's machines are folded in one aggregation.
     """
     start = F.lit(str(run_date)).cast("date").cast("timestamp_ntz")
     end = start + F.expr("INTERVAL '1' DAY")
-    recent_start = start - F.make_dt_interval(days=F.lit(lookback_days))
     today = merge_windows(_between(state, start, end))
-    machines = _between(state, start, end).select("machine_id").distinct()
-    closing = closing_windows(merge_windows(_between(state, recent_start, start)))
-    unresolved = machines.join(closing, "machine_id", "left_anti")
-    if not unresolved.isEmpty():
-        older = _between(state, None, recent_start).join(unresolved, "machine_id", "left_semi")
-        closing = closing.unionByName(closing_windows(merge_windows(older)))
+    if edges is None:
+        machines = _between(state, start, end).select("machine_id").distinct()
+        earlier = _between(state, None, start).join(machines, "machine_id", "left_semi")
+    else:
+        earlier = _between(edges, None, start)
+    closing = closing_windows(merge_windows(earlier))
 
     in_day = Window.partitionBy("machine_id").orderBy("fenetre")
     staged = today.withColumn("__in_day", F.lag("pression_moyenne").over(in_day))
@@ -128,3 +127,49 @@ def trend_of_day(state: DataFrame, run_date: str, lookback_days: int = 31) -> Da
         .withColumn("__previous", F.coalesce("__in_day", "__carried"))
         .select(*today.columns, _minus_previous())
     )
+
+
+def edge_windows(state: DataFrame) -> DataFrame:
+    """Of each machine and day only the first and the last window, for partials with one row per window.
+
+    The edges of several batches, merged as partials, hold the true first and last window of every machine and day:
+    whichever batch has a part of that window has it as its own first or last. What they hold of other windows may be
+    a part only. Folding edges and taking the edges of the result gives edges again.
+    """
+    row = F.struct("fenetre", "sum_sq", "sum_p", "n")
+    ends = state.groupBy("machine_id", F.to_date("fenetre").alias("__day")).agg(
+        F.min_by(row, "fenetre").alias("__first"), F.max_by(row, "fenetre").alias("__last")
+    )
+    return ends.select("machine_id", F.inline(F.array_distinct(F.array("__first", "__last"))))
+
+
+def _neighbours_of_days(days: DataFrame, edges: DataFrame) -> DataFrame:
+    """Last window before and first window after each (machine, day) of ``days``, where that lies in another day."""
+    near = merge_windows(edges.join(days.select("machine_id").distinct(), "machine_id", "left_semi"))
+    row = F.struct("fenetre", "rms_vibration", "pression_moyenne")
+    per_day = near.groupBy("machine_id", F.to_date("fenetre").alias("__day")).agg(
+        F.min_by(row, "fenetre").alias("__first"), F.max_by(row, "fenetre").alias("__last")
+    )
+    # One row per day of a touched machine is ordered, not its windows.
+    ordered = Window.partitionBy("machine_id").orderBy("__day")
+    flagged = per_day.join(days.withColumn("__in", F.lit(True)), ["machine_id", "__day"], "left").withColumns(
+        {"__after": F.lag("__in").over(ordered), "__before": F.lead("__in").over(ordered)}
+    )
+    wanted = F.array(F.when(F.col("__after"), F.col("__first")), F.when(F.col("__before"), F.col("__last")))
+    rows = F.array_distinct(F.filter(wanted, lambda w: w.isNotNull()))
+    return flagged.filter(F.col("__in").isNull()).select("machine_id", F.inline(rows))
+
+
+def touched_trend(touched: DataFrame, state: DataFrame, edges: DataFrame) -> DataFrame:
+    """The trend rows that new partials change: those of the touched windows and of each one's successor.
+
+    ``touched`` holds the keys of the new partials, which ``state`` and ``edges`` already contain. Of the state only the
+    touched days of touched machines are used; windows before and after come from the edges.
+    """
+    days = touched.select("machine_id", F.to_date("fenetre").alias("__day")).distinct()
+    in_days = state.withColumn("__day", F.to_date("fenetre")).join(days, ["machine_id", "__day"], "left_semi")
+    rows = merge_windows(in_days).unionByName(_neighbours_of_days(days, edges))
+    marked = rows.join(touched.select(*KEYS).distinct().withColumn("__new", F.lit(True)), KEYS, "left")
+    staged = previous_row(marked, ["machine_id"], "fenetre", {"__previous": "pression_moyenne", "__previous_new": "__new"})
+    changed = staged.filter(F.coalesce("__new", "__previous_new", F.lit(False)))
+    return changed.select(*rows.columns, _minus_previous())

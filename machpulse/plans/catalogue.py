@@ -174,7 +174,7 @@ def trend_of_partials(spark: SparkSession, sf: str) -> DataFrame:
 def day_trend_with_carry(spark: SparkSession, sf: str) -> DataFrame:
     """One day's trend from stored partials, the previous window looked up in the past."""
     state = telemetry.partial_windows(b.telemetry(spark, sf)).withColumn("mois", month_of("fenetre"))
-    return rounded(telemetry.trend_of_day(state, b.RUN_DATE, lookback_days=1), *TREND)
+    return rounded(telemetry.trend_of_day(state, b.RUN_DATE), *TREND)
 
 
 @_query
@@ -536,9 +536,9 @@ def refused_identifiers(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def stream_trend(spark: SparkSession, sf: str) -> DataFrame:
-    """Messages streamed in several micro-batches; trend read over the stored partials."""
+    """Messages streamed in several micro-batches; the trend that each batch kept up."""
     store = runs.streamed(spark, sf)
-    return rounded(telemetry.trend_of_state(store.read_state(spark)), *TREND)
+    return rounded(store.read_trend(spark), *TREND)
 
 
 @_query

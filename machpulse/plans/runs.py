@@ -75,7 +75,7 @@ def fold(spark: SparkSession, store: TelemetryStore) -> None:
         older = storage.numbered(spark, store.folder(table), "batch_id=")[:-1]
         for last in sorted({len(older) // 2, len(older) - 1}) if older else []:
             store.compact(spark, table, older[last])
-        store.drop_folded_batches(spark, table)
+        store.drop_folded(spark, table, keep_seconds=0)
 
 
 def batch(spark: SparkSession, sf: str, times: int = 1) -> Warehouse:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from machpulse import schemas
 from machpulse.operators import datamart
-from machpulse.operators.telemetry import merge_windows, trend_of_state
+from machpulse.operators.telemetry import merge_windows
 from machpulse.plans.batch import SNAPSHOTS, Warehouse
 from machpulse.sources.telemetry_store import TelemetryStore
 
@@ -17,7 +17,7 @@ def register_telemetry(spark: SparkSession, store: TelemetryStore) -> list[str]:
         "telemetrie_rejets": store.read(spark, "rejets"),
         "telemetrie_fenetre_1min": store.read_state(spark),
         "v_telemetrie_fenetre_1min": merge_windows(store.read_state(spark)),
-        "v_telemetrie_tendance": trend_of_state(store.read_state(spark)),
+        "v_telemetrie_tendance": store.read_trend(spark),
     }
     for name, df in frames.items():
         df.createOrReplaceTempView(name)

@@ -46,7 +46,14 @@ DEAD_LETTER = fields(
 STATE = fields(
     "machine_id INT, fenetre TIMESTAMP_NTZ, sum_sq DOUBLE, sum_p DOUBLE, n BIGINT"
 )
-BATCH_COUNTS = fields("valides BIGINT, quarantaine BIGINT, malformes BIGINT")
+BATCH_COUNTS = fields(
+    "valides BIGINT, quarantaine BIGINT, malformes BIGINT, horodatage TIMESTAMP_NTZ, derniere TIMESTAMP_NTZ, latence_somme BIGINT"
+)
+TREND = fields(
+    "machine_id INT, fenetre TIMESTAMP_NTZ, rms_vibration DOUBLE, pression_moyenne DOUBLE, tendance_pression DOUBLE, version BIGINT"
+)
+MAXIMA = fields("fenetre TIMESTAMP_NTZ, rms_vibration DOUBLE, tendance_pression DOUBLE, version BIGINT")
+EPISODE = fields("rule STRING, debut TIMESTAMP_NTZ, fin TIMESTAMP_NTZ, retire BOOLEAN, version BIGINT")
 
 STAGING = {
     "machines": fields("machine_id INT, model STRING, age INT"),

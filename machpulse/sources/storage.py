@@ -26,10 +26,15 @@ def names(spark: SparkSession, folder: str) -> list[str]:
 
 def numbered(spark: SparkSession, folder: str, prefix: str, complete: bool = True) -> list[int]:
     """Numbers N of the ``<prefix>N`` folders; only fully written ones when ``complete``."""
-    found = [int(n[len(prefix):]) for n in names(spark, folder) if n.startswith(prefix) and n[len(prefix):].isdigit()]
-    if complete:
-        found = [n for n in found if exists(spark, f"{folder}/{prefix}{n}/_SUCCESS")]
-    return sorted(found)
+    found = finished(spark, folder, prefix) if complete else names(spark, folder)
+    return sorted(int(n[len(prefix):]) for n in found if n.startswith(prefix) and n[len(prefix):].isdigit())
+
+
+def finished(spark: SparkSession, folder: str, prefix: str) -> dict[str, float]:
+    """Names of the fully written ``<prefix>...`` folders, with the time in seconds at which each was finished."""
+    fs, handle = _path(spark, f"{folder}/{prefix}*/_SUCCESS")
+    found = fs.globStatus(handle) or []
+    return {status.getPath().getParent().getName(): status.getModificationTime() / 1000 for status in found}
 
 
 def write_marker(spark: SparkSession, path: str) -> None:
@@ -38,6 +43,17 @@ def write_marker(spark: SparkSession, path: str) -> None:
     fs.create(handle, True).close()
 
 
+def prune_empty(spark: SparkSession, folder: str, root: str) -> None:
+    """Remove a folder if nothing is in it, then its parents up to ``root``."""
+    fs, handle = _path(spark, folder)
+    last = _path(spark, root)[1]
+    while fs.exists(handle) and not fs.listStatus(handle):
+        fs.delete(handle, False)
+        if handle.equals(last):
+            return
+        handle = handle.getParent()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, handle = _path(spark, path)
     fs.delete(handle, True)

@@ -4,22 +4,26 @@ import logging
 import time
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from machpulse.functions.fixed_values import FLUSH_SECONDS, WINDOW
-from machpulse.functions.time_columns import timestamp
+from machpulse.functions.time_columns import seconds_between, timestamp
 from machpulse.operators.quality import flag_out_of_range
+from machpulse.plans.together import together
 from machpulse.sources.messages import parse_messages
-from machpulse.sources.telemetry_store import TelemetryStore, lake_rows, quarantine_rows, raw_rows, seen_rows, state_rows
+from machpulse.sources.telemetry_store import (
+    KEEP_SECONDS, RATIO, TABLES, TelemetryStore, edge_rows, lake_rows, quarantine_rows, raw_rows, seen_rows, state_rows,
+)
+from machpulse.streaming.derived import update_trend
 
 log = logging.getLogger(__name__)
 
 PACED_BY_SOURCE = "0 seconds"
-COMPACTED = ("telemetrie", "quarantaine", "rejets", "lac", "etats", "lots", "vus")
 
 
 def utc_now() -> datetime:
@@ -37,57 +41,94 @@ def classify(messages: DataFrame, value_col: str = "value") -> DataFrame:
     return flagged.withColumn("statut", status)
 
 
+_COUNTED = {"valides": "valide", "quarantaine": "quarantaine", "malformes": "malforme"}
+
+
 def process_batch(
-    messages: DataFrame, batch_id: int, store: TelemetryStore, clock: Callable[[], datetime] = utc_now
+    messages: DataFrame, batch_id: int, store: TelemetryStore, clock: Callable[[], datetime] = utc_now, trend: bool = True,
 ) -> dict[str, int]:
-    """Write one micro-batch: dead letters, quarantine, lake, raw table, window state, counts.
+    """Write one micro-batch: dead letters, quarantine, lake, raw table, window state and edges, last seen, trend, counts.
 
-    The batch is parsed once. A sink without rows is not written, so a fully quarantined batch leaves
-    no lake file. Every write replaces the folder of this batch, so a replay changes nothing.
+    The batch is parsed once, and counted while its dead letters are written; tables that do not read each other are
+    written side by side. A sink without rows is not written, so a fully quarantined batch leaves no lake file. Every
+    write replaces the folder of this batch, so a replay changes nothing.
     """
+    spark = messages.sparkSession
     rows = classify(messages).persist()
     try:
-        counts = {r["statut"]: r["count"] for r in rows.groupBy("statut").count().collect()}
         at = timestamp(clock())
+        status = F.col("statut")
+        sound = status == "valide"
+        counted = Observation()
+        observed = rows.observe(
+            counted,
+            *[F.count_if(status == key).alias(name) for name, key in _COUNTED.items()],
+            F.max(F.when(sound, F.col("datetime_mes"))).cast("string").alias("derniere"),
+            F.coalesce(F.sum(F.when(sound, seconds_between("datetime_mes", at))), F.lit(0)).alias("latence_somme"),
+        )
 
-        def only(status: str) -> DataFrame:
-            return rows.filter(F.col("statut") == status)
-
-        if counts.get("malforme"):
-            letters = only("malforme").select(
-                F.col("value").cast("string").alias("value"), "malformed_reason", at.alias("horodatage_rejet")
-            )
-            store.write_batch("rejets", batch_id, letters)
-        if counts.get("quarantaine"):
-            store.write_batch("quarantaine", batch_id, quarantine_rows(only("quarantaine"), at))
-        if counts.get("valide"):
+        def only(key: str) -> DataFrame:
+            return rows.filter(status == key)
+
+        def write(table: str, made: DataFrame) -> Callable[[], None]:
+            return partial(store.write_batch, table, batch_id, made)
+
+        letters = observed.filter(status == "malforme").select(
+            F.col("value").cast("string").alias("value"), "malformed_reason", at.alias("horodatage_rejet")
+        )
+        store.write_batch("rejets", batch_id, letters)
+        facts = counted.get
+        totals = {name: facts[name] for name in _COUNTED}
+        if not totals["malformes"]:
+            store.remove_batch(spark, "rejets", batch_id)
+        if not any(totals.values()):
+            return totals
+        steps = []
+        if totals["quarantaine"]:
+            steps.append(write("quarantaine", quarantine_rows(only("quarantaine"), at)))
+        if totals["valides"]:
             valid = only("valide")
-            store.write_batch("lac", batch_id, lake_rows(valid, at))
-            store.write_batch("telemetrie", batch_id, raw_rows(valid, at))
-            store.write_batch("etats", batch_id, state_rows(valid))
-            store.write_batch("vus", batch_id, seen_rows(valid))
-        totals = {name: counts.get(key, 0) for name, key in _COUNTED.items()}
-        if counts:
-            summary = messages.sparkSession.range(1, numPartitions=1).select(
-                *[F.lit(n).cast("long").alias(name) for name, n in totals.items()]
-            )
-            store.write_batch("lots", batch_id, summary)
+            made = {
+                "lac": lake_rows(valid, at), "telemetrie": raw_rows(valid, at), "etats": state_rows(valid),
+                "bords": edge_rows(valid), "vus": seen_rows(valid),
+            }
+            steps += [write(table, frame) for table, frame in made.items()]
+        if steps:
+            together(spark, *steps)
+        summary = spark.range(1, numPartitions=1).select(
+            *[F.lit(n).cast("long").alias(name) for name, n in totals.items()], at.alias("horodatage"),
+            F.lit(facts["derniere"]).cast("timestamp_ntz").alias("derniere"), F.lit(facts["latence_somme"]).cast("long").alias("latence_somme"),
+        )
+        last = [write("lots", summary)]
+        if trend and totals["valides"]:
+            last.append(partial(update_trend, spark, store, batch_id))
+        together(spark, *last)
         log.info("batch %s: %s", batch_id, totals)
         return totals
     finally:
         rows.unpersist()
 
 
-_COUNTED = {"valides": "valide", "quarantaine": "quarantaine", "malformes": "malforme"}
+#: Levels that the stream itself merges: a segment of the last one holds some 4,000 batches. ``fold_all`` merges on.
+STREAM_LEVELS = 3
+
 
+def fold_finished(spark: SparkSession, store: TelemetryStore, levels: int | None = STREAM_LEVELS, keep_seconds: float = KEEP_SECONDS) -> None:
+    """Fold all batches but the newest of every table, and drop what was folded ``keep_seconds`` ago."""
 
-def fold_finished(spark: SparkSession, store: TelemetryStore) -> None:
-    """Fold all batches but the newest of every table, and drop those folded by the time before."""
-    for table in COMPACTED:
+    def fold(table: str) -> None:
         newest = store.newest_batch(spark, table)
         if newest > 0:
-            store.compact(spark, table, newest - 1)
-            store.drop_folded_batches(spark, table)
+            store.compact(spark, table, newest - 1, levels)
+            store.drop_folded(spark, table, keep_seconds)
+
+    together(spark, *[partial(fold, table) for table in TABLES])
+
+
+def fold_all(spark: SparkSession, store: TelemetryStore) -> None:
+    """Merge the segments of every table on all levels; for a job beside the stream, once a day."""
+    for table in TABLES:
+        store.merge(spark, table)
 
 
 def run_stream(
@@ -97,19 +138,21 @@ def run_stream(
     available_now: bool = False,
     clock: Callable[[], datetime] = utc_now,
     every: str = f"{FLUSH_SECONDS} seconds",
-    compact_every: int | None = None,
+    compact_every: int | None = RATIO,
+    keep_seconds: float = KEEP_SECONDS,
+    trend: bool = True,
 ) -> StreamingQuery:
     """Start the query. Offsets are committed only after all writes of a batch succeeded.
 
     ``every`` paces sources that cannot wait by themselves. With Kafka it should be ``PACED_BY_SOURCE``: the source
-    then fires at 500 messages or after 10 seconds, instead of being asked only every 10 seconds. With
-    ``compact_every``, each so many batches the finished ones of every table are folded.
+    then fires at 500 messages or after 10 seconds, instead of being asked only every 10 seconds. Each
+    ``compact_every`` batches the finished ones of every table are folded; None leaves them as they are.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, store, clock)
+        process_batch(batch, batch_id, store, clock, trend)
         if compact_every and batch_id and batch_id % compact_every == 0:
-            fold_finished(batch.sparkSession, store)
+            fold_finished(batch.sparkSession, store, keep_seconds=keep_seconds)
 
     writer = source.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if available_now:

@@ -1,6 +1,8 @@
 import math
-from datetime import datetime
+from datetime import datetime, timedelta
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -9,11 +11,12 @@ from pyspark.sql import functions as F
 
 from machpulse import schemas
 from machpulse.operators import telemetry as t
-from machpulse.sources import storage, streams
+from machpulse.sources import storage, streams, telemetry_store
 from machpulse.sources.messages import parse_messages
 from machpulse.sources.telemetry_store import TelemetryStore
 from machpulse.functions.time_columns import timestamp
 from machpulse.streaming import ingest
+from machpulse.streaming.derived import changed_trend
 from machpulse.streaming.silence import silence_check
 from tests.helpers import at, message, rows_of
 
@@ -161,10 +164,9 @@ def test_compaction_keeps_the_windows(spark, store):
     assert not store.compact(spark, "etats", 1)
     assert store.compact(spark, "etats", 3)
     assert windows() == whole
-    # Readers may still hold a listing from before the newest segment; its batches stay until the next.
-    assert store.drop_folded_batches(spark, "etats") == 2
-    assert windows() == whole
-    assert store.drop_folded_batches(spark, "etats", grace=0) == 2
+    # Readers may still hold a listing from before the segments; what these cover stays for a while.
+    assert store.drop_folded(spark, "etats") == 0
+    assert store.drop_folded(spark, "etats", keep_seconds=0) == 4
     assert storage.numbered(spark, store.folder("etats"), "batch_id=") == [4]
     assert windows() == whole
     process(spark, store, 5, message(time="2030-02-02T09:05:05"))
@@ -177,8 +179,8 @@ def test_raw_rows_survive_compaction(spark, store):
     before = {name: rows_of(store.read(spark, name)) for name in ("telemetrie", "quarantaine", "lac")}
     for name in before:
         assert store.compact(spark, name, 2)
-        assert store.drop_folded_batches(spark, name) == 0
-        assert store.drop_folded_batches(spark, name, grace=0) == 3
+        assert store.drop_folded(spark, name) == 0
+        assert store.drop_folded(spark, name, keep_seconds=0) == 3
         assert rows_of(store.read(spark, name)) == before[name]
 
 
@@ -196,9 +198,12 @@ def test_running_stream_folds_and_keeps_last_seen(spark, tmp_path):
         (incoming / f"{n}.txt").write_text("\n".join(message(machine_id=m, time=f"2030-02-02T09:0{n}:05") for m in (1, 2)) + "\n")
     kept = TelemetryStore(str(tmp_path / "store"))
     source = streams.text_stream(spark, str(incoming), 1)
-    ingest.run_stream(source, kept, str(tmp_path / "checkpoint"), available_now=True, compact_every=2).awaitTermination()
+    ingest.run_stream(
+        source, kept, str(tmp_path / "checkpoint"), available_now=True, compact_every=2, keep_seconds=0
+    ).awaitTermination()
     assert kept.read(spark, "telemetrie").count() == 12
-    assert storage.numbered(spark, kept.folder("telemetrie"), "batch_id=") == [2, 3, 4, 5]
+    assert storage.numbered(spark, kept.folder("telemetrie"), "batch_id=") == [4, 5]
+    assert kept.segments(spark, "telemetrie") == [(0, 0, 1), (0, 2, 3)]
     assert rows_of(kept.last_seen(spark)) == [(m, at("2030-02-02T09:05:05")) for m in (1, 2)]
     known = spark.createDataFrame([(1,), (3,)], "machine_id int")
     silent = silence_check(known, kept.last_seen(spark), at("2030-02-02T09:07:00"))
@@ -210,11 +215,140 @@ def test_unfinished_segment_is_ignored(spark, store):
     for n in range(3):
         process(spark, store, n, message(time=f"2030-02-02T09:0{n}:05"))
     store.compact(spark, "etats", 1)
-    storage.remove(spark, f"{store._folded('etats')}/upto=1/_SUCCESS")
+    storage.remove(spark, f"{store._folded('etats')}/tasse=0-0-1/_SUCCESS")
     assert t.merge_windows(store.read_state(spark)).count() == 3
     assert store.read_state(spark).agg(F.sum("n")).first()[0] == 3
 
 
+def fake_batches(spark, store, table, numbers):
+    """One reading per batch and machine, straight into the table."""
+    for n in numbers:
+        rows = spark.createDataFrame(
+            [(m, at("2030-02-01T00:00:00") + timedelta(minutes=n), 20.0, 100.0 + n, 1, 203002) for m in (1, 2)],
+            store._schema(table),
+        )
+        store.write_batch(table, n, rows.coalesce(1))
+
+
+def test_levels_keep_the_folders_few(spark, store, monkeypatch):
+    monkeypatch.setattr(telemetry_store, "RATIO", 2)
+    most = 0
+    for n in range(17):
+        fake_batches(spark, store, "etats", [n])
+        if n:
+            store.compact(spark, "etats", n - 1)
+            store.drop_folded(spark, "etats", keep_seconds=0)
+            store.drop_folded(spark, "etats", keep_seconds=0)
+        segments = store.segments(spark, "etats")
+        assert [s.first for s in segments[1:]] == [s.last + 1 for s in segments[:-1]]
+        most = max(most, len(storage.names(spark, store.folder("etats"))) + len(storage.names(spark, store._folded("etats"))))
+    assert store.segments(spark, "etats") == [(4, 0, 15)] and most <= 2 + 5
+    assert rows_of(store.read_state(spark), "machine_id", "fenetre", "n") == [
+        (m, at("2030-02-01T00:00:00") + timedelta(minutes=n), 1) for m in (1, 2) for n in range(17)
+    ]
+
+
+def test_levels_above_a_limit_wait(spark, store, monkeypatch):
+    monkeypatch.setattr(telemetry_store, "RATIO", 2)
+    for n in range(5):
+        fake_batches(spark, store, "etats", [n])
+        if n:
+            store.compact(spark, "etats", n - 1, levels=1)
+    assert store.segments(spark, "etats") == [(1, 0, 1), (1, 2, 3)]
+    assert store.merge(spark, "etats") == 1
+    assert store.segments(spark, "etats") == [(2, 0, 3)]
+
+
+def test_open_readers_outlive_a_merge(spark, store, monkeypatch):
+    monkeypatch.setattr(telemetry_store, "RATIO", 2)
+    fake_batches(spark, store, "etats", range(4))
+    store.compact(spark, "etats", 0)
+    opened = store.read_state(spark)
+    store.compact(spark, "etats", 1)
+    store.compact(spark, "etats", 2)
+    assert store.drop_folded(spark, "etats") == 0
+    assert opened.count() == store.read_state(spark).count() == 8
+    # A merge that dies leaves no marker: the segments that it read still count.
+    storage.remove(spark, f"{store._folded('etats')}/tasse=1-0-1/_SUCCESS")
+    assert store.read_state(spark).count() == 8 and store.segments(spark, "etats") == [(0, 0, 0), (0, 1, 1), (0, 2, 2)]
+
+
+def test_merged_segments_are_clustered_by_machine(spark, store, monkeypatch):
+    monkeypatch.setattr(telemetry_store, "RATIO", 2)
+    for n in range(3):
+        rows = [(m, at("2030-02-01T00:00:00") + timedelta(minutes=10 * n + k), 1.0, 1.0, 1, 203002) for m in range(1, 101) for k in range(10)]
+        store.write_batch("etats", n, spark.createDataFrame(rows, store._schema("etats")))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        for n in range(2):
+            store.compact(spark, "etats", n)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    (segment,) = store.segments(spark, "etats")
+    files = sorted(Path(f"{store._folded('etats')}/{segment.name}").rglob("*.parquet"))
+    assert len(files) == 8
+    groups = [pq.ParquetFile(f).metadata.row_group(g) for f in files for g in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    spans = [g.column(0).statistics for g in groups]
+    assert groups[0].column(0).path_in_schema == "machine_id"
+    assert sum(s.min <= 42 <= s.max for s in spans) <= 2
+    assert store.read_state(spark).filter("machine_id = 42").count() == 30
+
+
+def trend_rows(frame):
+    return {r[:2]: tuple(round(v, 9) for v in r[2:]) for r in rows_of(frame, "machine_id", "fenetre", *t_columns)}
+
+
+t_columns = ("rms_vibration", "pression_moyenne", "tendance_pression")
+
+
+def test_stored_trend_follows_late_and_replayed_batches(spark, store):
+    def texts(*readings):
+        return [message(machine_id=m, time=time, pressure=p) for m, time, p in readings]
+
+    deliveries = [
+        texts((1, "2030-02-02T09:00:05", 100.0), (1, "2030-02-02T09:01:05", 110.0), (2, "2030-02-02T09:01:05", 90.0)),
+        texts((1, "2030-02-05T09:00:05", 130.0), (2, "2030-02-02T09:03:05", 95.0)),
+        texts((1, "2030-01-31T23:59:05", 80.0), (1, "2030-02-02T09:00:35", 104.0)),
+        ["{broken"],
+        texts((1, "2030-02-03T00:00:00", 70.0), (2, "2030-02-02T09:02:05", 60.0)),
+    ]
+    for n, values in enumerate(deliveries):
+        process(spark, store, n, *values)
+        if n in (1, 4):
+            process(spark, store, n, *values)
+        if n == 3:
+            ingest.fold_finished(spark, store, keep_seconds=0)
+        assert trend_rows(store.read_trend(spark)) == trend_rows(t.trend_of_state(store.read_state(spark)))
+    assert [s[1:] for s in store.segments(spark, "tendance")] == [(0, 1)]
+    edges = store.read(spark, "bords")
+    for day in ("2030-01-31", "2030-02-02", "2030-02-03", "2030-02-05"):
+        whole = t.trend_of_state(store.read_state(spark)).filter(F.to_date("fenetre") == day)
+        assert trend_rows(t.trend_of_day(store.read_state(spark), day, edges)) == trend_rows(whole)
+
+
+def test_a_batch_reads_only_its_months_and_the_index(spark, store):
+    process(spark, store, 0, message(time="2029-11-02T09:00:05"), message(time="2029-12-02T09:00:05"))
+    process(spark, store, 1, message(time="2030-02-02T09:00:05"))
+
+    def scans_of(frame, folder):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        return [line for line in plan.splitlines() if "FileScan" in line and f"/{folder}/batch_id=0" in line]
+
+    length = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    try:
+        (state,) = scans_of(changed_trend(spark, store, 1), "etats")
+        day = t.trend_of_day(store.read_state(spark), "2030-02-02", store.read(spark, "bords"))
+        (today,) = scans_of(day, "etats")
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", length)
+    assert "mois" in state.split("PartitionFilters")[1] and "= 203002" in state.split("PartitionFilters")[1]
+    assert "<= 203002" in today.split("PartitionFilters")[1] and ">= 203002" in today.split("PartitionFilters")[1]
+
+
 def test_watermark_variant_drops_late_rows(spark, tmp_path):
     incoming = tmp_path / "incoming"
     deliver(incoming, "a", message(time="2030-02-02T09:00:05", vibration=20.0))

@@ -2,8 +2,11 @@ import re
 import math
 from datetime import datetime, timedelta
 
+from functools import reduce
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from machpulse.functions.time_columns import month_of
@@ -130,13 +133,71 @@ def test_trend_equals_plain_lag(spark, sample):
         assert {r[:2]: r[2] for r in rows_of(trend, "machine_id", "fenetre", "tendance_pression")} == want
 
 
+def in_batches(spark, sample):
+    """Window partials of the sample's rows, by the batch each was dealt to."""
+    numbered = list(zip(as_rows(sample), [s[4] for s in sample]))
+    dealt = {k: [r for r, n in numbered if n == k] for k in range(4)}
+    return [t.partial_windows(telemetry(spark, rows)) for rows in dealt.values() if rows]
+
+
+def together(parts):
+    return reduce(DataFrame.unionByName, parts)
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(readings, st.integers(0, 4), st.integers(1, 3))
-def test_day_trend_equals_filtered_history(spark, sample, day, lookback):
-    state = t.partial_windows(telemetry(spark, as_rows(sample))).withColumn("mois", month_of("fenetre"))
+@given(readings, st.integers(0, 4), st.booleans())
+def test_day_trend_equals_filtered_history(spark, sample, day, indexed):
+    parts = in_batches(spark, sample)
+    state = together(parts).withColumn("mois", month_of("fenetre"))
+    edges = together([t.edge_windows(p) for p in parts]).withColumn("mois", month_of("fenetre")) if indexed else None
     run_date = (datetime(2030, 1, 30) + timedelta(days=day)).date().isoformat()
     full = t.pressure_trend(t.merge_windows(state)).filter(F.to_date("fenetre") == F.lit(run_date).cast("date"))
-    assert rows_of(t.trend_of_day(state, run_date, lookback)) == rows_of(full)
+    found = {r[:2]: r[2:] for r in rows_of(t.trend_of_day(state, run_date, edges))}
+    want = {r[:2]: r[2:] for r in rows_of(full)}
+    assert found.keys() == want.keys()
+    for key, values in want.items():
+        assert all(math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9) for a, b in zip(values, found[key]))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(readings, st.randoms())
+def test_touched_rows_keep_the_trend_up_to_date(spark, sample, rng):
+    """Whatever the order in which batches arrive, the newest version of every row is the trend of all partials."""
+    parts = in_batches(spark, sample)
+    rng.shuffle(parts)
+    parts = [spark.createDataFrame(p.collect(), p.schema) for p in parts]
+    kept = {}
+    for n in range(1, len(parts) + 1):
+        state, edges = together(parts[:n]), together([t.edge_windows(p) for p in parts[:n]])
+        for row in t.touched_trend(parts[n - 1], state, edges).collect():
+            kept[row.machine_id, row.fenetre] = tuple(row)[2:]
+        want = {r[:2]: r[2:] for r in rows_of(t.trend_of_state(state))}
+        assert kept.keys() == want.keys()
+        for key, values in want.items():
+            assert all(math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9) for a, b in zip(values, kept[key]))
+
+
+def test_only_touched_windows_and_successors_change(spark):
+    days = [f"2030-01-0{d}T10:0{m}:00" for d in (1, 3, 5) for m in (0, 1, 2)]
+    old = t.partial_windows(telemetry(spark, [(1, when, 100, 20) for when in days] + [(2, days[0], 50, 20)]))
+
+    def changed(*rows):
+        new = t.partial_windows(telemetry(spark, list(rows)))
+        state, edges = together([old, new]), together([t.edge_windows(old), t.edge_windows(new)])
+        return [(r.machine_id, r.fenetre.isoformat(), r.tendance_pression) for r in t.touched_trend(new, state, edges).orderBy("fenetre").collect()]
+
+    # Inside a day, at its end, on a day without windows, before and after all others.
+    assert changed((1, "2030-01-03T10:01:30", 120, 20)) == [(1, "2030-01-03T10:01:00", 10.0), (1, "2030-01-03T10:02:00", -10.0)]
+    assert changed((1, "2030-01-03T10:02:30", 120, 20)) == [(1, "2030-01-03T10:02:00", 10.0), (1, "2030-01-05T10:00:00", -10.0)]
+    assert changed((1, "2030-01-04T09:00:00", 130, 20)) == [(1, "2030-01-04T09:00:00", 30.0), (1, "2030-01-05T10:00:00", -30.0)]
+    assert changed((1, "2029-12-31T09:00:00", 90, 20)) == [(1, "2029-12-31T09:00:00", 0.0), (1, "2030-01-01T10:00:00", 10.0)]
+    assert changed((1, "2030-01-09T09:00:00", 90, 20)) == [(1, "2030-01-09T09:00:00", -10.0)]
+
+
+def test_edges_are_first_and_last_windows(spark):
+    raw = telemetry(spark, [(1, f"2030-01-01T1{h}:00:00", 100 + h, 20) for h in range(4)] + [(1, "2030-01-02T00:00:00", 1, 1)])
+    found = rows_of(t.edge_windows(t.partial_windows(raw)), "fenetre", "sum_p", "n")
+    assert found == [(at("2030-01-01T10:00:00"), 100.0, 1), (at("2030-01-01T13:00:00"), 103.0, 1), (at("2030-01-02T00:00:00"), 1.0, 1)]
 
 
 def test_neighbours_without_keys(spark):
