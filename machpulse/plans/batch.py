@@ -5,10 +5,11 @@ the last write; readers only look at published runs. Event tables and the event
 run added, dimensions are whole snapshots of their latest run.
 """
 
+import json
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
@@ -68,18 +69,35 @@ class Warehouse:
     def events(self, spark: SparkSession) -> DataFrame:
         return self._additions(spark, "fait_evenement", schemas.FACT_EVENT)
 
-    def days(self, spark: SparkSession) -> DataFrame:
-        """The machine x day table: of each day the rows of the newest published run that wrote it."""
-        newest = {
-            day: f"{self.path('fait_telemetrie_jour', run)}/id_date={day}"
-            for run in self.published(spark)
-            for day in storage.numbered(spark, self.path("fait_telemetrie_jour", run), "id_date=")
-        }
-        if not newest:
+    def _index_path(self, run_id: int) -> str:
+        return f"{self.root}/_index/{run_id}.json"
+
+    def index(self, spark: SparkSession) -> dict:
+        """Of the newest published run: the run and row count of every day, and the number of staged machines."""
+        runs = self.published(spark)
+        return json.loads(storage.read_text(spark, self._index_path(runs[-1]))) if runs else {"days": {}, "machines": 0}
+
+    def write_index(self, spark: SparkSession, run_id: int, id_date: int, rows: int, machines: int) -> None:
+        """The index as this run leaves it, complete, so a reader opens one file however many runs there were."""
+        days = self.index(spark)["days"] | {str(id_date): {"run": run_id, "rows": rows}}
+        storage.write_text(spark, self._index_path(run_id), json.dumps({"days": days, "machines": machines}))
+
+    def _day_folder(self, id_date: int | str, run_id: int) -> str:
+        return f"{self.path('fait_telemetrie_jour', run_id)}/id_date={id_date}"
+
+    def days(self, spark: SparkSession, *id_dates: int) -> DataFrame:
+        """The machine x day table, or only the given days: of each day the rows of the newest published run that wrote it.
+
+        The folders come from the index, without a call per run or day; one that is missing is lost data, and an error.
+        """
+        entries = self.index(spark)["days"]
+        wanted = [str(d) for d in id_dates if str(d) in entries] if id_dates else list(entries)
+        if not wanted:
             return spark.createDataFrame([], schemas.FACT_DAY)
         parted = StructType([f for f in schemas.FACT_DAY.fields if f.name != "id_date"])
         parted = StructType(parted.fields).add("run_id", LongType()).add("id_date", IntegerType())
-        read = spark.read.schema(parted).option("basePath", f"{self.root}/fait_telemetrie_jour").parquet(*newest.values())
+        folders = [self._day_folder(day, entries[day]["run"]) for day in wanted]
+        read = spark.read.schema(parted).option("basePath", f"{self.root}/fait_telemetrie_jour").parquet(*folders)
         return read.select(*schemas.FACT_DAY.names)
 
 
@@ -108,11 +126,15 @@ def _extent(df: DataFrame) -> tuple[int, Column | None]:
     return n, None if first is None else F.col("id_date").between(first, last)
 
 
-def _write(df: DataFrame, path: str, by_day: bool) -> None:
+def _write(df: DataFrame, path: str, by_day: bool) -> int:
+    """Write and return the number of rows, counted by the write itself."""
+    counted = Observation()
     if by_day:
-        df.hint("rebalance", "id_date").write.mode("overwrite").partitionBy("id_date").parquet(path)
+        df = df.hint("rebalance", "id_date").observe(counted, F.count(F.lit(1)).alias("n"))
+        df.write.mode("overwrite").partitionBy("id_date").parquet(path)
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return counted.get["n"]
 
 
 def _load_events(spark, warehouse, run_id, incoming, table, machines, on_violation) -> dict[str, int]:
@@ -125,12 +147,11 @@ def _load_events(spark, warehouse, run_id, incoming, table, machines, on_violati
     if span is not None:
         known = known.filter(span)
     fresh = insert_if_absent(known, incoming, schemas.STAGING_KEYS[table])
-    _write(
+    inserted = _write(
         fresh.withColumn("id_date", id_date_of("datetime_evt")), warehouse.path(f"staging_{table}", run_id), by_day=True
     )
-    added = _added(spark, warehouse, run_id, table)
-    enforce(added, staging_rules(table, machines), on_violation)
-    return {"attempted": attempted, "inserted": added.count()}
+    enforce(_added(spark, warehouse, run_id, table), staging_rules(table, machines), on_violation)
+    return {"attempted": attempted, "inserted": inserted}
 
 
 def _added(spark, warehouse, run_id, table) -> DataFrame:
@@ -145,10 +166,11 @@ def run_batch(
     warehouse: Warehouse,
     state: DataFrame,
     on_violation: str = "fail",
+    edges: DataFrame | None = None,
 ) -> dict[str, dict[str, int]]:
-    """One day. ``state`` is the window state of the telemetry. Returns rows attempted and inserted per table.
+    """One day. ``state`` is the window state of the telemetry, ``edges`` the index of each day's first and last windows.
 
-    A rerun adds nothing. A run that dies leaves unpublished folders, which the next run overwrites.
+    Returns rows attempted and inserted per table. With the index no older window is read. A rerun adds nothing. A run that dies leaves unpublished folders, which the next run overwrites.
     """
     landing.require_landed(spark, raw_root, run_date)
     run_id = max(warehouse.published(spark), default=0) + 1
@@ -160,11 +182,10 @@ def run_batch(
     known, keys = warehouse.machines(spark), schemas.STAGING_KEYS["machines"]
     whole = insert_if_absent(None, incoming, keys) if known is None else upsert(known, incoming, keys, "nothing")
     folder = warehouse.path("staging_machines", run_id)
-    _write(whole, folder, by_day=False)
+    staged = _write(whole, folder, by_day=False)
     machines = spark.read.schema(schemas.STAGING["machines"]).parquet(folder)
     enforce(machines, staging_rules("machines"), on_violation)
-    before = 0 if known is None else known.count()
-    counts["machines"] = {"attempted": incoming.count(), "inserted": machines.count() - before}
+    counts["machines"] = {"attempted": incoming.count(), "inserted": staged - warehouse.index(spark)["machines"]}
 
     def load(filename: str) -> dict[str, int]:
         rows = landing.read_landed(spark, raw_root, run_date, filename)
@@ -195,23 +216,22 @@ def run_batch(
     if span is not None:
         known = known.filter(span)
     fact = datamart.build_event_fact(events, dims["dim_machine"], types, dims["dim_code_evenement"], known)
-    _write(fact, warehouse.path("fait_evenement", run_id), by_day=True)
+    counts["fait_evenement"] = {"inserted": _write(fact, warehouse.path("fait_evenement", run_id), by_day=True)}
     fact_schema = StructType([f for f in schemas.FACT_EVENT.fields if f.name != "id_date"]).add("id_date", IntegerType())
     this_run = spark.read.schema(fact_schema).parquet(warehouse.path("fait_evenement", run_id))
-    counts["fait_evenement"] = {"inserted": this_run.count()}
 
     # Machine x day.
     all_events = warehouse.events(spark).unionByName(this_run)
     day = consolidation.consolidate(
         dims["dim_machine"],
-        consolidation.daily_telemetry(trend_of_day(state, run_date), run_date),
+        consolidation.daily_telemetry(trend_of_day(state, run_date, edges), run_date),
         consolidation.daily_events(all_events, dims["dim_machine"], types, run_date),
         run_date,
     )
     id_date = consolidation.id_date_value(run_date)
     # The grid is complete for its day, so the newest published run's rows are the upsert. Until then they are not seen.
-    folder = f"{warehouse.path('fait_telemetrie_jour', run_id)}/id_date={id_date}"
-    day.drop("id_date").write.mode("overwrite").parquet(folder)
-    counts["fait_telemetrie_jour"] = {"inserted": spark.read.parquet(folder).count()}
+    rows = _write(day.drop("id_date"), warehouse._day_folder(id_date, run_id), by_day=False)
+    counts["fait_telemetrie_jour"] = {"inserted": rows}
+    warehouse.write_index(spark, run_id, id_date, rows, staged)
     warehouse.publish(spark, run_id)
     return counts

@@ -19,6 +19,7 @@ from machpulse.plans import runs
 from machpulse.plans.batch import staging_rules
 from machpulse.sources import messages as msg
 from machpulse.sources.telemetry_store import quarantine_rows as to_quarantine_rows
+from machpulse.sources.storage import stored
 from machpulse.sources.telemetry_store import raw_rows as to_raw_rows
 
 _REGISTRY = {}
@@ -392,11 +393,17 @@ def constraint_report(spark: SparkSession, sf: str) -> DataFrame:
 # Daily consolidation
 
 
+def _day_trend(spark, sf, run_date):
+    """The day's trend: its own windows, and of earlier days the index of first and last windows only."""
+    state = telemetry.partial_windows(b.valid_telemetry(spark, sf))
+    edges = stored(telemetry.edge_windows(state), "edges")
+    return telemetry.trend_of_day(state, run_date, edges)
+
+
 def _day(spark, sf, run_date, star):
-    trend = _valid_trend(spark, sf)
     return consolidation.consolidate(
         star["machines"],
-        consolidation.daily_telemetry(trend, run_date),
+        consolidation.daily_telemetry(_day_trend(spark, sf, run_date), run_date),
         consolidation.daily_events(star["fact"], star["machines"], star["types"], run_date),
         run_date,
     )
@@ -412,8 +419,7 @@ def _natural_day(day: DataFrame, machines: DataFrame) -> DataFrame:
 
 @_query
 def daily_telemetry(spark: SparkSession, sf: str) -> DataFrame:
-    trend = _valid_trend(spark, sf)
-    return rounded(consolidation.daily_telemetry(trend, b.RUN_DATE), *DAY_MEASURES)
+    return rounded(consolidation.daily_telemetry(_day_trend(spark, sf, b.RUN_DATE), b.RUN_DATE), *DAY_MEASURES)
 
 
 @_query

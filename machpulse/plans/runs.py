@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from machpulse.functions.fixed_values import EVENT_SOURCES, STAGING_FILES
 from machpulse.functions.time_columns import month_of
-from machpulse.operators.telemetry import partial_windows
+from machpulse.operators.telemetry import edge_windows, partial_windows
 from machpulse.plans import bindings as b
 from machpulse.plans.batch import Warehouse, run_batch
 from machpulse.sources import landing, storage, streams
@@ -83,8 +83,9 @@ def batch(spark: SparkSession, sf: str, times: int = 1) -> Warehouse:
     raw = _land(spark, sf)
     warehouse = Warehouse(storage.work_folder(spark, "warehouse"))
     state = storage.stored(partial_windows(b.valid_telemetry(spark, sf)).withColumn("mois", month_of("fenetre")), "state")
+    edges = storage.stored(edge_windows(state).withColumn("mois", month_of("fenetre")), "edges")
     for _ in range(times):
-        run_batch(spark, b.RUN_DATE, raw, warehouse, state)
+        run_batch(spark, b.RUN_DATE, raw, warehouse, state, edges=edges)
     return warehouse
 
 

@@ -43,6 +43,18 @@ def write_marker(spark: SparkSession, path: str) -> None:
     fs.create(handle, True).close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, handle = _path(spark, path)
+    fs.mkdirs(handle.getParent())
+    stream = fs.create(handle, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
 def prune_empty(spark: SparkSession, folder: str, root: str) -> None:
     """Remove a folder if nothing is in it, then its parents up to ``root``."""
     fs, handle = _path(spark, folder)

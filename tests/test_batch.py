@@ -188,3 +188,28 @@ def test_lost_folder_of_a_published_run_is_an_error(spark, places):
     storage.remove(spark, warehouse.path("fait_evenement", 1))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         warehouse.events(spark).count()
+
+
+def test_lost_day_of_a_published_run_is_an_error(spark, places):
+    raw, warehouse = places
+    deliver(spark, raw, "2030-03-10", FIRST)
+    deliver(spark, raw, "2030-03-11", FIRST)
+    run_batch(spark, "2030-03-10", raw, warehouse, state(spark))
+    run_batch(spark, "2030-03-11", raw, warehouse, state(spark))
+    assert warehouse.index(spark) == {"days": {"20300310": {"run": 1, "rows": 2}, "20300311": {"run": 2, "rows": 2}}, "machines": 2}
+    storage.remove(spark, warehouse.path("fait_telemetrie_jour", 1))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        warehouse.days(spark).count()
+    # The other day is read without a look at the lost one; a day that no run wrote has no rows.
+    assert warehouse.days(spark, 20300311).count() == 2
+    assert warehouse.days(spark, 20300312).count() == 0
+
+
+def test_day_from_the_index_of_edges(spark, places):
+    raw, warehouse = places
+    deliver(spark, raw, "2030-03-10", FIRST)
+    edges = t.edge_windows(state(spark).drop("mois")).withColumn("mois", month_of("fenetre"))
+    run_batch(spark, "2030-03-10", raw, warehouse, state(spark), edges=edges)
+    before = rows_of(warehouse.days(spark).fillna(-1.0))
+    run_batch(spark, "2030-03-10", raw, warehouse, state(spark))
+    assert rows_of(warehouse.days(spark).fillna(-1.0)) == before

@@ -126,6 +126,8 @@ def test_relay_keys_fitting_messages(spark, tmp_path):
     keyed = spark.read.parquet(out["path"])
     assert sorted(r["key"] for r in keyed.collect()) == ["3", "7"]
     assert rows_of(parse_messages(keyed), "machine_id", "malformed_reason") == [(3, None), (7, None)]
+    letters = spark.read.parquet(str(tmp_path / "checkpoint_rejets"))
+    assert rows_of(letters, "topic", "value", "malformed_reason") == [("usine/capteurs/9/mesure", "{broken", "json_invalide")]
 
 
 def test_alerts_as_they_stand(spark):
