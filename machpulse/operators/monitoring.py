@@ -1,5 +1,8 @@
 """Health panels and early-warning alerts."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +43,30 @@ def health(
         F.count_if((kind == "malforme") & (arrived >= day_ago)).alias("m"),
         F.avg(latency).alias("latence"),
     )
+    return _panels(totals, as_of, dead_letter is not None)
+
+
+def health_of_batches(batches: DataFrame, as_of: Column) -> DataFrame:
+    """The panels of ``health`` from one row per micro-batch: its counts, ingest time, newest reading and summed latency.
+
+    A batch has one ingest time, so its row lies wholly inside or outside each period; no reading or message is read.
+    """
+    arrived = F.col("horodatage")
+    day, hour = arrived >= as_of - interval("1 day"), arrived >= as_of - interval("1 hour")
+
+    def within(period: Column, column: str) -> Column:
+        return F.coalesce(F.sum(F.when(period, F.col(column))), F.lit(0))
+
+    totals = batches.agg(
+        F.max("derniere").alias("derniere"), within(day, "quarantaine").alias("q"), within(day, "valides").alias("v"),
+        within(day, "malformes").alias("m"),
+        F.try_divide(within(hour, "latence_somme").cast("double"), within(hour, "valides")).alias("latence"),
+    )
+    return _panels(totals, as_of, True)
+
+
+def _panels(totals: DataFrame, as_of: Column, malformed: bool) -> DataFrame:
+    """One row per panel from the row ``derniere, q, v, m, latence``."""
     values = {
         "fraicheur_secondes": seconds_between(F.col("derniere"), as_of).cast("double"),
         "taux_erreur_pct": 100.0 * F.col("q") / F.greatest(F.col("q") + F.col("v"), F.lit(1)),
@@ -53,7 +80,7 @@ def health(
         )
         for name, value in values.items()
     ]
-    if dead_letter is not None:
+    if malformed:
         rows.append(
             F.struct(
                 F.lit("messages_malformes").alias("metric"),
@@ -125,26 +152,18 @@ def _up(seconds: Column, step: int) -> Column:
     return -_down(-seconds, step)
 
 
-def alert_runs(
-    trend: DataFrame,
-    rules=ALERT_RULES,
-    hold: str = ALERT_HOLD,
-    step: str = ALERT_STEP,
-    until: Column | None = None,
-    max_age: str | None = None,
+def _evaluated(
+    maxima: DataFrame, rules, step: str, until: Column | None, max_age: str | None, since: dict[str, Column] | None = None,
+    open_end: bool = False,
 ) -> DataFrame:
-    """Replay of the alert rules as runs of evaluations with one value and state: ``rule, first_eval, last_eval, value, state``.
+    """Stretches of evaluations that see one window: ``rule, w, first, last, breach, stale, began`` in seconds.
 
-    Evaluations stand on one grid, the multiples of ``step``, from the first window to the last (or ``until``); each
-    sees the fleet maximum of the latest window at that time. A breach is ``pending`` until it has lasted ``hold``,
-    then ``firing``. With ``max_age``, evaluations whose window is older are ``no_data``. A live evaluator runs on the
-    wall clock; the replay clock makes the result repeatable.
-
-    A window makes at most a few rows, however long the silence after it: a stray reading of another decade is one
-    run. The start of a breach is looked up in the same day, then in one row per earlier day.
+    ``began`` is the first evaluation of the breach that the stretch belongs to, if it does. ``since`` leaves out the
+    evaluations of a rule before a time, where a breach is known to begin or not to go on. With ``open_end`` the last
+    window has its evaluation even if that comes after all windows.
     """
-    wide, held = _seconds(step), _seconds(hold)
-    series = _by_rule(fleet_maxima(trend, rules), rules, ["fenetre"]).withColumn("seen", _second_of("fenetre"))
+    wide = _seconds(step)
+    series = _by_rule(maxima, rules, ["fenetre"]).withColumn("seen", _second_of("fenetre"))
     if until is not None:
         series = series.withColumn("until", until)
     # Of several windows before one evaluation, the latest counts.
@@ -152,10 +171,14 @@ def alert_runs(
     points = series.groupBy("rule", _up(F.col("seen"), wide).alias("first")).agg(
         latest.alias("w"), *([F.max("until").alias("until")] if until is not None else [])
     )
+    if since:
+        points = points.filter(reduce(or_, [(F.col("rule") == rule) & (F.col("first") >= _second_of(at)) for rule, at in since.items()]))
     points = points.withColumn("first_eval", _time_of("first"))
     points = next_row(points, ["rule"], "first_eval", {"__next": "first"})
     last = F.col("w.seen") if until is None else F.greatest(F.col("w.seen"), _second_of("until"))
-    points = points.withColumn("last", F.coalesce(F.col("__next") - wide, _down(last, wide))).filter("first <= last")
+    end = F.greatest("first", _down(last, wide)) if open_end else _down(last, wide)
+    points = points.withColumn("last", F.coalesce(F.col("__next") - wide, end))
+    points = points.withColumn("latest", F.col("__next").isNull()).filter("first <= last")
     breach = _exceeds(F.col("w.value"), F.col("w.threshold"))
     if max_age is None:
         parts = points.withColumn("stale", F.lit(False)).withColumn("breach", breach)
@@ -165,9 +188,9 @@ def alert_runs(
             F.struct(F.lit(False).alias("stale"), F.col("first").alias("f"), fresh_to.alias("l")),
             F.struct(F.lit(True).alias("stale"), F.greatest(F.col("first"), fresh_to + wide).alias("f"), F.col("last").alias("l")),
         )
-        split = points.withColumn("b", breach).select("rule", "w", "b", F.inline(halves)).filter("f <= l")
+        split = points.withColumn("b", breach).select("rule", "w", "b", "latest", F.inline(halves)).filter("f <= l")
         parts = split.select(
-            "rule", "w", "stale", (F.col("b") & ~F.col("stale")).alias("breach"), F.col("f").alias("first"), F.col("l").alias("last")
+            "rule", "w", "stale", "latest", (F.col("b") & ~F.col("stale")).alias("breach"), F.col("f").alias("first"), F.col("l").alias("last")
         )
     # A breach began one step after the last evaluation without one.
     parts = parts.withColumn("day", F.to_date(_time_of("first"))).withColumn("calm", F.when(~F.col("breach"), F.col("last")))
@@ -179,8 +202,30 @@ def alert_runs(
     )
     in_day = Window.partitionBy("rule", "day").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
     known = parts.withColumn("near", F.max("calm").over(in_day)).join(days, ["rule", "day"])
-    began = F.coalesce(F.coalesce("near", "carried") + wide, F.col("origin"))
-    fires = _up(began + held, wide)
+    return known.withColumn("began", F.coalesce(F.coalesce("near", "carried") + wide, F.col("origin")))
+
+
+def alert_runs(
+    trend: DataFrame,
+    rules=ALERT_RULES,
+    hold: str = ALERT_HOLD,
+    step: str = ALERT_STEP,
+    until: Column | None = None,
+    max_age: str | None = None,
+) -> DataFrame:
+    """Replay of the alert rules as runs of evaluations with one value and state: ``rule, first_eval, last_eval, value, state``.
+
+    Evaluations stand on one grid, the multiples of ``step``, from the first window to the last (or ``until``); each
+    sees the fleet maximum of the latest window at that time. A breach is ``pending`` until it has lasted ``hold``,
+    then ``firing``. With ``max_age``, evaluations whose window is older are ``no_data``. A live evaluator runs on the
+    wall clock; the replay clock makes the result repeatable.
+
+    A window makes at most a few rows, however long the silence after it: a stray reading of another decade is one
+    run. The start of a breach is looked up in the same day, then in one row per earlier day.
+    """
+    wide, held = _seconds(step), _seconds(hold)
+    known = _evaluated(fleet_maxima(trend, rules), rules, step, until, max_age)
+    fires = _up(F.col("began") + held, wide)
     states = F.array(
         F.struct(F.lit("no_data").alias("state"), F.col("first").alias("f"), F.when(F.col("stale"), F.col("last")).alias("l")),
         F.struct(F.lit("normal").alias("state"), F.col("first").alias("f"), F.when(~F.col("stale") & ~F.col("breach"), F.col("last")).alias("l")),
@@ -191,6 +236,51 @@ def alert_runs(
     return runs.select("rule", _time_of("f").alias("first_eval"), _time_of("l").alias("last_eval"), "value", "state")
 
 
+def first_evaluation(window: Column, step: str = ALERT_STEP) -> Column:
+    """The first evaluation that sees a window."""
+    return _time_of(_up(_second_of(window), _seconds(step)))
+
+
+def alert_episodes(
+    maxima: DataFrame, rules=ALERT_RULES, step: str = ALERT_STEP, max_age: str | None = None, since: dict[str, Column] | None = None
+) -> DataFrame:
+    """The breaches of each rule: ``rule, debut, fin``, first and last evaluation; ``fin`` is NULL while the latest window breaches.
+
+    ``maxima`` are the fleet maxima per window. A breach ends with the next window below, or, with ``max_age``, when its
+    window has become older than that before another came.
+    """
+    known = _evaluated(maxima, rules, step, None, max_age, since, open_end=True).filter("breach")
+    ends = known.groupBy("rule", "began").agg(F.max("last").alias("last"), F.bool_or("latest").alias("open"))
+    return ends.select("rule", _time_of("began").alias("debut"), F.when(~F.col("open"), _time_of("last")).alias("fin"))
+
+
+def states_at(
+    episodes: DataFrame,
+    maxima: DataFrame,
+    as_of: Column,
+    rules=ALERT_RULES,
+    hold: str = ALERT_HOLD,
+    step: str = ALERT_STEP,
+    max_age: str | None = None,
+) -> DataFrame:
+    """``rule, eval_at, value, state`` at the last evaluation up to ``as_of``; no row before the first window.
+
+    However old the latest window is, it counts and a breach of it goes on, unless ``max_age`` is given.
+    """
+    wide = _seconds(step)
+    seen = maxima.withColumn("e", _down(_second_of(as_of), wide)).filter(_second_of("fenetre") <= F.col("e"))
+    latest = seen.agg(F.max("e").alias("e"), F.max("fenetre").alias("fenetre"), *[F.max_by(c, "fenetre").alias(c) for c in rules])
+    now = _by_rule(latest.filter("fenetre IS NOT NULL"), rules, ["e", "fenetre"])
+    rows = episodes.select("rule", _second_of("debut").alias("d"), _second_of("fin").alias("f"))
+    joined = now.join(rows, (now["rule"] == rows["rule"]) & (rows["d"] <= now["e"]) & (rows["f"].isNull() | (rows["f"] >= now["e"])), "left")
+    stale = F.lit(False) if max_age is None else _down(_second_of("fenetre") + _seconds(max_age), wide) < F.col("e")
+    state = (
+        F.when(stale, "no_data").when(F.col("d").isNull(), "normal")
+        .when(F.col("e") >= _up(F.col("d") + _seconds(hold), wide), "firing").otherwise("pending")
+    )
+    return joined.select(now["rule"], _time_of("e").alias("eval_at"), "value", state.alias("state"))
+
+
 def alert_states(
     trend: DataFrame,
     rules=ALERT_RULES,

@@ -21,6 +21,8 @@ from machpulse.sources import messages as msg
 from machpulse.sources.telemetry_store import quarantine_rows as to_quarantine_rows
 from machpulse.sources.storage import stored
 from machpulse.sources.telemetry_store import raw_rows as to_raw_rows
+from machpulse.streaming.derived import AlertJournal, read_episodes
+from machpulse.streaming.derived import alerts_now as read_alerts_now
 
 _REGISTRY = {}
 
@@ -596,3 +598,37 @@ def daily_run_events(spark: SparkSession, sf: str) -> DataFrame:
     types = datamart.event_types(spark)
     counted = warehouse.events(spark).groupBy("id_type_evenement", "id_date").agg(F.count(F.lit(1)).alias("n"))
     return counted.join(F.broadcast(types), "id_type_evenement").select("code_type", "id_date", "n")
+
+
+@_query
+def relay_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of the sensor topics that the relay could not read; those of other topics are not its own."""
+    letters = runs.relayed(spark, sf)[1]
+    return letters.select("topic", "value", "malformed_reason")
+
+
+@_query
+def relayed_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Well-formed messages of the sensor topics, counted per key."""
+    published = runs.relayed(spark, sf)[0]
+    return published.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query
+def alerts_now(spark: SparkSession, sf: str) -> DataFrame:
+    """Both rules at one time, from the journal that the stream kept."""
+    store = runs.streamed(spark, sf, alerts=AlertJournal())
+    return rounded(read_alerts_now(spark, store, b.as_of()), "value")
+
+
+@_query
+def alert_journal(spark: SparkSession, sf: str) -> DataFrame:
+    """Every breach that the stream's journal holds after its last batch."""
+    return read_episodes(spark, runs.streamed(spark, sf, alerts=AlertJournal()))
+
+
+@_query
+def stream_health(spark: SparkSession, sf: str) -> DataFrame:
+    """Health panels from the one row per batch that the stream kept."""
+    lots = runs.streamed(spark, sf).read(spark, "lots")
+    return rounded(monitoring.health_of_batches(lots, b.as_of()), "value")

@@ -160,6 +160,19 @@ FROM (SELECT *, v > {threshold} AS breach,
             FROM grid {join}))"""
 
 
+def _fleet(condition: str = "") -> str:
+    return f"fleet AS (SELECT fenetre, {', '.join(f'max({r}) AS {r}' for r in ALERT_RULES)} FROM trend {condition} GROUP BY 1)"
+
+
+def _episodes(rule: str, threshold: float) -> str:
+    """Islands of evaluations above the threshold; the one of the last evaluation has no end."""
+    return f"""SELECT '{rule}' AS rule, min(eval_at) AS debut, nullif(max(eval_at), any_value(final)) AS fin
+FROM (SELECT *, sum(CASE WHEN v > {threshold} THEN 0 ELSE 1 END) OVER (ORDER BY eval_at) AS run, max(eval_at) OVER () AS final
+      FROM (SELECT eval_at, last_value({rule} IGNORE NULLS) OVER (ORDER BY eval_at ROWS UNBOUNDED PRECEDING) AS v
+            FROM grid LEFT JOIN fleet ON fenetre = eval_at))
+WHERE v > {threshold} GROUP BY run"""
+
+
 def _blob(data: bytes) -> str:
     return f"from_hex('{data.hex()}')"
 
@@ -197,6 +210,24 @@ def _panels() -> str:
     return f"WITH {_VALID}, {rest} " + " UNION ALL ".join(rows)
 
 
+def _stream_panels() -> str:
+    """All messages arrived at one time, which is also that of the panels."""
+    at = f"TIMESTAMP '{AS_OF}'"
+    values = {
+        "fraicheur_secondes": f"CAST(date_diff('second', max(datetime_mes), {at}) AS DOUBLE) FROM accepted",
+        "taux_erreur_pct": "100.0::DOUBLE * count(motif) / greatest(count(*), 1) FROM streamed",
+        "latence_secondes": f"avg(date_diff('second', datetime_mes, {at})) FROM accepted",
+    }
+    rows = [
+        f"""SELECT metric, round(value, 6) AS value,
+            CASE WHEN value IS NULL THEN 'no_data' WHEN value >= {RED_FROM[m]} THEN 'red' ELSE 'green' END AS status
+            FROM (SELECT '{m}' AS metric, (SELECT {v}) AS value)"""
+        for m, v in values.items()
+    ]
+    rows.append("SELECT 'messages_malformes', CAST(count(*) AS DOUBLE), 'info' FROM parsed WHERE malformed_reason IS NOT NULL")
+    return f"WITH {_PARSED} " + " UNION ALL ".join(rows)
+
+
 def _latest(rule: str) -> str:
     return f"""SELECT max(fenetre) AS fenetre, '{rule}' AS rule, round(max({rule}), 6) AS value,
   {ALERT_RULES[rule]}::DOUBLE AS threshold, max({rule}) > {ALERT_RULES[rule]} AS breach
@@ -372,6 +403,18 @@ def all_sql() -> dict[str, str]:
             (SELECT count(*) FROM parsed WHERE malformed_reason IS NOT NULL) AS malformes""",
         "stream_raw_table": f"""WITH {_PARSED} SELECT machine_id, datetime_mes, {_MEASURES},
             CAST(strftime(datetime_mes, '%Y%m') AS INTEGER) AS mois FROM accepted""",
+        "relay_dead_letters": f"""WITH {_PARSED} SELECT topic, value, malformed_reason FROM parsed JOIN messages USING (event_id, value)
+            WHERE malformed_reason IS NOT NULL AND len(string_split(topic, '/')) = 4""",
+        "relayed_messages": f"""WITH {_PARSED} SELECT CAST(parsed.machine_id AS VARCHAR) AS key, count(*) AS n
+            FROM parsed JOIN messages USING (event_id) WHERE malformed_reason IS NULL AND len(string_split(topic, '/')) = 4 GROUP BY 1""",
+        "alerts_now": f"""WITH {_PARSED}, {_windows('accepted', 'minute')}, {_TREND}, {_fleet(f"WHERE fenetre <= TIMESTAMP '{AS_OF}'")},
+            grid AS (SELECT unnest(generate_series(min(fenetre), TIMESTAMP '{AS_OF}', INTERVAL 1 MINUTE)) AS eval_at FROM fleet)
+            SELECT * FROM (""" + " UNION ALL ".join(_alert(r, t) for r, t in ALERT_RULES.items()) + """)
+            QUALIFY eval_at = max(eval_at) OVER ()""",
+        "alert_journal": f"""WITH {_PARSED}, {_windows('accepted', 'minute')}, {_TREND}, {_fleet()},
+            grid AS (SELECT unnest(generate_series(min(fenetre), max(fenetre), INTERVAL 1 MINUTE)) AS eval_at FROM fleet) """
+        + " UNION ALL ".join(_episodes(r, t) for r, t in ALERT_RULES.items()),
+        "stream_health": _stream_panels(),
         "daily_run": f"WITH {_DAY_ALL} SELECT {_DAY_COLUMNS} FROM day",
         "daily_run_events": f"WITH {_FACT} SELECT code_type, id_date, count(*) AS n FROM fact GROUP BY 1, 2",
     }

@@ -12,7 +12,9 @@ from machpulse.plans import bindings as b
 from machpulse.plans.batch import Warehouse, run_batch
 from machpulse.sources import landing, storage, streams
 from machpulse.sources.telemetry_store import TelemetryStore
+from machpulse.streaming.derived import AlertJournal
 from machpulse.streaming.ingest import process_batch, run_stream
+from machpulse.streaming.relay import relay
 
 # Message files are delivered per day; one micro-batch takes up to this many.
 FILES_PER_BATCH = 8
@@ -45,15 +47,15 @@ def landed(spark: SparkSession, sf: str) -> list[tuple[str, str, DataFrame]]:
     return found
 
 
-def streamed(spark: SparkSession, sf: str, replay: bool = False) -> TelemetryStore:
-    """All messages through the streaming query. ``replay`` repeats each batch's writes."""
+def streamed(spark: SparkSession, sf: str, replay: bool = False, alerts: AlertJournal | None = None) -> TelemetryStore:
+    """All messages through the streaming query. ``replay`` repeats each batch's writes; ``alerts`` keeps the journal."""
     root = storage.work_folder(spark, "stream")
     delivered = b.messages(spark, sf).select("value", "jour").hint("rebalance", "jour")
     delivered.write.partitionBy("jour").text(f"{root}/messages")
     store = TelemetryStore(f"{root}/store")
     source = streams.text_stream(spark, f"{root}/messages", FILES_PER_BATCH).select("value")
     if not replay:
-        run_stream(source, store, f"{root}/checkpoint", available_now=True, clock=_clock).awaitTermination()
+        run_stream(source, store, f"{root}/checkpoint", available_now=True, clock=_clock, alerts=alerts).awaitTermination()
         return store
 
     def twice(batch: DataFrame, batch_id: int) -> None:
@@ -65,6 +67,17 @@ def streamed(spark: SparkSession, sf: str, replay: bool = False) -> TelemetrySto
     return store
 
 
+def relayed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """All messages with their topics through the relay: what it published, and its dead letters."""
+    root = storage.work_folder(spark, "relay")
+    b.messages(spark, sf).select("topic", "value").write.parquet(f"{root}/messages")
+    source = streams.file_stream(spark, f"{root}/messages", spark.read.parquet(f"{root}/messages").schema)
+    relay(
+        source, {"path": f"{root}/keyed"}, f"{root}/checkpoint", sink="parquet", available_now=True, rejects=f"{root}/rejets", clock=_clock
+    ).awaitTermination()
+    return spark.read.parquet(f"{root}/keyed"), spark.read.parquet(f"{root}/rejets")
+
+
 def _clock() -> datetime:
     return INGEST_CLOCK
 

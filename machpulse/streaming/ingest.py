@@ -19,7 +19,7 @@ from machpulse.sources.messages import parse_messages
 from machpulse.sources.telemetry_store import (
     KEEP_SECONDS, RATIO, TABLES, TelemetryStore, edge_rows, lake_rows, quarantine_rows, raw_rows, seen_rows, state_rows,
 )
-from machpulse.streaming.derived import update_trend
+from machpulse.streaming.derived import AlertJournal, update_alerts, update_maxima, update_trend
 
 log = logging.getLogger(__name__)
 
@@ -46,9 +46,12 @@ _COUNTED = {"valides": "valide", "quarantaine": "quarantaine", "malformes": "mal
 
 def process_batch(
     messages: DataFrame, batch_id: int, store: TelemetryStore, clock: Callable[[], datetime] = utc_now, trend: bool = True,
+    alerts: AlertJournal | None = None,
 ) -> dict[str, int]:
     """Write one micro-batch: dead letters, quarantine, lake, raw table, window state and edges, last seen, trend, counts.
 
+    With ``alerts`` the journal of breaches follows, which needs the trend.
+
     The batch is parsed once, and counted while its dead letters are written; tables that do not read each other are
     written side by side. A sink without rows is not written, so a fully quarantined batch leaves no lake file. Every
     write replaces the folder of this batch, so a replay changes nothing.
@@ -99,9 +102,16 @@ def process_batch(
             *[F.lit(n).cast("long").alias(name) for name, n in totals.items()], at.alias("horodatage"),
             F.lit(facts["derniere"]).cast("timestamp_ntz").alias("derniere"), F.lit(facts["latence_somme"]).cast("long").alias("latence_somme"),
         )
+
+        def follow() -> None:
+            update_trend(spark, store, batch_id)
+            if alerts:
+                update_maxima(spark, store, batch_id, alerts)
+                update_alerts(spark, store, batch_id, alerts)
+
         last = [write("lots", summary)]
-        if trend and totals["valides"]:
-            last.append(partial(update_trend, spark, store, batch_id))
+        if (trend or alerts) and totals["valides"]:
+            last.append(follow)
         together(spark, *last)
         log.info("batch %s: %s", batch_id, totals)
         return totals
@@ -141,6 +151,7 @@ def run_stream(
     compact_every: int | None = RATIO,
     keep_seconds: float = KEEP_SECONDS,
     trend: bool = True,
+    alerts: AlertJournal | None = None,
 ) -> StreamingQuery:
     """Start the query. Offsets are committed only after all writes of a batch succeeded.
 
@@ -150,7 +161,7 @@ def run_stream(
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, store, clock, trend)
+        process_batch(batch, batch_id, store, clock, trend, alerts)
         if compact_every and batch_id and batch_id % compact_every == 0:
             fold_finished(batch.sparkSession, store, keep_seconds=keep_seconds)
 

@@ -136,7 +136,18 @@ def test_alerts_as_they_stand(spark):
     partials = partial_windows(raw).withColumn("mois", F.lit(202601))
     found = {m: {r["rule"]: r["state"] for r in alert_check(partials, datetime(2026, 1, 15, 6, m, 30)).collect()} for m in (0, 1, 2, 3)}
     assert [found[m]["rms_vibration"] for m in range(4)] == ["normal", "pending", "pending", "firing"]
-    assert alert_check(partials, datetime(2026, 1, 20)).count() == 0
+    # Nothing came after: the alert stands, however old, unless a greatest age is given.
+    old = {r["rule"]: r["state"] for r in alert_check(partials, datetime(2027, 1, 20)).collect()}
+    assert old == {"rms_vibration": "firing", "tendance_pression": "normal"}
+    aged = {r["rule"]: r["state"] for r in alert_check(partials, datetime(2026, 1, 20), max_age="1 hour").collect()}
+    assert set(aged.values()) == {"no_data"}
+    assert alert_check(partials, datetime(2026, 1, 14)).count() == 0
+
+
+def test_a_long_breach_fires_by_its_whole_length(spark):
+    raw = telemetry(spark, [(1, f"2026-01-{d:02d}T06:00:00", 100, 60) for d in (15, 16, 17, 18)])
+    found = {r["rule"]: r["state"] for r in alert_check(partial_windows(raw), datetime(2026, 1, 18, 7), hold="36 hours").collect()}
+    assert found["rms_vibration"] == "firing"
 
 
 def test_watch_writes_a_folder_per_check(spark, tmp_path):
