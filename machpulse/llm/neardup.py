@@ -8,11 +8,10 @@ included; passages that many texts share therefore make no lists. Candidates go
 and are confirmed on the full shingle sets.
 
 No list is expanded into all pairs. First each content meets the ``HUBS`` members of its lists whose values are the
-most common, and components are formed. What is left are pairs of different components within a list with hub H. The
-overlap of such a pair (A, B) is at most ``min(|A & H|, |B & H|)`` plus what both share outside H. So pairs are made
-by joining on single shingles outside the hub, counted, and looked at only if that bound allows the similarity; pairs
-that could reach it inside the hub alone are found by their counts. So every link that could join two components is
-either confirmed or excluded, and no list or number of partners is capped.
+most common, and components are formed. What is left are pairs of different components within a list with hub H.
+They are found by their differences from H: similar sets differ from H in much the same shingles, so the pairs are made by
+joining on the rarest few shingles of the differences (prefix filter, exact bounds). So every link that could join two
+components is either confirmed or excluded, and no list or number of partners is capped.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -100,33 +99,47 @@ def _allowed(common, a: str, b: str, percent: int) -> Column:
 
 
 def _open_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of different components under one hub that may be similar. ``rows``: ``hub, rep, n, component, shared``."""
+    """Pairs ``a, b`` of different components under one hub that may be similar. ``rows``: ``hub, rep, n, component, hub_component``.
+
+    A set is known by its difference D from the hub H: sets A and B differ as much as D(A) and D(B) do. Similar sets differ
+    in at most ``r * (|A| + |B|)`` shingles, and a member A outside the hub's component differs from the hub in more than
+    ``r * (|A| + |H|)``. So two similar sets of which one is such a member share part of their differences, and a least
+    number of shared ones follows for each set by itself. They meet on the rarest shingles of their differences, as many as
+    that number leaves: the common text that makes a list long is in no difference.
+    """
     mine = sets.select(F.col("_id").alias("rep"), F.col("hashes").alias("_x"))
-    theirs = sets.select(F.col("_id").alias("hub"), F.col("hashes").alias("_h"))
-    against = rows.join(mine, "rep").join(theirs, "hub").select(
-        "hub", "rep", "n", "component", "shared", F.size(F.array_intersect("_x", "_h")).alias("inside"), F.array_except("_x", "_h").alias("rest")
-    ).withColumn("over", F.size("rest"))
-    against = stored(against, "neardup-against-hubs")
-
-    def side(frame: DataFrame, letter: str, *keys: str) -> DataFrame:
-        return frame.select("hub", *keys, *[F.col(c).alias(f"{letter}_{c}") for c in ("rep", "n", "component", "shared", "inside", "over")])
-
-    apart = (F.col("x_component") != F.col("y_component")) & _sizes_allow("x_n", "y_n", percent)
-    least = F.least("x_inside", "y_inside")
-    most = F.least(least + F.least("x_over", "y_over"), F.least("x_shared", "y_shared"))
-    single = against.select(*against.drop("rest").columns, F.explode("rest").alias("s"))
-    outside = (
-        side(single, "x", "s").join(side(single, "y", "s"), ["hub", "s"])
-        .filter(apart & (F.col("x_rep") < F.col("y_rep")) & _allowed(most, "x_n", "y_n", percent))
-        .groupBy("hub", "x_rep", "y_rep").agg(
-            F.count(F.lit(1)).alias("both"), *[F.max(c).alias(c) for c in ("x_n", "y_n", "x_inside", "y_inside")]
-        ).filter(_allowed(F.col("both") + least, "x_n", "y_n", percent))
-    )
-    close = against.filter(F.col("inside") * 100 >= percent * F.col("n"))
-    hub_component = against.filter("rep = hub").select("hub", F.col("component").alias("_hc"))
-    away = close.join(hub_component, "hub").filter("component != _hc").drop("_hc")
-    inside = side(away, "x").join(side(close, "y"), "hub").filter(apart & _allowed(least, "x_n", "y_n", percent))
-    pairs = outside.select("x_rep", "y_rep").unionByName(inside.select("x_rep", "y_rep"))
+    theirs = sets.select(F.col("_id").alias("hub"), F.col("n").alias("hub_n"), F.col("hashes").alias("_h"))
+    apart = F.concat(F.array_except("_x", "_h"), F.array_except("_h", "_x"))
+    against = rows.join(mine, "rep").join(theirs, "hub").select("hub", "rep", "n", "component", "hub_component", "hub_n", apart.alias("apart"))
+    facts = ["hub", "rep", "n", "component", "outside", "hub_n", "d"]
+    against = against.withColumn("outside", F.col("component") != F.col("hub_component")).withColumn("d", F.size("apart"))
+    single = stored(against.select(*facts, F.explode("apart").alias("s")), "neardup-differences")
+    often = single.groupBy("hub", "s").agg(F.count(F.lit(1)).alias("df"), F.max("outside").alias("_any")).filter("df > 1 AND _any")
+    # Shingles that no other difference under the hub has come first and meet nothing.
+    shared = single.join(often.drop("_any"), ["hub", "s"])
+    mine = Window.partitionBy(*facts)
+    place = F.row_number().over(mine.orderBy("df", "s")) + F.col("d") - F.count(F.lit(1)).over(mine)
+    less, more = 100 - percent, 100 + percent
+
+    def needed(other_outside: bool) -> Column:
+        """Shared differences with a similar set, outside the hub's component or not, by this set alone."""
+        if other_outside:
+            return F.greatest(F.lit(1), F.floor((F.col("d") * more - less * (F.col("n") - F.col("hub_n"))) / (2 * more)).cast("int") + 1)
+        return F.greatest(F.lit(1), F.ceil((F.col("d") * more - less * (F.col("n") + F.col("hub_n"))) / (2 * more)).cast("int"))
+
+    placed = shared.withColumn("place", place).withColumns(
+        {"to_outside": F.col("place") <= F.col("d") - needed(True) + 1, "to_inside": F.col("outside") & (F.col("place") <= F.col("d") - needed(False) + 1)}
+    ).filter("to_outside OR to_inside")
+    placed = stored(placed.select("hub", "s", "rep", "n", "component", "outside", "to_outside", "to_inside"), "neardup-meeting")
+
+    def side(frame: DataFrame, letter: str) -> DataFrame:
+        return frame.select("hub", "s", *[F.col(c).alias(f"{letter}_{c}") for c in ("rep", "n", "component")])
+
+    meet = (F.col("x_component") != F.col("y_component")) & _sizes_allow("x_n", "y_n", percent)
+    outside = placed.filter("outside AND to_outside")
+    both_outside = side(outside, "x").join(side(outside, "y"), ["hub", "s"]).filter(meet & (F.col("x_rep") < F.col("y_rep")))
+    one_inside = side(placed.filter("to_inside"), "x").join(side(placed.filter("NOT outside AND to_outside"), "y"), ["hub", "s"]).filter(meet)
+    pairs = both_outside.select("x_rep", "y_rep").unionByName(one_inside.select("x_rep", "y_rep"))
     return pairs.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
 
 
@@ -207,10 +220,8 @@ def near_duplicates(
     single = sets.join(open_ids, "_id").select("_id", F.explode("hashes").alias("s")).distinct()
     twice = single.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("s")
     shared = single.join(twice, "s").groupBy("_id").agg(F.count(F.lit(1)).alias("shared"))
-    known = open_rows.join(shared.withColumnRenamed("_id", "rep"), "rep").filter(
-        (F.col("shared") * 100 >= percent * F.col("n")) | (F.col("rep") == F.col("hub"))
-    )
-    rest = _open_pairs(known.select("hub", "rep", "n", "component", "shared").distinct(), sets, percent)
+    known = open_rows.join(shared.withColumnRenamed("_id", "rep"), "rep").filter(F.col("shared") * 100 >= percent * F.col("n"))
+    rest = _open_pairs(known.select("hub", "rep", "n", "component", "hub_component").distinct(), sets, percent)
     more = _confirmed(_estimated(rest, contents, k), sets, percent)
 
     ids = components(links.unionByName(more).unionByName(same_text.filter("a != b").distinct()))
