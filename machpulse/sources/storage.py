@@ -1,6 +1,9 @@
 """Small helpers on the cluster's file system, whatever its scheme."""
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,9 +87,31 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``stored`` writes inside are removed at the end, but for those written with ``keep``.
+
+    For steps that are over by then: nothing that is still to be read may rest on the removed ones.
+    """
+    mark = _passing.set([])
+    try:
+        yield
+    finally:
+        made = _passing.get() or []
+        _passing.reset(mark)
+        for folder in made:
+            remove(spark, folder)
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """The frame written to a fresh work folder and read back: lineage ends there, sizes are known."""
     spark = df.sparkSession
     folder = work_folder(spark, name)
+    made = _passing.get()
+    if made is not None and not keep:
+        made.append(folder)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
