@@ -10,7 +10,8 @@ and are confirmed on the full shingle sets.
 No list is expanded into all pairs. First each content meets the ``HUBS`` members of its lists whose values are the
 most common, and components are formed. What is left are pairs of different components within a list with hub H.
 They are found by their differences from H: similar sets differ from H in much the same shingles, so the pairs are made by
-joining on the rarest few shingles of the differences (prefix filter, exact bounds). So every link that could join two
+joining on the rarest few shingles of the differences (prefix filter, exact bounds); before that, each member meets its
+nearest, so that texts that are alike one by one are one component. So every link that could join two
 components is either confirmed or excluded, and no list or number of partners is capped.
 """
 
@@ -21,13 +22,15 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from machpulse.llm.graph import components
 from machpulse.llm.text import whole
-from machpulse.sources.storage import stored
+from machpulse.sources.storage import passing_tables, stored
 
 K = 32
 NEEDED = 13
 SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 WHOLE_SET = 1 << 62
 HUBS = 3
+#: How often members left under a hub meet their nearest before all pairs that may still join components are looked at.
+ROUNDS = 2
 
 
 def _hasher(width: int, keep: int):
@@ -98,8 +101,10 @@ def _allowed(common, a: str, b: str, percent: int) -> Column:
     return common * 100 >= percent * (F.col(a) + F.col(b) - common)
 
 
-def _open_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of different components under one hub that may be similar. ``rows``: ``hub, rep, n, component, hub_component``.
+def _meeting(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Where members of one hub meet: ``hub, s, rep, n, d, component, outside, to_outside, to_inside``.
+
+    ``rows``: ``hub, rep, n, component, hub_component``.
 
     A set is known by its difference D from the hub H: sets A and B differ as much as D(A) and D(B) do. Similar sets differ
     in at most ``r * (|A| + |B|)`` shingles, and a member A outside the hub's component differs from the hub in more than
@@ -130,17 +135,48 @@ def _open_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     placed = shared.withColumn("place", place).withColumns(
         {"to_outside": F.col("place") <= F.col("d") - needed(True) + 1, "to_inside": F.col("outside") & (F.col("place") <= F.col("d") - needed(False) + 1)}
     ).filter("to_outside OR to_inside")
-    placed = stored(placed.select("hub", "s", "rep", "n", "component", "outside", "to_outside", "to_inside"), "neardup-meeting")
+    return placed.select("hub", "s", "rep", "n", "d", "component", "outside", "to_outside", "to_inside")
+
+
+def _side(frame: DataFrame, letter: str) -> DataFrame:
+    return frame.select("hub", "s", *[F.col(c).alias(f"{letter}_{c}") for c in ("rep", "n", "d", "component")])
+
+
+def _may_link(percent: int) -> Column:
+    return (F.col("x_component") != F.col("y_component")) & _sizes_allow("x_n", "y_n", percent)
+
+
+def _as_pairs(found: DataFrame) -> DataFrame:
+    return found.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
 
-    def side(frame: DataFrame, letter: str) -> DataFrame:
-        return frame.select("hub", "s", *[F.col(c).alias(f"{letter}_{c}") for c in ("rep", "n", "component")])
 
-    meet = (F.col("x_component") != F.col("y_component")) & _sizes_allow("x_n", "y_n", percent)
+def _nearest_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """One pair ``a, b`` at most per hub and member: of those nearest to the hub under each of its shingles, the one that
+    differs from the hub about as much. Long rows of texts, each like the next, become one component by these few pairs."""
+    first = placed.groupBy("hub", "s").agg(F.min_by(F.struct("rep", "n", "d", "component"), F.struct("d", "rep")).alias("t"))
+    theirs = first.select("hub", "s", *[F.col(f"t.{c}").alias(f"y_{c}") for c in ("rep", "n", "d", "component")])
+    found = _side(placed, "x").join(theirs, ["hub", "s"]).filter(_may_link(percent))
+    apart = F.struct(F.abs(F.col("x_d") - F.col("y_d")), "y_rep")
+    return _as_pairs(found.groupBy("hub", "x_rep").agg(F.min_by("y_rep", apart).alias("y_rep")))
+
+
+def _open_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """All pairs ``a, b`` of different components that meet under a hub."""
     outside = placed.filter("outside AND to_outside")
-    both_outside = side(outside, "x").join(side(outside, "y"), ["hub", "s"]).filter(meet & (F.col("x_rep") < F.col("y_rep")))
-    one_inside = side(placed.filter("to_inside"), "x").join(side(placed.filter("NOT outside AND to_outside"), "y"), ["hub", "s"]).filter(meet)
-    pairs = both_outside.select("x_rep", "y_rep").unionByName(one_inside.select("x_rep", "y_rep"))
-    return pairs.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
+    both_outside = _side(outside, "x").join(_side(outside, "y"), ["hub", "s"]).filter(_may_link(percent) & (F.col("x_rep") < F.col("y_rep")))
+    one_inside = _side(placed.filter("to_inside"), "x").join(_side(placed.filter("NOT outside AND to_outside"), "y"), ["hub", "s"]).filter(_may_link(percent))
+    return _as_pairs(both_outside.select("x_rep", "y_rep").unionByName(one_inside.select("x_rep", "y_rep")))
+
+
+def _joined_components(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """``placed`` with the components that new links make of the present ones."""
+    of = placed.select("rep", "component").distinct()
+    edges = links.join(of.select(F.col("rep").alias("a"), F.col("component").alias("_a")), "a").join(
+        of.select(F.col("rep").alias("b"), F.col("component").alias("_b")), "b"
+    )
+    merged = components(edges.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+    moved = placed.join(merged.select("node", F.col("component").alias("_c")), F.col("component") == F.col("node"), "left")
+    return moved.withColumn("component", F.coalesce("_c", "component")).select(*placed.columns)
 
 
 def _sizes_allow(a: str, b: str, percent: int) -> Column:
@@ -175,6 +211,11 @@ def near_duplicates(
     with the same id count as one document with several texts. A null id is linked with nothing, its component is
     null and it is kept. Other columns are ignored; an empty table gives none.
     """
+    with passing_tables(docs.sparkSession):
+        return stored(_found(docs, id_col, text_col, width, percent, k), "neardup", keep=True)
+
+
+def _found(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, k: int) -> DataFrame:
     lean = docs.select(F.col(id_col).alias("_id"), whole(text_col).alias("_text"))
     sketches = stored(_hashed(lean, width, k), "neardup-sketches")
     named = sketches.filter("n > 0 AND _id IS NOT NULL")
@@ -221,8 +262,12 @@ def near_duplicates(
     twice = single.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("s")
     shared = single.join(twice, "s").groupBy("_id").agg(F.count(F.lit(1)).alias("shared"))
     known = open_rows.join(shared.withColumnRenamed("_id", "rep"), "rep").filter(F.col("shared") * 100 >= percent * F.col("n"))
-    rest = _open_pairs(known.select("hub", "rep", "n", "component", "hub_component").distinct(), sets, percent)
-    more = _confirmed(_estimated(rest, contents, k), sets, percent)
+    placed = stored(_meeting(known.select("hub", "rep", "n", "component", "hub_component").distinct(), sets, percent), "neardup-meeting")
+    for _ in range(ROUNDS):
+        near = stored(_confirmed(_estimated(_nearest_pairs(placed, percent), contents, k), sets, percent), "neardup-links")
+        placed = stored(_joined_components(placed, near), "neardup-meeting")
+        links = links.unionByName(near)
+    more = _confirmed(_estimated(_open_pairs(placed, percent), contents, k), sets, percent)
 
     ids = components(links.unionByName(more).unionByName(same_text.filter("a != b").distinct()))
     return sketches.join(ids, F.col("_id") == F.col("node"), "left").select(

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from machpulse.sources.storage import stored
 from machpulse.llm import archive, bpe, fingerprints, html, lm, mixing, neardup, passages, quality, urls
 from machpulse.llm.graph import components
 from machpulse.llm.queries import archive_records, rank_file, split_pattern
@@ -388,6 +389,44 @@ def test_components_equal_brute_force(spark, width):
     assert neardup.near_duplicates(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_pairs_under_a_hub_grow_with_its_members(spark):
+    """Excerpts of one long text, and texts with edits of their own, all members of one hub and none linked yet."""
+    def pairs(kind, count):
+        rng = random.Random(count)
+        rows = [(0, list(range(1000, 2000)))]
+        for i in range(1, count + 1):
+            if kind == "excerpts":
+                begin = rng.randrange(2000)
+                rows.append((i, list(range(begin, begin + 1000))))
+            else:
+                changed = {p + k for p in rng.sample(range(1000, 1996), 60) for k in range(4)}
+                rows.append((i, [s + 10_000 * rng.randrange(1, 10**9) if s in changed else s for s in range(1000, 2000)]))
+        sets = spark.createDataFrame([(i, len(h), h) for i, h in rows], "_id long, n long, hashes array<long>")
+        full = {i: set(h) for i, h in rows}
+
+        def alike(a, b):
+            return 100 * len(full[a] & full[b]) >= 80 * len(full[a] | full[b])
+
+        # Every member has met the hub before.
+        root = {i: 0 if alike(i, 0) else i for i in full}
+        marked = spark.createDataFrame(
+            [(0, i, len(h), root[i], 0) for i, h in rows], "hub long, rep long, n long, component long, hub_component long"
+        )
+        placed = stored(neardup._meeting(marked, sets, 80), "test-meeting")
+        near = neardup._nearest_pairs(placed, 80)
+        assert near.count() <= count + 1
+        links = stored(neardup._confirmed(near, sets, 80), "test-links")
+        rest = neardup._open_pairs(stored(neardup._joined_components(placed, links), "test-meeting"), 80)
+        for a, b in [tuple(r) for r in links.collect()] + [tuple(r) for r in neardup._confirmed(rest, sets, 80).collect()]:
+            low, high = sorted((root[a], root[b]))
+            root = {i: low if r == high else r for i, r in root.items()}
+        assert all(root[a] == root[b] for a in full for b in full if alike(a, b))
+        return rest.count()
+
+    assert max(pairs("excerpts", 100), pairs("excerpts", 200)) <= 200
+    assert pairs("edits", 200) <= 20
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 90), (90, 100), (7, 7), (200, 201), (201, 202), (202, 200)]
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
