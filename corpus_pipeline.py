@@ -3,7 +3,7 @@
 Every stage works on all that the stage before it kept. All but the last return the columns of ``documents``.
 """
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from machpulse.llm import bpe, mixing, neardup, passages, quality
@@ -16,30 +16,39 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
 
 
-def _marked(docs: DataFrame) -> DataFrame:
-    """Rows with a key that also tells texts of one id apart."""
-    return docs.select(*COLUMNS, F.xxhash64(F.coalesce("text", F.lit(""))).alias("_mark"))
+#: What tells documents apart: the id, null or not, and the text by its hash.
+KEY = ["_null", "_id", "_mark"]
 
 
-def _same(left: DataFrame, right: DataFrame):
-    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["_mark"] == right["_mark"])
+def _marked(docs: DataFrame) -> DataFrame:
+    """Rows with a key that tells texts of one id apart, and joins null ids too."""
+    doc_id = F.col("doc_id")
+    none = F.lit(0).cast(docs.schema["doc_id"].dataType)
+    mark = F.xxhash64(F.coalesce("text", F.lit("")))
+    return docs.select(*COLUMNS, doc_id.isNull().alias("_null"), F.coalesce(doc_id, none).alias("_id"), mark.alias("_mark"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go. Rows of one id and text have one verdict."""
     docs = _marked(docs)
-    verdicts = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=("_mark",))
-    good = verdicts.filter("kept").select("doc_id", "_mark").distinct()
-    return docs.join(good, _same(docs, good), "left_semi").select(*COLUMNS)
+    verdicts = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=tuple(KEY))
+    good = verdicts.filter("kept").select(*KEY).distinct()
+    return docs.join(good, KEY, "left_semi").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, and of rows with one id, one document stays."""
-    kept = neardup.near_duplicates(docs, width=5, percent=80).filter("kept").select("doc_id").distinct()
-    docs = _marked(docs)
-    left = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    one = Window.partitionBy(F.coalesce("doc_id", "_mark")).orderBy("_mark")
-    return left.withColumn("_place", F.row_number().over(one)).filter("_place = 1 OR doc_id IS NULL").select(*COLUMNS)
+    """Of each group of near-duplicates one document stays, the one of the smallest id.
+
+    Texts of one id are compared as the texts they are, so unlike ones stay; of null ids too, copies go. Of rows with the
+    same id and text the first by the other columns stays. Texts without words are like nothing and stay.
+    """
+    docs = _marked(docs).withColumn("_row", F.xxhash64("lang", "source", "n_chars", F.col("text").isNull()))
+    found = neardup.near_duplicates(docs.withColumn("_doc", F.struct(*KEY)), id_col="_doc", width=5, percent=80)
+    kept = found.filter("kept").select("_doc.*").distinct()
+    rows = docs.groupBy(*KEY).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    left = docs.join(rows.join(kept, KEY, "left_semi"), KEY).filter(F.col("_row") == F.col("_first"))
+    # Only repeated rows are compared whole; they collapse where they are read.
+    return left.filter("_rows = 1").select(*COLUMNS).unionByName(left.filter("_rows > 1").select(*COLUMNS).distinct())
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,13 +59,13 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
-    docs = _marked(docs)
-    alike = Window.partitionBy("doc_id", "_mark").orderBy("_mark")
-    taken = mixing.mix(docs, carry=("_mark",)).select("doc_id", "_mark", "copies")
-    taken = taken.withColumn("_place", F.row_number().over(alike)).filter("copies > 0")
-    docs = docs.withColumn("_place", F.row_number().over(alike))
-    rows = docs.join(taken, _same(docs, taken) & (docs["_place"] == taken["_place"])).select(*[docs[c] for c in COLUMNS], "copies")
+    """Every document as often as the mix takes it. All but the text travels with the mix; rows of one id and text share that."""
+    docs = _marked(docs).withColumn("_none", F.col("text").isNull())
+    carried = ("lang", "n_chars", "_none", *KEY)
+    taken = mixing.mix(docs.select("doc_id", "text", "source", *carried), carry=carried).filter("copies > 0")
+    texts = docs.groupBy(*KEY).agg(F.max("text").alias("text"))
+    rows = taken.select(*[c for c in COLUMNS if c != "text"], "_none", "copies", *KEY).join(texts, KEY)
+    rows = rows.withColumn("text", F.when(~F.col("_none"), F.coalesce("text", F.lit(""))))
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
 
