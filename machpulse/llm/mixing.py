@@ -67,7 +67,7 @@ def mix(
     Sources, by code point with null last, weigh ``weights`` in turn and share the words of all documents.
     ``taken`` is ``copies * size``, with at most ``passes`` copies. Documents without words (null, empty) have
     size 0 and are not taken; a source without words has target 0. Repeated rows are separate documents.
-    Equal input gives equal output, whatever the partitions. Columns named in ``carry`` are
+    Equal input gives equal output, whatever the partitions. Columns named in ``carry`` (of types that have an order) are
     handed on, others are ignored; an empty table gives none.
     """
     key = F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col).cast("string")))
@@ -88,7 +88,9 @@ def mix(
         "_key", "_slice", "_source_size", "_target", "_total",
         F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"),
     )
-    within = Window.partitionBy("_key", "_slice").orderBy("_order", "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
+    # Rows alike in id and size are told apart by what they carry; then nothing tells them apart.
+    carried = [f"_c{i}" for i in range(len(carry))]
+    within = Window.partitionBy("_key", "_slice").orderBy("_order", "_id", "_size", *carried).rowsBetween(Window.unboundedPreceding, 0)
     placed = stored(
         sized.join(starts, ["_key", "_slice"]).withColumn("_end", F.col("_start") + F.sum("_size").over(within)), "mix-places"
     )

@@ -1,15 +1,16 @@
 """Registered queries and the pipeline on the smallest tables."""
 
 import random
+from collections import Counter
 
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from machpulse.llm import queries, quality
+from machpulse.llm import mixing, queries, quality
 from pyspark.sql import functions as F
 from tests.compare import compare, sql_tables
-from tests.llm.cases import documents, messy, words
+from tests.llm.cases import documents, messy, prose, words
 from tests.llm.test_operators import plain_components
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -64,13 +65,40 @@ def test_stages_hold_their_promises(spark):
     assert sorted(map(tuple, joined)) == sorted(map(tuple, want))
 
 
-def test_stages_bear_messy_rows(spark):
+@pytest.mark.parametrize("clash", [False, True])
+def test_stages_bear_messy_rows(spark, clash):
     rng = random.Random(9)
     rows = messy() + [(400 + i, rng.choice(messy())[1], None) for i in range(10)]
-    docs = documents(spark, rows, clash=False)
+    docs = documents(spark, rows, clash=clash)
     for name, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.stored(stage(spark, docs, SF_DIR), f"messy-{name}")
         docs.count()
     empty = documents(spark, rows, clash=False).limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF_DIR).count() == 0
+
+
+def test_near_duplicates_keep_unlike_texts_of_one_id(spark):
+    rng = random.Random(4)
+    first, second, third = (prose(rng, 80) for _ in range(3))
+    rows = [(1, first, "s"), (1, second, "s"), (2, first + " more", "s")]
+    rows += [(None, third, "s"), (None, third, "s"), (None, third, "t"), (5, third, "s"), (None, second + " and", "s")]
+    rows += [(7, "", "s"), (7, None, "s"), (8, first, "u")] + [(9, prose(rng, 40), "v")] * 3
+    kept = corpus_pipeline.near_duplicates(spark, documents(spark, rows), SF_DIR).collect()
+    found = sorted(((r.doc_id, r.text, r.source) for r in kept), key=str)
+    assert found == sorted([(1, first, "s"), (1, second, "s"), (5, third, "s"), next(r for r in found if r[0] == 7), rows[-1]], key=str)
+    again = corpus_pipeline.near_duplicates(spark, documents(spark, rows[::-1]), SF_DIR).collect()
+    assert sorted(((r.doc_id, r.text, r.source) for r in again), key=str) == found
+
+
+def test_mix_takes_rows_of_one_id_and_text_apart(spark):
+    rng = random.Random(5)
+    shared = prose(rng, 50)
+    rows = [(i, prose(rng, rng.randint(20, 60)), f"s{i % 3}") for i in range(40)]
+    rows += [(100, shared, f"s{k % 3}") for k in range(6)] + [(None, shared, "s0")] * 2 + [(101, None, "s1"), (101, "", "s1")]
+    docs = documents(spark, rows)
+    taken = Counter((r.doc_id, r.text, r.source) for r in corpus_pipeline.mix(spark, docs, SF_DIR).collect())
+    plain = Counter()
+    for r in mixing.mix(docs.withColumn("t", F.col("text")).withColumn("s", F.col("source")), carry=("t", "s")).collect():
+        plain[r.doc_id, r.t, r.s] += r.copies
+    assert taken == +plain
