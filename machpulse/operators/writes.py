@@ -63,13 +63,15 @@ def number_new_keys(df: DataFrame, keys: list[str], name: str, existing: DataFra
     buckets that interleave their numbers, so no task ever ranks the whole dimension.
     """
     bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS))
-    # Rows that already have a number rank apart from the new ones.
-    ranks = Window.partitionBy(bucket, F.col(name).isNull()).orderBy(*keys)
     start = F.lit(0)
     if existing is not None:
         start = F.coalesce(existing.agg(F.max(name)).scalar(), F.lit(0))
-    number = start + (F.row_number().over(ranks) - 1) * KEY_BUCKETS + bucket + 1
-    return df.withColumn(name, F.coalesce(F.col(name), number.cast("int")))
+    number = start + (F.row_number().over(Window.partitionBy(bucket).orderBy(*keys)) - 1) * KEY_BUCKETS + bucket + 1
+    if existing is None:
+        return df.withColumn(name, number.cast("int"))
+    # Only the new rows are ranked.
+    fresh = df.filter(F.col(name).isNull()).withColumn(name, number.cast("int"))
+    return df.filter(F.col(name).isNotNull()).unionByName(fresh)
 
 
 def hash_key(keys: list[str]) -> Column:

@@ -2,7 +2,8 @@
 
 Every run writes into its own ``run_id`` folders and becomes visible through one marker created after
 the last write; readers only look at published runs. Event tables and the event fact hold what each
-run added, dimensions are whole snapshots of their latest run.
+run added. Dimensions hold the rows that each run changed: of a key the newest run's row counts, and after
+``FOLD_AFTER`` changing runs one writes the whole dimension again.
 """
 
 import json
@@ -28,6 +29,14 @@ SNAPSHOTS = {
     "dim_machine": schemas.DIM_MACHINE,
     "dim_code_evenement": schemas.DIM_CODE,
 }
+#: Tables of which a run writes the changed rows: schema and natural key.
+KEYED = {
+    "staging_machines": (schemas.STAGING["machines"], ("machine_id",)),
+    "dim_date": (schemas.DIM_DATE, ("id_date",)),
+    "dim_machine": (schemas.DIM_MACHINE, ("machine_id_nat",)),
+    "dim_code_evenement": (schemas.DIM_CODE, ("id_type_evenement", "code_brut")),
+}
+FOLD_AFTER = 8
 
 
 @dataclass(frozen=True)
@@ -57,14 +66,36 @@ class Warehouse:
         return self._additions(spark, f"staging_{table}", schemas.STAGING[table])
 
     def machines(self, spark: SparkSession) -> DataFrame | None:
-        return self._snapshot(spark, "staging_machines", schemas.STAGING["machines"])
+        return self.dimension(spark, "staging_machines")
 
     def dimension(self, spark: SparkSession, table: str) -> DataFrame | None:
-        return self._snapshot(spark, table, SNAPSHOTS[table])
-
-    def _snapshot(self, spark: SparkSession, table: str, schema: StructType) -> DataFrame | None:
-        runs = self.published(spark)
-        return spark.read.schema(schema).parquet(self.path(table, runs[-1])) if runs else None
+        return self.as_of_runs(spark, table, self.index(spark)["runs"].get(table, []))
+
+    def as_of_runs(self, spark: SparkSession, table: str, runs: list[int]) -> DataFrame | None:
+        """A keyed table as the given runs left it, the first of which wrote it whole."""
+        if not runs:
+            return None
+        schema, keys = KEYED[table]
+        if len(runs) == 1:
+            return spark.read.schema(schema).parquet(self.path(table, runs[0]))
+        full = StructType(list(schema.fields)).add("run_id", LongType())
+        read = spark.read.schema(full).option("basePath", f"{self.root}/{table}").parquet(*[self.path(table, r) for r in runs])
+        newest = read.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in schema.names if c not in keys]), "run_id").alias("__row"))
+        return newest.select(*keys, "__row.*").select(*schema.names)
+
+    def write_changes(self, spark: SparkSession, table: str, run_id: int, whole: DataFrame, runs: list[int]) -> tuple[list[int], int]:
+        """Write the rows of ``whole`` that the table of ``runs`` does not hold. Returns the runs to read and the rows written.
+
+        A run that changes nothing leaves nothing.
+        """
+        held = self.as_of_runs(spark, table, runs)
+        if held is None or len(runs) >= FOLD_AFTER:
+            return [run_id], _write(whole, self.path(table, run_id), by_day=False)
+        changed = _write(whole.select(*held.columns).subtract(held), self.path(table, run_id), by_day=False)
+        if not changed:
+            storage.remove(spark, self.path(table, run_id))
+            return runs, 0
+        return [*runs, run_id], changed
 
     def events(self, spark: SparkSession) -> DataFrame:
         return self._additions(spark, "fait_evenement", schemas.FACT_EVENT)
@@ -73,14 +104,14 @@ class Warehouse:
         return f"{self.root}/_index/{run_id}.json"
 
     def index(self, spark: SparkSession) -> dict:
-        """Of the newest published run: the run and row count of every day, and the number of staged machines."""
+        """Of the newest published run: run and row count of every day, the runs of each keyed table, the number of machines."""
         runs = self.published(spark)
-        return json.loads(storage.read_text(spark, self._index_path(runs[-1]))) if runs else {"days": {}, "machines": 0}
+        return json.loads(storage.read_text(spark, self._index_path(runs[-1]))) if runs else {"days": {}, "runs": {}, "machines": 0}
 
-    def write_index(self, spark: SparkSession, run_id: int, id_date: int, rows: int, machines: int) -> None:
+    def write_index(self, spark: SparkSession, run_id: int, id_date: int, rows: int, runs: dict[str, list[int]], machines: int) -> None:
         """The index as this run leaves it, complete, so a reader opens one file however many runs there were."""
         days = self.index(spark)["days"] | {str(id_date): {"run": run_id, "rows": rows}}
-        storage.write_text(spark, self._index_path(run_id), json.dumps({"days": days, "machines": machines}))
+        storage.write_text(spark, self._index_path(run_id), json.dumps({"days": days, "runs": runs, "machines": machines}))
 
     def _day_folder(self, id_date: int | str, run_id: int) -> str:
         return f"{self.path('fait_telemetrie_jour', run_id)}/id_date={id_date}"
@@ -181,11 +212,13 @@ def run_batch(
     incoming = landing.read_landed(spark, raw_root, run_date, machine_file)
     known, keys = warehouse.machines(spark), schemas.STAGING_KEYS["machines"]
     whole = insert_if_absent(None, incoming, keys) if known is None else upsert(known, incoming, keys, "nothing")
-    folder = warehouse.path("staging_machines", run_id)
-    staged = _write(whole, folder, by_day=False)
-    machines = spark.read.schema(schemas.STAGING["machines"]).parquet(folder)
+    index = warehouse.index(spark)
+    runs, written = warehouse.write_changes(spark, "staging_machines", run_id, whole, index["runs"].get("staging_machines", []))
+    read_from = {"staging_machines": runs}
+    machines = warehouse.as_of_runs(spark, "staging_machines", runs)
     enforce(machines, staging_rules("machines"), on_violation)
-    counts["machines"] = {"attempted": incoming.count(), "inserted": staged - warehouse.index(spark)["machines"]}
+    staged = written if runs == [run_id] else index["machines"] + written
+    counts["machines"] = {"attempted": incoming.count(), "inserted": staged - index["machines"]}
 
     def load(filename: str) -> dict[str, int]:
         rows = landing.read_landed(spark, raw_root, run_date, filename)
@@ -206,9 +239,10 @@ def run_batch(
     }
 
     def build(name: str) -> DataFrame:
-        folder = warehouse.path(name, run_id)
-        _write(builds[name](warehouse.dimension(spark, name)), folder, by_day=False)
-        return spark.read.schema(SNAPSHOTS[name]).parquet(folder)
+        held = index["runs"].get(name, [])
+        whole = builds[name](warehouse.as_of_runs(spark, name, held))
+        read_from[name] = warehouse.write_changes(spark, name, run_id, whole, held)[0]
+        return warehouse.as_of_runs(spark, name, read_from[name])
 
     dims = dict(zip(builds, together(spark, *[partial(build, name) for name in builds])))
     known = warehouse.events(spark)
@@ -232,6 +266,6 @@ def run_batch(
     # The grid is complete for its day, so the newest published run's rows are the upsert. Until then they are not seen.
     rows = _write(day.drop("id_date"), warehouse._day_folder(id_date, run_id), by_day=False)
     counts["fait_telemetrie_jour"] = {"inserted": rows}
-    warehouse.write_index(spark, run_id, id_date, rows, staged)
+    warehouse.write_index(spark, run_id, id_date, rows, read_from, staged)
     warehouse.publish(spark, run_id)
     return counts

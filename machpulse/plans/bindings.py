@@ -86,6 +86,27 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def typed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, value): readings whose machine id and voltage come as numbers, texts, booleans and nulls in turn."""
+    rows = telemetry(spark, sf_dir)
+    number, volt = F.col("machine_id").cast("string"), F.col("volt").cast("string")
+    machine = (
+        F.when(F.col("event_id") % 8 == 0, number).when(F.col("event_id") % 8 == 1, F.concat(number, F.lit(".9")))
+        .when(F.col("event_id") % 8 == 2, F.concat(F.lit('"'), number, F.lit('"'))).when(F.col("event_id") % 8 == 3, "true")
+        .when(F.col("event_id") % 8 == 4, "false").when(F.col("event_id") % 8 == 5, F.concat(F.lit('"'), number, F.lit('.9"')))
+        .when(F.col("event_id") % 8 == 6, "null").otherwise(F.concat(F.lit('" +'), number, F.lit(' "')))
+    )
+    measured = (
+        F.when(F.col("event_id") % 5 == 0, volt).when(F.col("event_id") % 5 == 1, F.concat(F.lit('" '), volt, F.lit('"')))
+        .when(F.col("event_id") % 5 == 2, "true").when(F.col("event_id") % 5 == 3, "NaN").otherwise('"1_0.5e1"')
+    )
+    value = F.concat(
+        F.lit('{"machine_id":'), machine, F.lit(',"datetime_mes":"2024-01-01T00:00:00","volt":'), measured,
+        F.lit(',"rotate":1,"pressure":2,"vibration":3}'),
+    )
+    return rows.select("event_id", value.alias("value"))
+
+
 def staging_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(

@@ -63,6 +63,15 @@ def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     return parsed.filter(F.col("malformed_reason").isNotNull()).select("event_id", "value", "malformed_reason")
 
 
+@_query
+def typed_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Values of many JSON types, converted by their types."""
+    parsed = msg.parse_messages(b.typed_messages(spark, sf), typed=True)
+    volt = F.when(F.isnan("volt"), "NaN").otherwise(F.round("volt", 6).cast("decimal(18,6)").cast("string"))
+    sound = F.col("malformed_reason").isNull()
+    return parsed.select("event_id", F.when(sound, F.col("machine_id")).alias("machine_id"), F.when(sound, volt).alias("volt"), "malformed_reason")
+
+
 @_query
 def keyed_messages(spark: SparkSession, sf: str) -> DataFrame:
     return msg.to_messages(b.telemetry(spark, sf))

@@ -39,7 +39,8 @@ def star_rules(dates: DataFrame, machines: DataFrame, codes: DataFrame, types: D
         "fait_evenement": Rules(
             not_null=("id_date", "datetime_evt", "id_machine", "id_type_evenement", "id_code", "source_fichier"),
             lengths={"source_fichier": 40},
-            unique=(tuple(schemas.FACT_EVENT_KEY),),
+            # Surrogates are hashes of the natural key: two keys with one hash show up under the second rule.
+            unique=(tuple(schemas.FACT_EVENT_KEY), ("id_evenement",)),
             foreign=(to_date, to_machine, to_type, ("id_code", codes, "id_code")),
         ),
         # A day without events is missing from the event calendar and shows up here.

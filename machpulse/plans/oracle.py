@@ -282,6 +282,11 @@ def all_sql() -> dict[str, str]:
             {", ".join(f"CASE WHEN malformed_reason IS NULL THEN round({c}, 6) END AS {c}" for c in MEASURES)},
             malformed_reason FROM parsed""",
         "dead_letters": f"WITH {_PARSED} SELECT event_id, value, malformed_reason FROM parsed WHERE malformed_reason IS NOT NULL",
+        "typed_messages": f"""WITH {_TELE} SELECT event_id,
+            CASE event_id % 8 WHEN 3 THEN 1 WHEN 4 THEN 0 WHEN 5 THEN NULL WHEN 6 THEN NULL ELSE machine_id END AS machine_id,
+            CASE WHEN event_id % 8 IN (5, 6) THEN NULL WHEN event_id % 5 IN (0, 1) THEN CAST(CAST(round(volt, 6) AS DECIMAL(18, 6)) AS VARCHAR)
+                 WHEN event_id % 5 = 2 THEN '1.000000' WHEN event_id % 5 = 3 THEN 'NaN' ELSE '105.000000' END AS volt,
+            CASE WHEN event_id % 8 IN (5, 6) THEN 'type_invalide' END AS malformed_reason FROM tele""",
         "keyed_messages": f"""WITH {_TELE} SELECT CAST(machine_id AS VARCHAR) AS key,
             '{{"machine_id":' || CAST(machine_id AS VARCHAR) || ',"datetime_mes":"' || strftime(datetime_mes, '%Y-%m-%dT%H:%M:%S')
             || '","volt":' || CAST(volt AS VARCHAR) || ',"rotate":' || CAST(rotate AS VARCHAR) || ',"pressure":'

@@ -15,9 +15,9 @@ from machpulse.streaming.ingest import utc_now
 SENSOR_TOPICS = "usine/capteurs/+/mesure"
 
 
-def sorted_out(messages: DataFrame, pattern: str = SENSOR_TOPICS) -> DataFrame:
+def sorted_out(messages: DataFrame, pattern: str = SENSOR_TOPICS, typed: bool = False) -> DataFrame:
     """The messages whose ``topic`` fits the pattern, parsed; others are none of the relay's."""
-    return parse_messages(messages.filter(topic_matches(F.col("topic"), pattern)))
+    return parse_messages(messages.filter(topic_matches(F.col("topic"), pattern)), typed=typed)
 
 
 def keyed(parsed: DataFrame) -> DataFrame:
@@ -33,16 +33,18 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
 def relay(
     messages: DataFrame, options: dict[str, str], checkpoint: str, sink: str = "kafka", pattern: str = SENSOR_TOPICS,
     available_now: bool = False, rejects: str | None = None, clock: Callable[[], datetime] = utc_now,
+    typed: bool = False,
 ) -> StreamingQuery:
     """Publish the keyed messages of a stream with ``topic`` and ``value`` to a sink given by format and options.
 
     Malformed messages go to the folder ``rejects``, beside the checkpoint unless given, with their reason and time. Each
     batch replaces its own folder there, and in a sink with a ``path``; another sink may get a batch that is replayed twice.
+    ``typed`` converts values by their JSON types, see ``parse_messages``.
     """
     rejects = rejects or f"{checkpoint.rstrip('/')}_rejets"
 
     def publish(batch: DataFrame, number: int) -> None:
-        parsed = sorted_out(batch, pattern).persist()
+        parsed = sorted_out(batch, pattern, typed).persist()
         try:
             letters = dead_letters(parsed).withColumn("horodatage_rejet", timestamp(clock()))
             letters.write.mode("overwrite").parquet(f"{rejects}/batch_id={number}")

@@ -5,6 +5,7 @@ from machpulse import schemas
 from machpulse.functions.time_columns import month_of
 from machpulse.operators import telemetry as t
 from machpulse.operators.constraints import ConstraintViolation
+from machpulse.plans import batch
 from machpulse.plans.batch import Warehouse, run_batch
 from machpulse.sources import landing, storage
 from tests.helpers import rows_of, telemetry
@@ -196,7 +197,8 @@ def test_lost_day_of_a_published_run_is_an_error(spark, places):
     deliver(spark, raw, "2030-03-11", FIRST)
     run_batch(spark, "2030-03-10", raw, warehouse, state(spark))
     run_batch(spark, "2030-03-11", raw, warehouse, state(spark))
-    assert warehouse.index(spark) == {"days": {"20300310": {"run": 1, "rows": 2}, "20300311": {"run": 2, "rows": 2}}, "machines": 2}
+    index = warehouse.index(spark)
+    assert index["days"] == {"20300310": {"run": 1, "rows": 2}, "20300311": {"run": 2, "rows": 2}} and index["machines"] == 2
     storage.remove(spark, warehouse.path("fait_telemetrie_jour", 1))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         warehouse.days(spark).count()
@@ -213,3 +215,26 @@ def test_day_from_the_index_of_edges(spark, places):
     before = rows_of(warehouse.days(spark).fillna(-1.0))
     run_batch(spark, "2030-03-10", raw, warehouse, state(spark))
     assert rows_of(warehouse.days(spark).fillna(-1.0)) == before
+
+
+def test_dimensions_hold_what_changed(spark, places, monkeypatch):
+    raw, warehouse = places
+    monkeypatch.setattr(batch, "FOLD_AFTER", 3)
+    machines = FIRST["PdM_machines.csv"]
+    surrogates = {}
+    for run in range(1, 6):
+        if run != 2:
+            machines = [*machines, (str(300 + run), "model1", str(run))]
+        deliver(spark, raw, f"2030-03-1{run}", {**FIRST, "PdM_machines.csv": machines})
+        run_batch(spark, f"2030-03-1{run}", raw, warehouse, state(spark))
+        rows = {r["machine_id_nat"]: r for r in warehouse.dimension(spark, "dim_machine").collect()}
+        assert sorted(rows) == sorted(int(m) for m, _, _ in machines)
+        assert len({r["id_machine"] for r in rows.values()}) == len(rows)
+        assert all(rows[m]["id_machine"] == n for m, n in surrogates.items())
+        surrogates = {m: r["id_machine"] for m, r in rows.items()}
+        assert warehouse.index(spark)["machines"] == len(machines) and warehouse.machines(spark).count() == len(machines)
+    # The second run changed nothing and wrote nothing; the fifth wrote the whole after three changes.
+    written = {run: spark.read.parquet(warehouse.path("dim_machine", run)).count() for run in (1, 3, 4, 5)}
+    assert written == {1: 3, 3: 1, 4: 1, 5: 6}
+    assert not storage.exists(spark, warehouse.path("dim_machine", 2)) and not storage.exists(spark, warehouse.path("dim_date", 2))
+    assert warehouse.index(spark)["runs"]["dim_machine"] == [5] and warehouse.index(spark)["runs"]["dim_date"] == [1]

@@ -31,9 +31,9 @@ def test_sample_message(spark):
 def test_structure(spark):
     assert reasons(
         spark,
-        "{not valid json",
+        "{machine: 7",
         '{"machine_id":1,"volt":176.2}',
-        message(machine_id="pas-un-nombre"),
+        message(machine_id="sept"),
         "5",
         "null",
         "[1]",
@@ -147,3 +147,43 @@ def test_kafka_options():
     assert options["maxOffsetsPerTrigger"] == "50000"
     assert streams.kafka_options("broker:9092", "capteurs")["maxOffsetsPerTrigger"] == str(streams.MAX_OFFSETS)
     assert "maxOffsetsPerTrigger" not in streams.kafka_options("broker:9092", "capteurs", None)
+
+
+@pytest.mark.parametrize(
+    "machine, want",
+    [
+        ("1.9", 1), ("-0.5", 0), ("7", 7), ('"1.9"', None), ('"7"', 7), ('" +7 "', 7), ('"1_000"', 1000), ('"1__0"', None), ("true", 1),
+        ("false", 0), ("null", None), ('""', None), ("[1]", None), ("{}", None), ("1e3", 1000), ("NaN", None), ("Infinity", None),
+    ],
+)
+def test_typed_machine_ids(spark, machine, want):
+    text = message().replace('"machine_id": 1', f'"machine_id": {machine}')
+    assert machine in text
+    (row,) = messages.parse_messages(spark.createDataFrame([(text,)], "value string"), typed=True).collect()
+    assert row["malformed_reason"] == (None if want is not None else "type_invalide")
+    assert want is None or row["machine_id"] == want
+
+
+def test_typed_measures_and_structure(spark):
+    def read(*texts):
+        frame = spark.createDataFrame(list(enumerate(texts)), "i int, value string")
+        return messages.parse_messages(frame, typed=True).orderBy("i").collect()
+
+    def volt(value):
+        return message().replace('"volt": 170.0', f'"volt": {value}')
+
+    assert [r["volt"] for r in read(volt("true"), volt('"1.9"'), volt('" 1e2 "'), volt("12"), volt('"-inf"'), volt('"1_0.5"'))] == [
+        1.0, 1.9, 100.0, 12.0, -math.inf, 10.5,
+    ]
+    assert math.isnan(read(volt("NaN"))[0]["volt"]) and read(volt("-Infinity"))[0]["volt"] == -math.inf
+    bad = read(
+        volt("null"), volt('"a"'), volt('"0x1p3"'), volt('"1.0d"'), volt("[1]"), '{"machine_id":1}', "[1]", "5", "{", None, message(datetime_mes=5),
+        message() + "x", "{'a': 1}",
+    )
+    assert [r["malformed_reason"] for r in bad] == ["type_invalide"] * 5 + ["champ_manquant"] + ["json_invalide"] * 4 + ["horodatage_invalide"] + ["json_invalide"] * 2
+
+
+def test_typed_messages_are_parsed_once(spark):
+    frame = messages.parse_messages(spark.createDataFrame([(message(),)], "value string"), typed=True).filter("malformed_reason IS NULL")
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parse_json") <= 2
