@@ -581,6 +581,79 @@ def test_chunks_survive_insertions():
         passages.PIECE_BYTES = old
 
 
+def test_groups_of_texts_are_cut_like_single_ones():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    texts = ["", "a", "é", "日本語テキスト" * 40, "x" * 500, "ab " * 300, prose(rng, 3000), None, "\n"] + [prose(rng, rng.randint(0, 120)) for _ in range(200)]
+    old, passages.GROUP_BYTES = passages.GROUP_BYTES, 5000
+    try:
+        row = 0
+        for first, ends, digests, firsts in passages._groups(pa.array(texts)):
+            assert first == row
+            for k in range(len(firsts) - 1):
+                want = passages.chunk_digests(np.frombuffer((texts[row] or "").encode(), np.uint8))
+                assert list(ends[firsts[k]: firsts[k + 1]]) == list(want[0]) and list(digests[firsts[k]: firsts[k + 1]]) == list(want[1])
+                row += 1
+        assert row == len(texts)
+    finally:
+        passages.GROUP_BYTES = old
+
+
+def plain_removal(rows, min_words):
+    """Text and removed spans per row, by comparing the bytes of all chunks."""
+    import numpy as np
+
+    def pieces(text):
+        raw = (text or "").encode()
+        ends = [0, *passages.borders(np.frombuffer(raw, np.uint8))]
+        return raw, [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+    lowest = {}
+    for i, text in rows:
+        for piece in pieces(text)[1]:
+            if i is not None:
+                lowest[piece] = min(i, lowest.get(piece, i))
+    found = []
+    for i, text in rows:
+        raw, cut_at = pieces(text)
+        seen, runs, at = set(), [], 0
+        for piece in cut_at:
+            elsewhere = piece in lowest and (i is None or lowest[piece] < i)
+            if elsewhere or piece in seen:
+                if runs and runs[-1][1] == at:
+                    runs[-1] = (runs[-1][0], at + len(piece))
+                else:
+                    runs.append((at, at + len(piece)))
+            seen.add(piece)
+            at += len(piece)
+        runs = [(a, b) for a, b in runs if len(raw[a:b].split()) >= min_words]
+        kept, at = b"", 0
+        for a, b in runs:
+            kept, at = kept + raw[at:a], b
+        found.append((i, None if text is None else (kept + raw[at:]).decode(), tuple(runs)))
+    return found
+
+
+def test_removal_equals_brute_force(spark):
+    rng = random.Random(21)
+    shared = [prose(rng, 70, 4000) for _ in range(6)]
+    rows = [(i, t) for i, t, _ in messy(seed=3)]
+    for i in range(200, 320):
+        parts = [prose(rng, rng.randint(5, 60), 4000)]
+        if rng.random() < 0.6:
+            passage = rng.choice(shared).split()
+            begin = rng.randint(0, 30)
+            parts.insert(rng.randint(0, 1), " ".join(passage[begin: begin + rng.randint(20, 70)]))
+        rows.append((i, "\n".join(parts)))
+    # One id, and no id, for many rows with unlike and equal texts.
+    rows += [(400, rng.choice(shared) + " " + prose(rng, 20)) for _ in range(30)] + [(None, rng.choice(shared)) for _ in range(10)]
+    got = passages.remove_repeats(documents(spark, [(i, t, "s") for i, t in rows])).collect()
+    found = [(r.doc_id, r.text, tuple((s.begin, s.end) for s in r.removed_spans)) for r in got]
+    assert sorted(found, key=str) == sorted(plain_removal(rows, passages.MIN_WORDS), key=str)
+
+
 def test_passages_without_borders_are_cut():
     """Passages of few distinct words, each in two texts; some hold no byte window with five zero bits."""
     import numpy as np
