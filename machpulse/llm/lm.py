@@ -4,8 +4,8 @@ States are the n-grams of the training texts up to ``order - 1`` words, arcs the
 state and c that of an arc, the arc weighs ``(c + K * p) / (C + K)`` where p is the weight of the word one state
 lower; a word without an arc takes the failure arc, which weighs ``K / (C + K)``, to the state one word shorter. The
 root weighs words as the base does and has mass for unknown ones, so every state's weights sum to one. A text is
-read once from left to right: the state is the longest known n-gram that ends before the word, and the logarithms
-of arcs and failure arcs add up.
+read once from left to right (``traverse``): the state carried is the longest known n-gram that ends before the word;
+failure arcs are followed until the state has an arc for the word, and the logarithms of both add up.
 
 The automaton grows with the corpus, so no task holds it. Texts are hashed into blocks of about ``BLOCK_BYTES``; a
 block sends each of its distinct n-grams once, with its count in training texts, to the range of hashes that sums
@@ -123,6 +123,55 @@ def _add(key, table):
     })
 
 
+def automaton(count, base, strength: float):
+    """Arcs, failure arcs and known states at every place of a block, from the counts of the n-grams that end there.
+
+    ``arcs[k]``: log10 weight of the arc that reads the place's word in the state of the k words before; -inf without such an
+    arc. ``fails[k]``: log10 weight of the failure arc of that state. ``known[k]``: whether the place's last k words are a state.
+    """
+    import numpy as np
+
+    order, places = count.shape
+    arcs, fails = np.full((order, places), -np.inf), np.zeros((order, places))
+    known = np.ones((order, places), bool)
+    known[1:] = count[: order - 1] > 0
+    arcs[0] = weight = np.log10(base)
+    for k in range(1, order):
+        state = np.append(0.0, count[k - 1][:-1])  # the k-gram that ends before the word
+        there = count[k] > 0
+        fails[k] = np.log10(strength / (state + strength))
+        arcs[k][there] = np.log10((count[k][there] + strength * 10.0 ** weight[there]) / (state[there] + strength))
+        weight = np.where(there, arcs[k], fails[k] + weight)
+    return arcs, fails, known
+
+
+def traverse(arcs, fails, known, starts, sizes):
+    """Log10 probability of each text: all are read side by side, one word at a time, each with its own state."""
+    import numpy as np
+
+    order = len(arcs)
+    longest_first = np.argsort(-sizes, kind="stable")
+    begin, left = starts[longest_first], sizes[longest_first]
+    total = np.zeros(len(starts))
+    # After the beginning, the state is the beginning itself where training texts had one.
+    state = np.where(known[1, begin], 1, 0) if order > 1 else np.zeros(len(starts), np.int64)
+    for step in range(1, int(left.max(initial=0))):
+        active = int(np.searchsorted(-left, -step, "left"))
+        at, k, sums = begin[:active] + step, state[:active], total[:active]
+        while True:
+            stuck = np.flatnonzero(np.isneginf(arcs[k, at]))
+            if not len(stuck):
+                break
+            sums[stuck] += fails[k[stuck], at[stuck]]
+            k[stuck] -= 1
+        sums += arcs[k, at]
+        longer = np.minimum(k + 1, order - 1)
+        state[:active] = np.where(known[longer, at], longer, 0)
+    out = np.empty(len(starts))
+    out[longest_first] = total
+    return out
+
+
 def _score(order: int, tokens_all: int, types: int, strength: float, id_type):
     def run(key, table, replies):
         import numpy as np
@@ -138,17 +187,10 @@ def _score(order: int, tokens_all: int, types: int, strength: float, id_type):
         totals = np.concatenate([_unpack(sent[i], 8, np.uint64) for i in order_of]).astype(np.float64)
         totals[keys == 0] = 0.0
         count = totals[number].reshape(order, -1)
+        del tokens, grams, keys, number, totals
         base = (count[0] + BASE) / (tokens_all + BASE * (types + 1))
-        # Going up the states: the weight of the word in each, by arc or by failure.
-        weight = np.log10(base)
-        for k in range(1, order):
-            state = np.append(0.0, count[k - 1][:-1])  # the k-gram that ends before the word
-            arc = np.log10((count[k] + strength * 10.0**weight) / (state + strength))
-            fail = np.log10(strength / (state + strength)) + weight
-            weight = np.where(count[k] > 0, arc, fail)
-        first = np.zeros(len(tokens), bool)
-        first[starts] = True
-        read = ~first
+        read = np.ones(count.shape[1], bool)
+        read[starts] = False
 
         def per_text(values):
             return np.add.reduceat(np.where(read, values, 0.0), starts)
@@ -160,7 +202,7 @@ def _score(order: int, tokens_all: int, types: int, strength: float, id_type):
             "n_known": pa.array(per_text(count[0] > 0).astype(np.int64)),
             "train_tokens": pa.array(np.full(rows, tokens_all, np.int64)),
             "base_score": pa.array(per_text(np.log10(base))),
-            "score": pa.array(per_text(weight)),
+            "score": pa.array(traverse(*automaton(count, base, strength), starts, sizes)),
         })
 
     import pyarrow as pa

@@ -24,7 +24,8 @@ from machpulse.llm.text import whole
 from machpulse.sources.storage import stored
 
 BITS = 5
-MIN_WORDS = 16
+#: A passage of over 50 words has far more than this between its first and last border.
+MIN_WORDS = 24
 MAX_CHUNK = 96
 NEAR = 16
 #: Texts are read in pieces of so many bytes; the gear hash is carried by overlapping them.

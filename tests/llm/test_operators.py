@@ -436,50 +436,94 @@ def test_components_of_long_chains(spark):
 # 7. Language model
 
 
-def plain_scores(rows, strength):
+def plain_scores(rows, strength, order=2):
+    """Every word by recursion over its history."""
     texts = [(i, [*words(lower(t)), "\x00end"]) for i, t, _ in rows]
     learn = [w for i, w in texts if zlib.crc32(("" if i is None else str(i)).encode()) % 10]
-    one, two, state = Counter(), Counter(), Counter()
+    grams = Counter()
     for w in learn:
-        one.update(w)
-        two.update(zip(["\x00s", *w], w))
-        state.update(["\x00s", *w[:-1]])
-    n, v, out = sum(one.values()), len(one), []
+        w = ["\x00s", *w]
+        grams.update(tuple(w[at - k: at]) for k in range(1, order + 1) for at in range(k, len(w) + 1))
+    n = sum(len(w) for w in learn)
+    v = len({x for w in learn for x in w})
+
+    def base(x):
+        return (grams[x,] + 0.1) / (n + 0.1 * (v + 1))
+
+    def weight(history, x):
+        if not history:
+            return base(x)
+        lower_weight = weight(history[1:], x)
+        return (grams[(*history, x)] + strength * lower_weight) / (grams[history] + strength)
+
+    out = []
     for i, w in texts:
-        base = [(one[x] + 0.1) / (n + 0.1 * (v + 1)) for x in w]
-        full = [(two[h, x] + strength * p) / (state[h] + strength) for h, x, p in zip(["\x00s", *w], w, base)]
-        out.append((str(i), len(w), sum(one[x] > 0 for x in w), n, round(sum(map(math.log10, base)), 5), round(sum(map(math.log10, full)), 5)))
+        full = ["\x00s", *w]
+        score = sum(math.log10(weight(tuple(full[max(0, at - order + 1): at]), full[at])) for at in range(1, len(full)))
+        out.append((str(i), len(w), sum(grams[x,] > 0 for x in w), n, sum(math.log10(base(x)) for x in w), score))
     return sorted(out)
 
 
-def test_scores_equal_brute_force(spark):
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_scores_equal_brute_force(spark, order):
     rows = messy()
-    frame = lm.score(documents(spark, rows), block_bytes=20_000)
-    got = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5)) for r in frame.collect())
-    want = plain_scores(rows, lm.STRENGTH)
+    frame = lm.score(documents(spark, rows), block_bytes=20_000, order=order)
+    got = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in frame.collect())
+    want = plain_scores(rows, lm.STRENGTH, order)
     assert [g[:4] for g in got] == [w[:4] for w in want]
     for g, w in zip(got, want):
-        assert g[4:] == pytest.approx(w[4:], abs=2e-4)
-    assert lm.score(documents(spark, rows).limit(0)).count() == 0
-    alone = lm.score(documents(spark, [(1, "a b", "s")]).withColumn("doc_id", F.lit(None).cast("long"))).first()
+        assert g[4:] == pytest.approx(w[4:], rel=1e-9, abs=1e-6)
+    assert lm.score(documents(spark, rows).limit(0), order=order).count() == 0
+    alone = lm.score(documents(spark, [(1, "a b", "s")]).withColumn("doc_id", F.lit(None).cast("long")), order=order).first()
     assert alone.held_out and alone.train_tokens == 0
 
 
-def test_states_sum_to_one(spark):
+@pytest.mark.parametrize("order", [2, 3])
+def test_arcs_of_a_state_sum_to_one(spark, order):
     rows = [(i, prose(random.Random(i), 40, 20), "s") for i in range(30)]
-    vocabulary = sorted({w for _, t, _ in rows for w in words(lower(t))})
-    probes = [(10_000 + k, f"w3 {w}", "s") for k, w in enumerate([*vocabulary, "unknown"])]
-    held = [p for p in probes]
+    learn = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 10]
+    vocabulary = sorted({w for _, t, _ in learn for w in words(lower(t))})
     # Probes must not be learned from: ids whose checksum is divisible by 10.
-    ids = iter(i for i in range(10**5, 10**6) if zlib.crc32(str(i).encode()) % 10 == 0)
-    held = [(next(ids), t, s) for _, t, s in held] + [(next(ids), "w3", "s")]
-    learn = [(i, t, s) for i, t, s in rows if zlib.crc32(str(i).encode()) % 10]
-    seen = {w for _, t, _ in learn for w in words(lower(t))}
-    got = by_id(lm.score(documents(spark, learn + held)).collect())
-    order3 = by_id(lm.score(documents(spark, learn + held), order=3).collect())
-    assert any(abs(order3[i].score - got[i].score) > 1e-6 for i, _, _ in learn)
-    kept = {i: t.split()[1] for i, t, _ in held[:-1]}
-    assert all(got[i].n_known == 3 - (kept[i] not in seen) for i in kept)
+    ids = iter(i for i in range(10**5, 10**7) if zlib.crc32(str(i).encode()) % 10 == 0)
+    texts = ["zzz", "w3", "zzz w3", "w3 zzz", *[f"{p}{w}" for w in vocabulary for p in ("", "zzz ", "w3 ")]]
+    probes = {t: next(ids) for t in dict.fromkeys(texts)}
+    frame = lm.score(documents(spark, learn + [(i, t, "s") for t, i in probes.items()]), order=order)
+    got = by_id(frame.collect())
+    score, plain = ({t: getattr(got[i], name) for t, i in probes.items()} for name in ("score", "base_score"))
+    # "zzz" is in no training text: after it the automaton is at its root.
+    n, v = got[probes["zzz"]].train_tokens, len(vocabulary) + 1
+    end = math.log10((len(learn) + 0.1) / (n + 0.1 * (v + 1)))
+    zzz_first = score["zzz"] - end
+
+    def end_after(w):
+        return score[f"zzz {w}"] - zzz_first - (plain[w] - end)
+
+    w3_first = score["w3"] - end_after("w3")
+    total = 10 ** end_after("w3") + 10 ** (score["w3 zzz"] - w3_first - end)
+    if order == 2:
+        total += sum(10 ** (score[f"w3 {w}"] - w3_first - end_after(w)) for w in vocabulary)
+        assert total == pytest.approx(1, abs=1e-9)
+    # Of any order: all arcs and failures out of one state, added up on the automaton itself.
+    grams = Counter()
+    for _, t, _ in learn:
+        w = ["^", *words(lower(t)), "$"]
+        grams.update(tuple(w[at - k: at]) for k in range(1, order + 1) for at in range(k, len(w) + 1))
+    history = max((g for g in grams if len(g) == order - 1 and "$" not in g), key=lambda g: grams[g])
+    import numpy as np
+
+    mass = 0.0
+    for x in [*vocabulary, "$", "zzz"]:
+        line = [*history, x]
+        count = np.array([[grams[tuple(line[max(0, at - k + 1): at + 1])] if at >= k - 1 else 0 for at in range(len(line))] for k in range(1, order + 1)], float)
+        base = (count[0] + 0.1) / (n + 0.1 * (v + 1))
+        arcs, fails, known = lm.automaton(count, base, lm.STRENGTH)
+        k, weight, at = order - 1, 0.0, len(line) - 1
+        assert known[k, at - 1]
+        while np.isneginf(arcs[k, at]):
+            weight += fails[k, at]
+            k -= 1
+        mass += 10 ** (weight + arcs[k, at])
+    assert mass == pytest.approx(1, abs=1e-9)
 
 
 # 8. Quality
