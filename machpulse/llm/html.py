@@ -1,7 +1,8 @@
 """Main text of web pages by the maximum-scoring run of tokens.
 
 A page is read once into tokens: tags and stretches of words. Scripts, styles, forms and subtrees that are marked as
-menus, page headers, footers, sidebars, notices, adverts or reader comments are left out. A marked subtree or a form
+menus, page headers, footers, sidebars, notices, adverts or reader comments are left out. A class, id or role marks only
+if it says nothing but the mark and its place, so headings and paragraphs with names of their own stay. A marked subtree or a form
 stays if the page's article or most of its words would go with it (``_kept``). Every other token has a weight, the logarithm of how much likelier it is inside an article than outside; so words and paragraph tags mostly
 add, list and link tags subtract. One linear scan finds the run of tokens with the highest sum, and the blocks of
 that run are the text.
@@ -28,13 +29,13 @@ BORDER = 40.0
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|textarea|select|object|canvas|title|math)(?![\w-])[^>]*+>"
+    r"|<(?P<raw>script|style|noscript|template|svg|iframe|textarea|select|object|canvas|title)(?![\w-])[^>]*+>"
     r"|<(?P<close>/)?(?P<name>[a-zA-Z][\w:-]*+)(?P<attrs>(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>"
     r"|<[!?][^>]*+>"
     r"|(?P<text>[^<]++|<)",
     re.DOTALL | re.IGNORECASE,
 )
-_ATTR = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+_ATTR = re.compile(r"""(?<![\w-])(class|id|role|hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 _MARK = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 #: HTML element names by their part in a page.
@@ -47,7 +48,7 @@ BLOCK = frozenset(
 DROPPED = frozenset("head nav footer aside button dialog menu select option input".split())
 ARTICLE = frozenset("article main".split())
 CLOSES_ITSELF = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr", ("table",))}
-#: Words in class, id or role that mark a subtree as no part of the article.
+#: Words that mark a subtree as no part of the article, where a class, id or role says nothing else.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion banner banners cookie cookies consent gdpr "
     "notice notices popup modal overlay newsletter subscribe subscription signup login paywall sidebar sidebars sidenav widget widgets "
@@ -56,12 +57,17 @@ MARKS = frozenset(
     "skip toolbar dialog alert disclaimer copyright tags".split()
 )
 HEADERS = frozenset("header masthead topbar".split())
-#: Words that turn the rest of their class, id or role into a state of the page ("no-banner", "ad-free").
-NEGATIONS, WITHOUT = frozenset("no non not without has have with".split()), "free"
+#: Words that say where or how a mark is set, not of what: "left-sidebar", "share-buttons", "related-posts". Any
+#: other word makes a name of its own: "related-work", "search-algorithms", "market-share", "no-banner", "ad-free".
+SETTINGS = frozenset(
+    "a area article articles aside bar block body bottom box button buttons card cards column container content entry fixed foot form "
+    "global group head icon icons inner item items js left link links list main message mobile outer page panel post posts primary "
+    "right row secondary section site slot small stories sticky story text title top unit wrap wrapper zone".split()
+)
 #: Left out by name alone, but a whole page may stand in them.
 FORMS = frozenset("form fieldset label".split())
-#: Foreign elements; in them "/>" ends the element, as in XML.
-FOREIGN = frozenset("svg math".split())
+#: Foreign elements that are no text; in them "/>" ends the element, as in XML.
+FOREIGN = frozenset(["svg"])
 
 
 def _words_of(attrs: str) -> tuple[set[str], bool]:
@@ -69,15 +75,16 @@ def _words_of(attrs: str) -> tuple[set[str], bool]:
     marks, hidden = set(), False
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+        if name == "hidden":
             hidden = True
         elif name == "style":
             hidden = hidden or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE) is not None
         elif name in ("class", "id", "role"):
             for token in value.split():
-                parts = [part.lower() for part in _MARK.findall(token)]
-                if parts and parts[0] not in NEGATIONS and parts[-1] != WITHOUT:
-                    marks.update(parts)
+                parts = {part.lower() for part in _MARK.findall(token)}
+                said = parts - SETTINGS
+                if said <= MARKS | HEADERS:
+                    marks |= said
     return marks, hidden
 
 
@@ -116,6 +123,7 @@ def read_tokens(page: str, everything: bool = False) -> list[tuple[str, str]]:
     owners: list[int] = []  # of each token: the doubtful subtree it stands in
     subtrees = [_Doubtful(0, False)]
     stack: list[tuple[str, bool, int, int]] = []  # name, whether it begins a subtree that is left out, owner and words before it
+    standing: Counter[str] = Counter()  # how many of a name are open, so that no stray tag looks through the whole stack
     out = articles = links = owner = words = 0
     at, size = 0, len(page)
 
@@ -123,6 +131,7 @@ def read_tokens(page: str, everything: bool = False) -> list[tuple[str, str]]:
         nonlocal out, articles, links, owner
         while len(stack) > index:
             name, dropped, around, before = stack.pop()
+            standing[name] -= 1
             if name in ARTICLE and not out:
                 subtrees[owner].longest = max(subtrees[owner].longest, words - before)
             if owner != around:
@@ -138,6 +147,8 @@ def read_tokens(page: str, everything: bool = False) -> list[tuple[str, str]]:
         owners.append(tree)
 
     def innermost(names, stops=()) -> int:
+        if not any(standing[name] for name in names):
+            return -1
         for index in range(len(stack) - 1, -1, -1):
             if stack[index][0] in names:
                 return index
@@ -198,6 +209,7 @@ def read_tokens(page: str, everything: bool = False) -> list[tuple[str, str]]:
             add(f"<{name}", "", owner if name in BLOCK else inner)
         if opens:
             stack.append((name, dropped, owner, words))
+            standing[name] += 1
             owner = inner
             out += dropped
             articles += name in ARTICLE

@@ -299,6 +299,47 @@ def test_cards_and_long_comments_still_go():
     assert html.main_text(wide, weights) == want
 
 
+OWN_NAMES = [
+    '<h2 id="related-work">Related work here</h2>', '<section id="search-algorithms"><p>How to search.</p></section>',
+    '<p class="notice-period">A notice period of a month.</p>', '<div class="tasting-menu"><p>Five courses.</p></div>',
+    '<figure class="market-share"><figcaption>Share of the market.</figcaption></figure>', '<p>The sum <math><mi>x</mi><mo>+</mo><mi>y</mi></math> grows.</p>',
+    '<p>Read <span aria-hidden="true">this sign</span> too.</p>', '<p data-class="ad" id="adverbs">On adverbs.</p>',
+]
+
+
+@pytest.mark.parametrize("part", OWN_NAMES)
+def test_parts_with_names_of_their_own_stay(part):
+    import re
+
+    weights = html.DEFAULT_WEIGHTS
+    words_of = " ".join(re.sub(r"<[^>]*>", " ", part).split())
+    found = " ".join(html.main_text(PAGE.replace("<p>Last.", f"{part}<p>Last."), weights).split())
+    assert words_of.replace(" ", "") in found.replace(" ", "") and "Buy now" not in found and "reader" not in found
+
+
+@pytest.mark.parametrize("mark", [
+    'class="ad-slot-1"', 'id="left_sidebar"', 'class="x shareButtons"', 'class="related-posts"', 'id="comments-section"', 'role="navigation"',
+    'class="newsletter-signup-box"', 'class="cookie-notice"',
+])
+def test_marked_parts_go(mark):
+    weights = html.DEFAULT_WEIGHTS
+    assert html.main_text(PAGE.replace("<p>Last.", f"<div {mark}><p>Not this one.</p></div><p>Last."), weights) == html.main_text(PAGE, weights)
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    weights = html.DEFAULT_WEIGHTS
+    began = time.process_time()
+    pages = [
+        "<div><i>" * 20_000 + "x" + "</p>" * 20_000, "<p>" + "<i>" * 40_000 + "</b>" * 40_000, "<i>" * 30_000 + "<li>a" * 30_000, "<div>" * 60_000 + "y",
+        "<ul>" + "<li><a href=x>b" * 30_000, "<svg>" * 30_000, "<a b='" * 30_000, "<!--" * 30_000, "<" * 100_000, "&amp" * 50_000,
+    ]
+    for page in pages:
+        html.main_text(page, weights)
+    assert time.process_time() - began < 20
+
+
 @pytest.mark.parametrize("icon", ['<svg class="i"/>', '<svg viewBox="0 0 1 1" />', "<math/>", "<SVG />"])
 def test_self_closed_icons_end_at_once(icon):
     weights = html.DEFAULT_WEIGHTS
