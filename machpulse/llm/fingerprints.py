@@ -11,6 +11,7 @@ estimates how much two texts share.
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
 from machpulse.llm.text import SPACES, high_half, low_half, whole
 from machpulse.sources.storage import stored
@@ -138,15 +139,17 @@ def _followers(keys: DataFrame, key: list[str]) -> DataFrame:
 def edited(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """Fingerprints of every text, of its edited form, and their likeness to each other and to the next text's.
 
-    The next document is the next lower id (null ids are lowest; equal ids go by a hash of the text; after the last
+    The next document is the next lower id (numbers by size, others by their text; null ids are lowest; equal ids go by a hash of the text; after the last
     comes the first). The last third of the code points is replaced by the first as many of the next text. Rows
     equal in id and text are one place in the order and come out as often as they came in. A null text is empty;
     a table of one document follows itself. Texts are shuffled once, their borrowed beginnings once.
     """
     key = ["_has", "_key", "_hash"]
+    id_type = docs.schema[id_col].dataType
+    ordered = id_type if isinstance(id_type, NumericType) else StringType()
     frame = docs.select(
         F.col(id_col).isNotNull().cast("int").alias("_has"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("_key"),
+        F.coalesce(F.col(id_col).cast(ordered), F.lit(0).cast(ordered)).alias("_key"),
         whole(text_col).alias("_text"),
     ).withColumn("_hash", F.xxhash64("_text"))
     keys = frame.select(*key, F.length("_text").cast("long").alias("_n")).groupBy(*key, "_n").agg(F.count(F.lit(1)).alias("_copies"))
@@ -185,14 +188,14 @@ def edited(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
         return likeness(F.col(f"{x}.shingles"), F.col(f"{x}.lanes"), F.col(f"{y}.shingles"), F.col(f"{y}.lanes"), same(x, y))
 
     result = full.select(
-        F.when(F.col("_has") == 1, F.col("_key")).alias(id_col),
+        F.when(F.col("_has") == 1, F.col("_key").cast(id_type)).alias(id_col),
         F.col("_n").alias("n_chars"),
         F.col("b._sha").alias("edited_sha256"),
         as_text("a.shingles", "a.digests", "a.lanes").alias("fingerprint"),
         as_text("b.shingles", "b.digests", "b.lanes").alias("edited_fingerprint"),
         like("a", "b").alias("near_edited"),
         like("a", "c").alias("near_next"),
-        F.when(F.col("_next_has") == 1, F.col("_next_key")).alias("next_id"),
+        F.when(F.col("_next_has") == 1, F.col("_next_key").cast(id_type)).alias("next_id"),
         "_copies",
     )
     # One output row for each repeated input row.

@@ -804,6 +804,51 @@ def test_edited_texts(spark):
     assert {(r.doc_id, r.next_id) for r in with_null} == {(None, 5), (5, None)}
 
 
+def shingle_counts(text):
+    found = Counter()
+    for line in (text or "").split("\n"):
+        w = words(line)
+        found.update(zip(w, w[1:]))
+    return found
+
+
+def test_likeness_estimates_the_cosine_of_shingle_counts(spark):
+    rng = random.Random(17)
+    rows = []
+    for i in range(60):
+        text = "\n".join(prose(rng, rng.randint(60, 120), 3000) for _ in range(6))
+        if rows and rng.random() < 0.5:
+            lines, own = rows[-1][1].split("\n"), text.split("\n")
+            keep = rng.randint(1, 5)
+            text = "\n".join(lines[:keep] + own[keep:])
+        rows.append((i, text, "s"))
+    texts = {i: t for i, t, _ in rows}
+
+    def cosine(a, b):
+        x, y = shingle_counts(a), shingle_counts(b)
+        norm = math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values()))
+        return sum(v * y[k] for k, v in x.items()) / norm
+
+    errors = []
+    for r in fingerprints.edited(documents(spark, rows)).collect():
+        own, following = texts[r.doc_id], texts[r.doc_id - 1 if r.doc_id else len(rows) - 1]
+        cut = len(own) // 3
+        changed = own[: len(own) - cut] + following[:cut]
+        assert r.edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+        errors += [r.near_edited - cosine(own, changed), r.near_next - cosine(own, following)]
+    assert max(map(abs, errors)) < 0.45 and math.sqrt(sum(e * e for e in errors) / len(errors)) < 0.13
+
+
+def test_fingerprints_take_ids_of_any_type(spark):
+    rows = [(f"d{i:02d}", f"line {i}\nsame words here", "s") for i in range(12)] + [(None, "x y", "s")]
+    frame = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id string, text string")
+    got = {r.doc_id: r for r in fingerprints.edited(frame).collect()}
+    assert len(got) == 13 and got["d05"].next_id == "d04" and got["d00"].next_id is None and got[None].next_id == "d11"
+    dates = frame.filter("doc_id IS NOT NULL").selectExpr("date_add(date'2024-01-28', cast(substr(doc_id, 2) AS int)) AS doc_id", "text")
+    follow = {str(r.doc_id): str(r.next_id) for r in fingerprints.edited(dates).collect()}
+    assert follow["2024-02-01"] == "2024-01-31" and follow["2024-01-28"] == "2024-02-08"
+
+
 def test_lanes_of_long_repeated_texts_do_not_wrap(spark):
     """550,000 word pairs of one line; its edited form keeps two thirds and borrows 500 other words."""
     rng = random.Random(8)
