@@ -1,0 +1,85 @@
+"""Insert-if-absent into tables stored in buckets of their key."""
+
+from pathlib import Path
+
+import pytest
+
+from machpulse import schemas
+from machpulse.operators.datamart import build_dim_code, build_dim_machine, build_event_fact, event_types, fuse_events
+from machpulse.sources.bucketed import BucketedTable
+from tests.helpers import at, rows_of
+
+KEYS = tuple(schemas.STAGING_KEYS["erreurs"])
+
+
+@pytest.fixture(autouse=True)
+def no_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def errors(spark, *rows):
+    return spark.createDataFrame([(at(f"2030-01-{d:02d}T00:00:00"), m, code) for d, m, code in rows], schemas.STAGING["erreurs"])
+
+
+def exchanges_above_the_table(frame, table):
+    """Exchanges on the side of the join that reads the stored table."""
+    plan = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+    (scan,) = [i for i, line in enumerate(plan) if "FileScan" in line and table.name in line]
+    depth = len(plan[scan]) - len(plan[scan].lstrip(" :+-"))
+    found = []
+    for line in reversed(plan[:scan]):
+        here = len(line) - len(line.lstrip(" :+-"))
+        if here < depth:
+            depth = here
+            if "Join" in line:
+                return found
+            if "Exchange" in line:
+                found.append(line)
+    raise AssertionError("no join")
+
+
+def test_only_what_is_offered_is_shuffled(spark, tmp_path):
+    table = BucketedTable(str(tmp_path / "erreurs"), schemas.STAGING["erreurs"], KEYS, 8)
+    table.append(errors(spark, *[(d, m, "error1") for d in range(1, 11) for m in range(20)]))
+    offered = errors(spark, (1, 1, "error1"), (1, 1, "error2"), (1, 1, "error2"), (12, 3, "error1"))
+    fresh = table.absent(offered)
+    assert exchanges_above_the_table(fresh, table) == []
+    assert fresh._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") + fresh._jdf.queryExecution().executedPlan().toString().count("Exchange REPARTITION") <= 2
+    assert rows_of(fresh) == rows_of(errors(spark, (1, 1, "error2"), (12, 3, "error1")))
+
+
+def test_rows_offered_again_add_nothing(spark, tmp_path):
+    table = BucketedTable(str(tmp_path / "erreurs"), schemas.STAGING["erreurs"], KEYS, 4)
+    assert table.read(spark).count() == 0
+    for _ in range(2):
+        table.insert_if_absent(errors(spark, (1, 1, "error1"), (1, 1, "error1"), (2, 2, "error3")))
+    table.insert_if_absent(errors(spark, (3, 1, "error1"), (2, 2, "error3")))
+    want = rows_of(errors(spark, (1, 1, "error1"), (2, 2, "error3"), (3, 1, "error1")))
+    assert rows_of(table.read(spark)) == want
+    # Another session knows the table by its path and layout alone.
+    spark.sql(f"DROP TABLE {table.name}")
+    assert rows_of(table.read(spark)) == want
+    whole = table.folded(spark, str(tmp_path / "folded"))
+    assert rows_of(whole.read(spark)) == want
+    assert len(list(Path(whole.path).glob("*.parquet"))) <= 4
+
+
+def test_fact_in_buckets_is_not_shuffled(spark, tmp_path):
+    none = spark.createDataFrame([], schemas.STAGING["pannes"]), spark.createDataFrame([], schemas.STAGING["maintenances"])
+    machines = build_dim_machine(spark.createDataFrame([(m, "model1", 3) for m in range(5)], schemas.STAGING["machines"]))
+    types = event_types(spark)
+
+    def fact(rows, known=None):
+        fused = fuse_events(rows, *none)
+        codes = build_dim_code(fuse_events(errors(spark, *[(1, 1, f"error{k}") for k in range(4)]), *none), types)
+        return build_event_fact(fused, machines, types, codes, known)
+
+    held = fact(errors(spark, (1, 1, "error1"), (2, 1, "error1")))
+    table = BucketedTable(str(tmp_path / "fait"), held.schema, tuple(schemas.FACT_EVENT_KEY), 8)
+    table.append(held)
+    fresh = fact(errors(spark, (1, 1, "error1"), (2, 1, "error2"), (3, 2, "error1")), table.read(spark))
+    assert exchanges_above_the_table(fresh, table) == []
+    assert sorted((r.datetime_evt.day, r.id_date) for r in fresh.collect()) == [(2, 20300102), (3, 20300103)]
