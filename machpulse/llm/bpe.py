@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections import defaultdict
 from functools import lru_cache
 from itertools import islice
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 PIECES = 500_000
 FOLD_BYTES = 256
 #: A pair's key in the table, and the sizes of the table's two levels (primes).
@@ -168,18 +169,23 @@ def _segment(pattern: str, ranks: dict[bytes, int]):
                     pieces = find(text)
                     counts.append(len(pieces))
                     places.append(np.fromiter(map(number.__getitem__, pieces), np.int32, len(pieces)))
-                words, sizes = [], []
+                # The new pieces as one stretch of bytes, those too long to fold apart: no object per piece is kept.
+                words, sizes, held = [], array("i"), bytearray()
                 for piece in islice(number, known, None):
                     raw = piece.encode()
-                    tokens = single[np.frombuffer(raw, np.uint8)]
                     if len(raw) > FOLD_BYTES:
                         pairs = pairs or pair_ranks(ranks)
-                        tokens = np.array(merge_long(tokens.tolist(), pairs), np.int32)
-                    words.append(tokens)
-                    sizes.append(len(tokens))
-                flat = np.concatenate(words) if words else np.zeros(0, np.int32)
+                        tokens = np.array(merge_long(single[np.frombuffer(raw, np.uint8)].tolist(), pairs), np.int32)
+                        words += [single[np.frombuffer(bytes(held), np.uint8)], tokens]
+                        sizes.append(len(tokens))
+                        held = bytearray()
+                    else:
+                        held += raw
+                        sizes.append(len(raw))
+                words.append(single[np.frombuffer(bytes(held), np.uint8)])
+                flat = np.concatenate(words)
                 offsets = np.zeros(len(sizes) + 1, np.int32)
-                np.cumsum(sizes, out=offsets[1:])
+                np.cumsum(np.frombuffer(sizes, np.int32) if len(sizes) else np.zeros(0, np.int32), out=offsets[1:])
                 every = np.concatenate(places) if places else np.zeros(0, np.int32)
 
                 def one(values):
