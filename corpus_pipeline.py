@@ -33,7 +33,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     docs = _marked(docs)
     verdicts = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=tuple(KEY))
     good = verdicts.filter("kept").select(*KEY).distinct()
-    return docs.join(good, KEY, "left_semi").select(*COLUMNS)
+    return docs.join(good.hint("shuffle_hash"), KEY, "left_semi").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +46,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = neardup.near_duplicates(docs.withColumn("_doc", F.struct(*KEY)), id_col="_doc", width=5, percent=80)
     kept = found.filter("kept").select("_doc.*").distinct()
     rows = docs.groupBy(*KEY).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    left = docs.join(rows.join(kept, KEY, "left_semi"), KEY).filter(F.col("_row") == F.col("_first"))
+    rows = stored(rows.join(kept, KEY, "left_semi"), "pipeline-kept")
+    # The keys are hashed, so the texts are not sorted for the join.
+    left = docs.join(rows.hint("shuffle_hash"), KEY).filter(F.col("_row") == F.col("_first"))
+    once = left.filter("_rows = 1").select(*COLUMNS)
+    if rows.filter("_rows > 1").isEmpty():
+        return once
     # Only repeated rows are compared whole; they collapse where they are read.
-    return left.filter("_rows = 1").select(*COLUMNS).unionByName(left.filter("_rows > 1").select(*COLUMNS).distinct())
+    return once.unionByName(left.filter("_rows > 1").select(*COLUMNS).distinct())
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
