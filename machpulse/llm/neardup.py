@@ -10,7 +10,7 @@ and are confirmed on the full shingle sets.
 No list is expanded into all pairs. First each content meets the ``HUBS`` members of its lists whose values are the
 most common, and components are formed. What is left are pairs of different components within a list with hub H.
 They are found by their differences from H: similar sets differ from H in much the same shingles, so the pairs are made by
-joining on the rarest few shingles of the differences (prefix filter, exact bounds); before that, each member meets its
+joining on the rarest few shingles of the differences (prefix and position filter, exact bounds); before that, each member meets its
 nearest, so that texts that are alike one by one are one component. So every link that could join two
 components is either confirmed or excluded, and no list or number of partners is capped.
 """
@@ -135,15 +135,23 @@ def _meeting(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     placed = shared.withColumn("place", place).withColumns(
         {"to_outside": F.col("place") <= F.col("d") - needed(True) + 1, "to_inside": F.col("outside") & (F.col("place") <= F.col("d") - needed(False) + 1)}
     ).filter("to_outside OR to_inside")
-    return placed.select("hub", "s", "rep", "n", "d", "component", "outside", "to_outside", "to_inside")
+    return placed.select("hub", "s", "rep", "n", "d", "place", "component", "outside", "to_outside", "to_inside")
 
 
 def _side(frame: DataFrame, letter: str) -> DataFrame:
-    return frame.select("hub", "s", *[F.col(c).alias(f"{letter}_{c}") for c in ("rep", "n", "d", "component")])
+    return frame.select("hub", "s", *[F.col(c).alias(f"{letter}_{c}") for c in _MEMBER])
+
+
+_MEMBER = ("rep", "n", "d", "place", "component")
 
 
 def _may_link(percent: int) -> Column:
-    return (F.col("x_component") != F.col("y_component")) & _sizes_allow("x_n", "y_n", percent)
+    """Whether members of different components that meet on a shingle may be similar if it is the first that they share: what
+    comes after it in both differences must be enough for the number that they need in common."""
+    less, more = 100 - percent, 100 + percent
+    after = F.least(F.col("x_d") - F.col("x_place"), F.col("y_d") - F.col("y_place")) + 1
+    enough = 2 * more * after >= more * (F.col("x_d") + F.col("y_d")) - less * (F.col("x_n") + F.col("y_n"))
+    return (F.col("x_component") != F.col("y_component")) & _sizes_allow("x_n", "y_n", percent) & enough
 
 
 def _as_pairs(found: DataFrame) -> DataFrame:
@@ -153,8 +161,8 @@ def _as_pairs(found: DataFrame) -> DataFrame:
 def _nearest_pairs(placed: DataFrame, percent: int) -> DataFrame:
     """One pair ``a, b`` at most per hub and member: of those nearest to the hub under each of its shingles, the one that
     differs from the hub about as much. Long rows of texts, each like the next, become one component by these few pairs."""
-    first = placed.groupBy("hub", "s").agg(F.min_by(F.struct("rep", "n", "d", "component"), F.struct("d", "rep")).alias("t"))
-    theirs = first.select("hub", "s", *[F.col(f"t.{c}").alias(f"y_{c}") for c in ("rep", "n", "d", "component")])
+    first = placed.groupBy("hub", "s").agg(F.min_by(F.struct(*_MEMBER), F.struct("d", "rep")).alias("t"))
+    theirs = first.select("hub", "s", *[F.col(f"t.{c}").alias(f"y_{c}") for c in _MEMBER])
     found = _side(placed, "x").join(theirs, ["hub", "s"]).filter(_may_link(percent))
     apart = F.struct(F.abs(F.col("x_d") - F.col("y_d")), "y_rep")
     return _as_pairs(found.groupBy("hub", "x_rep").agg(F.min_by("y_rep", apart).alias("y_rep")))
