@@ -11,6 +11,11 @@ The automaton grows with the corpus, so no task holds it. Texts are hashed into
 block sends each of its distinct n-grams once, with its count in training texts, to the range of hashes that sums
 them; back come the totals in the order sent, which is just the part of the automaton that the block can reach.
 Frequent n-grams are one entry per block, whatever their share of the corpus.
+
+There are as many ranges as blocks, so that neither outgrows a task. A sender has at most ``FAN_OUT`` receivers:
+beyond as many blocks the n-grams go over several hops. A hop parts the ranges further and merges as many senders as
+it parts them into, so each hop has about as many tasks as there are blocks, each with about a block's n-grams, and
+the messages of a hop grow in proportion to the corpus. The totals come back by the same hops.
 """
 
 from pyspark.sql import DataFrame
@@ -19,6 +24,7 @@ from pyspark.sql import functions as F
 from machpulse.llm.text import whole
 
 BLOCK_BYTES = 8 << 20
+FAN_OUT = 4096
 ORDER = 2
 STRENGTH = 128.0
 BASE = 0.1
@@ -64,12 +70,40 @@ def block_grams(table, order: int):
     return tokens, sizes, starts, grams
 
 
-def _ranges(keys, count: int):
-    """Borders of the ``count`` hash ranges in sorted keys."""
+MESSAGES = "_group long, _part long, _sender long, _keys binary, _counts binary"
+REPLIES = "_group long, _part long, _from long, _totals binary"
+
+
+def hops(blocks: int, fan_out: int) -> list[int]:
+    """Receivers of a sender at each hop, as many as senders of a receiver; with all hops every block reaches every range."""
+    fans = [min(blocks, fan_out)]
+    while (blocks := -(-blocks // fan_out)) > 1:
+        fans.append(min(blocks, fan_out))
+    return fans
+
+
+def _bytes(values) -> bytes:
+    """Bytes of one rank together: sorted hashes share their upper ones, which then compress."""
+    import numpy as np
+
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _messages(keys, counts, sender: int, part: int, parts: int, fan: int):
+    """The sorted keys of a sender, which has hash range ``part`` of ``parts``, to ``fan`` parts of this range."""
     import numpy as np
+    import pyarrow as pa
 
-    edges = np.array([(r << 64) // count for r in range(1, count)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+    edges = np.array([((part * fan + r) << 64) // (parts * fan) for r in range(1, fan)], np.uint64)
+    cuts = np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+    full = np.flatnonzero(np.diff(cuts))
+    return pa.table({
+        "_group": pa.array(np.full(len(full), sender // fan, np.int64)),
+        "_part": pa.array(part * fan + full),
+        "_sender": pa.array(np.full(len(full), sender, np.int64)),
+        "_keys": pa.array([_bytes(keys[cuts[r]: cuts[r + 1]]) for r in full], pa.binary()),
+        "_counts": pa.array([_bytes(counts[cuts[r]: cuts[r + 1]]) for r in full], pa.binary()),
+    })
 
 
 def _train(table):
@@ -78,51 +112,98 @@ def _train(table):
     return ~np.asarray(table.column("_held").to_numpy(zero_copy_only=False), bool)
 
 
-def _send(order: int, ranges: int):
+def _send(order: int, fan: int):
     def run(key, table):
         import numpy as np
-        import pyarrow as pa
 
         _, sizes, _, grams = block_grams(table, order)
         learn = np.repeat(_train(table), sizes)
         keys, number = np.unique(np.concatenate(grams), return_inverse=True)
         counts = np.bincount(number, weights=np.tile(learn, order), minlength=len(keys)).astype(np.uint32)
-        cuts = _ranges(keys, ranges)
-        full = [r for r in range(ranges) if cuts[r + 1] > cuts[r]]
-        return pa.table({
-            "_range": pa.array(full, pa.int64()),
-            "_block": pa.array([key[0].as_py()] * len(full), pa.int64()),
-            # Bytes of one rank together: sorted hashes share their upper ones, which then compress.
-            "_keys": pa.array([keys[cuts[r]: cuts[r + 1]].view(np.uint8).reshape(-1, 8).T.tobytes() for r in full], pa.binary()),
-            "_counts": pa.array([counts[cuts[r]: cuts[r + 1]].view(np.uint8).reshape(-1, 4).T.tobytes() for r in full], pa.binary()),
-        })
+        return _messages(keys, counts, key[0].as_py(), 0, 1, fan)
 
     return run
 
 
-def _unpack(data: bytes, width: int, kind):
+def _unpack(data: bytes, kind):
     import numpy as np
 
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
 
 
-def _add(key, table):
-    """The totals of a hash range, for each block in the order of its keys."""
+def _received(table):
+    """Distinct keys of the messages to one receiver, the number of each key sent, and where the messages part."""
     import numpy as np
-    import pyarrow as pa
 
-    keys = [_unpack(k, 8, np.uint64) for k in table.column("_keys").to_pylist()]
-    counts = [_unpack(c, 4, np.uint32) for c in table.column("_counts").to_pylist()]
+    keys = [_unpack(k, np.uint64) for k in table.column("_keys").to_pylist()]
     distinct, number = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.bincount(number, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.uint64)[number]
-    cuts = np.cumsum([len(k) for k in keys])[:-1]
+    return distinct, number, np.cumsum([len(k) for k in keys])[:-1]
+
+
+def _summed(table, number, size: int, kind):
+    import numpy as np
+
+    counts = np.concatenate([_unpack(c, kind) for c in table.column("_counts").to_pylist()])
+    return np.bincount(number, weights=counts, minlength=size).astype(np.uint64)
+
+
+def _answer(key, table, totals, cuts, fan: int):
+    """To each sender of the messages: the totals in the order of its keys."""
+    import numpy as np
+    import pyarrow as pa
+
+    rows, part = table.num_rows, key[1].as_py()
     return pa.table({
-        "_range": table.column("_range"),
-        "_block": table.column("_block"),
-        "_totals": pa.array([t.view(np.uint8).reshape(-1, 8).T.tobytes() for t in np.split(totals, cuts)], pa.binary()),
+        "_group": table.column("_sender"),
+        "_part": pa.array(np.full(rows, part // fan, np.int64)),
+        "_from": pa.array(np.full(rows, part, np.int64)),
+        "_totals": pa.array([_bytes(t) for t in np.split(totals, cuts)], pa.binary()),
     })
 
 
+def _in_order(replies):
+    """The totals of all receivers of a sender, in the order of its keys."""
+    import numpy as np
+
+    sent = replies.column("_totals").to_pylist()
+    return np.concatenate([_unpack(sent[i], np.uint64) for i in np.argsort(replies.column("_from").to_numpy())])
+
+
+def _add(fan: int, kind: str):
+    def run(key, table):
+        distinct, number, cuts = _received(table)
+        return _answer(key, table, _summed(table, number, len(distinct), kind)[number], cuts, fan)
+
+    return run
+
+
+def _pass_on(parts: int, fan: int, kind: str):
+    def run(key, table):
+        distinct, number, _ = _received(table)
+        counts = _summed(table, number, len(distinct), kind)
+        return _messages(distinct, counts, key[0].as_py(), key[1].as_py(), parts, fan)
+
+    return run
+
+
+def _pass_back(fan: int):
+    def run(key, table, replies):
+        _, number, cuts = _received(table)
+        return _answer(key, table, _in_order(replies)[number], cuts, fan)
+
+    return run
+
+
+def _totals(sent: DataFrame, fans: list[int], parts: int = 1, kind: str = "u4") -> DataFrame:
+    """Replies to the senders of ``sent``; ``parts`` is the number of hash ranges before this hop."""
+    nodes, parts = sent.groupBy("_group", "_part"), parts * fans[0]
+    if len(fans) == 1:
+        return nodes.applyInArrow(_add(fans[0], kind), REPLIES)
+    passed = nodes.applyInArrow(_pass_on(parts, fans[1], kind), MESSAGES)
+    back = _totals(passed, fans[1:], parts, "u8").groupBy("_group", "_part")
+    return nodes.cogroup(back).applyInArrow(_pass_back(fans[0]), REPLIES)
+
+
 def automaton(count, base, strength: float):
     """Arcs, failure arcs and known states at every place of a block, from the counts of the n-grams that end there.
 
@@ -182,9 +263,7 @@ def _score(order: int, tokens_all: int, types: int, strength: float, id_type):
             return pa.table({"_id": pa.array([], id_type), **{n: pa.array([], t) for n, t in _TYPES}})
         tokens, sizes, starts, grams = block_grams(table, order)
         keys, number = np.unique(np.concatenate(grams), return_inverse=True)
-        order_of = np.argsort(replies.column("_range").to_numpy())
-        sent = replies.column("_totals").to_pylist()
-        totals = np.concatenate([_unpack(sent[i], 8, np.uint64) for i in order_of]).astype(np.float64)
+        totals = _in_order(replies).astype(np.float64)
         totals[keys == 0] = 0.0
         count = totals[number].reshape(order, -1)
         del tokens, grams, keys, number, totals
@@ -226,16 +305,22 @@ def _unigrams(batches):
         yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))], names=["token", "count"])
 
 
+def block_of(blocks: int, *columns):
+    """Block of a row. The partition it is read in parts equal rows; unlike a row number it is the same in a rerun."""
+    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(blocks))
+
+
 def score(
     docs: DataFrame, id_col="doc_id", text_col="text", order: int = ORDER, strength: float = STRENGTH,
-    block_bytes: int = BLOCK_BYTES,
+    block_bytes: int = BLOCK_BYTES, fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """One row per input row: ``id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Texts whose ``crc32`` of the id as text is divisible by 10 are held out (a null id counts as the empty text), the
     others are learned from. Tokens are the words, A-Z as a-z, then one end; a null or empty text is the end alone.
     ``base_score`` is the log10 probability by the smoothed unigrams, ``score`` that of the automaton. Repeated rows
-    count each. Without training texts both are those of the empty model. Other columns are ignored.
+    count each; those equal in id and text are dealt to blocks by the partition they are read in, so a block holds at
+    most a partition's. Without training texts both scores are those of the empty model. Other columns are ignored.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -247,16 +332,17 @@ def score(
     size, model = lean.agg(F.sum(F.octet_length("_text") + 16)).first()[0] or 0, facts.agg(F.count("token"), F.sum("c")).first()
     types, tokens = model[0], model[1] or 0
     blocks = max(1, -(-size // block_bytes))
-    parted = lean.withColumn("_block", F.pmod(F.xxhash64("_id", "_text"), F.lit(blocks)))
-    sent = parted.groupBy("_block").applyInArrow(_send(order, blocks), "_range long, _block long, _keys binary, _counts binary")
-    totals = sent.groupBy("_range").applyInArrow(_add, "_range long, _block long, _totals binary")
+    parted = lean.withColumn("_block", block_of(blocks, "_id", "_text"))
+    fans = hops(blocks, fan_out)
+    sent = parted.groupBy("_block").applyInArrow(_send(order, fans[0]), MESSAGES)
+    totals = _totals(sent, fans)
     id_type = lean.schema["_id"].dataType
     schema = docs.select(
         F.col(id_col).alias("_id"), F.lit(True).alias("held_out"), F.lit(0).cast("long").alias("n_tokens"),
         F.lit(0).cast("long").alias("n_known"), F.lit(0).cast("long").alias("train_tokens"), F.lit(0.0).alias("base_score"),
         F.lit(0.0).alias("score"),
     ).schema
-    scored = parted.groupBy("_block").cogroup(totals.groupBy("_block")).applyInArrow(
+    scored = parted.groupBy("_block").cogroup(totals.groupBy("_group")).applyInArrow(
         _score(order, tokens, types, strength, to_arrow_type(id_type)), schema
     )
     return scored.withColumnRenamed("_id", id_col)

@@ -519,6 +519,54 @@ def test_scores_equal_brute_force(spark, order):
     assert alone.held_out and alone.train_tokens == 0
 
 
+def test_scores_over_several_hops(spark):
+    rows = messy()
+    frame = lm.score(documents(spark, rows).repartition(3), block_bytes=20_000, fan_out=2)
+    got = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in frame.collect())
+    want = plain_scores(rows, lm.STRENGTH)
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    for g, w in zip(got, want):
+        assert g[4:] == pytest.approx(w[4:], rel=1e-9, abs=1e-6)
+
+
+@pytest.mark.parametrize("blocks,fan_out", [(1, 4), (4, 4), (5, 4), (17, 4), (64, 4), (65, 4), (3840, 4096), (13_000_000, 4096)])
+def test_hops_join_all_blocks_and_stay_linear(blocks, fan_out):
+    fans = lm.hops(blocks, fan_out)
+    groups, ranges = blocks, 1
+    for fan in fans:
+        assert fan <= fan_out
+        assert groups * ranges * fan <= 2 * blocks * fan_out + fan_out ** 2  # messages of the hop
+        groups, ranges = -(-groups // fan), ranges * fan
+    assert groups == 1 and blocks <= ranges <= 2 * blocks
+
+
+def test_messages_keep_every_key_in_its_range():
+    import numpy as np
+
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2))
+    keys[0] = 0
+    first = lm._messages(keys, np.arange(len(keys), dtype=np.uint32), sender=9, part=0, parts=1, fan=5)
+    assert first.column("_group").to_pylist() == [1] * 5 and first.column("_part").to_pylist() == list(range(5))
+    assert np.array_equal(np.concatenate([lm._unpack(k, np.uint64) for k in first.column("_keys").to_pylist()]), keys)
+    second = []
+    for row in first.to_pylist():
+        again = lm._messages(lm._unpack(row["_keys"], np.uint64), lm._unpack(row["_counts"], "u4"), row["_group"], row["_part"], 5, 4)
+        second += again.to_pylist()
+    assert [r["_part"] for r in second] == list(range(20))
+    for row in second:
+        found = lm._unpack(row["_keys"], np.uint64).tolist()
+        assert all(k * 20 >> 64 == row["_part"] for k in found)
+
+
+def test_equal_rows_are_dealt_to_several_blocks(spark):
+    rows = [(None, "a b c", "s")] * 400
+    frame = documents(spark, rows).repartition(8)
+    got = lm.score(frame, block_bytes=200).collect()
+    assert len(got) == 400 and len({r.score for r in got}) == 1
+    blocks = frame.select(lm.block_of(40, "doc_id", "text").alias("b")).groupBy("b").count().collect()
+    assert len(blocks) > 1 and max(r["count"] for r in blocks) < 400
+
+
 @pytest.mark.parametrize("order", [2, 3])
 def test_arcs_of_a_state_sum_to_one(spark, order):
     rows = [(i, prose(random.Random(i), 40, 20), "s") for i in range(30)]
