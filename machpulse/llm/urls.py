@@ -4,7 +4,8 @@ Level 0 of the cascade encodes the listed keys. The keys of the corpus that pass
 the listed keys that pass level 1 wrongly in level 2, and so on until nobody passes wrongly. Over that key universe
 the answer is exact: the first level that a key does not pass decides. Level 0 is sized so that about as many other
 keys pass as are listed (``n * log2(universe / n)`` bits or so), so every level is bounded by the list, whatever the
-corpus; the total is checked against ``MAX_FILTER_BYTES``. A lookup reads literal bytes; nothing is joined.
+corpus. A lookup reads literal bytes; nothing is joined. A list whose cascade would exceed ``MAX_FILTER_BYTES`` is
+parted by the hash of its keys; the urls are then judged part by part, each with a cascade of its own within the bound.
 """
 
 import math
@@ -61,7 +62,7 @@ def _level(keys: DataFrame, count: int, rate: float, seed: int, budget: int) ->
     hashes = max(1, math.ceil(-math.log2(rate)))
     bits = max(64, 8 * math.ceil(count * hashes / math.log(2) / 8))
     if bits // 8 > budget:
-        raise ValueError(f"a filter of {bits // 8} bytes is over the bound; split the list by its keys")
+        raise ValueError(f"a filter of {bits // 8} bytes is over the bound of the cascade")
     places = F.array(*[Level.position(seed, turn, F.col("key"), bits) for turn in range(hashes)])
     filled = (
         keys.select(F.explode(places).alias("p"))
@@ -86,16 +87,29 @@ class Cascade:
         return answer
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = MAX_FILTER_BYTES) -> Cascade:
-    """Cascade of ``listed`` (one column ``key``) that is exact for all of ``universe`` (one column ``key``).
+def _told_apart(listed: DataFrame, universe: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The distinct listed keys, and the other keys of the universe; null ones are ignored."""
+    yes = stored(listed.filter("key IS NOT NULL").distinct(), "cascade-listed")
+    return yes, stored(universe.filter("key IS NOT NULL").distinct().join(yes, "key", "left_anti"), "cascade-universe")
 
-    Null keys are ignored, repeated ones count once. An empty list gives a cascade that lists nothing.
+
+def _first_rate(count: int, others: int) -> float:
+    return min(0.5, count / (math.sqrt(2) * max(others, 1))) if count else 0.5
+
+
+def parts_needed(count: int, others: int, max_bytes: int) -> int:
+    """Parts of a list of ``count`` keys, so that the cascade of each is within the bound.
+
+    A key takes its bits in level 0 and less than a byte in all later ones; a quarter is left for uneven parts.
     """
-    yes = stored(listed.filter("key IS NOT NULL").distinct(), "cascade-listed")
-    no = stored(universe.filter("key IS NOT NULL").distinct().join(yes, "key", "left_anti"), "cascade-universe")
+    a_key = math.ceil(-math.log2(_first_rate(count, others))) / math.log(2) / 8 + 1
+    return max(1, math.ceil(1.25 * count * a_key / max_bytes))
+
+
+def _cascade(yes: DataFrame, no: DataFrame, max_bytes: int) -> Cascade:
     count, others = yes.count(), no.count()
     levels: list[Level] = []
-    rate, left = min(0.5, count / (math.sqrt(2) * max(others, 1))) if count else 0.5, max_bytes
+    rate, left = _first_rate(count, others), max_bytes
     while count:
         level = _level(yes, count, rate, len(levels), left)
         levels.append(level)
@@ -105,13 +119,22 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = MAX_F
     return Cascade(levels)
 
 
+def build_cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = MAX_FILTER_BYTES) -> Cascade:
+    """Cascade of ``listed`` (one column ``key``) that is exact for all of ``universe`` (one column ``key``).
+
+    Null keys are ignored, repeated ones count once. An empty list gives a cascade that lists nothing.
+    """
+    return _cascade(*_told_apart(listed, universe), max_bytes)
+
+
 def _fits(host, path, rule: str) -> Column:
     domain, slash, rest = rule.partition("/")
     return ((host == domain) | host.endswith(f".{domain}")) & path.startswith(slash + rest)
 
 
 def filter_urls(
-    pages: DataFrame, listed: DataFrame, rules: tuple[tuple[str, str], ...], id_col="page_id", url_col="url", depth: int = 8
+    pages: DataFrame, listed: DataFrame, rules: tuple[tuple[str, str], ...], id_col="page_id", url_col="url", depth: int = 8,
+    max_bytes: int = MAX_FILTER_BYTES,
 ) -> DataFrame:
     """One row per input row: ``id, host, path, rule, verdict, listed``.
 
@@ -123,12 +146,29 @@ def filter_urls(
     longest = listed.agg(F.max(F.size(F.split("key", r"\.")))).first()[0]
     depth = max(depth, longest or 0)
     universe = parsed.select("host").distinct().select(F.explode(domains(F.col("host"), depth)).alias("key"))
-    cascade = build_cascade(listed, universe)
+    yes, no = _told_apart(listed, universe)
+    parts = parts_needed(yes.count(), no.count(), max_bytes)
+
+    def known_in(part: int) -> Column:
+        def mine(key):
+            return F.pmod(F.xxhash64(F.lit("part"), key), F.lit(parts)) == part
+
+        cascade = _cascade(*[keys.filter(mine(F.col("key"))) if parts > 1 else keys for keys in (yes, no)], max_bytes)
+        return F.exists(
+            domains(F.col("host"), depth), lambda key: mine(key) & cascade.listed(key) if parts > 1 else cascade.listed(key)
+        )
+
+    if parts == 1:
+        known = known_in(0)
+    else:
+        known = F.col("_known")
+        parsed = parsed.withColumn("_known", F.lit(False))
+        for part in range(parts):
+            parsed = stored(parsed.withColumn("_known", known | known_in(part)), "urls-judged")
     rule = F.lit(None).cast("string")
-    verdict = F.when(F.exists(domains(F.col("host"), depth), cascade.listed), F.lit("block")).otherwise(F.lit("allow"))
+    verdict = F.when(known, F.lit("block")).otherwise(F.lit("allow"))
     for action, text in sorted(rules, key=lambda r: (len(r[1]), r[1])):
         fits = _fits(F.col("host"), F.col("path"), text)
         rule = F.when(fits, F.lit(text)).otherwise(rule)
         verdict = F.when(fits, F.lit(action)).otherwise(verdict)
-    known = F.exists(domains(F.col("host"), depth), cascade.listed)
     return parsed.select(id_col, "host", "path", rule.alias("rule"), verdict.alias("verdict"), known.alias("listed"))

@@ -215,6 +215,20 @@ def test_listed_keys_of_many_labels(spark):
     assert {r.page_id: r.verdict for r in got.collect()} == {1: "block", 2: "block", 3: "allow"}
 
 
+def test_url_lists_beyond_the_filter_bound(spark):
+    keys = [f"k{i}.example.com" for i in range(3000)]
+    hosts = [k for k in keys if zlib.crc32(k.encode()) % 3 == 0]
+    pages = [(i, f"http://{'www.' * (i % 2)}{k}/x") for i, k in enumerate(keys)] + [(-1, None), (-2, f"http://{hosts[0]}/"), (-2, f"http://{hosts[0]}/")]
+    frame = spark.createDataFrame(pages, "page_id long, url string").selectExpr("*", "true AS _known", "'x' AS key")
+    listed = spark.createDataFrame([(h,) for h in [*hosts, hosts[1], None]], "key string")
+    assert urls.parts_needed(len(hosts), 4000, 1000) > 1 == urls.parts_needed(len(hosts), 4000, 1 << 20)
+    want = sorted((i, "block" if u and u[7:].split("/")[0].removeprefix("www.") in set(hosts) else "allow") for i, u in pages)
+    for bound in (1000, 1 << 20):
+        got = urls.filter_urls(frame, listed, (), max_bytes=bound).collect()
+        assert sorted((r.page_id, r.verdict) for r in got) == want
+        assert all(r.listed == (r.verdict == "block") for r in got)
+
+
 def test_revisits_as_of(spark):
     rng = random.Random(5)
     records = []
