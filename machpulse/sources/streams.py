@@ -1,7 +1,6 @@
-"""Streaming sources and the keyed message sink."""
+"""Streaming sources and options of the keyed topic."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from machpulse.functions.fixed_values import FLUSH_MESSAGES, FLUSH_SECONDS
@@ -50,12 +49,6 @@ def text_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     return file_stream(spark, path, fields("value STRING"), max_files, "text")
 
 
-def kafka_sink(messages: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
-    """Publish (key, value) rows."""
-    return (
-        messages.writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )
+def kafka_target(servers: str, topic: str) -> dict[str, str]:
+    """Options of a topic to publish (key, value) rows to, as ``relay`` takes them."""
+    return {"kafka.bootstrap.servers": servers, "topic": topic}

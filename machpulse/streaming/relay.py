@@ -35,7 +35,8 @@ def relay(
     available_now: bool = False, rejects: str | None = None, clock: Callable[[], datetime] = utc_now,
     typed: bool = False,
 ) -> StreamingQuery:
-    """Publish the keyed messages of a stream with ``topic`` and ``value`` to a sink given by format and options.
+    """Publish the keyed messages of a stream with ``topic`` and ``value`` to a sink given by format and options, such as
+    ``kafka_target``.
 
     Malformed messages go to the folder ``rejects``, beside the checkpoint unless given, with their reason and time. Each
     batch replaces its own folder there, and in a sink with a ``path``; another sink may get a batch that is replayed twice.

@@ -147,6 +147,9 @@ def test_kafka_options():
     assert options["maxOffsetsPerTrigger"] == "50000"
     assert streams.kafka_options("broker:9092", "capteurs")["maxOffsetsPerTrigger"] == str(streams.MAX_OFFSETS)
     assert "maxOffsetsPerTrigger" not in streams.kafka_options("broker:9092", "capteurs", None)
+    # What the relay publishes to is what the ingest subscribes to.
+    target = streams.kafka_target("broker:9092", "capteurs")
+    assert (target["kafka.bootstrap.servers"], target["topic"]) == (options["kafka.bootstrap.servers"], options["subscribe"])
 
 
 @pytest.mark.parametrize(
