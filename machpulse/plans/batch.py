@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
 from machpulse import schemas
-from machpulse.functions.fixed_values import EVENT_SOURCES, STAGING_FILES
+from machpulse.functions.fixed_values import EVENT_SOURCES, MACHINE_ID_RANGE, STAGING_FILES
 from machpulse.functions.time_columns import id_date_of
 from machpulse.operators import consolidation, datamart
 from machpulse.operators.constraints import Rules, enforce
@@ -132,13 +132,16 @@ class Warehouse:
         return read.select(*schemas.FACT_DAY.names)
 
 
-def staging_rules(table: str, machines: DataFrame | None = None) -> Rules:
+def staging_rules(
+    table: str, machines: DataFrame | None = None, machine_ids: tuple[int, int] = MACHINE_ID_RANGE
+) -> Rules:
+    """Rules of one staging table. A load takes every id that the messages take; ``machine_ids`` is for reports on a narrower type."""
     if table == "machines":
         return Rules(
             not_null=("machine_id", "model", "age"),
             checks={
                 "age": F.col("age").between(0, 40),
-                "machine_id": F.col("machine_id").between(0, 65535),
+                "machine_id": F.col("machine_id").between(*machine_ids),
             },
             lengths={"model": 20},
         )

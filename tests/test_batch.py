@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +7,8 @@ from machpulse import schemas
 from machpulse.functions.time_columns import month_of
 from machpulse.operators import telemetry as t
 from machpulse.operators.constraints import ConstraintViolation
-from machpulse.plans import batch
+from machpulse.plans import batch, catalogue
+from machpulse.plans import bindings as b
 from machpulse.plans.batch import Warehouse, run_batch
 from machpulse.sources import landing, storage
 from tests.helpers import rows_of, telemetry
@@ -238,3 +241,34 @@ def test_dimensions_hold_what_changed(spark, places, monkeypatch):
     assert written == {1: 3, 3: 1, 4: 1, 5: 6}
     assert not storage.exists(spark, warehouse.path("dim_machine", 2)) and not storage.exists(spark, warehouse.path("dim_date", 2))
     assert warehouse.index(spark)["runs"]["dim_machine"] == [5] and warehouse.index(spark)["runs"]["dim_date"] == [1]
+
+
+def test_machines_load_up_to_the_ids_of_messages(spark, places):
+    raw, warehouse = places
+    wide = [("65536", "model1", "4"), ("2147483647", "model3", "7")]
+    deliver(spark, raw, "2030-03-10", {**FIRST, "PdM_machines.csv": [*FIRST["PdM_machines.csv"], *wide]})
+    assert run_batch(spark, "2030-03-10", raw, warehouse, state(spark))["machines"] == {"attempted": 4, "inserted": 4}
+    deliver(spark, raw, "2030-03-11", {**FIRST, "PdM_machines.csv": [("-1", "model1", "4")]})
+    with pytest.raises(ConstraintViolation, match="check:machine_id=1"):
+        run_batch(spark, "2030-03-11", raw, warehouse, state(spark))
+    assert warehouse.published(spark) == [1]
+
+
+@pytest.fixture
+def wide_tables(spark, tmp_path):
+    """Tables whose ids pass 16 bits."""
+    customers = [(i, f"c{i}", 1, 10.0, "BUILDING") for i in (7, 65535, 65536, 900_000)]
+    spark.createDataFrame(customers, b.INPUTS["customer"]).write.parquet(f"{tmp_path}/customer.parquet")
+    events = [
+        (1, datetime(2024, 1, 10, 6, 0, 5), 65536, "error", 20.0, "{}"),
+        (2, datetime(2024, 1, 10, 7, 0, 5), 900_000, "purchase", 30.0, "{}"),
+        (3, datetime(2024, 1, 9, 7, 0, 5), 900_000, "signup", 40.0, "{}"),
+    ]
+    spark.createDataFrame(events, b.INPUTS["events"]).write.parquet(f"{tmp_path}/events.parquet")
+    return str(tmp_path)
+
+
+def test_daily_run_takes_ids_above_16_bits(spark, wide_tables):
+    day = catalogue.all_queries()["daily_run"](spark, wide_tables)
+    counts = rows_of(day, "machine_id_nat", "nb_erreurs", "nb_pannes", "nb_maintenances")
+    assert counts == [(7, 0, 0, 0), (65535, 0, 0, 0), (65536, 1, 0, 0), (900_000, 0, 1, 0)]
