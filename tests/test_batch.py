@@ -277,3 +277,9 @@ def test_daily_run_takes_ids_above_16_bits(spark, wide_tables):
 def test_daily_run_events_takes_ids_above_16_bits(spark, wide_tables):
     fact = catalogue.all_queries()["daily_run_events"](spark, wide_tables)
     assert rows_of(fact) == [("ERREUR", 20240110, 1), ("MAINTENANCE", 20240109, 1), ("PANNE", 20240110, 1)]
+
+
+def test_interrupted_run_takes_ids_above_16_bits(spark, wide_tables):
+    day = catalogue.all_queries()["daily_run_interrupted"](spark, wide_tables)
+    counts = rows_of(day, "machine_id_nat", "nb_erreurs", "nb_pannes", "nb_maintenances")
+    assert counts == [(7, 0, 0, 0), (65535, 0, 0, 0), (65536, 1, 0, 0), (900_000, 0, 1, 0)]
