@@ -4,7 +4,8 @@ Three steps run one after another in the task that reads the text; nothing is sh
 
 1. ``mapInArrow`` cuts the texts of a block (``BLOCK_BYTES`` of text, or one longer text) into pieces by the split
    pattern and numbers the distinct pieces. The numbers hold for the whole task, so a block only sends on the pieces
-   that are new; after ``PIECES`` of them the numbering starts afresh, which bounds its memory.
+   that are new; after ``PIECES`` of them the numbering starts afresh, which bounds its memory. A piece is sent as its
+   bytes, each with the rank of its pair with the next byte.
 2. Spark's higher-order functions encode each of these distinct pieces once: a fold over its bytes joins the pair of
    lowest rank, leftmost first, until no pair has a rank. The pair ranks are a literal table, read by a scalar
    subquery; its size is that of the vocabulary.
@@ -30,9 +31,6 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 BLOCK_BYTES = 4 << 20
 PIECES = 500_000
 FOLD_BYTES = 256
-#: A pair's key in the table, and the sizes of the table's two levels (primes).
-STRIDE = 1 << 24
-GROUPS, SLOTS = 32_749, 262_139
 #: A part of a piece in one number: from the lowest bit its id, its place, and the rank of its pair with the next part.
 PLACE, RANK = 1 << 17, 1 << 36
 NO_RANK = PLACE - 1
@@ -57,31 +55,38 @@ def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
 
 
 def _displaced(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
-    """A table without collisions: keys of one remainder by GROUPS are moved on together until all find free slots."""
+    """The ranks by left and right id as one array: the row of a left id is moved until its right ids find free slots."""
+    import numpy as np
+
     if max(ranks.values(), default=0) >= IDS:
         raise ValueError(f"ids must be below {IDS}")
-    groups = defaultdict(list)
+    rows = defaultdict(list)
     for (left, right), rank in pair_ranks(ranks).items():
-        key = left * STRIDE + right
-        groups[key % GROUPS].append((key, rank))
-    moves, slots = [0] * GROUPS, [-(1 << 60)] * SLOTS
-    taken = set()
-    for group, items in sorted(groups.items(), key=lambda g: (-len(g[1]), g[0])):
-        for move in range(SLOTS):
-            places = {(key + move) % SLOTS for key, _ in items}
-            if len(places) == len(items) and taken.isdisjoint(places):
+        rows[left].append((right, rank))
+    moves, slots = np.zeros(IDS, np.int64), np.full(2 * IDS, -(1 << 60))
+    at, width = 0, 0
+    for left, row in sorted(rows.items(), key=lambda r: (-len(r[1]), r[0])):
+        rights, values = np.array(sorted(row)).T
+        if len(row) != width:
+            at, width = 0, len(row)  # rows of one width go on where the last one found its place
+        while True:
+            if len(slots) < at + 2 * IDS:
+                slots = np.concatenate([slots, np.full(len(slots), -(1 << 60))])
+            free = np.flatnonzero(slots[at: at + 4096] < 0) + at - rights[0]
+            for right in rights[1:]:
+                if not len(free):
+                    break
+                free = free[slots[free + right] < 0]
+            if len(free):
                 break
-        else:
-            raise ValueError("the pair ranks do not fit the table")
-        taken |= places
-        moves[group] = move
-        for key, rank in items:
-            slots[(key + move) % SLOTS] = key * PLACE + rank
-    return moves, slots
+            at += 4096
+        moves[left] = free[0]
+        slots[free[0] + rights] = left * PLACE + values
+    return moves.tolist(), slots[: np.flatnonzero(slots >= 0)[-1] + 1 if len(rows) else 0].tolist()
 
 
 def _rank_table(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
-    """The pair ranks as one literal: ``moves`` by group, and ``slots`` with key and rank in one number."""
+    """The pair ranks as one literal: ``moves`` by left id, and ``slots`` with left id and rank in one number."""
     import pyarrow as pa
 
     moves, slots = _displaced(ranks)
@@ -91,29 +96,28 @@ def _rank_table(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
 
 
 def _rank(left: str, right: str) -> str:
-    """The pair's rank, at most NO_RANK. Another key in the slot is off by at least a whole PLACE, less an id."""
-    key = f"({left} * {STRIDE}L + {right})"
-    move = f"get(_table.moves, cast({key} % {GROUPS}L as int))"
-    return f"least(abs(get(_table.slots, cast(({key} + {move}) % {SLOTS}L as int)) - {key} * {PLACE}L), {NO_RANK}L)"
+    """The pair's rank, at most NO_RANK, also where ``right`` is null. Another left id in the slot is off by a PLACE, less an id."""
+    return f"least(abs(get(slots, get(moves, {left}) + {right}) - {left} * {PLACE}L), {NO_RANK}L)"
 
 
 def _id(part: str) -> str:
     return f"({part} & {PLACE - 1}L)"
 
 
-#: The parts of a piece ``w`` of one-byte tokens. The lowest number is that of the lowest rank, leftmost.
-_PARTS = f"transform(w, (x, j) -> x + j * {PLACE}L + if(j + 1 < size(w), {_rank('x', 'get(w, j + 1)')}, {NO_RANK}L) * {RANK}L)"
-_NEW, _LEFT, _RIGHT = "shiftright(get(q, i - 1), 36)", _id("get(q, i - 2)"), _id("get(q, i + 1)")
-#: One join of part i with the next: the rank becomes the id, and the ranks with both neighbours are looked up.
+_NEW = "shiftright(x, 36)"
+#: One join of part i with the next: the rank becomes the id, and the ranks with both neighbours are looked up. The
+#: lowest number is that of the lowest rank, leftmost. As an argument of an inner fold, i is worked out once.
 _JOIN = f"""
-if(array_min(q) >= {IDS * RANK}L, q, get(transform(array(cast(array_position(q, array_min(q)) as int)), i -> concat(
-  slice(q, 1, greatest(i - 2, 0)),
-  if(i > 1, array((get(q, i - 2) & {RANK - 1}L) + {_rank(_LEFT, _NEW)} * {RANK}L), cast(array() as array<bigint>)),
-  array((get(q, i - 1) & {RANK - PLACE}L) + {_NEW} + if(i + 1 < size(q), {_rank(_NEW, _RIGHT)}, {NO_RANK}L) * {RANK}L),
-  slice(q, i + 2, size(q)))), 0))"""
-_FOLD = f"""
-if(size(w) < 2 or size(w) > {FOLD_BYTES}, w,
-  aggregate(sequence(2, size(w)), {_PARTS}, (q, _) -> {_JOIN}, q -> transform(q, x -> {_id('x')})))"""
+if(array_min(q) >= {IDS * RANK}L, q, aggregate(array(cast(array_position(q, array_min(q)) as int) - 1), q, (p, i) ->
+  array_remove(transform(p, (x, j) -> if(abs(j - i) > 1, x,
+    if(j = i, (x & {RANK - PLACE}L) + {_NEW} + {_rank(_NEW, _id('get(p, i + 2)'))} * {RANK}L,
+    if(j < i, (x & {RANK - 1}L) + {_rank(_id('x'), 'shiftright(get(p, i), 36)')} * {RANK}L, -1L)))), -1L)))"""
+#: The parts of a piece ``w`` after all joins, their ids in the lowest bits.
+_FOLD = f"if(size(w) < 2 or array_min(w) >= {IDS * RANK}L, w, aggregate(sequence(2, size(w)), w, (q, _) -> {_JOIN}))"
+#: The fold of all pieces. As arguments, the table's two arrays are taken out of it once, not at every lookup.
+_FOLDS = f"""
+get(transform(array(_table.moves), moves ->
+  get(transform(array(_table.slots), slots -> transform(pieces, w -> {_FOLD})), 0)), 0)"""
 
 
 def merge_long(parts: list[int], pairs: dict[tuple[int, int], int]) -> list[int]:
@@ -157,7 +161,25 @@ def _segment(pattern: str, ranks: dict[bytes, int]):
 
         find = regex.compile(pattern).findall
         single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        double = np.array([ranks.get(bytes([a, b]), NO_RANK) for a in range(256) for b in range(256)], dtype=np.int32)
         pairs, number = None, None
+
+        def parts(held, sizes):
+            """The pieces' bytes, each with its place and the rank of its pair with the next byte."""
+            raw, sizes = np.frombuffer(bytes(held), np.uint8), np.array(sizes, np.int64)
+            rank = np.full(len(raw), NO_RANK, np.int32)
+            rank[:-1] = double[raw[:-1].astype(np.int32) * 256 + raw[1:]]
+            ends = np.cumsum(sizes)
+            rank[ends - 1] = NO_RANK
+            found = rank.astype(np.int64)
+            del rank
+            found *= RANK // PLACE
+            found += np.arange(len(raw))
+            found -= np.repeat(ends - sizes, sizes)
+            found *= PLACE
+            found += single[raw]
+            return found
+
         for whole in batches:
             for start, end in blocks(whole):
                 batch = whole.slice(start, end - start)
@@ -170,19 +192,19 @@ def _segment(pattern: str, ranks: dict[bytes, int]):
                     counts.append(len(pieces))
                     places.append(np.fromiter(map(number.__getitem__, pieces), np.int32, len(pieces)))
                 # The new pieces as one stretch of bytes, those too long to fold apart: no object per piece is kept.
-                words, sizes, held = [], array("i"), bytearray()
+                words, sizes, held, done = [], array("i"), bytearray(), 0
                 for piece in islice(number, known, None):
                     raw = piece.encode()
                     if len(raw) > FOLD_BYTES:
                         pairs = pairs or pair_ranks(ranks)
-                        tokens = np.array(merge_long(single[np.frombuffer(raw, np.uint8)].tolist(), pairs), np.int32)
-                        words += [single[np.frombuffer(bytes(held), np.uint8)], tokens]
+                        tokens = np.array(merge_long(single[np.frombuffer(raw, np.uint8)].tolist(), pairs), np.int64)
+                        words += [parts(held, sizes[done:]), tokens + NO_RANK * RANK]
                         sizes.append(len(tokens))
-                        held = bytearray()
+                        held, done = bytearray(), len(sizes)
                     else:
                         held += raw
                         sizes.append(len(raw))
-                words.append(single[np.frombuffer(bytes(held), np.uint8)])
+                words.append(parts(held, sizes[done:]))
                 flat = np.concatenate(words)
                 offsets = np.zeros(len(sizes) + 1, np.int32)
                 np.cumsum(np.frombuffer(sizes, np.int32) if len(sizes) else np.zeros(0, np.int32), out=offsets[1:])
@@ -191,7 +213,7 @@ def _segment(pattern: str, ranks: dict[bytes, int]):
                 def one(values):
                     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-                pieces = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int64)))
+                pieces = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
                 ids = batch.column("_id")
                 yield pa.RecordBatch.from_arrays(
                     [one(ids), one(pa.array(counts, pa.int32())), one(pa.array(every)), one(pieces), pa.array([known], pa.int32())],
@@ -214,19 +236,14 @@ def _assemble(batches):
             pieces = batch.column("pieces").slice(row, 1).flatten()
             if not batch.column("known")[row].as_py():
                 tokens, sizes = tokens[:0], sizes[:0]
-            tokens = np.concatenate([tokens, pieces.flatten().to_numpy().astype(np.int32)])
+            tokens = np.concatenate([tokens, (pieces.flatten().to_numpy() & (PLACE - 1)).astype(np.int32)])
             sizes = np.concatenate([sizes, pieces.value_lengths().to_numpy().astype(np.int64)])
             starts = np.concatenate([[0], np.cumsum(sizes)])
             ends = np.concatenate([[0], np.cumsum(counts)])
-            documents, lengths = [], []
-            for first, last in zip(ends, ends[1:]):
-                mine = places[first:last]
-                size = starts[mine + 1] - starts[mine]
-                before = np.cumsum(size) - size
-                documents.append(tokens[np.arange(size.sum()) + np.repeat(starts[mine] - before, size)])
-                lengths.append(len(documents[-1]))
-            flat = np.concatenate(documents) if documents else np.zeros(0, np.int32)
-            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+            size = sizes[places]
+            reached = np.concatenate([[0], np.cumsum(size)])
+            flat = tokens[np.arange(reached[-1]) + np.repeat(starts[places] - reached[:-1], size)]
+            offsets = reached[ends].astype(np.int32)
             yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["_id", "_ids"])
 
 
@@ -247,9 +264,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col="doc_id", text_
         StructField("known", IntegerType()),
     ])
     cut = lean.mapInArrow(_segment(pattern, ranks), blocks).withColumn("_table", _rank_table(spark, ranks))
-    folded = cut.select(
-        "ids", "counts", "places", F.expr(f"transform(pieces, w -> {_FOLD})").alias("pieces"), "known"
-    )
+    folded = cut.select("ids", "counts", "places", F.expr(_FOLDS).alias("pieces"), "known")
     out = StructType([StructField("_id", id_type), StructField("_ids", ArrayType(IntegerType()))])
     return folded.mapInArrow(_assemble, out).select(F.col("_id").alias(id_col), F.col("_ids").alias(ids_col))
 

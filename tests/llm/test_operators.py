@@ -66,6 +66,37 @@ def test_long_pieces_merge_as_the_fold_does():
         assert bpe.merge_long(parts, pairs) == slow
 
 
+def test_every_pair_is_found_in_one_slot_of_its_left_id():
+    ranks = bpe.read_ranks(rank_file())
+    pairs, (moves, slots) = bpe.pair_ranks(ranks), bpe._displaced(ranks)
+    assert len(moves) == bpe.IDS and len(slots) < 4 * len(pairs)
+
+    def rank(left, right):
+        at = moves[left] + right
+        return min(abs(slots[at] - left * bpe.PLACE), bpe.NO_RANK) if 0 <= at < len(slots) else bpe.NO_RANK
+
+    assert all(rank(*pair) == r for pair, r in pairs.items())
+    rng = random.Random(5)
+    others = {(rng.randrange(len(ranks)), rng.randrange(len(ranks))) for _ in range(50_000)} - set(pairs)
+    assert all(rank(*pair) >= bpe.IDS for pair in others)
+
+
+def test_pieces_are_sent_with_the_ranks_of_their_byte_pairs(spark):
+    ranks = bpe.read_ranks(rank_file())
+    docs = documents(spark, [(1, "the " + "a" * 300 + " x", "s")], clash=False)
+    (row,) = docs.selectExpr("doc_id AS _id", "text AS _text").mapInArrow(
+        bpe._segment(split_pattern(), ranks),
+        "ids array<long>, counts array<int>, places array<int>, pieces array<array<bigint>>, known int",
+    ).collect()
+    first, long, last = ([(x >> 36, x >> 17 & bpe.NO_RANK, x & bpe.NO_RANK) for x in piece] for piece in row.pieces)
+    assert first == [
+        (ranks[b"th"], 0, ranks[b"t"]), (ranks[b"he"], 1, ranks[b"h"]), (bpe.NO_RANK, 2, ranks[b"e"]),
+    ]
+    # A long piece comes joined; the place starts anew in the piece after it.
+    assert {rank for rank, _, _ in long} == {bpe.NO_RANK} and len(long) < 300
+    assert [(place, part) for _, place, part in last] == [(0, ranks[b" "]), (1, ranks[b"x"])]
+
+
 # 2. Mix
 
 
