@@ -35,6 +35,10 @@ FOLD_BYTES = 256
 PLACE, RANK = 1 << 17, 1 << 36
 NO_RANK = PLACE - 1
 IDS = 1 << 16
+#: What a slot without a pair holds: bits above every rank, whatever the left id.
+FREE = 1 << 60
+#: Pieces of up to so many bytes go into the fold without a look at whether any of their pairs has a rank.
+SHORT = 16
 
 
 @lru_cache(maxsize=2)
@@ -82,7 +86,8 @@ def _displaced(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
             at += 4096
         moves[left] = free[0]
         slots[free[0] + rights] = left * PLACE + values
-    return moves.tolist(), slots[: np.flatnonzero(slots >= 0)[-1] + 1 if len(rows) else 0].tolist()
+    slots = slots[: np.flatnonzero(slots >= 0)[-1] + 1 if len(rows) else 0]
+    return moves.tolist(), np.where(slots < 0, FREE, slots).tolist()
 
 
 def _rank_table(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
@@ -96,8 +101,8 @@ def _rank_table(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
 
 
 def _rank(left: str, right: str) -> str:
-    """The pair's rank, at most NO_RANK, also where ``right`` is null. Another left id in the slot is off by a PLACE, less an id."""
-    return f"least(abs(get(slots, get(moves, {left}) + {right}) - {left} * {PLACE}L), {NO_RANK}L)"
+    """The pair's rank, at most NO_RANK, also where ``right`` is null. Another left id in the slot leaves bits above a rank's."""
+    return f"least(get(slots, get(moves, {left}) + {right}) ^ shiftleft({left}, 17), {NO_RANK}L)"
 
 
 def _id(part: str) -> str:
@@ -110,10 +115,10 @@ _NEW = "shiftright(x, 36)"
 _JOIN = f"""
 if(array_min(q) >= {IDS * RANK}L, q, aggregate(array(cast(array_position(q, array_min(q)) as int) - 1), q, (p, i) ->
   array_remove(transform(p, (x, j) -> if(abs(j - i) > 1, x,
-    if(j = i, (x & {RANK - PLACE}L) + {_NEW} + {_rank(_NEW, _id('get(p, i + 2)'))} * {RANK}L,
-    if(j < i, (x & {RANK - 1}L) + {_rank(_id('x'), 'shiftright(get(p, i), 36)')} * {RANK}L, -1L)))), -1L)))"""
+    if(j = i, (x & {RANK - PLACE}L) | {_NEW} | shiftleft({_rank(_NEW, _id('get(p, i + 2)'))}, 36),
+    if(j < i, (x & {RANK - 1}L) | shiftleft({_rank(_id('x'), 'shiftright(get(p, i), 36)')}, 36), -1L)))), -1L)))"""
 #: The parts of a piece ``w`` after all joins, their ids in the lowest bits.
-_FOLD = f"if(size(w) < 2 or array_min(w) >= {IDS * RANK}L, w, aggregate(sequence(2, size(w)), w, (q, _) -> {_JOIN}))"
+_FOLD = f"if(size(w) < 2 or size(w) > {SHORT} and array_min(w) >= {IDS * RANK}L, w, aggregate(sequence(2, size(w)), w, (q, _) -> {_JOIN}))"
 #: The fold of all pieces. As arguments, the table's two arrays are taken out of it once, not at every lookup.
 _FOLDS = f"""
 get(transform(array(_table.moves), moves ->
@@ -276,7 +281,7 @@ def decode(ids, rank_file: str) -> Column:
     for token, rank in ranks.items():
         pieces[rank] = token.hex()
     table = F.split(F.lit(",".join(pieces)), ",")  # folded to a literal array before the query runs
-    joined = F.array_join(F.transform(ids, lambda i: F.element_at(table, i + 1)), "")
+    joined = F.array_join(F.transform(ids, lambda i: table[i]), "")
     return F.unhex(F.coalesce(joined, F.lit("")))
 
 

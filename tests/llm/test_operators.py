@@ -97,6 +97,23 @@ def test_pieces_are_sent_with_the_ranks_of_their_byte_pairs(spark):
     assert [(place, part) for _, place, part in last] == [(0, ranks[b" "]), (1, ranks[b"x"])]
 
 
+def test_slots_part_pairs_by_their_bits_alone(spark):
+    ranks = bpe.read_ranks(rank_file())
+    pairs, (moves, slots) = bpe.pair_ranks(ranks), bpe._displaced(ranks)
+    rng = random.Random(11)
+    some = rng.sample(sorted(pairs), 2000) + [(rng.randrange(len(ranks)), rng.randrange(len(ranks))) for _ in range(2000)]
+    assert min(slots) >= 0
+    for left, right in some:
+        at = moves[left] + right
+        left_over = slots[at] ^ left << 17 if 0 <= at < len(slots) else bpe.NO_RANK
+        assert left_over == pairs[left, right] if (left, right) in pairs else left_over >= bpe.NO_RANK
+
+
+def test_decoding_refuses_ids_beyond_the_ranks(spark):
+    with pytest.raises(Exception, match="INVALID_ARRAY_INDEX"):
+        spark.range(1).select(bpe.decode(F.array(F.lit(1 << 20)), rank_file())).collect()
+
+
 # 2. Mix
 
 
